@@ -45,6 +45,14 @@ def ensure_timestamp(df: DataFrame, name: str, strict: bool = False) -> DataFram
     return df
 
 
+def coerce_prices(df: DataFrame, trim_ids: bool = True) -> DataFrame:
+    """ST1 + MA1 + MA2 without the dedup: trim ids/names, coerce prices, fill 0."""
+    if trim_ids:
+        df = df.withColumns({c: F.trim(c) for c in ("location_id", "location_name") if c in df.columns})
+    df = df.withColumns({c: coerce_double(df, c) for c in PRICE_COLUMNS})
+    return df.fillna(0.0, subset=PRICE_COLUMNS)
+
+
 def clean_readings(df: DataFrame, order: list[str] | None = None, trim_first: bool = False,
                    strict_time: bool = False) -> DataFrame:
     """Clean a reading batch in the reference order: parse time, dedup on
@@ -68,15 +76,18 @@ def clean_readings(df: DataFrame, order: list[str] | None = None, trim_first: bo
     return df.fillna(0.0, subset=PRICE_COLUMNS)
 
 
-def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """AG18: duplicates removed and values coerced to NULL (then filled) per column.
-
-    Two small aggregates joined as one row (both sides are single rows)."""
-    coerced = raw.select(*[
-        F.count_if(F.col(c).isNotNull() & coerce_double(raw, c).isNull()).alias(f"{c}_coerced")
-        for c in PRICE_COLUMNS
-    ], *[F.count_if(coerce_double(raw, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
-        F.count(F.lit(1)).alias("input_rows"))
-    kept = cleaned.agg(F.count(F.lit(1)).alias("output_rows"))
-    return (coerced.crossJoin(F.broadcast(kept))
+def cleaning_report(raw: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """AG18: duplicates removed, and per price column the values coerced to NULL and
+    the NULLs filled with 0 (counted after the dedup, as the reference logs them).
+
+    Two single-row aggregates, cross-joined."""
+    raw = ensure_timestamp(raw, "timestamp")
+    deduped = dedup_first(raw, DEDUP_KEYS, order)
+    counts = deduped.agg(
+        *[F.count_if(F.col(c).isNotNull() & coerce_double(deduped, c).isNull()).alias(f"{c}_coerced")
+          for c in PRICE_COLUMNS],
+        *[F.count_if(coerce_double(deduped, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
+        F.count(F.lit(1)).alias("output_rows"))
+    total = raw.agg(F.count(F.lit(1)).alias("input_rows"))
+    return (counts.crossJoin(F.broadcast(total))
             .withColumn("duplicates_removed", F.col("input_rows") - F.col("output_rows")))

@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.functions.timefields import add_time_fields
-from voltframe.operators.clean import dedup_first
+from voltframe.operators.anomaly import flag_anomalies
+from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
+from voltframe.operators.summaries import batch_metadata, load_weighted_average, processing_summary
+from voltframe.operators.validate import batch_verdict, outlier_flag, outlier_sample
 from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
 from voltframe.plans import oracle_sql as O
 from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness
-from voltframe.sources.adapters import load_readings
+from voltframe.sources.adapters import (
+    DIRTY_READINGS_SQL, TEXT_READINGS_SQL, dirty_readings_from_events, load_readings, text_readings_from_events,
+)
+from voltframe.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +129,123 @@ def q_zone_completeness(spark, sf_dir):
           "FROM (SELECT location_id, count(timestamp) AS n FROM e GROUP BY location_id)")
 def q_thin_zone(spark, sf_dir):
     return thin_zones(_enriched(spark, sf_dir).readings)
+
+
+# ---------------------------------------------------------------- validation and cleaning
+def _dirty(spark, sf_dir):
+    return dirty_readings_from_events(load_table(spark, sf_dir, "events"))
+
+
+def _text(spark, sf_dir):
+    return text_readings_from_events(load_table(spark, sf_dir, "events"))
+
+
+RD = f"r AS ({DIRTY_READINGS_SQL})"
+RT = f"r AS ({TEXT_READINGS_SQL})"
+_NULLS = "count_if(timestamp IS NULL) + count_if(location_id IS NULL) + count_if(lmp_total IS NULL)"
+
+
+@register("batch_verdict", O.with_(RD) +
+          "SELECT count(*) AS row_count, count_if(timestamp IS NULL) AS null_timestamp, "
+          "count_if(location_id IS NULL) AS null_location_id, count_if(lmp_total IS NULL) AS null_lmp_total, "
+          "count_if(NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false)) AS outlier_count, "
+          f"'' AS missing_columns, ({_NULLS}) = 0 AS is_valid, count(*) = 0 AS is_empty FROM r")
+def q_batch_verdict(spark, sf_dir):
+    return batch_verdict(_dirty(spark, sf_dir))
+
+
+@register("outlier_flags", O.with_(RD) +
+          "SELECT timestamp, location_id, event_id, lmp_total, "
+          "NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false) AS is_outlier FROM r")
+def q_outlier_flags(spark, sf_dir):
+    return outlier_flag(_dirty(spark, sf_dir)).select("timestamp", "location_id", "event_id", "lmp_total",
+                                                      "is_outlier")
+
+
+@register("outlier_top5", O.with_(RD) +
+          "SELECT timestamp, location_id, lmp_total FROM r "
+          "WHERE NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false) "
+          "ORDER BY timestamp NULLS FIRST, location_id NULLS FIRST, lmp_total NULLS FIRST LIMIT 5")
+def q_outlier_top5(spark, sf_dir):
+    return outlier_sample(_dirty(spark, sf_dir))
+
+
+_COERCE = ", ".join(f"coalesce(TRY_CAST(trim({c}) AS DOUBLE), 0.0) AS {c}" for c in O.PRICES)
+
+
+@register("clean_numeric", O.with_(RT) +
+          f"SELECT timestamp, trim(location_id) AS location_id, event_id, {_COERCE} FROM r")
+def q_clean_numeric(spark, sf_dir):
+    return coerce_prices(_text(spark, sf_dir)).select("timestamp", "location_id", "event_id", *O.PRICES)
+
+
+_REPORT = ", ".join(
+    [f"count_if({c} IS NOT NULL AND TRY_CAST(trim({c}) AS DOUBLE) IS NULL) AS {c}_coerced" for c in O.PRICES]
+    + [f"count_if(TRY_CAST(trim({c}) AS DOUBLE) IS NULL) AS {c}_filled" for c in O.PRICES])
+
+
+@register("cleaning_report", O.with_(RT, O.D) +
+          f"SELECT {_REPORT}, count(*) AS output_rows, (SELECT count(*) FROM r) AS input_rows, "
+          "(SELECT count(*) FROM r) - count(*) AS duplicates_removed FROM d")
+def q_cleaning_report(spark, sf_dir):
+    return cleaning_report(_text(spark, sf_dir), TIE_ORDER)
+
+
+# ---------------------------------------------------------------- summaries (AG5-AG7)
+@register("batch_metadata", O.with_(*O.READING_CHAIN) +
+          "SELECT count(*) AS record_count, count(DISTINCT location_id) AS unique_locations, "
+          "min(timestamp) AS time_start, max(timestamp) AS time_end, "
+          f"{O.rnd('avg(data_completeness_hourly)', 4)} AS avg_completeness, "
+          "min(data_completeness_hourly) AS min_completeness, count_if(is_complete_hour) AS complete_hours, "
+          f"count(DISTINCT hour) AS total_hours, {O.rnd('avg(lmp_total)', 4)} AS avg_lmp, "
+          "min(lmp_total) AS min_lmp, max(lmp_total) AS max_lmp, "
+          "count(DISTINCT CASE WHEN has_congestion THEN location_id END) AS zones_with_congestion, "
+          "string_agg(DISTINCT location_id, ',' ORDER BY location_id) AS locations FROM e")
+def q_batch_metadata(spark, sf_dir):
+    return batch_metadata(_enriched(spark, sf_dir).readings)
+
+
+@register("processing_summary", O.with_(*O.READING_CHAIN) +
+          "SELECT o.*, z.* FROM (SELECT count(*) AS record_count, count(DISTINCT location_id) AS unique_locations, "
+          "min(timestamp) AS start_time, max(timestamp) AS end_time, "
+          f"{O.rnd('avg(data_completeness_hourly)', 4)} AS avg_completeness, "
+          "min(data_completeness_hourly) AS min_completeness, count_if(has_congestion) AS intervals_with_congestion, "
+          "count(DISTINCT CASE WHEN has_congestion THEN location_id END) AS zones_with_congestion, "
+          "CASE WHEN count(*) = 0 THEN 'empty_dataframe' ELSE 'success' END AS status FROM e) o, "
+          f"(SELECT location_id, {O.rnd('avg(lmp_total)', 2)} AS avg_lmp FROM e GROUP BY location_id) z")
+def q_processing_summary(spark, sf_dir):
+    s = processing_summary(_enriched(spark, sf_dir).readings)
+    return s.select("*", F.explode("avg_lmp_by_zone").alias("location_id", "avg_lmp")).drop("avg_lmp_by_zone")
+
+
+@register("load_weighted_price", O.with_(O.R) +
+          f"SELECT location_id, {O.rnd('sum(lmp_total * load) / nullif(sum(CAST(load AS DOUBLE)), 0)', 4)} "
+          "AS load_weighted_price FROM r GROUP BY location_id")
+def q_load_weighted_price(spark, sf_dir):
+    return load_weighted_average(load_readings(spark, sf_dir), by=["location_id"])
+
+
+# ---------------------------------------------------------------- anomalies (MA12-MA14)
+_ANOM_OUT = "event_id, timestamp, location_id, lmp_total"
+
+
+def _anomaly(method):
+    def run(spark, sf_dir):
+        r = load_readings(spark, sf_dir).select(*[c.strip() for c in _ANOM_OUT.split(",")])
+        return flag_anomalies(r, "lmp_total", method, 3.0)
+    return run
+
+
+register("anomaly_iqr", O.with_(O.R) +
+         "SELECT r.event_id, r.timestamp, r.location_id, r.lmp_total, coalesce(r.lmp_total < s.q1 - 3.0 * (s.q3 - s.q1) "
+         "OR r.lmp_total > s.q3 + 3.0 * (s.q3 - s.q1), false) AS is_anomaly FROM r, "
+         "(SELECT quantile_cont(lmp_total, 0.25) AS q1, quantile_cont(lmp_total, 0.75) AS q3 FROM r) s")(_anomaly("iqr"))
+register("anomaly_zscore", O.with_(O.R) +
+         "SELECT r.event_id, r.timestamp, r.location_id, r.lmp_total, "
+         "coalesce(abs((r.lmp_total - s.m) / nullif(s.sd, 0)) > 3.0, false) AS is_anomaly FROM r, "
+         "(SELECT avg(lmp_total) AS m, stddev_samp(lmp_total) AS sd FROM r) s")(_anomaly("zscore"))
+register("anomaly_mad", O.with_(O.R, "m AS (SELECT median(lmp_total) AS med FROM r)",
+                                "a AS (SELECT median(abs(lmp_total - (SELECT med FROM m))) AS mad FROM r)") +
+         "SELECT r.event_id, r.timestamp, r.location_id, r.lmp_total, coalesce(CASE WHEN a.mad = 0 "
+         "THEN r.lmp_total <> m.med ELSE abs(0.6745 * (r.lmp_total - m.med) / a.mad) > 3.0 END, false) "
+         "AS is_anomaly FROM r, m, a")(_anomaly("modified_zscore"))

@@ -37,6 +37,22 @@ def load_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(load_table(spark, sf_dir, "events"))
 
 
+def dirty_readings_from_events(events: DataFrame) -> DataFrame:
+    """Readings with the price missing on 'error' events (the driver data has no NULLs)."""
+    r = readings_from_events(events.withColumn(
+        "value", F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.col("value"))))
+    return r
+
+
+def text_readings_from_events(events: DataFrame) -> DataFrame:
+    """Landed-as-text readings: padded ids, prices as text, 'n/a' on 'error' events."""
+    r = readings_from_events(events)
+    bad = F.col("location_id") == ".Z.ERROR"
+    as_text = {c: F.when(bad, F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" ")))
+               for c in ("lmp_total", "energy_component", "congestion_component", "loss_component")}
+    return r.withColumns(as_text).withColumn("location_id", F.concat(F.lit(" "), F.col("location_id"), F.lit(" ")))
+
+
 def kwh_from_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("ts").alias("DateTime"),
                          F.col("value").cast("decimal(15,1)").alias("kWh"))
@@ -56,3 +72,19 @@ SELECT time_bucket(INTERVAL '15 minutes', ts) AS timestamp,
 FROM events"""
 
 KWH_SQL = "SELECT ts AS DateTime, CAST(value AS DECIMAL(15,1)) AS kWh FROM events"
+
+DIRTY_READINGS_SQL = READINGS_SQL.replace(
+    "value AS lmp_total", "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS lmp_total")
+
+
+def _text(c: str) -> str:
+    return f"CASE WHEN event_type = 'error' THEN 'n/a' ELSE ' ' || CAST({c} AS VARCHAR) || ' ' END"
+
+
+TEXT_READINGS_SQL = f"""
+SELECT time_bucket(INTERVAL '15 minutes', ts) AS timestamp,
+       ' .Z.' || upper(event_type) || ' ' AS location_id,
+       {_text('value')} AS lmp_total, {_text('value * 0.8')} AS energy_component,
+       {_text('value * 0.15 - 2')} AS congestion_component, {_text('value * 0.05')} AS loss_component,
+       ts AS extraction_time, user_id AS load, event_id
+FROM events"""
