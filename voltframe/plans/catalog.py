@@ -249,3 +249,83 @@ register("anomaly_mad", O.with_(O.R, "m AS (SELECT median(lmp_total) AS med FROM
          "SELECT r.event_id, r.timestamp, r.location_id, r.lmp_total, coalesce(CASE WHEN a.mad = 0 "
          "THEN r.lmp_total <> m.med ELSE abs(0.6745 * (r.lmp_total - m.med) / a.mad) > 3.0 END, false) "
          "AS is_anomaly FROM r, m, a")(_anomaly("modified_zscore"))
+
+
+# ---------------------------------------------------------------- kWh view and reports (PL3)
+from voltframe.plans import kwh as KW  # noqa: E402
+from voltframe.sources.adapters import load_kwh  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+AS_OF = _dt.date(2024, 1, 31)
+
+
+def _dec_as_double(df):
+    """Present decimal outputs as doubles (the oracle casts the same way), so value
+    hashes do not depend on how each engine hands decimals to Python."""
+    from pyspark.sql import types as T
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+_ASOF_SQL = "DATE '2024-01-31'"
+_DAY = "strftime(DateTime, '%Y-%m-%d')"
+
+
+@register("kwh_view", O.with_(O.K) +
+          f"SELECT DateTime, CAST(round(kWh, 1) AS DOUBLE) AS kWh_rounded, {_DAY} AS date_only, strftime(DateTime, '%H') AS hour_only, "
+          "CASE WHEN strftime(DateTime, '%H') BETWEEN '06' AND '18' THEN 'Day' ELSE 'Night' END AS time_period "
+          "FROM k WHERE DateTime IS NOT NULL")
+def q_kwh_view(spark, sf_dir):
+    return _dec_as_double(KW.kwh_view(load_kwh(spark, sf_dir)))
+
+
+@register("kwh_daily", O.with_(O.K) +
+          f"SELECT {_DAY} AS date, count(*) AS reading_count, {O.rnd('avg(CAST(kWh AS DOUBLE))', 4)} AS avg_kwh, "
+          "CAST(min(kWh) AS DOUBLE) AS min_kwh, CAST(max(kWh) AS DOUBLE) AS max_kwh, CAST(sum(kWh) AS DOUBLE) AS total_kwh FROM k "
+          f"WHERE DateTime >= {_ASOF_SQL} - INTERVAL 7 DAY GROUP BY {_DAY} ORDER BY date DESC")
+def q_kwh_daily(spark, sf_dir):
+    return _dec_as_double(KW.daily_summary(load_kwh(spark, sf_dir), AS_OF))
+
+
+@register("kwh_hour_pattern", O.with_(O.K) +
+          "SELECT strftime(DateTime, '%H') AS hour, count(*) AS reading_count, "
+          f"{O.rnd('avg(CAST(kWh AS DOUBLE))', 4)} AS avg_kwh, {O.rnd('stddev_samp(CAST(kWh AS DOUBLE))', 4)} AS stddev_kwh "
+          f"FROM k WHERE DateTime >= {_ASOF_SQL} - INTERVAL 30 DAY GROUP BY strftime(DateTime, '%H') ORDER BY hour")
+def q_kwh_hour_pattern(spark, sf_dir):
+    return KW.hour_pattern(load_kwh(spark, sf_dir), AS_OF)
+
+
+@register("kwh_peaks", O.with_(O.K) +
+          "SELECT DateTime, CAST(kWh AS DOUBLE) AS kWh, CAST(lag(kWh) OVER w AS DOUBLE) AS prev_kwh, "
+          "CAST(lead(kWh) OVER w AS DOUBLE) AS next_kwh, "
+          "CASE WHEN kWh > lag(kWh) OVER w AND kWh > lead(kWh) OVER w THEN 'Peak' ELSE 'Normal' END "
+          f"AS consumption_type FROM k WHERE DateTime >= {_ASOF_SQL} - INTERVAL 7 DAY "
+          "WINDOW w AS (ORDER BY DateTime, kWh) ORDER BY DateTime DESC")
+def q_kwh_peaks(spark, sf_dir):
+    return _dec_as_double(KW.peaks(load_kwh(spark, sf_dir), AS_OF))
+
+
+_QUALITY = (f"SELECT {_DAY} AS date, count(*) AS total_records, "
+            "count(CASE WHEN kWh IS NULL THEN 1 END) AS null_kwh_count, "
+            "count(CASE WHEN kWh < 0 THEN 1 END) AS negative_kwh_count, "
+            "count(CASE WHEN DateTime IS NULL THEN 1 END) AS null_datetime_count, "
+            "min(DateTime) AS earliest_time, max(DateTime) AS latest_time FROM k ")
+
+
+@register("kwh_quality", O.with_(O.K) + _QUALITY +
+          f"WHERE DateTime >= {_ASOF_SQL} - INTERVAL 30 DAY GROUP BY {_DAY} ORDER BY date DESC")
+def q_kwh_quality(spark, sf_dir):
+    return KW.quality(load_kwh(spark, sf_dir), AS_OF)
+
+
+@register("kwh_quality_all", O.with_(O.K) + _QUALITY + f"GROUP BY {_DAY} ORDER BY date DESC")
+def q_kwh_quality_all(spark, sf_dir):
+    return KW.quality_all(load_kwh(spark, sf_dir))
+
+
+@register("kwh_monthly", O.with_(O.K) +
+          "SELECT strftime(DateTime, '%Y-%m') AS month, count(*) AS reading_count, "
+          f"{O.rnd('avg(CAST(kWh AS DOUBLE))', 4)} AS avg_kwh, CAST(sum(kWh) AS DOUBLE) AS total_kwh, "
+          "CAST(min(kWh) AS DOUBLE) AS min_kwh, CAST(max(kWh) AS DOUBLE) AS max_kwh, "
+          "CAST(quantile_disc(kWh, 0.5) AS DOUBLE) AS median_kwh, CAST(quantile_disc(kWh, 0.95) AS DOUBLE) AS p95_kwh FROM k "
+          f"WHERE DateTime >= {_ASOF_SQL} - INTERVAL 12 MONTH GROUP BY strftime(DateTime, '%Y-%m') ORDER BY month DESC")
+def q_kwh_monthly(spark, sf_dir):
+    return _dec_as_double(KW.monthly_trend(load_kwh(spark, sf_dir), AS_OF))
