@@ -260,11 +260,17 @@ AS_OF = _dt.date(2024, 1, 31)
 
 
 def _dec_as_double(df):
-    """Present decimal outputs as doubles (the oracle casts the same way), so value
-    hashes do not depend on how each engine hands decimals to Python."""
+    """Present decimal outputs as doubles and dates as ISO text (the oracle casts the
+    same way), so value hashes do not depend on how each engine hands them to Python."""
     from pyspark.sql import types as T
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-                       else F.col(f.name) for f in df.schema.fields])
+
+    def conv(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[conv(f) for f in df.schema.fields])
 _ASOF_SQL = "DATE '2024-01-31'"
 _DAY = "strftime(DateTime, '%Y-%m-%d')"
 
@@ -329,3 +335,101 @@ def q_kwh_quality_all(spark, sf_dir):
           f"WHERE DateTime >= {_ASOF_SQL} - INTERVAL 12 MONTH GROUP BY strftime(DateTime, '%Y-%m') ORDER BY month DESC")
 def q_kwh_monthly(spark, sf_dir):
     return _dec_as_double(KW.monthly_trend(load_kwh(spark, sf_dir), AS_OF))
+
+
+# ---------------------------------------------------------------- duplicates (AG14, AG15, SO1, SO2)
+from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values  # noqa: E402
+
+
+@register("duplicate_values",
+          "SELECT l_partkey AS value, count(*) AS occurrences FROM lineitem GROUP BY l_partkey HAVING count(*) > 1")
+def q_duplicate_values(spark, sf_dir):
+    return duplicate_values(load_table(spark, sf_dir, "lineitem", ["l_partkey"]), "l_partkey")
+
+
+@register("dedup_report",
+          "SELECT sum(n) AS total_records, count(*) AS distinct_records, sum(n) - count(*) AS duplicates_removed, "
+          "count_if(n > 1) AS duplicated_values FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)")
+def q_dedup_report(spark, sf_dir):
+    return dedup_report(load_table(spark, sf_dir, "lineitem", ["l_partkey"]), "l_partkey")
+
+
+@register("distinct_rows", "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
+def q_distinct_rows(spark, sf_dir):
+    return distinct_rows(load_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey"]))
+
+
+@register("distinct_values", "SELECT DISTINCT l_partkey FROM lineitem")
+def q_distinct_values(spark, sf_dir):
+    return distinct_values(load_table(spark, sf_dir, "lineitem", ["l_partkey"]), "l_partkey")
+
+
+# ---------------------------------------------------------------- zones, gaps (JN4, JN5, DT17)
+from voltframe.operators.gaps import backfill_urls, missing_intervals  # noqa: E402
+from voltframe.sources.zones import ZONES, enrich_with_zones  # noqa: E402
+
+_ZONE_VALUES = ", ".join(f"({zid}, '{name}', '{code}')" for zid, name, code in ZONES if code)
+
+
+@register("zone_enriched", O.with_(O.R) +
+          "SELECT r.timestamp, r.location_id, r.event_id, r.lmp_total, z.zone_id, z.zone_name FROM r "
+          f"LEFT JOIN (VALUES {_ZONE_VALUES}) z(zone_id, zone_name, location_code) ON r.location_id = z.location_code")
+def q_zone_enriched(spark, sf_dir):
+    r = load_readings(spark, sf_dir).select("timestamp", "location_id", "event_id", "lmp_total")
+    return enrich_with_zones(r)
+
+
+_GRID = ("z AS (SELECT DISTINCT location_id FROM r), "
+         "b AS (SELECT CAST(CAST(min(timestamp) AS DATE) AS TIMESTAMP) AS t0, "
+         "CAST(CAST(max(timestamp) AS DATE) AS TIMESTAMP) AS t1 FROM r), "
+         "g AS (SELECT location_id, unnest(generate_series(t0, t1 + INTERVAL '23 hours 45 minutes', "
+         "INTERVAL '15 minutes')) AS timestamp FROM z, b), "
+         "m AS (SELECT * FROM g ANTI JOIN (SELECT DISTINCT location_id, timestamp FROM r) p "
+         "USING (location_id, timestamp))")
+BACKFILL_TEMPLATE = "https://example.invalid/morningreport/day/{day}"
+
+
+@register("missing_intervals", O.with_(O.R, _GRID) + "SELECT location_id, timestamp FROM m")
+def q_missing_intervals(spark, sf_dir):
+    return missing_intervals(load_readings(spark, sf_dir))
+
+
+@register("backfill_urls", O.with_(O.R, _GRID) +
+          "SELECT location_id, strftime(CAST(timestamp AS DATE), '%Y-%m-%d') AS day, count(*) AS missing_intervals, "
+          f"replace('{BACKFILL_TEMPLATE}', '{{day}}', strftime(CAST(timestamp AS DATE), '%Y%m%d')) AS url "
+          "FROM m GROUP BY location_id, CAST(timestamp AS DATE)")
+def q_backfill_urls(spark, sf_dir):
+    return _dec_as_double(backfill_urls(missing_intervals(load_readings(spark, sf_dir)), BACKFILL_TEMPLATE))
+
+
+# ---------------------------------------------------------------- generation mix (SRC3, MA16, PL2)
+from voltframe.sources.genmix import genmix_records, transform_kwh  # noqa: E402
+
+
+def genmix_payloads(events: DataFrame) -> DataFrame:
+    """One nested payload per event: BeginDate missing on 'signup', GenMw missing on
+    'error', the inner array missing on 'view', the row repeated on 'click'."""
+    et = F.col("event_type")
+    inner = F.struct(
+        F.when(et != "signup", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("BeginDate"),
+        F.when(et != "error", F.col("value")).alias("GenMw"))
+    arr = F.when(et == "view", F.lit(None)).when(et == "click", F.array(inner, inner)).otherwise(F.array(inner))
+    return events.select(F.to_json(F.struct(F.array(F.struct(arr.alias("GenMixs"))).alias("GenMixes")))
+                         .alias("payload"))
+
+
+_GENMIX_ROWS = ("gm AS (SELECT CASE WHEN event_type = 'signup' THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END "
+                "AS DateTime, (CASE WHEN event_type = 'error' THEN 0.0 ELSE value END) * 1000 AS kWh "
+                "FROM events, (SELECT 1 AS rep UNION ALL SELECT 2) reps "
+                "WHERE event_type <> 'view' AND (rep = 1 OR event_type = 'click'))")
+
+
+@register("genmix_rows", O.with_(_GENMIX_ROWS) + "SELECT DateTime, kWh FROM gm")
+def q_genmix_rows(spark, sf_dir):
+    return genmix_records(genmix_payloads(load_table(spark, sf_dir, "events")))
+
+
+@register("genmix_kwh", O.with_(_GENMIX_ROWS) +
+          f"SELECT DISTINCT TRY_CAST(DateTime AS TIMESTAMP) AS DateTime, {O.rnd('kWh', 1)} AS kWh FROM gm")
+def q_genmix_kwh(spark, sf_dir):
+    return transform_kwh(genmix_records(genmix_payloads(load_table(spark, sf_dir, "events"))))
