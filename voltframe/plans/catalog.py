@@ -433,3 +433,151 @@ def q_genmix_rows(spark, sf_dir):
           f"SELECT DISTINCT TRY_CAST(DateTime AS TIMESTAMP) AS DateTime, {O.rnd('kWh', 1)} AS kWh FROM gm")
 def q_genmix_kwh(spark, sf_dir):
     return transform_kwh(genmix_records(genmix_payloads(load_table(spark, sf_dir, "events"))))
+
+
+# ---------------------------------------------------------------- semi-structured (SF1-SF8, AG17, PF9)
+from voltframe.functions import formats as FM  # noqa: E402
+from voltframe.functions import semistructured as SS  # noqa: E402
+
+_WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+
+
+def _contents(spark, sf_dir):
+    pages = load_table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("url").alias("path"),
+        F.when(F.col("url").contains(".com/"), "text/html; charset=UTF-8")
+         .when(F.col("url").contains(".org/"), "Application/JSON").alias("content_type"),
+        F.col("html").alias("content"))
+    docs = load_table(spark, sf_dir, "documents").select(
+        F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.col("source").alias("path"),
+        F.lit(None).cast("string").alias("content_type"), F.col("text").alias("content"))
+    return pages.unionByName(docs)
+
+
+_CONTENTS_SQL = ("x AS (SELECT 'page' AS kind, page_id AS id, url AS path, CASE WHEN contains(url, '.com/') "
+                 "THEN 'text/html; charset=UTF-8' WHEN contains(url, '.org/') THEN 'Application/JSON' END "
+                 "AS content_type, html AS content FROM pages UNION ALL SELECT 'doc', doc_id, source, NULL, text "
+                 "FROM documents)")
+_ISJSON = "coalesce(CASE WHEN json_valid(content) THEN json_type(content) END IN ('OBJECT', 'ARRAY'), false)"
+_S = f"trim(content, {_WS})"
+_LOW = f"lower(trim(content, {_WS}))"
+
+
+@register("detect_format_header", O.with_(_CONTENTS_SQL) +
+          "SELECT kind, id, CASE WHEN instr(lower(coalesce(content_type, '')), 'application/json') > 0 THEN 'json' "
+          "WHEN instr(lower(coalesce(content_type, '')), 'text/csv') > 0 THEN 'csv' "
+          "WHEN instr(lower(coalesce(content_type, '')), 'text/xml') > 0 OR "
+          "instr(lower(coalesce(content_type, '')), 'application/xml') > 0 THEN 'xml' "
+          "WHEN instr(lower(coalesce(content_type, '')), 'text/html') > 0 THEN 'html' "
+          "WHEN instr(lower(coalesce(content_type, '')), 'text/tab-separated-values') > 0 THEN 'tsv' "
+          f"WHEN content IS NULL THEN 'bin' WHEN {_ISJSON} THEN 'json' "
+          f"WHEN starts_with({_S}, '<') AND ends_with({_S}, '>') THEN 'xml' "
+          "WHEN instr(content, ',') > 0 AND instr(content, chr(10)) > 0 THEN 'csv' ELSE 'txt' END AS format FROM x")
+def q_detect_format_header(spark, sf_dir):
+    x = _contents(spark, sf_dir)
+    return x.select("kind", "id", FM.detect_by_header(F.col("content_type"), F.col("content")).alias("format"))
+
+
+_EXT_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FM.EXTENSIONS.items())
+
+
+@register("detect_format_ext", O.with_(_CONTENTS_SQL) +
+          "SELECT kind, id, coalesce(CASE CASE WHEN instr(path, '.') > 0 THEN lower(split_part(path, '.', -1)) END "
+          f"{_EXT_CASE} END, CASE WHEN content IS NULL THEN 'bin' WHEN {_ISJSON} THEN 'json' "
+          f"WHEN starts_with({_LOW}, '<?xml') OR (starts_with({_LOW}, '<') AND ends_with({_LOW}, '>')) THEN 'xml' "
+          f"WHEN starts_with({_LOW}, '<!doctype html') OR instr({_LOW}, '<html') > 0 THEN 'html' "
+          "WHEN instr(content, chr(9)) > 0 AND instr(content, chr(10)) > 0 THEN 'tsv' "
+          "WHEN instr(content, ',') > 0 AND instr(content, chr(10)) > 0 THEN 'csv' ELSE 'txt' END) AS format FROM x")
+def q_detect_format_ext(spark, sf_dir):
+    x = _contents(spark, sf_dir)
+    return x.select("kind", "id", FM.detect_by_extension(F.col("path"), F.col("content")).alias("format"))
+
+
+def _nested_docs(events: DataFrame) -> DataFrame:
+    """One nested JSON document per event (built with to_json)."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    doc = F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user")).alias("meta"),
+        F.array(F.struct(F.date_format("ts", iso).alias("ts"), F.col("value").alias("value")),
+                F.struct(F.date_format(F.date_trunc("hour", "ts"), iso).alias("ts"),
+                         (F.col("value") * 2).alias("value"))).alias("readings"),
+        F.from_json("props", "k BIGINT").alias("props"),
+        F.array().cast("array<string>").alias("tags"))
+    return events.select("event_id", F.to_json(doc).alias("doc"))
+
+
+_ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+_FLAT_SQL = ("SELECT event_id, 'id' AS key, CAST(event_id AS VARCHAR) AS value FROM events UNION ALL "
+             "SELECT event_id, 'meta_type', event_type FROM events UNION ALL "
+             "SELECT event_id, 'meta_user', CAST(user_id AS VARCHAR) FROM events UNION ALL "
+             f"SELECT event_id, 'readings_0_ts', strftime(ts, {_ISO}) FROM events UNION ALL "
+             "SELECT event_id, 'readings_0_value', CAST(value AS VARCHAR) FROM events UNION ALL "
+             f"SELECT event_id, 'readings_1_ts', strftime(date_trunc('hour', ts), {_ISO}) FROM events UNION ALL "
+             "SELECT event_id, 'readings_1_value', CAST(value * 2 AS VARCHAR) FROM events UNION ALL "
+             "SELECT event_id, 'props_k', CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) FROM events")
+
+
+@register("flatten_long", _FLAT_SQL)
+def q_flatten_long(spark, sf_dir):
+    return SS.flatten_json(_nested_docs(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
+
+
+def _payloads(events: DataFrame) -> DataFrame:
+    lst = F.to_json(F.array(F.struct("value", "user_id"),
+                            F.struct((F.col("value") * 2).alias("value"), "user_id")))
+    p = (F.when(F.col("event_type") == "purchase", lst)
+         .when(F.col("event_type") == "error", F.col("value").cast("string"))
+         .otherwise(F.col("props")))
+    return events.select("event_id", p.alias("payload"))
+
+
+@register("payload_rows",
+          "SELECT event_id, 0 AS record, 'value' AS key, CAST(value AS VARCHAR) AS value FROM events "
+          "WHERE event_type IN ('purchase', 'error') UNION ALL "
+          "SELECT event_id, 0, 'user_id', CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase' UNION ALL "
+          "SELECT event_id, 1, 'value', CAST(value * 2 AS VARCHAR) FROM events WHERE event_type = 'purchase' UNION ALL "
+          "SELECT event_id, 1, 'user_id', CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase' UNION ALL "
+          "SELECT event_id, 0, 'k', CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) FROM events "
+          "WHERE event_type NOT IN ('purchase', 'error')")
+def q_payload_rows(spark, sf_dir):
+    return SS.payload_rows(_payloads(load_table(spark, sf_dir, "events")), ["event_id"], "payload")
+
+
+@register("payload_record_counts",
+          "SELECT source, CAST(sum(CASE WHEN text IS NULL OR text = '' THEN 0 "
+          "WHEN coalesce(CASE WHEN json_valid(text) THEN json_type(text) END = 'ARRAY', false) "
+          "THEN json_array_length(CASE WHEN json_valid(text) THEN text END) "
+          "WHEN coalesce(CASE WHEN json_valid(text) THEN json_type(text) END = 'OBJECT', false) THEN 1 "
+          "ELSE length(text) - length(replace(text, chr(10), '')) + 1 END) AS BIGINT) AS record_count, "
+          "count(*) AS payloads FROM documents GROUP BY source")
+def q_payload_record_counts(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents", ["source", "text"])
+    return docs.groupBy("source").agg(F.sum(SS.record_count(F.col("text"))).alias("record_count"),
+                                      F.count(F.lit(1)).alias("payloads"))
+
+
+@register("valid_urls",
+          "SELECT page_id, url, coalesce(lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) "
+          "IN ('http', 'https') AND regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1) <> '', false) "
+          "AS is_valid_url FROM pages")
+def q_valid_urls(spark, sf_dir):
+    pages = load_table(spark, sf_dir, "pages", ["page_id", "url"])
+    return pages.withColumn("is_valid_url", SS.valid_url(F.col("url")))
+
+
+@register("redacted_headers",
+          "SELECT event_id, 'application/json' AS content_type, '[REDACTED]' AS authorization, "
+          "'[REDACTED]' AS x_api_key, event_type AS user_agent, '[REDACTED]' AS set_cookie FROM events")
+def q_redacted_headers(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    headers = F.create_map(
+        F.lit("Content-Type"), F.lit("application/json"),
+        F.lit("Authorization"), F.concat(F.lit("Bearer "), F.col("user_id").cast("string")),
+        F.lit("X-API-KEY"), F.col("props"),
+        F.lit("User-Agent"), F.col("event_type"),
+        F.lit("Set-Cookie"), F.concat(F.lit("sid="), F.col("event_id").cast("string")))
+    red = ev.select("event_id", SS.redact_headers(headers).alias("h"))
+    return red.select("event_id", *[F.element_at("h", k).alias(k.lower().replace("-", "_"))
+                                    for k in ("Content-Type", "Authorization", "X-API-KEY", "User-Agent",
+                                              "Set-Cookie")])
