@@ -581,3 +581,77 @@ def q_redacted_headers(spark, sf_dir):
     return red.select("event_id", *[F.element_at("h", k).alias(k.lower().replace("-", "_"))
                                     for k in ("Content-Type", "Authorization", "X-API-KEY", "User-Agent",
                                               "Set-Cookie")])
+
+
+# ---------------------------------------------------------------- ingest audit (AG16, JN3, PF6)
+from voltframe.operators.audit import ingest_audit, resolve_sources, select_sources  # noqa: E402
+
+_PRIORITY_TO_SOURCE = [("1-URGENT", "7 day forecast all zones"), ("2-HIGH", "Hourly DA LMP Final"),
+                       ("3-MEDIUM", "iso_ne_fuel_mix"), ("4-NOT SPECIFIED", "Morning Report")]
+
+
+def run_log_from_orders(orders: DataFrame) -> DataFrame:
+    """Run-log adapter: one row per order = one source pull; a daily run per order date;
+    pending orders failed collection, open orders failed upload."""
+    name = F.col("o_orderpriority")
+    for prio, src in _PRIORITY_TO_SOURCE:
+        name = F.when(F.col("o_orderpriority") == prio, src).otherwise(name)
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.col("o_orderkey"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("run_id"),
+        name.alias("api_name"),
+        F.when(st == "P", "failed").otherwise("success").alias("collection_status"),
+        F.when(st == "F", "success").when(st == "O", "failed").alias("upload_status"),
+        F.col("o_custkey").alias("record_count"),
+        F.col("o_orderdate").alias("timestamp"),
+        F.when(st == "O", "upload failed").when(st == "P", "collection failed").alias("error"))
+
+
+_SRC_CASE = " ".join(f"WHEN '{p}' THEN '{s}'" for p, s in _PRIORITY_TO_SOURCE)
+_RUNLOG = ("l AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS run_id, "
+           f"CASE o_orderpriority {_SRC_CASE} ELSE o_orderpriority END AS api_name, "
+           "CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'success' END AS collection_status, "
+           "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' END AS upload_status, "
+           "o_custkey AS record_count, o_orderdate AS timestamp FROM orders)")
+def _cnt(cond: str) -> str:
+    """DuckDB count_if yields NULL when every predicate is NULL; count(CASE) yields 0."""
+    return f"count(CASE WHEN {cond} THEN 1 END)"
+
+
+_OK = _cnt("collection_status = 'success'")
+_NOT_OK = _cnt("collection_status <> 'success'")
+_UP_FAILED = _cnt("upload_status = 'failed'")
+_UP = _cnt("upload_status = 'success'")
+_AUDIT = (f"SELECT run_id, count(*) AS total_apis, {_OK} AS successful_collections, "
+          f"{_NOT_OK} AS failed_collections, "
+          f"{_UP} AS successful_uploads, {_UP_FAILED} AS failed_uploads, "
+          "CAST(epoch(max(timestamp)) - epoch(min(timestamp)) AS BIGINT) AS duration_seconds, "
+          f"{O.rnd(f'{_OK} / greatest(count(*), 1)', 4)} AS collection_success_rate, "
+          f"{O.rnd(f'CASE WHEN {_OK} > 0 THEN {_UP} / {_OK} ELSE 0.0 END', 4)} AS upload_success_rate, "
+          f"{_UP} AS successful_end_to_end FROM l ")
+_SELECTED = ["Hourly DA LMP Final", "Morning Report"]
+
+
+@register("ingest_audit", O.with_(_RUNLOG) + _AUDIT + "GROUP BY run_id")
+def q_ingest_audit(spark, sf_dir):
+    return ingest_audit(run_log_from_orders(load_table(spark, sf_dir, "orders")))
+
+
+@register("selective_audit", O.with_(_RUNLOG) + _AUDIT +
+          "WHERE api_name IN ('Hourly DA LMP Final', 'Morning Report') GROUP BY run_id")
+def q_selective_audit(spark, sf_dir):
+    return ingest_audit(select_sources(run_log_from_orders(load_table(spark, sf_dir, "orders")), _SELECTED))
+
+
+_CAT_VALUES = ", ".join(f"('{n}', '{f}', '{p}')" for n, f, p in __import__(
+    "voltframe.operators.audit", fromlist=["SOURCE_CATALOGUE"]).SOURCE_CATALOGUE)
+
+
+@register("source_resolution", O.with_(_RUNLOG) +
+          "SELECT l.o_orderkey, l.api_name, coalesce(c.output_folder, replace(lower(l.api_name), ' ', '_')) "
+          "AS folder_path, coalesce(c.csv_prefix, 'data') AS file_prefix FROM l "
+          f"LEFT JOIN (VALUES {_CAT_VALUES}) c(api_name, output_folder, csv_prefix) USING (api_name)")
+def q_source_resolution(spark, sf_dir):
+    log = run_log_from_orders(load_table(spark, sf_dir, "orders"))
+    return resolve_sources(log).select("o_orderkey", "api_name", "folder_path", "file_prefix")
