@@ -655,3 +655,52 @@ _CAT_VALUES = ", ".join(f"('{n}', '{f}', '{p}')" for n, f, p in __import__(
 def q_source_resolution(spark, sf_dir):
     log = run_log_from_orders(load_table(spark, sf_dir, "orders"))
     return resolve_sources(log).select("o_orderkey", "api_name", "folder_path", "file_prefix")
+
+
+# ---------------------------------------------------------------- sinks: round trips, upsert, manifest
+from voltframe.session import scratch_path  # noqa: E402
+from voltframe.sinks import writers as W  # noqa: E402
+from voltframe.sources.files import read_back  # noqa: E402
+
+
+def _roundtrip(fmt):
+    def run(spark, sf_dir):
+        orders = load_table(spark, sf_dir, "orders")
+        path = scratch_path(spark, f"roundtrip-{fmt}")
+        W.WRITERS[fmt](orders, path)
+        return read_back(spark, path, fmt, orders.schema).select(*orders.columns)
+    return run
+
+
+for _fmt in ("csv", "tsv", "json", "parquet", "xml"):
+    register(f"roundtrip_{_fmt}", "SELECT * FROM orders")(_roundtrip(_fmt))
+
+_UPD = "('.Z.PURCHASE', '.Z.VIEW')"
+
+
+@register("upsert", O.with_(O.R, O.D) +
+          "SELECT timestamp, location_id, lmp_total + 1000 AS lmp_total, event_id, "
+          f"strftime(timestamp, '%Y-%m-%d') AS date FROM d WHERE location_id IN {_UPD} UNION ALL "
+          "SELECT timestamp, location_id, lmp_total, event_id, strftime(timestamp, '%Y-%m-%d') AS date "
+          f"FROM d WHERE location_id NOT IN {_UPD}")
+def q_upsert(spark, sf_dir):
+    base = (dedup_first(load_readings(spark, sf_dir), ["timestamp", "location_id"], TIE_ORDER)
+            .select("timestamp", "location_id", "lmp_total", "event_id",
+                    F.date_format("timestamp", "yyyy-MM-dd").alias("date")))
+    path = scratch_path(spark, "upsert")
+    W.upsert(base, path)
+    updates = (base.filter(F.col("location_id").isin(".Z.PURCHASE", ".Z.VIEW"))
+               .withColumn("lmp_total", F.col("lmp_total") + 1000))
+    return W.upsert(updates, path).select("timestamp", "location_id", "lmp_total", "event_id", "date")
+
+
+_ORDER_COLS = "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority"
+
+
+@register("manifest",
+          f"SELECT 'csv' AS data_format, count(*) AS record_count, 6 AS columns, '{_ORDER_COLS}' AS column_names "
+          "FROM orders")
+def q_manifest(spark, sf_dir):
+    orders = load_table(spark, sf_dir, "orders")
+    m = W.write_with_manifest(orders, scratch_path(spark, "manifest-csv"), "csv")
+    return m.select("data_format", "record_count", "columns", "column_names")
