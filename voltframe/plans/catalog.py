@@ -704,3 +704,33 @@ def q_manifest(spark, sf_dir):
     orders = load_table(spark, sf_dir, "orders")
     m = W.write_with_manifest(orders, scratch_path(spark, "manifest-csv"), "csv")
     return m.select("data_format", "record_count", "columns", "column_names")
+
+
+# ---------------------------------------------------------------- streaming (STR1-STR3)
+from voltframe.sources.adapters import readings_from_events  # noqa: E402
+from voltframe.streaming.ingest import dedup_stream, hourly_stream, read_landing_stream, run_available_now  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = load_table(spark, sf_dir, "events").schema
+    return read_landing_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
+
+
+def _stream_to_table(spark, stream, name):
+    root = scratch_path(spark, name)
+    run_available_now(stream, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+@register("stream_hourly", O.with_(O.R, HOURLY_RAW) +
+          "SELECT * FROM h WHERE hour + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM r) - INTERVAL 1 HOUR")
+def q_stream_hourly(spark, sf_dir):
+    readings = readings_from_events(_events_stream(spark, sf_dir))
+    return _stream_to_table(spark, hourly_stream(readings), "stream-hourly")
+
+
+@register("stream_dedup", O.with_(O.R) + "SELECT DISTINCT timestamp, location_id FROM r")
+def q_stream_dedup(spark, sf_dir):
+    readings = readings_from_events(_events_stream(spark, sf_dir))
+    out = _stream_to_table(spark, dedup_stream(readings), "stream-dedup")
+    return out.select("timestamp", "location_id")
