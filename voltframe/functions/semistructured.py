@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.operators.common import materialize
+from voltframe.operators.common import spread
+
 
 # Header names redacted case-insensitively, and the replacement text.
 SENSITIVE_HEADERS = ["authorization", "x-api-key", "api-key", "token",
@@ -69,46 +70,65 @@ def _leaf_text(v: Column) -> Column:
             .otherwise(as_text))
 
 
+def variant_depth(v: Column) -> Column:
+    """Container nesting depth of a Variant value, from its schema text: the deepest
+    run of '<' (names in backticks are removed first, so keys cannot fake brackets)."""
+    schema = F.regexp_replace(F.schema_of_variant(v), "`([^`]|``)*`", "")
+    brackets = F.regexp_replace(schema, "[^<>]", "")
+
+    def step(acc, ch):
+        cur = acc["c"] + F.when(ch == "<", 1).otherwise(-1)
+        return F.struct(cur.alias("c"), F.greatest(acc["m"], cur).alias("m"))
+    start = F.struct(F.lit(0).alias("c"), F.lit(0).alias("m"))
+    return F.aggregate(F.split(brackets, ""), start, step, lambda acc: acc["m"])
+
+
 def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str = "_",
-                    max_depth: int = MAX_DEPTH) -> DataFrame:
+                    max_depth: int = MAX_DEPTH, resolve_clashes: bool = True) -> DataFrame:
     """SF3 on a Variant column: long (ids..., key, value) rows.
 
     Keys join object names with ``sep``; list items add ``sep`` + position (so a
     top-level list yields '_0...', as the reference does).  Empty objects and lists
     vanish.  On a key clash the later leaf wins; object fields come back from Variant in
-    key order, so "later" is key order, not the document's text order."""
+    key order, so "later" is key order, not the document's text order.
+
+    Plan: one aggregate finds the deepest nesting; then one lazy chain of that many
+    ``LATERAL variant_explode_outer`` levels (leaves pass through a level unchanged),
+    all narrow, so a single job flattens every document.  Clash resolution is a
+    group-by on (ids, key)."""
     spark = df.sparkSession
+    depth = df.agg(F.max(variant_depth(F.col(v)))).first()[0] or 0
+    if depth > max_depth:
+        raise ValueError(f"JSON nested deeper than {max_depth} levels")
     ids = ", ".join(f"c.`{c}`" for c in id_cols)
     cur = df.select(*id_cols, F.lit("").alias("_path"), F.array().cast("array<int>").alias("_ord"),
                     F.col(v).alias("v"))
-    leaves = []
-    for _ in range(max_depth):
-        leaves.append(cur.filter(~_is_container(F.col("v")))
-                      .select(*id_cols, "_path", "_ord", _leaf_text(F.col("v")).alias("value")))
-        containers = materialize(cur.filter(_is_container(F.col("v"))))
-        if containers.isEmpty():
-            break
+    for _ in range(depth):
+        # a non-NULL pos means v was a non-empty container: descend.  A NULL pos is a
+        # scalar (kept as is) or an empty container (dropped); only those small values
+        # get the type test.
         cur = spark.sql(f"""
             SELECT {ids},
-                   CASE WHEN e.key IS NULL THEN concat(c._path, '{sep}', CAST(e.pos AS STRING))
+                   CASE WHEN e.pos IS NULL THEN c._path
+                        WHEN e.key IS NULL THEN concat(c._path, '{sep}', CAST(e.pos AS STRING))
                         WHEN c._path = '' THEN e.key
                         ELSE concat(c._path, '{sep}', e.key) END AS _path,
-                   concat(c._ord, array(e.pos)) AS _ord,
-                   e.value AS v
-            FROM {{containers}} AS c, LATERAL variant_explode(c.v) AS e""", containers=containers)
-    else:
-        raise ValueError(f"JSON nested deeper than {max_depth} levels")
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    # key clash: keep the last leaf in traversal order
+                   CASE WHEN e.pos IS NULL THEN c._ord ELSE concat(c._ord, array(e.pos)) END AS _ord,
+                   CASE WHEN e.pos IS NULL THEN c.v ELSE e.value END AS v
+            FROM {{cur}} AS c, LATERAL variant_explode_outer(c.v) AS e
+            WHERE e.pos IS NOT NULL OR NOT coalesce(schema_of_variant(c.v) LIKE 'OBJECT%'
+                                                  OR schema_of_variant(c.v) LIKE 'ARRAY%', false)""",
+                        cur=cur)
+    leaves = cur.select(*id_cols, "_path", "_ord", _leaf_text(F.col("v")).alias("value"))
+    if not resolve_clashes:
+        return leaves.select(*id_cols, F.col("_path").alias("key"), "value")
     last = F.max_by(F.col("value"), F.col("_ord"))
-    return out.groupBy(*id_cols, F.col("_path").alias("key")).agg(last.alias("value"))
+    return leaves.groupBy(*id_cols, F.col("_path").alias("key")).agg(last.alias("value"))
 
 
 def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_") -> DataFrame:
     """SF3 on JSON text; unparseable text yields no rows."""
-    parsed = df.select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
+    parsed = spread(df).select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
     return flatten_variant(parsed, id_cols, "v", sep)
 
 
@@ -123,7 +143,7 @@ def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
     when nested), a scalar one record with key 'value'.  Long form
     (ids..., record, key, value)."""
     spark = df.sparkSession
-    parsed = df.select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
+    parsed = spread(df).select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
     is_array = F.coalesce(_kind(F.col("v")).startswith("ARRAY"), F.lit(False))
     ids = ", ".join(f"p.`{c}`" for c in id_cols)
     arrays = parsed.filter(is_array)
