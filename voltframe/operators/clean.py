@@ -80,14 +80,19 @@ def cleaning_report(raw: DataFrame, order: list[str] | None = None) -> DataFrame
     """AG18: duplicates removed, and per price column the values coerced to NULL and
     the NULLs filled with 0 (counted after the dedup, as the reference logs them).
 
-    Two single-row aggregates, cross-joined."""
+    One chain: the keep-first aggregate also counts rows per key, so input rows are
+    the sum of the per-key counts and output rows the number of keys."""
     raw = ensure_timestamp(raw, "timestamp")
-    deduped = dedup_first(raw, DEDUP_KEYS, order)
-    counts = deduped.agg(
-        *[F.count_if(F.col(c).isNotNull() & coerce_double(deduped, c).isNull()).alias(f"{c}_coerced")
+    keys = DEDUP_KEYS
+    order = [c for c in (order or DEFAULT_ORDER) if c in raw.columns]
+    rest = [c for c in raw.columns if c not in keys]
+    per_key = (raw.groupBy(*keys)
+               .agg(F.min_by(F.struct(*rest), _order_struct(order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+               .select(*keys, "_first.*", "_n"))
+    return per_key.agg(
+        *[F.count_if(F.col(c).isNotNull() & coerce_double(per_key, c).isNull()).alias(f"{c}_coerced")
           for c in PRICE_COLUMNS],
-        *[F.count_if(coerce_double(deduped, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
-        F.count(F.lit(1)).alias("output_rows"))
-    total = raw.agg(F.count(F.lit(1)).alias("input_rows"))
-    return (counts.crossJoin(F.broadcast(total))
-            .withColumn("duplicates_removed", F.col("input_rows") - F.col("output_rows")))
+        *[F.count_if(coerce_double(per_key, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
+        F.count(F.lit(1)).alias("output_rows"),
+        F.sum("_n").alias("input_rows"),
+    ).withColumn("duplicates_removed", F.col("input_rows") - F.col("output_rows"))

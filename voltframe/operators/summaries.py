@@ -8,17 +8,11 @@ from pyspark.sql import functions as F
 from voltframe.functions.numeric import round_to
 
 
-def _zone_list(df: DataFrame) -> DataFrame:
-    """Sorted, comma-joined distinct zones.  Distinct zones come from a distributed
-    group-by; only the zone dimension (a few hundred ids at most) meets in one row."""
-    return (df.select("location_id").filter(F.col("location_id").isNotNull())
-            .groupBy("location_id").count()
-            .agg(F.array_join(F.array_sort(F.collect_list("location_id")), ",").alias("locations")))
-
-
 def batch_metadata(enriched: DataFrame) -> DataFrame:
-    """AG5: one-row metadata of an enriched batch (flat columns)."""
-    stats = enriched.agg(
+    """AG5: one-row metadata of an enriched batch (flat columns), one aggregate.  The
+    sorted zone list is a set of distinct zones per task (bounded by the zone
+    dimension, a few hundred ids), merged once."""
+    return enriched.agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_distinct("location_id").alias("unique_locations"),
         F.min("timestamp").alias("time_start"),
@@ -31,29 +25,33 @@ def batch_metadata(enriched: DataFrame) -> DataFrame:
         F.min("lmp_total").alias("min_lmp"),
         F.max("lmp_total").alias("max_lmp"),
         F.count_distinct(F.when(F.col("has_congestion"), F.col("location_id"))).alias("zones_with_congestion"),
+        F.array_join(F.array_sort(F.collect_set("location_id")), ",").alias("locations"),
     )
-    return stats.crossJoin(F.broadcast(_zone_list(enriched)))
 
 
 def processing_summary(enriched: DataFrame) -> DataFrame:
     """AG6: status, counts, range, mean price by zone (map, 2 digits), completeness and
-    congestion counts.  The per-zone means are a distributed group-by; the map holds one
-    entry per zone."""
-    by_zone = (enriched.groupBy("location_id").agg(round_to(F.avg("lmp_total"), 2).alias("avg_lmp"))
-               .filter(F.col("location_id").isNotNull())
-               .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("location_id", "avg_lmp"))))
-                    .alias("avg_lmp_by_zone")))
-    overall = enriched.agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_distinct("location_id").alias("unique_locations"),
-        F.min("timestamp").alias("start_time"),
-        F.max("timestamp").alias("end_time"),
-        round_to(F.avg("data_completeness_hourly"), 4).alias("avg_completeness"),
-        F.min("data_completeness_hourly").alias("min_completeness"),
-        F.count_if("has_congestion").alias("intervals_with_congestion"),
-        F.count_distinct(F.when(F.col("has_congestion"), F.col("location_id"))).alias("zones_with_congestion"),
-    ).withColumn("status", F.when(F.col("record_count") == 0, "empty_dataframe").otherwise("success"))
-    return overall.crossJoin(F.broadcast(by_zone))
+    congestion counts.  Two aggregate levels: per zone (distributed, map-side
+    combined), then one row from the zone partials (one entry per zone)."""
+    per_zone = enriched.groupBy("location_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("lmp_total").alias("p_sum"), F.count("lmp_total").alias("p_n"),
+        F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"),
+        F.sum("data_completeness_hourly").alias("c_sum"), F.count("data_completeness_hourly").alias("c_n"),
+        F.min("data_completeness_hourly").alias("c_min"), F.count_if("has_congestion").alias("cong"))
+    zone_avg = round_to(F.try_divide(F.col("p_sum"), F.col("p_n")), 2)
+    out = per_zone.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("record_count"),
+        F.count("location_id").alias("unique_locations"),
+        F.min("t0").alias("start_time"),
+        F.max("t1").alias("end_time"),
+        round_to(F.try_divide(F.sum("c_sum"), F.sum("c_n")), 4).alias("avg_completeness"),
+        F.min("c_min").alias("min_completeness"),
+        F.coalesce(F.sum("cong"), F.lit(0)).alias("intervals_with_congestion"),
+        F.count(F.when((F.col("cong") > 0) & F.col("location_id").isNotNull(), 1)).alias("zones_with_congestion"),
+        F.map_from_entries(F.array_sort(F.collect_list(
+            F.when(F.col("location_id").isNotNull(), F.struct("location_id", zone_avg.alias("avg_lmp"))))))
+        .alias("avg_lmp_by_zone"))
+    return out.withColumn("status", F.when(F.col("record_count") == 0, "empty_dataframe").otherwise("success"))
 
 
 def load_weighted_average(df: DataFrame, price: str = "lmp_total", load: str = "load",

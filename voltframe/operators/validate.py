@@ -47,10 +47,11 @@ def batch_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE
 
 
 def gate(df: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Keep the whole batch or nothing, decided on the executors (the one-row verdict
-    is broadcast; nothing is collected)."""
-    flag = F.broadcast(verdict.select(F.col("is_valid").alias("_ok")))
-    return df.crossJoin(flag).filter("_ok").drop("_ok")
+    """Keep the whole batch or nothing.  The verdict is one aggregate row (reading only
+    the critical columns); its flag becomes a literal filter, which Catalyst folds: a
+    rejected batch plans as an empty relation and is never scanned again."""
+    ok = bool(verdict.select("is_valid").first()[0])
+    return df.filter(F.lit(ok))
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
