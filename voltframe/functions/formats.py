@@ -30,9 +30,11 @@ def stripped(c: Column) -> Column:
 
 
 def is_json_container(c: Column) -> Column:
-    """Text that parses as a JSON object or array (a dict/list payload)."""
+    """Text that parses as a JSON object or array (a dict/list payload).  Only text
+    whose first non-blank character is '{' or '[' is parsed at all."""
+    head = F.substring(stripped(c), 1, 1)
     kind = F.schema_of_variant(F.try_parse_json(c))
-    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+    return F.coalesce(head.isin("{", "[") & (kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.lit(False))
 
 
 def detect_by_header(content_type: Column, content: Column) -> Column:
@@ -67,9 +69,10 @@ def format_from_extension(path: Column) -> Column:
 def detect_by_content(content: Column, html_first: bool = False) -> Column:
     """Content rules of SF2.  The XML test comes before the HTML test, so most HTML
     pages are 'xml'; ``html_first`` swaps the two tests."""
-    low = F.lower(stripped(content))
-    xml = low.startswith("<?xml") | (low.startswith("<") & low.endswith(">"))
-    html = low.startswith("<!doctype html") | (F.instr(low, "<html") > 0)
+    s = stripped(content)
+    head = F.lower(F.substring(s, 1, 14))           # prefix tests need 14 characters at most
+    xml = head.startswith("<?xml") | (s.startswith("<") & s.endswith(">"))
+    html = head.startswith("<!doctype html") | content.rlike("(?i)<html")
     tsv = (F.instr(content, "\t") > 0) & (F.instr(content, "\n") > 0)
     csv = (F.instr(content, ",") > 0) & (F.instr(content, "\n") > 0)
     first, second = (("html", html), ("xml", xml)) if html_first else (("xml", xml), ("html", html))

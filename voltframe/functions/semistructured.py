@@ -160,7 +160,8 @@ def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
 def record_count(content: Column) -> Column:
     """AG17: JSON array -> its length, JSON object -> 1, text -> newlines + 1,
     empty or missing -> 0."""
-    v = F.try_parse_json(content)
+    head = F.substring(F.btrim(content, F.lit(" \t\n\r\x0b\x0c")), 1, 1)
+    v = F.when(head.isin("{", "["), F.try_parse_json(content))
     kind = _kind(v)
     newlines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
     return (F.when(content.isNull() | (content == ""), 0)
