@@ -58,10 +58,11 @@ def py_float_text(d: Column) -> Column:
         .when(d == float("-inf"), "-inf").otherwise(out)
 
 
-def _leaf_text(v: Column) -> Column:
+def _leaf_text(v: Column, kind: Column | None = None) -> Column:
     """Scalar leaf as the reference's Python would print it: JSON null -> NULL,
-    numbers with a fraction or exponent as Python floats, booleans as True/False."""
-    kind = _kind(v)
+    numbers with a fraction or exponent as Python floats, booleans as True/False.
+    Pass ``kind`` (a column holding ``schema_of_variant(v)``) to compute it once."""
+    kind = _kind(v) if kind is None else kind
     is_float = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
     as_text = F.try_variant_get(v, "$", "string")
     return (F.when(F.is_variant_null(v), F.lit(None).cast("string"))
@@ -119,7 +120,8 @@ def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str =
             WHERE e.pos IS NOT NULL OR NOT coalesce(schema_of_variant(c.v) LIKE 'OBJECT%'
                                                   OR schema_of_variant(c.v) LIKE 'ARRAY%', false)""",
                         cur=cur)
-    leaves = cur.select(*id_cols, "_path", "_ord", _leaf_text(F.col("v")).alias("value"))
+    leaves = (cur.select(*id_cols, "_path", "_ord", "v", _kind(F.col("v")).alias("_k"))
+              .select(*id_cols, "_path", "_ord", _leaf_text(F.col("v"), F.col("_k")).alias("value")))
     if not resolve_clashes:
         return leaves.select(*id_cols, F.col("_path").alias("key"), "value")
     last = F.max_by(F.col("value"), F.col("_ord"))
@@ -152,7 +154,9 @@ def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
     singles = parsed.filter(~is_array).select(*id_cols, F.lit(0).alias("record"), "v")
     records = elements.unionByName(singles)
     scalars = (records.filter(~_is_container(F.col("v")))
-               .select(*id_cols, "record", F.lit("value").alias("key"), _leaf_text(F.col("v")).alias("value")))
+               .select(*id_cols, "record", "v", _kind(F.col("v")).alias("_k"))
+               .select(*id_cols, "record", F.lit("value").alias("key"),
+                       _leaf_text(F.col("v"), F.col("_k")).alias("value")))
     nested = flatten_variant(records.filter(_is_container(F.col("v"))), [*id_cols, "record"], "v", sep)
     return nested.unionByName(scalars)
 

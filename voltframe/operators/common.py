@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.session import checkpoint_root
+from voltframe.session import checkpoint_root, scratch_path
 
 # A side is broadcast only when its measured size (rows x estimated row width) is
 # under this bound; beyond it the join stays a shuffle join and AQE splits skewed
@@ -15,14 +15,22 @@ MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used for small derived tables (statistics, value counts) that are read more than
-    once; the data survives executor loss because it lives in the shared folder."""
+    """Cut lineage of a small derived table (statistics, value counts) with a reliable
+    checkpoint in the shared folder named by ``spark.checkpoint.dir``: one job, and
+    the data survives executor loss because it does not live on an executor."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Stage a large intermediate (row-level) as a parquet table in the shared folder
+    and read it back.  Later readers get a columnar, pruned, pushed-down scan instead
+    of recomputing the upstream shuffle."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _row_width(schema: T.StructType) -> int:
     width = 16
     for f in schema.fields:

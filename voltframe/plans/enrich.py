@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.numeric import round_to
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.clean import clean_readings
-from voltframe.operators.common import join_small, materialize
+from voltframe.operators.common import join_small, materialize, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
 from voltframe.operators.hourly import daily_means, reading_statistics
 from voltframe.operators.quantiles import exact_quantiles
@@ -35,11 +35,16 @@ class Enriched:
 
 def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | None = None,
                     trim_first: bool = False, processing_metadata: bool = False,
-                    expected_per_hour: int = 4) -> Enriched:
+                    expected_per_hour: int = 4, stage: bool = True) -> Enriched:
     verdict = batch_verdict(raw)
     if validate:
         raw = gate(raw, verdict)
-    cleaned = add_time_fields(clean_readings(raw, order=order, trim_first=trim_first))
+    # the keep-first dedup is the one shuffle of the readings; stage its result once so
+    # the statistics pass and the row pass both read it instead of re-shuffling
+    cleaned = clean_readings(raw, order=order, trim_first=trim_first)
+    if stage:
+        cleaned = stage_table(cleaned, "cleaned-readings")
+    cleaned = add_time_fields(cleaned)
     hourly, system = reading_statistics(cleaned)
 
     # WN1 reference means derived from the compact table, attached per (zone, hour)
