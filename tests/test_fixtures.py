@@ -121,3 +121,27 @@ def test_valid_url(spark):
     urls = [("http://a.b/c",), ("HTTPS://a.b",), ("ftp://a.b",), ("http:///nohost",), ("not a url",)]
     df = spark.createDataFrame(urls, "u string")
     assert [r[0] for r in df.select(SS.valid_url(F.col("u"))).collect()] == [True, True, False, False, False]
+
+
+def test_url_template_fill(spark):
+    from voltframe.operators.gaps import fill_url_template
+    df = spark.createDataFrame([("https://h/x/{day}?t={type}&z={day}", {"day": "20250515", "type": "a", "unused": "q"})],
+                               "t string, p map<string,string>")
+    assert df.select(fill_url_template(F.col("t"), F.col("p"))).first()[0] == "https://h/x/20250515?t=a&z=20250515"
+
+
+def test_to_xml_record_names(spark):
+    df = spark.createDataFrame([(1, "x")], "`api name` int, `file-type` string")
+    xml = df.select(SS.to_xml_record(df)).first()[0]
+    assert "<api_name>1</api_name>" in xml and "<file_type>x</file_type>" in xml
+
+
+def test_peaks_with_hot_identical_key(spark):
+    from voltframe.operators.series import local_peaks
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0, 5.0)] * 3000 + [(t0 + dt.timedelta(minutes=i), float(i % 7)) for i in range(1, 500)]
+    df = spark.createDataFrame(rows, "DateTime timestamp_ntz, kWh double")
+    out = local_peaks(df, partitions=8)
+    assert out.count() == len(rows)
+    assert out.filter("DateTime = '2024-01-01 00:00:00'").filter("prev_kwh IS NULL").count() == 1

@@ -134,3 +134,22 @@ def test_stream_exactly_once(spark):
     spark.createDataFrame([(3,)], schema).write.mode("append").parquet(f"{root}/in")
     run_available_now(s, f"{root}/out", f"{root}/ck")
     assert sorted(r["v"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3]
+
+
+def test_stream_drops_rows_later_than_watermark(spark):
+    from voltframe.streaming.ingest import hourly_stream, read_landing_stream, run_available_now
+    root = scratch_path(spark, "late")
+    schema = "timestamp timestamp, location_id string, lmp_total double, energy_component double, " \
+             "congestion_component double, loss_component double"
+    def land(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{root}/in")
+    land([(dt.datetime(2024, 1, 1, 10, 0), "A", 1.0, 1.0, 1.0, 1.0),
+          (dt.datetime(2024, 1, 1, 14, 0), "A", 2.0, 1.0, 1.0, 1.0)])
+    s = read_landing_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema)
+    run_available_now(hourly_stream(s), f"{root}/out", f"{root}/ck")
+    land([(dt.datetime(2024, 1, 1, 10, 30), "A", 100.0, 1.0, 1.0, 1.0),   # late: watermark is 13:00
+          (dt.datetime(2024, 1, 1, 16, 0), "A", 3.0, 1.0, 1.0, 1.0)])
+    run_available_now(hourly_stream(s), f"{root}/out", f"{root}/ck")
+    out = {r["hour"].hour: r for r in spark.read.parquet(f"{root}/out").collect()}
+    assert out[10]["lmp_total_count_hourly"] == 1 and out[10]["lmp_total_mean_hourly"] == 1.0
+    assert 14 in out and 16 not in out          # 16:00 is still open

@@ -6,7 +6,7 @@ The expected grid is generated, not cross-joined: each (zone, day) row is one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions.timefields import yyyymmdd
@@ -37,9 +37,18 @@ def missing_intervals(df: DataFrame, ts: str = "timestamp", zone: str = "locatio
     return grid.join(present, [zone, ts], "left_anti")
 
 
+def fill_url_template(template: Column, params: Column) -> Column:
+    """Replace every ``{key}`` placeholder of a URL template with its value from a
+    map column (the reference's URL parameter rule), as one higher-order expression."""
+    return F.aggregate(F.map_entries(params), template,
+                       lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")),
+                                                e["value"].cast("string")))
+
+
 def backfill_urls(missing: DataFrame, url_template: str, ts: str = "timestamp",
                   zone: str = "location_id") -> DataFrame:
     """Days with missing intervals per zone, with the pull URL for that day
     (``{day}`` in the template becomes yyyyMMdd)."""
     per_day = missing.groupBy(zone, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("missing_intervals"))
-    return per_day.withColumn("url", F.replace(F.lit(url_template), F.lit("{day}"), yyyymmdd(F.col("day"))))
+    params = F.create_map(F.lit("day"), yyyymmdd(F.col("day")))
+    return per_day.withColumn("url", fill_url_template(F.lit(url_template), params))

@@ -84,8 +84,12 @@ def global_lag_lead(df: DataFrame, order: list[str], value: str, prev: str = "pr
 def local_peaks(df: DataFrame, time_col: str = "DateTime", value: str = "kWh",
                 partitions: int | None = None) -> DataFrame:
     """WN3: previous/next reading by time and 'Peak' when strictly above both
-    (a missing neighbour compares as unknown, so 'Normal')."""
-    out = global_lag_lead(df.select(time_col, value), [time_col, value], value, "prev_kwh", "next_kwh",
-                          partitions)
+    (a missing neighbour compares as unknown, so 'Normal').
+
+    Rows equal in (time, value) are interchangeable for the result, so a row id is the
+    last ordering key: it lets the range partitioner split even a run of identical
+    readings (one hot key) across tasks."""
+    base = df.select(time_col, value).withColumn("_tb", F.monotonically_increasing_id())
+    out = global_lag_lead(base, [time_col, value, "_tb"], value, "prev_kwh", "next_kwh", partitions).drop("_tb")
     peak = (F.col(value) > F.col("prev_kwh")) & (F.col(value) > F.col("next_kwh"))
     return out.withColumn("consumption_type", F.when(F.coalesce(peak, F.lit(False)), "Peak").otherwise("Normal"))
