@@ -142,13 +142,13 @@ def _text(spark, sf_dir):
 
 RD = f"r AS ({DIRTY_READINGS_SQL})"
 RT = f"r AS ({TEXT_READINGS_SQL})"
-_NULLS = "count_if(timestamp IS NULL) + count_if(location_id IS NULL) + count_if(lmp_total IS NULL)"
+_NULLS = "count(CASE WHEN timestamp IS NULL THEN 1 END) + count(CASE WHEN location_id IS NULL THEN 1 END) + count(CASE WHEN lmp_total IS NULL THEN 1 END)"
 
 
 @register("batch_verdict", O.with_(RD) +
-          "SELECT count(*) AS row_count, count_if(timestamp IS NULL) AS null_timestamp, "
-          "count_if(location_id IS NULL) AS null_location_id, count_if(lmp_total IS NULL) AS null_lmp_total, "
-          "count_if(NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false)) AS outlier_count, "
+          "SELECT count(*) AS row_count, count(CASE WHEN timestamp IS NULL THEN 1 END) AS null_timestamp, "
+          "count(CASE WHEN location_id IS NULL THEN 1 END) AS null_location_id, count(CASE WHEN lmp_total IS NULL THEN 1 END) AS null_lmp_total, "
+          "count(CASE WHEN NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false) THEN 1 END) AS outlier_count, "
           f"'' AS missing_columns, ({_NULLS}) = 0 AS is_valid, count(*) = 0 AS is_empty FROM r")
 def q_batch_verdict(spark, sf_dir):
     return batch_verdict(_dirty(spark, sf_dir))
@@ -180,8 +180,8 @@ def q_clean_numeric(spark, sf_dir):
 
 
 _REPORT = ", ".join(
-    [f"count_if({c} IS NOT NULL AND TRY_CAST(trim({c}) AS DOUBLE) IS NULL) AS {c}_coerced" for c in O.PRICES]
-    + [f"count_if(TRY_CAST(trim({c}) AS DOUBLE) IS NULL) AS {c}_filled" for c in O.PRICES])
+    [f"count(CASE WHEN {c} IS NOT NULL AND TRY_CAST(trim({c}) AS DOUBLE) IS NULL THEN 1 END) AS {c}_coerced" for c in O.PRICES]
+    + [f"count(CASE WHEN TRY_CAST(trim({c}) AS DOUBLE) IS NULL THEN 1 END) AS {c}_filled" for c in O.PRICES])
 
 
 @register("cleaning_report", O.with_(RT, O.D) +
@@ -196,7 +196,7 @@ def q_cleaning_report(spark, sf_dir):
           "SELECT count(*) AS record_count, count(DISTINCT location_id) AS unique_locations, "
           "min(timestamp) AS time_start, max(timestamp) AS time_end, "
           f"{O.rnd('avg(data_completeness_hourly)', 4)} AS avg_completeness, "
-          "min(data_completeness_hourly) AS min_completeness, count_if(is_complete_hour) AS complete_hours, "
+          "min(data_completeness_hourly) AS min_completeness, count(CASE WHEN is_complete_hour THEN 1 END) AS complete_hours, "
           f"count(DISTINCT hour) AS total_hours, {O.rnd('avg(lmp_total)', 4)} AS avg_lmp, "
           "min(lmp_total) AS min_lmp, max(lmp_total) AS max_lmp, "
           "count(DISTINCT CASE WHEN has_congestion THEN location_id END) AS zones_with_congestion, "
@@ -209,7 +209,7 @@ def q_batch_metadata(spark, sf_dir):
           "SELECT o.*, z.* FROM (SELECT count(*) AS record_count, count(DISTINCT location_id) AS unique_locations, "
           "min(timestamp) AS start_time, max(timestamp) AS end_time, "
           f"{O.rnd('avg(data_completeness_hourly)', 4)} AS avg_completeness, "
-          "min(data_completeness_hourly) AS min_completeness, count_if(has_congestion) AS intervals_with_congestion, "
+          "min(data_completeness_hourly) AS min_completeness, count(CASE WHEN has_congestion THEN 1 END) AS intervals_with_congestion, "
           "count(DISTINCT CASE WHEN has_congestion THEN location_id END) AS zones_with_congestion, "
           "CASE WHEN count(*) = 0 THEN 'empty_dataframe' ELSE 'success' END AS status FROM e) o, "
           f"(SELECT location_id, {O.rnd('avg(lmp_total)', 2)} AS avg_lmp FROM e GROUP BY location_id) z")
@@ -348,8 +348,9 @@ def q_duplicate_values(spark, sf_dir):
 
 
 @register("dedup_report",
-          "SELECT sum(n) AS total_records, count(*) AS distinct_records, sum(n) - count(*) AS duplicates_removed, "
-          "count_if(n > 1) AS duplicated_values FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)")
+          "SELECT CAST(sum(n) AS BIGINT) AS total_records, count(*) AS distinct_records, "
+          "CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed, "
+          "count(CASE WHEN n > 1 THEN 1 END) AS duplicated_values FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)")
 def q_dedup_report(spark, sf_dir):
     return dedup_report(load_table(spark, sf_dir, "lineitem", ["l_partkey"]), "l_partkey")
 
