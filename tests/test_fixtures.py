@@ -145,3 +145,18 @@ def test_peaks_with_hot_identical_key(spark):
     out = local_peaks(df, partitions=8)
     assert out.count() == len(rows)
     assert out.filter("DateTime = '2024-01-01 00:00:00'").filter("prev_kwh IS NULL").count() == 1
+
+
+def test_flatten_strip_leading_sep(spark):
+    df = spark.createDataFrame([(1, '[{"q": 1}]')], "id long, doc string")
+    got = [r["key"] for r in SS.flatten_json(df, ["id"], "doc", strip_leading_sep=True).collect()]
+    assert got == ["0_q"]
+
+
+def test_approx_quantiles_close(spark):
+    import numpy as np
+    from voltframe.operators.quantiles import approx_quantiles
+    vals = np.arange(10000, dtype=float)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = approx_quantiles(df, "v", [0.5, 0.95])
+    assert abs(got[0] - 4999.5) <= 2 and abs(got[1] - 9499.05) <= 2

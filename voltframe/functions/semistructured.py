@@ -128,10 +128,16 @@ def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str =
     return leaves.groupBy(*id_cols, F.col("_path").alias("key")).agg(last.alias("value"))
 
 
-def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_") -> DataFrame:
-    """SF3 on JSON text; unparseable text yields no rows."""
+def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_",
+                 strip_leading_sep: bool = False) -> DataFrame:
+    """SF3 on JSON text; unparseable text yields no rows.  ``strip_leading_sep`` drops
+    the separator the reference puts in front of keys of a top-level list ('_0_q')."""
     parsed = spread(df).select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
-    return flatten_variant(parsed, id_cols, "v", sep)
+    out = flatten_variant(parsed, id_cols, "v", sep)
+    if strip_leading_sep:
+        out = out.withColumn("key", F.when(F.col("key").startswith(sep), F.expr(f"substring(key, {len(sep) + 1})"))
+                             .otherwise(F.col("key")))
+    return out
 
 
 def flatten_wide(long: DataFrame, id_cols: list[str], keys: list[str] | None = None) -> DataFrame:

@@ -72,7 +72,7 @@ def _resolve(vc: DataFrame, lo, hi, below: int, ranks: list[int], out: dict, lim
 
 
 def quantiles_from_counts(vc: DataFrame, qs: list[float], limit: int = COLLECT_LIMIT) -> list[float | None]:
-    total = vc.agg(F.sum("c")).first()[0]
+    total = vc.agg(F.sum("c")).first()[0]   # vc is materialized: a cheap scan
     if not total:
         return [None] * len(qs)
     wanted = {}
@@ -96,6 +96,12 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], weight: str | No
     return quantiles_from_counts(value_counts(df, value, weight), qs, limit)
 
 
+def approx_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int = APPROX_ACCURACY) -> list:
+    """AG8 opt-in: one sketch pass (rank error <= n / accuracy), values from the data."""
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), qs, accuracy)).first()[0]
+    return list(row) if row is not None else [None] * len(qs)
+
+
 def median_and_mad(df: DataFrame, value: str, limit: int = COLLECT_LIMIT) -> tuple:
     """AG9: median, then the median of absolute deviations, both exact.  The second
     pass regroups the value-count table, never the raw rows."""

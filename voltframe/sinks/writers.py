@@ -24,6 +24,12 @@ DEFAULT_FILE_PREFIX = "energy_data"
 NAME_TS = "%Y%m%d_%H%M%S"
 
 
+def sorted_for_sink(df: DataFrame, by: list[str]) -> DataFrame:
+    """SL1 at a sink: order rows inside each output file (no global sort, no extra
+    shuffle); use ``orderBy`` only where one global order is the feature."""
+    return df.sortWithinPartitions(*by)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK1: CSV with a header line, no index."""
     df.write.mode(mode).option("header", True).option("timestampFormat", ISO_TS).csv(path)
