@@ -43,9 +43,15 @@ def _band(vc: DataFrame, lo, hi) -> DataFrame:
     return vc.filter(cond)
 
 
-def _resolve(vc: DataFrame, lo, hi, below: int, ranks: list[int], out: dict, limit: int) -> None:
+MAX_LEVELS = 32
+
+
+def _resolve(vc: DataFrame, lo, hi, below: int, ranks: list[int], out: dict, limit: int,
+             n_distinct: int | None = None, level: int = 0) -> None:
+    if level > MAX_LEVELS:
+        raise RuntimeError("quantile band search did not converge")
     band = _band(vc, lo, hi)
-    n_distinct = band.count()
+    n_distinct = band.count() if n_distinct is None else n_distinct
     if n_distinct <= limit:
         rows = band.orderBy("v").collect()          # bounded by the check above
         cum, i = below, 0
@@ -68,11 +74,11 @@ def _resolve(vc: DataFrame, lo, hi, below: int, ranks: list[int], out: dict, lim
         seg_top = cum[j + 1] if j < len(cuts) else None
         mine = [r for r in ranks if r >= seg_below and (seg_top is None or r < seg_top)]
         if mine:
-            _resolve(vc, seg_lo, seg_hi, seg_below, mine, out, limit)
+            _resolve(vc, seg_lo, seg_hi, seg_below, mine, out, limit, level=level + 1)
 
 
 def quantiles_from_counts(vc: DataFrame, qs: list[float], limit: int = COLLECT_LIMIT) -> list[float | None]:
-    total = vc.agg(F.sum("c")).first()[0]   # vc is materialized: a cheap scan
+    total, n_distinct = vc.agg(F.sum("c"), F.count(F.lit(1))).first()   # vc is materialized: a cheap scan
     if not total:
         return [None] * len(qs)
     wanted = {}
@@ -81,7 +87,7 @@ def quantiles_from_counts(vc: DataFrame, qs: list[float], limit: int = COLLECT_L
         wanted[q] = (h, int(math.floor(h)), int(math.ceil(h)))
     ranks = sorted({k for _, k1, k2 in wanted.values() for k in (k1, k2)})
     found: dict = {}
-    _resolve(vc, None, None, 0, ranks, found, limit)
+    _resolve(vc, None, None, 0, ranks, found, limit, n_distinct)
     out = []
     for q in qs:
         h, k1, k2 = wanted[q]
