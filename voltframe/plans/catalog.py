@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.anomaly import flag_anomalies
 from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
+from voltframe.operators.common import spread
 from voltframe.operators.summaries import batch_metadata, load_weighted_average, processing_summary
 from voltframe.operators.validate import batch_verdict, outlier_flag, outlier_sample
 from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
@@ -427,13 +428,13 @@ _GENMIX_ROWS = ("gm AS (SELECT CASE WHEN event_type = 'signup' THEN '' ELSE strf
 
 @register("genmix_rows", O.with_(_GENMIX_ROWS) + "SELECT DateTime, kWh FROM gm")
 def q_genmix_rows(spark, sf_dir):
-    return genmix_records(genmix_payloads(load_table(spark, sf_dir, "events")))
+    return genmix_records(spread(genmix_payloads(load_table(spark, sf_dir, "events"))))
 
 
 @register("genmix_kwh", O.with_(_GENMIX_ROWS) +
           f"SELECT DISTINCT TRY_CAST(DateTime AS TIMESTAMP) AS DateTime, {O.rnd('kWh', 1)} AS kWh FROM gm")
 def q_genmix_kwh(spark, sf_dir):
-    return transform_kwh(genmix_records(genmix_payloads(load_table(spark, sf_dir, "events"))))
+    return transform_kwh(genmix_records(spread(genmix_payloads(load_table(spark, sf_dir, "events")))))
 
 
 # ---------------------------------------------------------------- semi-structured (SF1-SF8, AG17, PF9)
@@ -452,7 +453,7 @@ def _contents(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents").select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.col("source").alias("path"),
         F.lit(None).cast("string").alias("content_type"), F.col("text").alias("content"))
-    return pages.unionByName(docs)
+    return spread(pages.unionByName(docs))
 
 
 _CONTENTS_SQL = ("x AS (SELECT 'page' AS kind, page_id AS id, url AS path, CASE WHEN contains(url, '.com/') "
@@ -553,7 +554,7 @@ def q_payload_rows(spark, sf_dir):
           "ELSE length(text) - length(replace(text, chr(10), '')) + 1 END) AS BIGINT) AS record_count, "
           "count(*) AS payloads FROM documents GROUP BY source")
 def q_payload_record_counts(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents", ["source", "text"])
+    docs = spread(load_table(spark, sf_dir, "documents", ["source", "text"]))
     return docs.groupBy("source").agg(F.sum(SS.record_count(F.col("text"))).alias("record_count"),
                                       F.count(F.lit(1)).alias("payloads"))
 
