@@ -44,18 +44,20 @@ def _row_width(schema: T.StructType) -> int:
     return width
 
 
-def fits_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure a (materialized) side: row count times estimated width."""
-    return small.count() * _row_width(small.schema) <= max_bytes
+def fits_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, rows: int | None = None) -> bool:
+    """Measure a (materialized) side: row count times estimated width.  ``rows`` is a
+    count already known exactly (saves the counting job)."""
+    n = small.count() if rows is None else rows
+    return n * _row_width(small.schema) <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+               max_bytes: int = MAX_BROADCAST_BYTES, rows: int | None = None) -> DataFrame:
     """Join a materialized statistics table back onto the big side.
 
     Broadcast when the measured size allows (no shuffle of the big side at all),
     otherwise a plain equi-join that AQE plans as sort-merge with skew splitting."""
-    side = F.broadcast(small) if fits_broadcast(small, max_bytes) else small
+    side = F.broadcast(small) if fits_broadcast(small, max_bytes, rows) else small
     return big.join(side, on, how)
 
 

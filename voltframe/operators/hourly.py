@@ -68,12 +68,14 @@ def overall_hourly_means(stats_with_rows: DataFrame, cols: list[str] | None = No
     return stats_with_rows.agg(*aggs)
 
 
-def reading_statistics(df: DataFrame, cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def reading_statistics(df: DataFrame, cols: list[str] | None = None,
+                       with_counts: bool = False) -> tuple:
     """One scan, one shuffle: GROUPING SETS ((location_id, hour), (timestamp)).
 
     Returns (hourly, system), both materialized:
       hourly: AG1 columns + ``_rows`` + ``_lmp_sum`` (unrounded, for exact daily means)
-      system: (timestamp, ``_system_avg``) for WN2."""
+      system: (timestamp, ``_system_avg``) for WN2;
+    with ``with_counts`` also their exact row counts (one scan of the small table)."""
     cols = cols or PRICE_COLUMNS
     df = with_hour(df)
     aggs = _stat_aggs(cols) + [
@@ -89,7 +91,10 @@ def reading_statistics(df: DataFrame, cols: list[str] | None = None) -> tuple[Da
     hourly = g.filter(F.col("_gid") == 1).select(*HOURLY_KEYS, *_stat_columns(cols),
                                                  "_rows", "_lmp_sum", "_lmp_n")
     system = g.filter(F.col("_gid") == 6).select("timestamp", "_system_avg")
-    return hourly, system
+    if not with_counts:
+        return hourly, system
+    n = g.agg(F.count_if(F.col("_gid") == 1).alias("h"), F.count_if(F.col("_gid") == 6).alias("s")).first()
+    return hourly, system, int(n["h"]), int(n["s"])
 
 
 def daily_means(hourly: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.numeric import round_to
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.clean import clean_readings
-from voltframe.operators.common import join_small, materialize, stage_table
+from voltframe.operators.common import join_small, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
 from voltframe.operators.hourly import daily_means, reading_statistics
 from voltframe.operators.quantiles import exact_quantiles
@@ -45,20 +45,20 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
     if stage:
         cleaned = stage_table(cleaned, "cleaned-readings")
     cleaned = add_time_fields(cleaned)
-    hourly, system = reading_statistics(cleaned)
+    hourly, system, n_hourly, n_system = reading_statistics(cleaned, with_counts=True)
 
-    # WN1 reference means derived from the compact table, attached per (zone, hour)
+    # WN1 reference means derived from the compact table, attached per (zone, hour):
+    # exactly one daily row per hourly row, so the context table has n_hourly rows
     daily = daily_means(hourly)
-    hourly_ctx = materialize(
-        hourly.withColumn("date", F.date_format("hour", "yyyy-MM-dd"))
-        .join(daily, ["location_id", "date"], "left").drop("date", "_lmp_sum", "_lmp_n"))
+    hourly_ctx = (hourly.withColumn("date", F.date_format("hour", "yyyy-MM-dd"))
+                  .join(daily, ["location_id", "date"], "left").drop("date", "_lmp_sum", "_lmp_n"))
 
     # MA7: row-weighted 75th percentile of the hour volatility, exact, as a scalar
     vol_rows = hourly.select(F.coalesce("lmp_total_std_hourly", F.lit(0.0)).alias("vol"), "_rows")
     (threshold,) = exact_quantiles(vol_rows, "vol", [VOLATILITY_QUANTILE], weight="_rows")
 
-    joined = join_small(cleaned, hourly_ctx.drop("_rows"), ["location_id", "hour"], "left")
-    joined = join_small(joined, system, ["timestamp"], "left")
+    joined = join_small(cleaned, hourly_ctx.drop("_rows"), ["location_id", "hour"], "left", rows=n_hourly)
+    joined = join_small(joined, system, ["timestamp"], "left", rows=n_system)
     out = add_derived_fields(joined, threshold, expected_per_hour=expected_per_hour,
                              processing_metadata=processing_metadata)
     out = out.drop("_daily_avg", "_system_avg")
