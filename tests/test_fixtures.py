@@ -160,3 +160,18 @@ def test_approx_quantiles_close(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     got = approx_quantiles(df, "v", [0.5, 0.95])
     assert abs(got[0] - 4999.5) <= 2 and abs(got[1] - 9499.05) <= 2
+
+
+def test_quarantine_splits_rows(spark):
+    from voltframe.operators.validate import quarantine
+    df = spark.createDataFrame([("2025-01-01", "A", 1.0), (None, "A", 1.0), ("2025-01-01", "A", None)],
+                               "timestamp string, location_id string, lmp_total double")
+    good, bad = quarantine(df)
+    assert (good.count(), bad.count()) == (1, 2)
+
+
+def test_flatten_wide_pivot(spark):
+    df = spark.createDataFrame([(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": 2}')], "id long, doc string")
+    wide = SS.flatten_wide(SS.flatten_json(df, ["id"], "doc"), ["id"], ["a", "b_c"])
+    got = {r["id"]: (r["a"], r["b_c"]) for r in wide.collect()}
+    assert got == {1: ("1", "x"), 2: ("2", None)}

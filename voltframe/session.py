@@ -27,6 +27,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of garbage-collected DataFrames are removed by Spark itself
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
