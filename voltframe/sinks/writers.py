@@ -22,6 +22,7 @@ ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Default file prefix and the upload timestamp pattern in file names.
 DEFAULT_FILE_PREFIX = "energy_data"
 NAME_TS = "%Y%m%d_%H%M%S"
+MAX_PRUNE_VALUES = 10_000   # touched partition values listed literally (pruning) up to this many
 
 
 def sorted_for_sink(df: DataFrame, by: list[str]) -> DataFrame:
@@ -162,8 +163,15 @@ def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_c
         new.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.schema(schema).parquet(path)
     cols = list(new.columns)
+    # partitions the batch touches: a calendar span, so a short list; used as a literal
+    # filter it becomes static partition pruning of the existing table.  Beyond the
+    # bound the semi-join does the same work without pruning.
     touched = new.select(partition_col).distinct()
-    old = existing.join(touched, partition_col, "left_semi").select(*cols)
+    values = [r[0] for r in touched.limit(MAX_PRUNE_VALUES + 1).collect()]
+    if len(values) <= MAX_PRUNE_VALUES:
+        old = existing.filter(F.col(partition_col).isin(values)).select(*cols)
+    else:
+        old = existing.join(touched, partition_col, "left_semi").select(*cols)
     both = new.withColumn("_rank", F.lit(0)).unionByName(old.withColumn("_rank", F.lit(1)))
     rest = [c for c in cols if c not in keys]
     merged = (both.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col("_rank")).alias("_r"))
