@@ -13,10 +13,14 @@ from voltframe.functions.timefields import yyyymmdd
 
 
 def expected_grid(present: DataFrame, ts: str = "timestamp", zone: str = "location_id",
-                  interval_minutes: int = 15, zones: DataFrame | None = None) -> DataFrame:
-    """Every interval of every day between the first and last reading, per zone."""
+                  interval_minutes: int = 15, zones: DataFrame | None = None,
+                  bounds_from: DataFrame | None = None) -> DataFrame:
+    """Every interval of every day between the first and last reading, per zone.
+    The day range is a min/max scalar (partial aggregate, no shuffle) taken from
+    ``bounds_from`` (the raw rows) when given."""
     ntz = dict(present.dtypes)[ts] == "timestamp_ntz"
-    bounds = present.agg(F.to_date(F.min(ts)).alias("d0"), F.to_date(F.max(ts)).alias("d1")).first()
+    src = bounds_from if bounds_from is not None else present
+    bounds = src.agg(F.to_date(F.min(ts)).alias("d0"), F.to_date(F.max(ts)).alias("d1")).first()
     if bounds["d0"] is None:
         return present.select(zone, ts).limit(0)
     zone_tab = zones if zones is not None else present.select(zone).filter(F.col(zone).isNotNull()).distinct()
@@ -33,7 +37,7 @@ def missing_intervals(df: DataFrame, ts: str = "timestamp", zone: str = "locatio
                       interval_minutes: int = 15) -> DataFrame:
     """JN5: (zone, interval) pairs with no reading."""
     present = df.select(zone, ts).filter(F.col(ts).isNotNull()).distinct()
-    grid = expected_grid(present, ts, zone, interval_minutes)
+    grid = expected_grid(present, ts, zone, interval_minutes, bounds_from=df)
     return grid.join(present, [zone, ts], "left_anti")
 
 
