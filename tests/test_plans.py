@@ -84,3 +84,11 @@ def test_hourly_counts_sum_to_rows(spark):
     h = E.queries()["hourly_stats"](spark, SF)
     n = spark.read.parquet(f"{SF}/events.parquet").count()
     assert h.agg(F.sum("lmp_total_count_hourly")).first()[0] == n
+
+
+def test_cluster_settings_bounds():
+    from voltframe.session import cluster_settings
+    big = cluster_settings(8000, 100e12)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = cluster_settings(8, 1e6)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -49,6 +49,28 @@ def get_spark(master: str | None = None, app: str = "voltframe",
     return spark
 
 
+def cluster_settings(total_cores: int, input_bytes: float, shuffle_ratio: float = 0.3,
+                     target_partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 100_000) -> dict:
+    """Sizing for a cluster run (apply with ``get_spark(extra=...)``).
+
+    Initial shuffle partitions are sized so a reduce task reads ~256 MB of the expected
+    shuffle volume (``input_bytes * shuffle_ratio``; projections and map-side combine
+    shrink most shuffles well below the input), at least 2 per core and capped; AQE
+    then coalesces small partitions and splits skewed ones.  Scan splits of 256 MB keep
+    file tasks large enough to amortize scheduling on 100 TB."""
+    import math
+    want = math.ceil(input_bytes * shuffle_ratio / target_partition_bytes)
+    partitions = max(2 * total_cores, min(want, max_partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    }
+
+
 def apply_session_defaults(spark: SparkSession) -> None:
     """Apply the SQL-level defaults to a session we did not build (driver-owned)."""
     for k, v in SESSION_DEFAULTS.items():
