@@ -29,11 +29,19 @@ def stripped(c: Column) -> Column:
     return F.btrim(c, F.lit(STRIP_CHARS))
 
 
+def strict_parse_json(c: Column) -> Column:
+    """JSON text to Variant, NULL unless the WHOLE text is one JSON value.  Spark's
+    parser stops after the first complete value ('[1]x' parses as [1]); wrapping the
+    text as one array element makes any trailing content a syntax error."""
+    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.try_variant_get(wrapped, "$[0]", "variant")
+
+
 def is_json_container(c: Column) -> Column:
     """Text that parses as a JSON object or array (a dict/list payload).  Only text
     whose first non-blank character is '{' or '[' is parsed at all."""
     head = F.substring(stripped(c), 1, 1)
-    kind = F.schema_of_variant(F.try_parse_json(c))
+    kind = F.schema_of_variant(strict_parse_json(c))
     return F.coalesce(head.isin("{", "[") & (kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.lit(False))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.functions.formats import strict_parse_json
 from voltframe.operators.common import spread
 
 
@@ -132,7 +133,7 @@ def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
                  strip_leading_sep: bool = False) -> DataFrame:
     """SF3 on JSON text; unparseable text yields no rows.  ``strip_leading_sep`` drops
     the separator the reference puts in front of keys of a top-level list ('_0_q')."""
-    parsed = spread(df).select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
+    parsed = spread(df).select(*id_cols, strict_parse_json(F.col(json_col)).alias("v")).filter(F.col("v").isNotNull())
     out = flatten_variant(parsed, id_cols, "v", sep)
     if strip_leading_sep:
         out = out.withColumn("key", F.when(F.col("key").startswith(sep), F.expr(f"substring(key, {len(sep) + 1})"))
@@ -151,7 +152,7 @@ def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
     when nested), a scalar one record with key 'value'.  Long form
     (ids..., record, key, value)."""
     spark = df.sparkSession
-    parsed = spread(df).select(*id_cols, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
+    parsed = spread(df).select(*id_cols, strict_parse_json(F.col(json_col)).alias("v")).filter(F.col("v").isNotNull())
     is_array = F.coalesce(_kind(F.col("v")).startswith("ARRAY"), F.lit(False))
     ids = ", ".join(f"p.`{c}`" for c in id_cols)
     arrays = parsed.filter(is_array)
@@ -171,7 +172,7 @@ def record_count(content: Column) -> Column:
     """AG17: JSON array -> its length, JSON object -> 1, text -> newlines + 1,
     empty or missing -> 0."""
     head = F.substring(F.btrim(content, F.lit(" \t\n\r\x0b\x0c")), 1, 1)
-    v = F.when(head.isin("{", "["), F.try_parse_json(content))
+    v = F.when(head.isin("{", "["), strict_parse_json(content))
     kind = _kind(v)
     newlines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
     return (F.when(content.isNull() | (content == ""), 0)
