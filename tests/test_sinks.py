@@ -153,3 +153,21 @@ def test_stream_drops_rows_later_than_watermark(spark):
     out = {r["hour"].hour: r for r in spark.read.parquet(f"{root}/out").collect()}
     assert out[10]["lmp_total_count_hourly"] == 1 and out[10]["lmp_total_mean_hourly"] == 1.0
     assert 14 in out and 16 not in out          # 16:00 is still open
+
+
+def test_kwh_table_and_view_sql(spark):
+    from voltframe.plans.kwh import register_kwh_table, register_kwh_view
+    root = scratch_path(spark, "kwhtable")
+    os.makedirs(root, exist_ok=True)
+    with open(f"{root}/part.csv", "w") as f:
+        f.write("DateTime,kWh\n2024-01-01 05:30:00,1.0\n2024-01-01 18:59:00,2.0\n,3.0\n")
+    register_kwh_table(spark, root, "energy_data_t")
+    view = register_kwh_view(spark, spark.table("energy_data_t"), "energy_data_view_t")
+    got = sorted((r["hour_only"], r["time_period"]) for r in spark.sql("SELECT * FROM energy_data_view_t").collect())
+    assert got == [("05", "Night"), ("18", "Day")] and view.count() == 2
+
+
+def test_pull_window(spark):
+    from voltframe.functions.timefields import pull_window
+    r = spark.range(1).select(pull_window(F.lit(dt.date(2025, 3, 1))).alias("w")).first()["w"]
+    assert (r["start"], r["end"]) == ("20250228", "20250301")

@@ -93,3 +93,10 @@ def day_or_night(ts: Column) -> Column:
 def yyyymmdd(d: Column) -> Column:
     """DT17 date as yyyyMMdd text."""
     return F.date_format(d, "yyyyMMdd")
+
+
+def pull_window(as_of: Column | None = None) -> Column:
+    """DT17 request window: yesterday and today as yyyyMMdd (``as_of`` defaults to
+    the current date), as a struct (start, end)."""
+    today = as_of if as_of is not None else F.current_date()
+    return F.struct(yyyymmdd(F.date_sub(today, 1)).alias("start"), yyyymmdd(today).alias("end"))
