@@ -119,7 +119,7 @@ def q_vs_system_avg(spark, sf_dir):
 
 @register("zone_completeness", O.with_(*O.READING_CHAIN) +
           f"SELECT location_id, {O.rnd('avg(data_completeness_hourly)', 4)} AS avg_completeness, "
-          f"count(timestamp) AS record_count, {O.rnd('avg(data_completeness_hourly)', 4)} < 80 AS is_low_completeness "
+          "count(timestamp) AS record_count, coalesce(avg(data_completeness_hourly) < 80, false) AS is_low_completeness "
           "FROM e GROUP BY location_id")
 def q_zone_completeness(spark, sf_dir):
     return zone_completeness(_enriched(spark, sf_dir).readings)

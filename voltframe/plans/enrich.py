@@ -68,9 +68,9 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
 def zone_completeness(enriched: DataFrame, low: float = 80.0) -> DataFrame:
     """AG3: row-weighted mean completeness and reading count per zone; low below 80 %."""
     return (enriched.groupBy("location_id")
-            .agg(round_to(F.avg("data_completeness_hourly"), 4).alias("avg_completeness"),
-                 F.count("timestamp").alias("record_count"))
-            .withColumn("is_low_completeness", F.col("avg_completeness") < low))
+            .agg(F.avg("data_completeness_hourly").alias("_avg"), F.count("timestamp").alias("record_count"))
+            .select("location_id", round_to(F.col("_avg"), 4).alias("avg_completeness"), "record_count",
+                    F.coalesce(F.col("_avg") < low, F.lit(False)).alias("is_low_completeness")))
 
 
 def thin_zones(enriched: DataFrame, min_records: int = 80) -> DataFrame:
