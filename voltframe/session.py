@@ -15,8 +15,8 @@ from pyspark.sql import SparkSession
 
 # Settings every voltframe job relies on: UTC wall clock (readings are UTC), ANSI
 # arithmetic (bad casts raise unless try_* is used), AQE for runtime re-planning:
-# coalesced partitions, runtime broadcast of small aggregate sides (a size check
-# done on real shuffle statistics), and skew-join splitting for hot keys.
+# coalesced partitions, runtime broadcast of small sides (a size check done on real
+# shuffle statistics, never on estimates), and skew-join splitting for hot keys.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -25,6 +25,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # no broadcast from estimated plan sizes: only explicit broadcasts of measured or
+    # fixed-size sides, and AQE's runtime broadcast from measured shuffle sizes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # checkpoint files of garbage-collected DataFrames are removed by Spark itself
