@@ -92,3 +92,20 @@ def test_cluster_settings_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000
     small = cluster_settings(8, 1e6)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_grouped_percentile_disc_matches_rank_rule(spark):
+    import math
+    from voltframe.operators.grouped_quantiles import percentile_disc
+    rng = random.Random(9)
+    rows = [("g1", float(rng.randint(0, 3000))) for _ in range(5000)]          # many distinct values
+    rows += [("g2", 7.0)] * 2000 + [("g2", float(i)) for i in range(37)]        # one hot value
+    rows += [("g3", 1.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(ps))]
+           for r in percentile_disc(df, ["g"], "v", ps, [f"q{i}" for i in range(len(ps))], limit=100).collect()}
+    for g in ("g1", "g2", "g3"):
+        vals = sorted(v for k, v in rows if k == g)
+        want = [vals[max(1, math.ceil(p * len(vals))) - 1] for p in ps]
+        assert got[g] == want, g

@@ -335,7 +335,7 @@ def q_kwh_quality_all(spark, sf_dir):
           "CAST(quantile_disc(kWh, 0.5) AS DOUBLE) AS median_kwh, CAST(quantile_disc(kWh, 0.95) AS DOUBLE) AS p95_kwh FROM k "
           f"WHERE DateTime >= {_ASOF_SQL} - INTERVAL 12 MONTH GROUP BY strftime(DateTime, '%Y-%m') ORDER BY month DESC")
 def q_kwh_monthly(spark, sf_dir):
-    return _dec_as_double(KW.monthly_trend(load_kwh(spark, sf_dir), AS_OF))
+    return _dec_as_double(KW.monthly_trend(load_kwh(spark, sf_dir), AS_OF, exact=True))
 
 
 # ---------------------------------------------------------------- duplicates (AG14, AG15, SO1, SO2)
