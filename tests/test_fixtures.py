@@ -175,3 +175,19 @@ def test_flatten_wide_pivot(spark):
     wide = SS.flatten_wide(SS.flatten_json(df, ["id"], "doc"), ["id"], ["a", "b_c"])
     got = {r["id"]: (r["a"], r["b_c"]) for r in wide.collect()}
     assert got == {1: ("1", "x"), 2: ("2", None)}
+
+
+def test_anomaly_edges(spark):
+    import pytest
+    from voltframe.operators.anomaly import flag_anomalies
+    df = spark.createDataFrame([(float(v),) for v in [5, 5, 5, 5, 9]], "lmp_total double")
+    mad = [r["is_anomaly"] for r in flag_anomalies(df, method="modified_zscore").collect()]
+    assert mad == [False, False, False, False, True]          # MAD 0: anything off the median
+    iqr = [r["is_anomaly"] for r in flag_anomalies(df, method="iqr").collect()]
+    assert iqr == [False, False, False, False, True]          # IQR 0: bounds collapse to 5
+    flat = spark.createDataFrame([(3.0,), (3.0,)], "lmp_total double")
+    assert [r["is_anomaly"] for r in flag_anomalies(flat, method="zscore").collect()] == [False, False]
+    one = spark.createDataFrame([(3.0,)], "lmp_total double")
+    assert flag_anomalies(one, method="zscore").first()["is_anomaly"] is False   # std of one row is NULL
+    with pytest.raises(ValueError):
+        flag_anomalies(df, method="nope")
