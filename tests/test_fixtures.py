@@ -191,3 +191,10 @@ def test_anomaly_edges(spark):
     assert flag_anomalies(one, method="zscore").first()["is_anomaly"] is False   # std of one row is NULL
     with pytest.raises(ValueError):
         flag_anomalies(df, method="nope")
+
+
+def test_flatten_key_clash_resolution(spark):
+    # 'a_b' and a -> b join to the same key: one leaf survives (the later one in key order)
+    df = spark.createDataFrame([(1, '{"a": {"b": 1}, "a_b": 2}'), (2, '{"x": {"y": 3}}')], "id long, doc string")
+    got = sorted((r["id"], r["key"], r["value"]) for r in SS.flatten_json(df, ["id"], "doc").collect())
+    assert got == [(1, "a_b", "2"), (2, "x_y", "3")]

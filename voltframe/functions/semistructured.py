@@ -85,6 +85,14 @@ def variant_depth(v: Column) -> Column:
     return F.aggregate(F.split(brackets, ""), start, step, lambda acc: acc["m"])
 
 
+def may_clash(v: Column, sep: str = "_") -> Column:
+    """True when a document has a key containing ``sep`` or needing backtick quoting
+    (empty or special); only then can two leaves join to the same key.  Read from the
+    schema text, so it is conservative: any ``sep`` outside a type name counts."""
+    schema = F.replace(F.schema_of_variant(v), F.lit("TIMESTAMP_NTZ"), F.lit(""))
+    return F.coalesce((F.instr(schema, sep) > 0) | (F.instr(schema, "`") > 0), F.lit(True))
+
+
 def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str = "_",
                     max_depth: int = MAX_DEPTH, resolve_clashes: bool = True) -> DataFrame:
     """SF3 on a Variant column: long (ids..., key, value) rows.
@@ -94,12 +102,15 @@ def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str =
     vanish.  On a key clash the later leaf wins; object fields come back from Variant in
     key order, so "later" is key order, not the document's text order.
 
-    Plan: one aggregate finds the deepest nesting; then one lazy chain of that many
-    ``LATERAL variant_explode_outer`` levels (leaves pass through a level unchanged),
-    all narrow, so a single job flattens every document.  Clash resolution is a
-    group-by on (ids, key)."""
+    Plan: one aggregate finds the deepest nesting and whether any key could clash;
+    then one lazy chain of that many ``LATERAL variant_explode_outer`` levels (leaves
+    pass through a level unchanged), all narrow, so a single job flattens every
+    document.  Only when a clash is possible is there a group-by on (ids, key)."""
     spark = df.sparkSession
-    depth = df.agg(F.max(variant_depth(F.col(v)))).first()[0] or 0
+    stats = df.agg(F.max(variant_depth(F.col(v))).alias("d"),
+                   F.max(may_clash(F.col(v), sep).cast("int")).alias("c")).first()
+    depth = stats["d"] or 0
+    resolve_clashes = resolve_clashes and bool(stats["c"])
     if depth > max_depth:
         raise ValueError(f"JSON nested deeper than {max_depth} levels")
     ids = ", ".join(f"c.`{c}`" for c in id_cols)
