@@ -198,3 +198,16 @@ def test_flatten_key_clash_resolution(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": 1}, "a_b": 2}'), (2, '{"x": {"y": 3}}')], "id long, doc string")
     got = sorted((r["id"], r["key"], r["value"]) for r in SS.flatten_json(df, ["id"], "doc").collect())
     assert got == [(1, "a_b", "2"), (2, "x_y", "3")]
+
+
+def test_flatten_struct_ragged_arrays(spark):
+    schema = "id long, d struct<a: int, xs: array<struct<q: int, ys: array<int>>>, m: map<string,int>>"
+    rows = [(1, {"a": 1, "xs": [{"q": 5, "ys": [1, 2]}, {"q": 6, "ys": []}], "m": {"k": 1}}),
+            (2, {"a": 2, "xs": [], "m": None})]
+    df = spark.createDataFrame(rows, schema)
+    out = SS.flatten_struct(df, ["id"], "d")
+    # each array path expands to its own observed maximum: xs[1].ys is always empty, so it vanishes
+    assert out.columns == ["id", "a", "m", "xs_0_q", "xs_1_q", "xs_0_ys_0", "xs_0_ys_1"]
+    got = {r["id"]: r.asDict() for r in out.collect()}
+    assert (got[1]["xs_0_ys_1"], got[1]["xs_1_q"], got[1]["m"]) == (2, 6, '{"k":1}')
+    assert got[2]["xs_0_q"] is None and got[2]["a"] == 2

@@ -152,6 +152,41 @@ def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
     return out
 
 
+def flatten_struct(df: DataFrame, id_cols: list[str], col: str, sep: str = "_") -> DataFrame:
+    """SF3 for a known schema: one wide row per input row, a column per leaf path,
+    built as a generated ``select`` (no Variant, no explode).  Struct fields join with
+    ``sep``; arrays expand to positions 0..max observed length - 1, one aggregate of
+    array sizes per nesting frontier; shorter arrays give NULLs (the wide-frame form).
+    Maps are kept as JSON text leaves."""
+    from pyspark.sql import types as T
+
+    def join(prefix: str, part) -> str:
+        return str(part) if prefix == "" and not isinstance(part, int) else f"{prefix}{sep}{part}"
+
+    leaves: list[tuple[str, Column]] = []
+    frontier = [("", F.col(col), df.schema[col].dataType)]
+    while frontier:
+        arrays = [(n, c, t) for n, c, t in frontier if isinstance(t, T.ArrayType)]
+        sizes = {}
+        if arrays:
+            row = df.agg(*[F.coalesce(F.max(F.size(c)), F.lit(0)).alias(f"s{i}")
+                           for i, (_, c, _) in enumerate(arrays)]).first()
+            sizes = {n: max(int(row[f"s{i}"]), 0) for i, (n, _, _) in enumerate(arrays)}
+        nxt = []
+        for name, c, t in frontier:
+            if isinstance(t, T.StructType):
+                nxt += [(join(name, f.name), c[f.name], f.dataType) for f in t.fields]
+            elif isinstance(t, T.ArrayType):
+                nxt += [(join(name, i), F.try_element_at(c, F.lit(i + 1)), t.elementType)
+                        for i in range(sizes[name])]
+            elif isinstance(t, T.MapType):
+                leaves.append((name, F.to_json(c)))
+            else:
+                leaves.append((name, c))
+        frontier = nxt
+    return df.select(*id_cols, *[c.alias(n) for n, c in leaves])
+
+
 def flatten_wide(long: DataFrame, id_cols: list[str], keys: list[str] | None = None) -> DataFrame:
     """Long -> one column per key.  The key list is the payload schema's width; pass it
     when known so the pivot needs no extra pass."""

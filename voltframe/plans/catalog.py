@@ -736,3 +736,25 @@ def q_stream_dedup(spark, sf_dir):
     readings = readings_from_events(_events_stream(spark, sf_dir))
     out = _stream_to_table(spark, dedup_stream(readings), "stream-dedup")
     return out.select("timestamp", "location_id")
+
+
+def _nested_struct(events: DataFrame) -> DataFrame:
+    """The same nested document as ``_nested_docs``, kept as a typed struct."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    doc = F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user")).alias("meta"),
+        F.array(F.struct(F.date_format("ts", iso).alias("ts"), F.col("value").alias("value")),
+                F.struct(F.date_format(F.date_trunc("hour", "ts"), iso).alias("ts"),
+                         (F.col("value") * 2).alias("value"))).alias("readings"),
+        F.from_json("props", "k BIGINT").alias("props"))
+    return events.select("event_id", doc.alias("doc"))
+
+
+@register("flatten_struct_wide",
+          "SELECT event_id, event_id AS id, event_type AS meta_type, user_id AS meta_user, "
+          f"strftime(ts, {_ISO}) AS readings_0_ts, value AS readings_0_value, "
+          f"strftime(date_trunc('hour', ts), {_ISO}) AS readings_1_ts, value * 2 AS readings_1_value, "
+          "CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
+def q_flatten_struct_wide(spark, sf_dir):
+    return SS.flatten_struct(_nested_struct(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
