@@ -33,7 +33,8 @@ MAX_LEVELS = 32
 def percentile_disc(df: DataFrame, groups: list[str], value: str, ps: list[float],
                     names: list[str] | None = None, limit: int = LIMIT) -> DataFrame:
     """One row per group with one column per p (value type kept).  ``groups`` must be
-    non-empty (a global percentile is ``quantiles.exact_quantiles``)."""
+    non-empty (a global percentile is ``quantiles.exact_quantiles``); group keys are
+    matched with equality, so a NULL group key gets no row."""
     if not groups:
         raise ValueError("percentile_disc needs at least one group column")
     names = names or [f"p{int(round(p * 100))}" for p in ps]
