@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from voltframe.functions.numeric import coerce_double
 from voltframe.schemas import CRITICAL_COLUMNS, REQUIRED_COLUMNS
 
 # Plausible LMP range in $/MWh, inclusive; sample size of the outlier report.
@@ -24,20 +25,21 @@ def outlier_flag(df: DataFrame, col: str = "lmp_total", lo: float = LMP_RANGE[0]
     return df.withColumn("is_outlier", ~F.coalesce(F.col(col).between(lo, hi), F.lit(False)))
 
 
-def batch_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE[1]) -> DataFrame:
-    """PF1+PF2+PF3 as one single-row frame: the whole batch passes only with all
-    required columns and no NULL in a critical column.  One aggregate pass."""
-    missing = missing_columns(df)
+def verdict_aggregates(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE[1]) -> list:
+    """The aggregate expressions of the verdict (usable in ``agg`` or ``observe``)."""
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for c in CRITICAL_COLUMNS:
         aggs.append((F.count_if(F.col(c).isNull()) if c in df.columns else F.lit(None).cast("long"))
                     .alias(f"null_{c}"))
     if "lmp_total" in df.columns:
-        aggs.append(F.count_if(~F.coalesce(F.col("lmp_total").between(lo, hi), F.lit(False)))
-                    .alias("outlier_count"))
+        price = coerce_double(df, "lmp_total")     # landed text: bad values count as outside
+        aggs.append(F.count_if(~F.coalesce(price.between(lo, hi), F.lit(False))).alias("outlier_count"))
     else:
         aggs.append(F.lit(None).cast("long").alias("outlier_count"))
-    v = df.agg(*aggs)
+    return aggs
+
+
+def verdict_from_counts(v: DataFrame, missing: list[str]) -> DataFrame:
     nulls = sum((F.coalesce(F.col(f"null_{c}"), F.lit(0)) for c in CRITICAL_COLUMNS), F.lit(0))
     return v.withColumns({
         "missing_columns": F.lit(",".join(missing)),
@@ -46,6 +48,32 @@ def batch_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE
     })
 
 
+def batch_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE[1]) -> DataFrame:
+    """PF1+PF2+PF3 as one single-row frame: the whole batch passes only with all
+    required columns and no NULL in a critical column.  One aggregate pass."""
+    return verdict_from_counts(df.agg(*verdict_aggregates(df, lo, hi)), missing_columns(df))
+
+
+def observed_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE[1]):
+    """The verdict counted while ``df`` is consumed by some other job (an
+    ``Observation``): returns (df_to_consume, finish) where ``finish()`` gives the
+    one-row verdict frame once that job has run.  Saves a separate scan.  (If a stage
+    is retried, re-run tasks may add to the counts: ``row_count`` can only grow and a
+    zero NULL count stays zero, so the pass/reject decision is unaffected.)"""
+    obs = Observation("batch_verdict")
+    observed = df.observe(obs, *verdict_aggregates(df, lo, hi))
+    missing = missing_columns(df)
+
+    def finish() -> DataFrame:
+        counts = obs.get
+        spark = df.sparkSession
+        schema = "row_count long, null_timestamp long, null_location_id long, null_lmp_total long, outlier_count long"
+        row = [counts.get(c) for c in ("row_count", "null_timestamp", "null_location_id", "null_lmp_total",
+                                       "outlier_count")]
+        return verdict_from_counts(spark.createDataFrame([row], schema), missing)
+    return observed, finish
+
+
 def gate(df: DataFrame, verdict: DataFrame) -> DataFrame:
     """Keep the whole batch or nothing.  The verdict is one aggregate row (reading only
     the critical columns); its flag becomes a literal filter, which Catalyst folds: a

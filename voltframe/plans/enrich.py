@@ -21,7 +21,7 @@ from voltframe.operators.common import join_small, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
 from voltframe.operators.hourly import daily_means, reading_statistics
 from voltframe.operators.quantiles import exact_quantiles
-from voltframe.operators.validate import batch_verdict, gate
+from voltframe.operators.validate import batch_verdict, gate, observed_verdict
 
 
 @dataclass
@@ -36,14 +36,20 @@ class Enriched:
 def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | None = None,
                     trim_first: bool = False, processing_metadata: bool = False,
                     expected_per_hour: int = 4, stage: bool = True) -> Enriched:
-    verdict = batch_verdict(raw)
-    if validate:
-        raw = gate(raw, verdict)
-    # the keep-first dedup is the one shuffle of the readings; stage its result once so
-    # the statistics pass and the row pass both read it instead of re-shuffling
-    cleaned = clean_readings(raw, order=order, trim_first=trim_first)
     if stage:
-        cleaned = stage_table(cleaned, "cleaned-readings")
+        # one job reads the raw batch: it counts the verdict (Observation), runs the
+        # keep-first dedup (the one shuffle of the readings) and stages the result, so
+        # the statistics pass and the row pass both read the staged table
+        observed, finish = observed_verdict(raw)
+        cleaned = stage_table(clean_readings(observed, order=order, trim_first=trim_first), "cleaned-readings")
+        verdict = finish()
+        if validate:
+            cleaned = gate(cleaned, verdict)
+    else:
+        verdict = batch_verdict(raw)
+        if validate:
+            raw = gate(raw, verdict)
+        cleaned = clean_readings(raw, order=order, trim_first=trim_first)
     cleaned = add_time_fields(cleaned)
     hourly, system, n_hourly, n_system = reading_statistics(cleaned, with_counts=True)
 
