@@ -758,3 +758,19 @@ def _nested_struct(events: DataFrame) -> DataFrame:
           "CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events")
 def q_flatten_struct_wide(spark, sf_dir):
     return SS.flatten_struct(_nested_struct(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
+
+
+from voltframe.sources.adapters import EVENT_TYPE_ZONE, zone_coded_readings_from_events  # noqa: E402
+
+_ZONE_CASE = " ".join(f"WHEN '{et}' THEN '{z}'" for et, z in EVENT_TYPE_ZONE.items())
+
+
+@register("zone_enriched_codes",
+          f"WITH r AS (SELECT time_bucket(INTERVAL '15 minutes', ts) AS timestamp, CASE event_type {_ZONE_CASE} END "
+          "AS location_id, event_id, value AS lmp_total FROM events) "
+          "SELECT r.timestamp, r.location_id, r.event_id, r.lmp_total, z.zone_id, z.zone_name FROM r "
+          f"LEFT JOIN (VALUES {_ZONE_VALUES}) z(zone_id, zone_name, location_code) ON r.location_id = z.location_code")
+def q_zone_enriched_codes(spark, sf_dir):
+    r = (zone_coded_readings_from_events(load_table(spark, sf_dir, "events"))
+         .select("timestamp", "location_id", "event_id", "lmp_total"))
+    return enrich_with_zones(r)

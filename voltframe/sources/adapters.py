@@ -53,6 +53,20 @@ def text_readings_from_events(events: DataFrame) -> DataFrame:
     return r.withColumns(as_text).withColumn("location_id", F.concat(F.lit(" "), F.col("location_id"), F.lit(" ")))
 
 
+# Test adapter mapping event types onto load-zone codes (one type left unmatched), so
+# zone joins see both matches and misses.
+EVENT_TYPE_ZONE = {"view": ".Z.MAINE", "click": ".Z.NEWHAMPSHIRE", "purchase": ".Z.SEMASS",
+                   "signup": ".Z.WCMASS", "error": ".Z.UNKNOWN"}
+
+
+def zone_coded_readings_from_events(events: DataFrame) -> DataFrame:
+    r = readings_from_events(events)
+    code = F.col("location_id")
+    for et, zone in EVENT_TYPE_ZONE.items():
+        code = F.when(F.col("location_id") == f".Z.{et.upper()}", zone).otherwise(code)
+    return r.withColumn("location_id", code)
+
+
 def kwh_from_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("ts").alias("DateTime"),
                          F.col("value").cast("decimal(15,1)").alias("kWh"))
