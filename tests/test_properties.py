@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from voltframe.functions import formats as FM
 from voltframe.functions import semistructured as SS
 
-FLOATS = [1.5, 0.1, 1e-07, 1e20, 123456789.0, -2.25, 141.0, 0.0001, 3e-05]
+FLOATS = [1.5, 0.1, 1e-07, 1e20, 123456789.0, -2.25, 141.0, 0.0001, 3e-05, 6.55, 12345.678, 1000.0, 2.675,
+          0.30000000000000004, 1234567890123456.0, 9999999999999998.0, 1e16, 0.00012345, -0.001, 1.7976931348623157e308]
 
 
 def _doc(rng, depth=0):
