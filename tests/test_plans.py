@@ -109,3 +109,18 @@ def test_grouped_percentile_disc_matches_rank_rule(spark):
         vals = sorted(v for k, v in rows if k == g)
         want = [vals[max(1, math.ceil(p * len(vals))) - 1] for p in ps]
         assert got[g] == want, g
+
+
+def test_enrichment_row_pass_has_no_shuffle(spark):
+    """The readings are shuffled once (keep-first dedup, in the staging job); the row
+    pass scans the staged table and joins measured statistics by broadcast."""
+    plan = _plan(E.queries()["enriched_readings"](spark, SF))
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_statistics_combine_map_side(spark):
+    from voltframe.operators.hourly import hourly_stats
+    from voltframe.sources.adapters import load_readings
+    plan = _plan(hourly_stats(load_readings(spark, SF)))
+    assert "partial_avg" in plan and "partial_stddev_samp" in plan
