@@ -109,3 +109,32 @@ def test_record_count_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "t string")
     got = [r[0] for r in df.select(SS.record_count(F.col("t"))).collect()]
     assert got == [brute(t) for (t,) in rows]
+
+
+def test_dedup_first_matches_pandas(spark):
+    import datetime as dt
+    import pandas as pd
+    from voltframe.operators.clean import dedup_first
+    rng = random.Random(13)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        ext = None if rng.random() < 0.2 else t0 + dt.timedelta(minutes=rng.randint(0, 5))
+        rows.append((t0 + dt.timedelta(minutes=15 * rng.randint(0, 20)), rng.choice("ABC"), ext, i, float(i)))
+    schema = "timestamp timestamp_ntz, location_id string, extraction_time timestamp_ntz, event_id long, v double"
+    got = dedup_first(spark.createDataFrame(rows, schema), ["timestamp", "location_id"],
+                      ["extraction_time", "event_id"]).toPandas()
+    pdf = pd.DataFrame(rows, columns=["timestamp", "location_id", "extraction_time", "event_id", "v"])
+    want = (pdf.sort_values(["extraction_time", "event_id"], na_position="last")
+            .drop_duplicates(["timestamp", "location_id"], keep="first"))
+    assert sorted(got["event_id"]) == sorted(want["event_id"])
+
+
+def test_trim_first_option(spark):
+    from voltframe.operators.clean import clean_readings
+    from voltframe.schemas import READING_TEXT
+    rows = [("2025-01-01T00:00:00Z", " A", None, "1", "1", "1", "1", "2025-01-01T00:01:00Z"),
+            ("2025-01-01T00:00:00Z", "A", None, "2", "1", "1", "1", "2025-01-01T00:02:00Z")]
+    df = spark.createDataFrame(rows, READING_TEXT)
+    assert clean_readings(df).count() == 2                    # reference order: dedup before trim
+    assert clean_readings(df, trim_first=True).count() == 1   # option: trim, then dedup

@@ -171,3 +171,23 @@ def test_pull_window(spark):
     from voltframe.functions.timefields import pull_window
     r = spark.range(1).select(pull_window(F.lit(dt.date(2025, 3, 1))).alias("w")).first()["w"]
     assert (r["start"], r["end"]) == ("20250228", "20250301")
+
+
+def test_enrich_stream_upserts_each_batch(spark):
+    from voltframe.schemas import READING_TEXT
+    from voltframe.streaming.ingest import enrich_stream_to_table, read_landing_stream
+    root = scratch_path(spark, "pl1stream")
+    os.makedirs(f"{root}/in", exist_ok=True)
+    def land(name, rows):
+        import json
+        with open(f"{root}/in/{name}.json", "w") as f:
+            for r in rows:
+                f.write(json.dumps(dict(zip(READING_TEXT.fieldNames(), r))) + "\n")
+    land("a", [("2025-06-04T10:00:00Z", ".Z.MAINE", "Maine", "45.5", "40", "3.5", "2", "2025-06-04T10:05:00Z")])
+    s = read_landing_stream(spark, f"{root}/in", READING_TEXT, fmt="json")
+    enrich_stream_to_table(s, f"{root}/table", f"{root}/ck")
+    land("b", [("2025-06-04T10:00:00Z", ".Z.MAINE", "Maine", "50.0", "40", "3.5", "2", "2025-06-04T10:06:00Z"),
+               ("2025-06-04T10:15:00Z", ".Z.MAINE", "Maine", "46.2", "40.5", "3.7", "2", "2025-06-04T10:20:00Z")])
+    enrich_stream_to_table(s, f"{root}/table", f"{root}/ck")
+    got = {r["minute_of_hour"]: r["lmp_total"] for r in spark.read.parquet(f"{root}/table").collect()}
+    assert got == {0: 50.0, 15: 46.2}        # the re-pulled 10:00 reading replaced the first one
