@@ -7,24 +7,38 @@ features (the top-5 outlier sample).  ``QUERIES[name](spark, sf_dir) -> DataFram
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltframe.functions import formats as FM
+from voltframe.functions import semistructured as SS
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.anomaly import flag_anomalies
+from voltframe.operators.audit import SOURCE_CATALOGUE, ingest_audit, resolve_sources, select_sources
 from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
 from voltframe.operators.common import spread
+from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values
+from voltframe.operators.gaps import backfill_urls, missing_intervals
+from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
 from voltframe.operators.summaries import batch_metadata, load_weighted_average, processing_summary
 from voltframe.operators.validate import batch_verdict, outlier_flag, outlier_sample
-from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
+from voltframe.plans import kwh as KW
 from voltframe.plans import oracle_sql as O
 from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness
+from voltframe.session import scratch_path
+from voltframe.sinks import writers as W
 from voltframe.sources.adapters import (
-    DIRTY_READINGS_SQL, TEXT_READINGS_SQL, dirty_readings_from_events, load_readings, text_readings_from_events,
+    DIRTY_READINGS_SQL, EVENT_TYPE_ZONE, TEXT_READINGS_SQL, dirty_readings_from_events, load_kwh, load_readings,
+    readings_from_events, text_readings_from_events, zone_coded_readings_from_events,
 )
+from voltframe.sources.files import read_back
+from voltframe.sources.genmix import genmix_records, transform_kwh
 from voltframe.sources.tables import load_table
+from voltframe.sources.zones import ZONES, enrich_with_zones
+from voltframe.streaming.ingest import dedup_stream, hourly_stream, read_landing_stream, run_available_now
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -253,9 +267,6 @@ register("anomaly_mad", O.with_(O.R, "m AS (SELECT median(lmp_total) AS med FROM
 
 
 # ---------------------------------------------------------------- kWh view and reports (PL3)
-from voltframe.plans import kwh as KW  # noqa: E402
-from voltframe.sources.adapters import load_kwh  # noqa: E402
-import datetime as _dt  # noqa: E402
 
 AS_OF = _dt.date(2024, 1, 31)
 
@@ -339,7 +350,6 @@ def q_kwh_monthly(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- duplicates (AG14, AG15, SO1, SO2)
-from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values  # noqa: E402
 
 
 @register("duplicate_values",
@@ -367,8 +377,6 @@ def q_distinct_values(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- zones, gaps (JN4, JN5, DT17)
-from voltframe.operators.gaps import backfill_urls, missing_intervals  # noqa: E402
-from voltframe.sources.zones import ZONES, enrich_with_zones  # noqa: E402
 
 _ZONE_VALUES = ", ".join(f"({zid}, '{name}', '{code}')" for zid, name, code in ZONES if code)
 
@@ -405,7 +413,6 @@ def q_backfill_urls(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- generation mix (SRC3, MA16, PL2)
-from voltframe.sources.genmix import genmix_records, transform_kwh  # noqa: E402
 
 
 def genmix_payloads(events: DataFrame) -> DataFrame:
@@ -438,8 +445,6 @@ def q_genmix_kwh(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- semi-structured (SF1-SF8, AG17, PF9)
-from voltframe.functions import formats as FM  # noqa: E402
-from voltframe.functions import semistructured as SS  # noqa: E402
 
 _WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
 
@@ -586,7 +591,6 @@ def q_redacted_headers(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- ingest audit (AG16, JN3, PF6)
-from voltframe.operators.audit import ingest_audit, resolve_sources, select_sources  # noqa: E402
 
 _PRIORITY_TO_SOURCE = [("1-URGENT", "7 day forecast all zones"), ("2-HIGH", "Hourly DA LMP Final"),
                        ("3-MEDIUM", "iso_ne_fuel_mix"), ("4-NOT SPECIFIED", "Morning Report")]
@@ -646,8 +650,7 @@ def q_selective_audit(spark, sf_dir):
     return ingest_audit(select_sources(run_log_from_orders(load_table(spark, sf_dir, "orders")), _SELECTED))
 
 
-_CAT_VALUES = ", ".join(f"('{n}', '{f}', '{p}')" for n, f, p in __import__(
-    "voltframe.operators.audit", fromlist=["SOURCE_CATALOGUE"]).SOURCE_CATALOGUE)
+_CAT_VALUES = ", ".join(f"('{n}', '{f}', '{p}')" for n, f, p in SOURCE_CATALOGUE)
 
 
 @register("source_resolution", O.with_(_RUNLOG) +
@@ -660,9 +663,6 @@ def q_source_resolution(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sinks: round trips, upsert, manifest
-from voltframe.session import scratch_path  # noqa: E402
-from voltframe.sinks import writers as W  # noqa: E402
-from voltframe.sources.files import read_back  # noqa: E402
 
 
 def _roundtrip(fmt):
@@ -709,8 +709,6 @@ def q_manifest(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming (STR1-STR3)
-from voltframe.sources.adapters import readings_from_events  # noqa: E402
-from voltframe.streaming.ingest import dedup_stream, hourly_stream, read_landing_stream, run_available_now  # noqa: E402
 
 
 def _events_stream(spark, sf_dir):
@@ -760,8 +758,6 @@ def q_flatten_struct_wide(spark, sf_dir):
     return SS.flatten_struct(_nested_struct(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
 
 
-from voltframe.sources.adapters import EVENT_TYPE_ZONE, zone_coded_readings_from_events  # noqa: E402
-
 _ZONE_CASE = " ".join(f"WHEN '{et}' THEN '{z}'" for et, z in EVENT_TYPE_ZONE.items())
 
 
