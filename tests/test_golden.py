@@ -67,3 +67,24 @@ def test_edge_rows(spark):
     assert got[50]["lmp_total"] == 0.0                 # coerced then filled
     assert got[0]["data_completeness_hourly"] == 125.0 and got[0]["is_complete_hour"] is False
     assert got[0]["day_of_week"] == 5 and got[0]["time_period"] == "Weekend"
+
+
+def test_empty_batch(spark):
+    from voltframe.operators.summaries import batch_metadata, processing_summary
+    e = enrich_readings(spark.createDataFrame([], READING_TEXT))
+    assert e.readings.count() == 0
+    v = e.verdict.first()
+    assert v["is_empty"] is True and v["is_valid"] is True
+    s = processing_summary(e.readings).first()
+    assert s["status"] == "empty_dataframe" and s["record_count"] == 0
+    assert batch_metadata(e.readings).first()["record_count"] == 0
+
+
+def test_dst_day_and_five_readings_in_an_hour(spark):
+    # 2025-03-09 is a DST switch in North America; readings are UTC, so nothing shifts
+    rows = [(f"2025-03-09T07:{m:02d}:00Z", "A", None, str(10 + m), "1", "1", "1", f"2025-03-09T07:{m:02d}:30Z")
+            for m in (0, 10, 15, 30, 45)]
+    out = enrich_readings(spark.createDataFrame(rows, READING_TEXT)).readings.collect()
+    assert len(out) == 5 and {r["hour_of_day"] for r in out} == {7}
+    assert {r["data_completeness_hourly"] for r in out} == {125.0}    # may exceed 100
+    assert all(r["day_of_week"] == 6 and r["time_period"] == "Weekend" for r in out)
