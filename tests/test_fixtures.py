@@ -211,3 +211,13 @@ def test_flatten_struct_ragged_arrays(spark):
     got = {r["id"]: r.asDict() for r in out.collect()}
     assert (got[1]["xs_0_ys_1"], got[1]["xs_1_q"], got[1]["m"]) == (2, 6, '{"k":1}')
     assert got[2]["xs_0_q"] is None and got[2]["a"] == 2
+
+
+def test_to_xml_payload_items(spark):
+    schema = "id long, d struct<`api name`: string, readings: array<struct<`time-stamp`: string, value: double>>>"
+    df = spark.createDataFrame([(1, {"api name": "x", "readings": [{"time-stamp": "t0", "value": 1.5},
+                                                                   {"time-stamp": "t1", "value": 2.0}]})], schema)
+    xml = df.select(SS.to_xml_payload(df, "d")).first()[0]
+    compact = "".join(part.strip() for part in xml.splitlines())
+    assert compact == ("<root><api_name>x</api_name><readings><item_0><time_stamp>t0</time_stamp><value>1.5</value>"
+                       "</item_0><item_1><time_stamp>t1</time_stamp><value>2.0</value></item_1></readings></root>")

@@ -251,3 +251,29 @@ def to_xml_record(df: DataFrame, cols: list[str] | None = None, row_tag: str = "
     element-name rule."""
     cols = cols or df.columns
     return F.to_xml(F.struct(*[F.col(c).alias(xml_name(c)) for c in cols]), {"rowTag": row_tag})
+
+
+def to_xml_payload(df: DataFrame, col: str, root: str = "root") -> Column:
+    """SF4 for nested payloads: element names follow the rule (' ' and '-' to '_') and
+    every list becomes ``item_0 .. item_n`` children, as the reference writes dicts and
+    lists.  List lengths are the observed maxima (one size aggregate per nesting level);
+    missing positions are omitted."""
+    from pyspark.sql import types as T
+
+    def sizes_for(exprs: list[Column]) -> list[int]:
+        if not exprs:
+            return []
+        row = df.agg(*[F.coalesce(F.max(F.size(e)), F.lit(0)).alias(f"s{i}") for i, e in enumerate(exprs)]).first()
+        return [max(int(row[f"s{i}"]), 0) for i in range(len(exprs))]
+
+    def build(expr: Column, dt) -> Column:
+        if isinstance(dt, T.StructType):
+            return F.struct(*[build(expr[f.name], f.dataType).alias(xml_name(f.name)) for f in dt.fields])
+        if isinstance(dt, T.ArrayType):
+            (n,) = sizes_for([expr])
+            items = [build(F.try_element_at(expr, F.lit(i + 1)), dt.elementType).alias(f"item_{i}")
+                     for i in range(n)]
+            return F.struct(*items) if items else F.lit(None).cast("string")
+        return expr
+
+    return F.to_xml(build(F.col(col), df.schema[col].dataType), {"rowTag": root})
