@@ -3,7 +3,7 @@
 Every public operator is a ``DataFrame -> DataFrame`` function (composable with
 ``DataFrame.transform``) or a small builder of Catalyst expressions.  No Python
 UDF sits in a hot path; the only Python-side code runs inside Arrow batches
-(``mapInPandas``) for the global ordered lag/lead, which Spark cannot express
+(``mapInArrow``) for the global ordered lag/lead, which Spark cannot express
 without a single-partition window.
 """
 

@@ -3,7 +3,8 @@
 ``LAG(x) OVER (ORDER BY t)`` has no PARTITION BY, so Spark plans ``Exchange
 SinglePartition``: the whole series in one task.  Here the series is range-partitioned
 on the ordering key (sampled bounds, so dense stretches of time split across tasks),
-each partition computes its own lag/lead in Arrow batches, and only the first and last
+each partition computes its own lag/lead on Arrow batches (``mapInArrow``: zero-copy
+slices, no pandas conversion), and only the first and last
 row of every partition look across a boundary.  The boundary table has one row per
 partition (a proven bound), so it is broadcast.  One shuffle in total; the range
 exchange is shared by the row pass and the boundary pass.
@@ -11,7 +12,6 @@ exchange is shared by the row pass and the boundary pass.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,34 +19,40 @@ from pyspark.sql import types as T
 
 
 def _edge_fn(value: str, prev: str, nxt: str):
-    def emit(pdf, prev_before, starts, next_after, ends, pid):
-        v = pdf[value]
-        p, n = v.shift(1), v.shift(-1)
-        p, n = p.astype(object), n.astype(object)
-        p = p.where(p.notna(), None)
-        n = n.where(n.notna(), None)
-        if not starts:
-            p.iloc[0] = prev_before
-        if not ends:
-            n.iloc[-1] = next_after
-        first = pd.Series(False, index=pdf.index)
-        last = pd.Series(False, index=pdf.index)
-        first.iloc[0] = starts
-        last.iloc[-1] = ends
-        return pdf.assign(**{prev: p, nxt: n, "_pid": pid, "_first": first, "_last": last})
+    """Per range partition: previous/next value inside the partition, computed on Arrow
+    batches with zero-copy slices (no pandas conversion, decimals stay decimal128).
+    One batch is held back so the last row of a batch can see the next batch's first
+    value; the partition's first and last rows are flagged for stitching."""
+    import numpy as np
+    import pyarrow as pa
+
+    def emit(batch, prev_before, starts, next_after, ends, pid):
+        n = batch.num_rows
+        v = batch.column(batch.schema.get_field_index(value))
+        head = pa.array([None if starts else prev_before], type=v.type)
+        tail = pa.array([None if ends else next_after], type=v.type)
+        p = pa.concat_arrays([head, v.slice(0, n - 1)])
+        q = pa.concat_arrays([v.slice(1), tail])
+        first = np.zeros(n, dtype=bool)
+        last = np.zeros(n, dtype=bool)
+        first[0], last[-1] = starts, ends
+        cols = list(batch.columns) + [p, q, pa.array(np.full(n, pid, dtype=np.int32)), pa.array(first),
+                                      pa.array(last)]
+        names = list(batch.schema.names) + [prev, nxt, "_pid", "_first", "_last"]
+        return pa.RecordBatch.from_arrays(cols, names=names)
 
     def fn(batches):
         pid = TaskContext.get().partitionId()
         held, carry, started = None, None, False
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
+            col = batch.column(batch.schema.get_field_index(value))
             if held is not None:
-                yield emit(held[0], held[1], held[2], pdf[value].iloc[0], False, pid)
-            held = (pdf, carry, not started)
+                yield emit(held[0], held[1], held[2], col[0].as_py(), False, pid)
+            held = (batch, carry, not started)
             started = True
-            carry = pdf[value].iloc[-1]
+            carry = col[batch.num_rows - 1].as_py()
         if held is not None:
             yield emit(held[0], held[1], held[2], None, True, pid)
     return fn
@@ -65,7 +71,7 @@ def global_lag_lead(df: DataFrame, order: list[str], value: str, prev: str = "pr
         T.StructField("_pid", T.IntegerType()), T.StructField("_first", T.BooleanType()),
         T.StructField("_last", T.BooleanType()),
     ])
-    rows = ranged.mapInPandas(_edge_fn(value, prev, nxt), out_schema)
+    rows = ranged.mapInArrow(_edge_fn(value, prev, nxt), out_schema)
 
     key = F.struct(*order)
     bounds = (ranged.withColumn("_pid", F.spark_partition_id())
