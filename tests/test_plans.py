@@ -136,3 +136,13 @@ def test_statistics_combine_map_side(spark):
     from voltframe.sources.adapters import load_readings
     plan = _plan(hourly_stats(load_readings(spark, SF)))
     assert "partial_avg" in plan and "partial_stddev_samp" in plan
+
+
+def test_bounded_quantiles_agree_with_band_search(spark):
+    from voltframe.operators.quantiles import exact_quantiles_bounded
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame(pd.DataFrame({"v": rng.normal(0, 1, 2000).round(3), "w": rng.integers(1, 5, 2000)}))
+    qs = [0.1, 0.5, 0.75]
+    small = exact_quantiles_bounded(df, "v", qs, 2000, weight="w")
+    band = exact_quantiles(df, "v", qs, weight="w", limit=100)
+    assert np.allclose(small, band, rtol=0, atol=1e-12)

@@ -102,6 +102,20 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], weight: str | No
     return quantiles_from_counts(value_counts(df, value, weight), qs, limit)
 
 
+def exact_quantiles_bounded(df: DataFrame, value: str, qs: list[float], rows: int,
+                            weight: str | None = None, limit: int = COLLECT_LIMIT) -> list[float | None]:
+    """Exact quantiles when the input's row count is known: within ``limit`` rows,
+    Spark's ``percentile`` (one aggregate; its value map is bounded by the row count);
+    beyond it, the band search."""
+    if rows > limit:
+        return exact_quantiles(df, value, qs, weight, limit)
+    freq = F.col(weight).cast("long") if weight else F.lit(1)
+    v = F.col(value).cast("double")
+    kept = df.filter(v.isNotNull() & ~F.isnan(v))
+    out = kept.agg(F.percentile(v, qs, freq)).first()[0]
+    return list(out) if out is not None else [None] * len(qs)
+
+
 def approx_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int = APPROX_ACCURACY) -> list:
     """AG8 opt-in: one sketch pass (rank error <= n / accuracy), values from the data."""
     row = df.agg(F.percentile_approx(F.col(value).cast("double"), qs, accuracy)).first()[0]

@@ -20,7 +20,7 @@ from voltframe.operators.clean import clean_readings
 from voltframe.operators.common import join_small, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
 from voltframe.operators.hourly import daily_means, reading_statistics
-from voltframe.operators.quantiles import exact_quantiles
+from voltframe.operators.quantiles import exact_quantiles_bounded
 from voltframe.operators.validate import batch_verdict, gate, observed_verdict
 
 
@@ -61,7 +61,7 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
 
     # MA7: row-weighted 75th percentile of the hour volatility, exact, as a scalar
     vol_rows = hourly.select(F.coalesce("lmp_total_std_hourly", F.lit(0.0)).alias("vol"), "_rows")
-    (threshold,) = exact_quantiles(vol_rows, "vol", [VOLATILITY_QUANTILE], weight="_rows")
+    (threshold,) = exact_quantiles_bounded(vol_rows, "vol", [VOLATILITY_QUANTILE], n_hourly, weight="_rows")
 
     joined = join_small(cleaned, hourly_ctx.drop("_rows"), ["location_id", "hour"], "left", rows=n_hourly)
     joined = join_small(joined, system, ["timestamp"], "left", rows=n_system)
