@@ -191,3 +191,16 @@ def test_enrich_stream_upserts_each_batch(spark):
     enrich_stream_to_table(s, f"{root}/table", f"{root}/ck")
     got = {r["minute_of_hour"]: r["lmp_total"] for r in spark.read.parquet(f"{root}/table").collect()}
     assert got == {0: 50.0, 15: 46.2}        # the re-pulled 10:00 reading replaced the first one
+
+
+def test_f11_frame_round_trips_every_format(spark):
+    regions = ["North", "South", "East", "West"]
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), 100.0 + 9.0 * i, -10.0 + 0.45 * i, regions[i % 4])
+            for i in range(100)]
+    schema = "date date, energy_consumption double, temperature double, region string"
+    df = spark.createDataFrame(rows, schema)
+    for fmt in ("csv", "tsv", "json", "parquet", "xml"):
+        path = scratch_path(spark, f"f11-{fmt}")
+        W.WRITERS[fmt](df, path)
+        back = read_back(spark, path, fmt, df.schema).select(*df.columns)
+        assert sorted(map(tuple, back.collect())) == sorted(rows), fmt
