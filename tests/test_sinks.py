@@ -19,7 +19,18 @@ def _frame(spark):
 def test_yaml_and_html(spark):
     df = _frame(spark)
     y = [r[0] for r in W.yaml_records(df).collect()]
-    assert y[0] == "- energy_consumption: '1250.5'\n  region: 'Northeast'\n  timestamp: '2025-06-24 10:00:00'"
+    assert y[0] == "- energy_consumption: 1250.5\n  region: 'Northeast'\n  timestamp: '2025-06-24 10:00:00'"
+    typed = spark.createDataFrame([(1, True, None, 1e20, dt.date(2024, 1, 2))], "n int, b boolean, s string, f double, d date")
+    assert W.yaml_records(typed).first()[0] == "- b: true\n  d: 2024-01-02\n  f: 1.0e+20\n  n: 1\n  s: null"
+
+
+def test_yaml_loads_back(spark):
+    import yaml
+    rows = [(1, "it's", 2.5, True, dt.date(2024, 1, 2)), (2, None, -1e-07, False, None), (3, "x: y", 1e20, None, None)]
+    df = spark.createDataFrame(rows, "n int, s string, f double, b boolean, d date")
+    text = "\n".join(r[0] for r in W.yaml_records(df).orderBy(F.col("value")).collect())
+    loaded = sorted(yaml.safe_load(text), key=lambda r: r["n"])
+    assert loaded == [dict(zip(["n", "s", "f", "b", "d"], r)) for r in rows]
     h = W.html_rows(spark.createDataFrame([("a<b", 1)], "x string, y int")).first()[0]
     assert h == "<tr><td>a&lt;b</td><td>1</td></tr>"
 

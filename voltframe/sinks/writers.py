@@ -85,13 +85,35 @@ def write_html(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def yaml_records(df: DataFrame) -> DataFrame:
-    """SNK7 body: a block-style YAML list item per record, keys sorted."""
+    """SNK7 body: a block-style YAML list item per record, keys sorted.  Numbers and
+    booleans are plain scalars (floats as Python prints them), dates and timestamps
+    ISO, strings single-quoted, NULL as ``null``: the values keep their types."""
+    from pyspark.sql import types as T
+
+    from voltframe.functions.semistructured import py_float_text
     keys = sorted(df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
 
     def val(c):
-        v = F.col(f"`{c}`").cast("string")
-        return F.when(v.isNull(), F.lit("null")).otherwise(F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")),
-                                                                     F.lit("'")))
+        col, t = F.col(f"`{c}`"), types[c]
+        if isinstance(t, (T.FloatType, T.DoubleType)):
+            d = col.cast("double")
+            py = py_float_text(d)
+            # YAML 1.1 floats need a '.', and infinities/NaN have their own spellings
+            text = (F.when(F.isnan(d), ".nan").when(d == float("inf"), ".inf").when(d == float("-inf"), "-.inf")
+                    .when((F.instr(py, ".") == 0) & (F.instr(py, "e") > 0), F.replace(py, F.lit("e"), F.lit(".0e")))
+                    .otherwise(py))
+        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+            text = col.cast("string")
+        elif isinstance(t, T.BooleanType):
+            text = F.when(col, "true").otherwise("false")
+        elif isinstance(t, T.DateType):
+            text = F.date_format(col, "yyyy-MM-dd")
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            text = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+        else:
+            text = F.concat(F.lit("'"), F.replace(col.cast("string"), F.lit("'"), F.lit("''")), F.lit("'"))
+        return F.when(col.isNull(), F.lit("null")).otherwise(text)
     lines = [F.concat(F.lit(("- " if i == 0 else "  ") + f"{k}: "), val(k)) for i, k in enumerate(keys)]
     return df.select(F.concat_ws("\n", *lines).alias("value"))
 
