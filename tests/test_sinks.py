@@ -215,3 +215,13 @@ def test_f11_frame_round_trips_every_format(spark):
         W.WRITERS[fmt](df, path)
         back = read_back(spark, path, fmt, df.schema).select(*df.columns)
         assert sorted(map(tuple, back.collect())) == sorted(rows), fmt
+
+
+def test_save_data_naming_and_manifest(spark):
+    root = scratch_path(spark, "savedata")
+    m = W.save_data(_frame(spark), root, "demand", folder_path="/iso_out/", when=dt.datetime(2025, 7, 2, 14, 30, 25),
+                    manifest_path=f"{root}/_manifest").first()
+    assert m["path"] == f"{root}/iso_out/demand_20250702_143025.csv" and m["record_count"] == 2
+    assert spark.read.parquet(f"{root}/_manifest").count() == 1
+    m2 = W.save_data(_frame(spark), root, "plain", data_format="JSON", include_timestamp=False).first()
+    assert m2["path"] == f"{root}/plain.json" and m2["data_format"] == "json"

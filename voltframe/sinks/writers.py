@@ -221,6 +221,24 @@ def write_with_manifest(df: DataFrame, path: str, fmt: str, manifest_path: str |
     return manifest
 
 
+def save_data(df: DataFrame, root: str, file_prefix: str = DEFAULT_FILE_PREFIX, data_format: str | None = None,
+              folder_path: str | None = None, include_timestamp: bool = True, unique_id: str | None = None,
+              when: dt.datetime | None = None, manifest_path: str | None = None) -> DataFrame:
+    """Save a frame under the foldered, time-stamped name rule and describe the upload
+    (manifest row).  Frames default to CSV, as in the reference; ``folder_path`` is
+    stripped of slashes; without a timestamp the name is just ``<prefix>.<ext>``."""
+    fmt = (data_format or "csv").lower()
+    if fmt not in WRITERS:
+        raise ValueError(f"unsupported frame format: {fmt}")
+    when = when or dt.datetime.now()
+    name = f"{file_prefix}_{when.strftime(NAME_TS)}" if include_timestamp else file_prefix
+    if unique_id:
+        name = f"{name}_{unique_id}"
+    folder = (folder_path or "").strip("/")
+    path = f"{root.rstrip('/')}/{folder + '/' if folder else ''}{name}.{fmt}"
+    return write_with_manifest(df, path, fmt, manifest_path)
+
+
 def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]:
     """SNK15: table upsert + CSV + JSON + batch metadata in one call, returning the
     paths.  The frame is persisted once (memory and disk) so the four writes share one
