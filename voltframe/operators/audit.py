@@ -73,3 +73,15 @@ def ingest_audit(run_log: DataFrame, by: list[str] | None = None) -> DataFrame:
                                         .otherwise(F.lit(0.0)), 4),
         "successful_end_to_end": F.col("successful_uploads"),
     })
+
+
+def selective_summary(run_log: DataFrame, names: list[str], by: list[str] | None = None) -> DataFrame:
+    """PF6 + AG16 for a selective run: per run, uploads that succeeded among the
+    selected sources, the number of sources asked for, and their ratio (0 when none
+    were asked for)."""
+    by = by or ["run_id"]
+    asked = len(names)
+    agg = select_sources(run_log, names).groupBy(*by).agg(
+        F.count_if(F.col("upload_status") == "success").alias("successful_count"))
+    rate = F.col("successful_count") / F.lit(float(asked)) if asked else F.lit(0.0)
+    return agg.withColumns({"total_count": F.lit(asked), "success_rate": round_to(rate, 4)})

@@ -17,7 +17,9 @@ from voltframe.functions import formats as FM
 from voltframe.functions import semistructured as SS
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.anomaly import flag_anomalies
-from voltframe.operators.audit import SOURCE_CATALOGUE, ingest_audit, resolve_sources, select_sources
+from voltframe.operators.audit import (
+    SOURCE_CATALOGUE, ingest_audit, resolve_sources, select_sources, selective_summary,
+)
 from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
 from voltframe.operators.common import spread
 from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values
@@ -770,3 +772,10 @@ def q_zone_enriched_codes(spark, sf_dir):
     r = (zone_coded_readings_from_events(load_table(spark, sf_dir, "events"))
          .select("timestamp", "location_id", "event_id", "lmp_total"))
     return enrich_with_zones(r)
+
+
+@register("selective_summary", O.with_(_RUNLOG) +
+          f"SELECT run_id, {_UP} AS successful_count, 2 AS total_count, {O.rnd(f'{_UP} / 2', 4)} AS success_rate "
+          "FROM l WHERE api_name IN ('Hourly DA LMP Final', 'Morning Report') GROUP BY run_id")
+def q_selective_summary(spark, sf_dir):
+    return selective_summary(run_log_from_orders(load_table(spark, sf_dir, "orders")), _SELECTED)
