@@ -225,3 +225,15 @@ def test_save_data_naming_and_manifest(spark):
     assert spark.read.parquet(f"{root}/_manifest").count() == 1
     m2 = W.save_data(_frame(spark), root, "plain", data_format="JSON", include_timestamp=False).first()
     assert m2["path"] == f"{root}/plain.json" and m2["data_format"] == "json"
+
+
+def test_manifest_metadata_and_audit_label(spark):
+    from voltframe.operators.audit import ingest_audit
+    m = W.write_with_manifest(_frame(spark), scratch_path(spark, "meta"), "csv",
+                              metadata={"api_name": "Morning Report", "data_source": "api_collector"}).first()
+    assert m["metadata"] == {"api_name": "Morning Report", "data_source": "api_collector"}
+    log = spark.createDataFrame([("r1", "a", "success", "success", dt.datetime(2024, 1, 1))],
+                                "run_id string, api_name string, collection_status string, upload_status string, "
+                                "timestamp timestamp")
+    a = ingest_audit(log, label="Northeast").first()
+    assert a["region"] == "Northeast" and a["upload_success_rate"] == 1.0

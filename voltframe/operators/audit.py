@@ -49,10 +49,10 @@ def select_sources(run_log: DataFrame, names: list[str]) -> DataFrame:
     return run_log.filter(F.col("api_name").isin(names))
 
 
-def ingest_audit(run_log: DataFrame, by: list[str] | None = None) -> DataFrame:
+def ingest_audit(run_log: DataFrame, by: list[str] | None = None, label: str | None = None) -> DataFrame:
     """AG16: per run, totals, successes and failures of collection and upload, the
     collection rate ok / max(total, 1), the upload rate up / ok (0 without successes)
-    and the run duration."""
+    and the run duration.  ``label`` (e.g. a region) only labels the summary rows."""
     by = by or ["run_id"]
     ok = F.count_if(F.col("collection_status") == "success")
     up = F.count_if(F.col("upload_status") == "success")
@@ -65,7 +65,7 @@ def ingest_audit(run_log: DataFrame, by: list[str] | None = None) -> DataFrame:
         (F.unix_seconds(F.max(F.col("timestamp").cast("timestamp")))
          - F.unix_seconds(F.min(F.col("timestamp").cast("timestamp")))).alias("duration_seconds"),
     )
-    return agg.withColumns({
+    out = agg.withColumns({
         "collection_success_rate": round_to(F.col("successful_collections")
                                             / F.greatest(F.col("total_apis"), F.lit(1)), 4),
         "upload_success_rate": round_to(F.when(F.col("successful_collections") > 0,
@@ -73,6 +73,7 @@ def ingest_audit(run_log: DataFrame, by: list[str] | None = None) -> DataFrame:
                                         .otherwise(F.lit(0.0)), 4),
         "successful_end_to_end": F.col("successful_uploads"),
     })
+    return out if label is None else out.withColumn("region", F.lit(label))
 
 
 def selective_summary(run_log: DataFrame, names: list[str], by: list[str] | None = None) -> DataFrame:

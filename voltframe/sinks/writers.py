@@ -203,7 +203,8 @@ def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_c
     return spark.read.schema(schema).parquet(path)
 
 
-def write_with_manifest(df: DataFrame, path: str, fmt: str, manifest_path: str | None = None) -> DataFrame:
+def write_with_manifest(df: DataFrame, path: str, fmt: str, manifest_path: str | None = None,
+                        metadata: dict | None = None) -> DataFrame:
     """SNK12: write, counting records in the same pass, then describe the upload (format,
     records, columns, names, bytes, time) as a one-row frame; appended to
     ``manifest_path`` when given."""
@@ -216,6 +217,9 @@ def write_with_manifest(df: DataFrame, path: str, fmt: str, manifest_path: str |
     row = (path, fmt, int(records), len(df.columns), ",".join(df.columns), int(size),
            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     manifest = spark.createDataFrame([row], MANIFEST)
+    if metadata:   # custom key/values ride along as text, as object metadata does
+        manifest = manifest.withColumn("metadata", F.create_map(*[x for k, v in sorted(metadata.items())
+                                                                  for x in (F.lit(str(k)), F.lit(str(v)))]))
     if manifest_path:
         manifest.write.mode("append").parquet(manifest_path)
     return manifest
