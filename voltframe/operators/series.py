@@ -12,7 +12,6 @@ exchange is shared by the row pass and the boundary pass.
 
 from __future__ import annotations
 
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +25,7 @@ def _edge_fn(value: str, prev: str, nxt: str):
     import numpy as np
     import pyarrow as pa
 
-    def emit(batch, prev_before, starts, next_after, ends, pid):
+    def emit(batch, prev_before, starts, next_after, ends):
         n = batch.num_rows
         v = batch.column(batch.schema.get_field_index(value))
         head = pa.array([None if starts else prev_before], type=v.type)
@@ -36,25 +35,23 @@ def _edge_fn(value: str, prev: str, nxt: str):
         first = np.zeros(n, dtype=bool)
         last = np.zeros(n, dtype=bool)
         first[0], last[-1] = starts, ends
-        cols = list(batch.columns) + [p, q, pa.array(np.full(n, pid, dtype=np.int32)), pa.array(first),
-                                      pa.array(last)]
-        names = list(batch.schema.names) + [prev, nxt, "_pid", "_first", "_last"]
+        cols = list(batch.columns) + [p, q, pa.array(first), pa.array(last)]
+        names = list(batch.schema.names) + [prev, nxt, "_first", "_last"]
         return pa.RecordBatch.from_arrays(cols, names=names)
 
     def fn(batches):
-        pid = TaskContext.get().partitionId()
         held, carry, started = None, None, False
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             col = batch.column(batch.schema.get_field_index(value))
             if held is not None:
-                yield emit(held[0], held[1], held[2], col[0].as_py(), False, pid)
+                yield emit(held[0], held[1], held[2], col[0].as_py(), False)
             held = (batch, carry, not started)
             started = True
             carry = col[batch.num_rows - 1].as_py()
         if held is not None:
-            yield emit(held[0], held[1], held[2], None, True, pid)
+            yield emit(held[0], held[1], held[2], None, True)
     return fn
 
 
@@ -64,17 +61,18 @@ def global_lag_lead(df: DataFrame, order: list[str], value: str, prev: str = "pr
     broken by the remaining columns of ``order``, so list a tiebreak)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # the partition id is one column on one plan node, read by both passes
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id()))
     vtype = df.schema[value].dataType
-    out_schema = T.StructType(df.schema.fields + [
+    out_schema = T.StructType(ranged.schema.fields + [
         T.StructField(prev, vtype), T.StructField(nxt, vtype),
-        T.StructField("_pid", T.IntegerType()), T.StructField("_first", T.BooleanType()),
-        T.StructField("_last", T.BooleanType()),
+        T.StructField("_first", T.BooleanType()), T.StructField("_last", T.BooleanType()),
     ])
     rows = ranged.mapInArrow(_edge_fn(value, prev, nxt), out_schema)
 
     key = F.struct(*order)
-    bounds = (ranged.withColumn("_pid", F.spark_partition_id())
+    bounds = (ranged
               .groupBy("_pid")
               .agg(F.min_by(value, key).alias("_head"), F.max_by(value, key).alias("_tail")))
     w = Window.orderBy("_pid")          # one row per partition: a bounded, tiny window
