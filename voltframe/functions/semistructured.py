@@ -72,10 +72,11 @@ def _leaf_text(v: Column, kind: Column | None = None) -> Column:
             .otherwise(as_text))
 
 
-def variant_depth(v: Column) -> Column:
+def variant_depth(v: Column, schema_text: Column | None = None) -> Column:
     """Container nesting depth of a Variant value, from its schema text: the deepest
     run of '<' (names in backticks are removed first, so keys cannot fake brackets)."""
-    schema = F.regexp_replace(F.schema_of_variant(v), "`([^`]|``)*`", "")
+    text = F.schema_of_variant(v) if schema_text is None else schema_text
+    schema = F.regexp_replace(text, "`([^`]|``)*`", "")
     brackets = F.regexp_replace(schema, "[^<>]", "")
 
     def step(acc, ch):
@@ -85,11 +86,12 @@ def variant_depth(v: Column) -> Column:
     return F.aggregate(F.split(brackets, ""), start, step, lambda acc: acc["m"])
 
 
-def may_clash(v: Column, sep: str = "_") -> Column:
+def may_clash(v: Column, sep: str = "_", schema_text: Column | None = None) -> Column:
     """True when a document has a key containing ``sep`` or needing backtick quoting
     (empty or special); only then can two leaves join to the same key.  Read from the
     schema text, so it is conservative: any ``sep`` outside a type name counts."""
-    schema = F.replace(F.schema_of_variant(v), F.lit("TIMESTAMP_NTZ"), F.lit(""))
+    text = F.schema_of_variant(v) if schema_text is None else schema_text
+    schema = F.replace(text, F.lit("TIMESTAMP_NTZ"), F.lit(""))
     return F.coalesce((F.instr(schema, sep) > 0) | (F.instr(schema, "`") > 0), F.lit(True))
 
 
@@ -107,8 +109,10 @@ def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str =
     pass through a level unchanged), all narrow, so a single job flattens every
     document.  Only when a clash is possible is there a group-by on (ids, key)."""
     spark = df.sparkSession
-    stats = df.agg(F.max(variant_depth(F.col(v))).alias("d"),
-                   F.max(may_clash(F.col(v), sep).cast("int")).alias("c")).first()
+    # one schema text per document, read by both measures
+    schemas = df.select(F.schema_of_variant(F.col(v)).alias("_schema"))
+    stats = schemas.agg(F.max(variant_depth(F.col(v), F.col("_schema"))).alias("d"),
+                        F.max(may_clash(F.col(v), sep, F.col("_schema")).cast("int")).alias("c")).first()
     depth = stats["d"] or 0
     resolve_clashes = resolve_clashes and bool(stats["c"])
     if depth > max_depth:
