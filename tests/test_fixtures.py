@@ -221,3 +221,13 @@ def test_to_xml_payload_items(spark):
     compact = "".join(part.strip() for part in xml.splitlines())
     assert compact == ("<root><api_name>x</api_name><readings><item_0><time_stamp>t0</time_stamp><value>1.5</value>"
                        "</item_0><item_1><time_stamp>t1</time_stamp><value>2.0</value></item_1></readings></root>")
+
+
+def test_anomaly_approx_opt_in(spark):
+    from voltframe.operators.anomaly import anomaly_bounds
+    df = spark.createDataFrame([(float(v),) for v in range(1, 1001)], "lmp_total double")
+    exact = anomaly_bounds(df, method="iqr")
+    approx = anomaly_bounds(df, method="iqr", approx=True)
+    assert abs(exact["q1"] - approx["q1"]) <= 1 and abs(exact["q3"] - approx["q3"]) <= 1
+    m = anomaly_bounds(df, method="modified_zscore", approx=True)
+    assert abs(m["median"] - 500.5) <= 1 and abs(m["mad"] - 250) <= 1

@@ -8,30 +8,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.operators.quantiles import exact_quantiles, median_and_mad
+from voltframe.operators.quantiles import approx_quantiles, exact_quantiles, median_and_mad
 
 METHODS = ("iqr", "zscore", "modified_zscore")
 # Fixed value: scale of the modified z-score.
 MODIFIED_Z_SCALE = 0.6745
 
 
-def anomaly_bounds(df: DataFrame, price_col: str = "lmp_total", method: str = "iqr") -> dict:
-    """The batch statistics a method needs, as Python scalars."""
+def anomaly_bounds(df: DataFrame, price_col: str = "lmp_total", method: str = "iqr",
+                   approx: bool = False) -> dict:
+    """The batch statistics a method needs, as Python scalars.  ``approx`` swaps the
+    exact quantiles for one bounded-sketch pass (AG8 opt-in)."""
     if method not in METHODS:
         raise ValueError(f"Unknown method: {method}")
     if method == "iqr":
-        q1, q3 = exact_quantiles(df, price_col, [0.25, 0.75])
+        quant = approx_quantiles if approx else exact_quantiles
+        q1, q3 = quant(df, price_col, [0.25, 0.75])
         return {"q1": q1, "q3": q3}
     if method == "zscore":
         row = df.agg(F.avg(price_col).alias("mean"), F.stddev_samp(price_col).alias("std")).first()
         return {"mean": row["mean"], "std": row["std"]}
+    if approx:
+        (med,) = approx_quantiles(df, price_col, [0.5])
+        if med is None:
+            return {"median": None, "mad": None}
+        dev = df.select(F.abs(F.col(price_col) - F.lit(med)).alias("_dev"))
+        (mad,) = approx_quantiles(dev, "_dev", [0.5])
+        return {"median": med, "mad": mad}
     med, mad = median_and_mad(df, price_col)
     return {"median": med, "mad": mad}
 
 
 def flag_anomalies(df: DataFrame, price_col: str = "lmp_total", method: str = "iqr",
-                   threshold: float = 3.0, out_col: str = "is_anomaly") -> DataFrame:
-    s = anomaly_bounds(df, price_col, method)
+                   threshold: float = 3.0, out_col: str = "is_anomaly", approx: bool = False) -> DataFrame:
+    s = anomaly_bounds(df, price_col, method, approx)
     p = F.col(price_col)
     lit = lambda v: F.lit(v).cast("double")
     if method == "iqr":
