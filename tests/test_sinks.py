@@ -237,3 +237,10 @@ def test_manifest_metadata_and_audit_label(spark):
                                 "timestamp timestamp")
     a = ingest_audit(log, label="Northeast").first()
     assert a["region"] == "Northeast" and a["upload_success_rate"] == 1.0
+
+
+def test_save_to_storage_empty_batch(spark):
+    from voltframe.plans.enrich import enrich_readings
+    from voltframe.schemas import READING_TEXT
+    empty = enrich_readings(spark.createDataFrame([], READING_TEXT)).readings
+    assert W.save_to_storage(empty, scratch_path(spark, "snk15-empty"), "20250604") == {}

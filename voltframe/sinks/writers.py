@@ -246,8 +246,10 @@ def save_data(df: DataFrame, root: str, file_prefix: str = DEFAULT_FILE_PREFIX,
 def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]:
     """SNK15: table upsert + CSV + JSON + batch metadata in one call, returning the
     paths.  The frame is persisted once (memory and disk) so the four writes share one
-    computation."""
+    computation.  An empty batch writes nothing and returns no paths (PF8)."""
     from voltframe.operators.summaries import batch_metadata
+    if enriched.isEmpty():
+        return {}
     cached = enriched.persist()
     try:
         paths = {"table": f"{root}/lmp_data", "csv": f"{root}/processed/lmp_data_{date}.csv",
