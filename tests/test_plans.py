@@ -146,3 +146,14 @@ def test_bounded_quantiles_agree_with_band_search(spark):
     small = exact_quantiles_bounded(df, "v", qs, 2000, weight="w")
     band = exact_quantiles(df, "v", qs, weight="w", limit=100)
     assert np.allclose(small, band, rtol=0, atol=1e-12)
+
+
+def test_plan_policy_for_every_query(spark):
+    """No cross joins anywhere; no row-at-a-time Python; Arrow-batched Python only in
+    the global lag/lead."""
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF))
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        if name != "kwh_peaks":
+            assert "MapInArrow" not in plan and "MapInPandas" not in plan, name
