@@ -157,3 +157,5 @@ def test_plan_policy_for_every_query(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         if name != "kwh_peaks":
             assert "MapInArrow" not in plan and "MapInPandas" not in plan, name
+        if name != "outlier_top5":   # a limit only where top-k is the feature
+            assert not any(k in plan for k in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject")), name
