@@ -157,5 +157,10 @@ def test_plan_policy_for_every_query(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         if name != "kwh_peaks":
             assert "MapInArrow" not in plan and "MapInPandas" not in plan, name
+        lines = plan.splitlines()
+        for i, ln in enumerate(lines):   # only aggregated rows ever meet in one partition
+            if "Exchange SinglePartition" in ln:
+                child = lines[i + 1]
+                assert "Aggregate" in child and ("partial_" in child or "_pid" in child), (name, child)
         if name != "outlier_top5":   # a limit only where top-k is the feature
             assert not any(k in plan for k in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject")), name
