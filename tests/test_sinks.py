@@ -112,7 +112,9 @@ def test_save_to_storage(spark):
     paths = W.save_to_storage(enriched, scratch_path(spark, "snk15"), "20250604")
     assert set(paths) == {"table", "csv", "json", "metadata"}
     assert read_back(spark, paths["json"], "json").count() == 1
-    assert read_back(spark, paths["metadata"], "json").first()["record_count"] == 1
+    meta = read_back(spark, paths["metadata"], "json").first()
+    assert meta["record_count"] == 1 and meta["locations"] == [".Z.MAINE"]
+    assert meta["price_summary"]["avg_lmp"] == 45.5 and meta["data_quality"]["total_hours"] == 1
 
 
 def test_manifest_counts_in_write_pass(spark):

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from voltframe.functions.numeric import round_to
 
 
-def batch_metadata(enriched: DataFrame) -> DataFrame:
+def batch_metadata(enriched: DataFrame, nested: bool = False) -> DataFrame:
     """AG5: one-row metadata of an enriched batch (flat columns), one aggregate.  The
     sorted zone list is a set of distinct zones per task (bounded by the zone
-    dimension, a few hundred ids), merged once."""
-    return enriched.agg(
+    dimension, a few hundred ids), merged once.  ``nested`` groups the columns as the
+    reference's metadata document (time_range, data_quality, price_summary)."""
+    flat = enriched.agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_distinct("location_id").alias("unique_locations"),
         F.min("timestamp").alias("time_start"),
@@ -27,6 +28,16 @@ def batch_metadata(enriched: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.col("has_congestion"), F.col("location_id"))).alias("zones_with_congestion"),
         F.array_join(F.array_sort(F.collect_set("location_id")), ",").alias("locations"),
     )
+    if not nested:
+        return flat
+    return flat.select(
+        "record_count", F.col("unique_locations"),
+        F.split(F.col("locations"), ",").alias("locations"),
+        F.struct(F.col("time_start").alias("start"), F.col("time_end").alias("end")).alias("time_range"),
+        F.struct(F.col("avg_completeness"), F.col("min_completeness"), F.col("complete_hours"),
+                 F.col("total_hours")).alias("data_quality"),
+        F.struct(F.col("avg_lmp"), F.col("min_lmp"), F.col("max_lmp"),
+                 F.col("zones_with_congestion")).alias("price_summary"))
 
 
 def processing_summary(enriched: DataFrame) -> DataFrame:

@@ -258,7 +258,7 @@ def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]
         upsert(cached, paths["table"])
         write_csv(cached, paths["csv"])
         write_json(cached, paths["json"])
-        write_json(batch_metadata(cached).withColumn("date", F.lit(date)), paths["metadata"])
+        write_json(batch_metadata(cached, nested=True).withColumn("date", F.lit(date)), paths["metadata"])
         return paths
     finally:
         cached.unpersist()
