@@ -88,3 +88,11 @@ def test_dst_day_and_five_readings_in_an_hour(spark):
     assert len(out) == 5 and {r["hour_of_day"] for r in out} == {7}
     assert {r["data_completeness_hourly"] for r in out} == {125.0}    # may exceed 100
     assert all(r["day_of_week"] == 6 and r["time_period"] == "Weekend" for r in out)
+
+
+def test_processing_summary_nested(spark):
+    from voltframe.operators.summaries import processing_summary
+    e = enrich_readings(spark.createDataFrame(SAMPLE, READING_TEXT)).readings
+    s = processing_summary(e, nested=True).first()
+    assert s["status"] == "success" and s["avg_lmp_by_zone"] == {".Z.MAINE": 45.85}
+    assert s["data_completeness"]["avg"] == 50.0 and s["congestion_summary"]["intervals_with_congestion"] == 2

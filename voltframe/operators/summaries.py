@@ -40,10 +40,11 @@ def batch_metadata(enriched: DataFrame, nested: bool = False) -> DataFrame:
                  F.col("zones_with_congestion")).alias("price_summary"))
 
 
-def processing_summary(enriched: DataFrame) -> DataFrame:
+def processing_summary(enriched: DataFrame, nested: bool = False) -> DataFrame:
     """AG6: status, counts, range, mean price by zone (map, 2 digits), completeness and
     congestion counts.  Two aggregate levels: per zone (distributed, map-side
-    combined), then one row from the zone partials (one entry per zone)."""
+    combined), then one row from the zone partials (one entry per zone).  ``nested``
+    groups the columns as the reference's summary document."""
     per_zone = enriched.groupBy("location_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("lmp_total").alias("p_sum"), F.count("lmp_total").alias("p_n"),
         F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"),
@@ -62,7 +63,16 @@ def processing_summary(enriched: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(
             F.when(F.col("location_id").isNotNull(), F.struct("location_id", zone_avg.alias("avg_lmp"))))))
         .alias("avg_lmp_by_zone"))
-    return out.withColumn("status", F.when(F.col("record_count") == 0, "empty_dataframe").otherwise("success"))
+    out = out.withColumn("status", F.when(F.col("record_count") == 0, "empty_dataframe").otherwise("success"))
+    if not nested:
+        return out
+    return out.select(
+        "status", "record_count", "unique_locations",
+        F.struct(F.col("start_time").alias("start"), F.col("end_time").alias("end")).alias("date_range"),
+        "avg_lmp_by_zone",
+        F.struct(F.col("avg_completeness").alias("avg"), F.col("min_completeness").alias("min"))
+        .alias("data_completeness"),
+        F.struct("intervals_with_congestion", "zones_with_congestion").alias("congestion_summary"))
 
 
 def load_weighted_average(df: DataFrame, price: str = "lmp_total", load: str = "load",
