@@ -138,3 +138,17 @@ def test_trim_first_option(spark):
     df = spark.createDataFrame(rows, READING_TEXT)
     assert clean_readings(df).count() == 2                    # reference order: dedup before trim
     assert clean_readings(df, trim_first=True).count() == 1   # option: trim, then dedup
+
+
+def test_round_to_matches_duckdb(spark):
+    import duckdb
+    from voltframe.functions.numeric import round_to
+    rng = random.Random(21)
+    vals = [rng.uniform(-1000, 1000) for _ in range(300)] + [k / 8 for k in range(-40, 40)]   # includes exact ties
+    vals += [2.675, 1.005, 0.125, -0.125, 45.85, 0.4950, 3.89425, 1e-10, 123456.78905]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for d in (1, 2, 4):
+        got = [r[0] for r in df.select(round_to(F.col("x"), d)).collect()]
+        want = [r[0] for r in duckdb.sql(f"SELECT round(round(x, 9), {d}) FROM (SELECT unnest(?) AS x)",
+                                         params=[vals]).fetchall()]
+        assert got == want, d
