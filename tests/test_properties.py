@@ -152,3 +152,25 @@ def test_round_to_matches_duckdb(spark):
         want = [r[0] for r in duckdb.sql(f"SELECT round(round(x, 9), {d}) FROM (SELECT unnest(?) AS x)",
                                          params=[vals]).fetchall()]
         assert got == want, d
+
+
+def test_time_fields_match_python_calendar(spark):
+    import datetime as dt
+    from voltframe.functions.timefields import add_time_fields
+    rng = random.Random(3)
+    stamps = [dt.datetime(2019, 1, 1) + dt.timedelta(minutes=15 * rng.randint(0, 4 * 24 * 365 * 6)) for _ in range(500)]
+    stamps += [dt.datetime(2020, 12, 31, 23, 45), dt.datetime(2021, 1, 3, 7, 0), dt.datetime(2024, 2, 29, 22, 59)]
+    df = spark.createDataFrame([(t,) for t in stamps], "timestamp timestamp_ntz")
+    seasons = {12: "Winter", 1: "Winter", 2: "Winter", 3: "Spring", 4: "Spring", 5: "Spring",
+               6: "Summer", 7: "Summer", 8: "Summer", 9: "Fall", 10: "Fall", 11: "Fall"}
+    for r in add_time_fields(df).collect():
+        t = r["timestamp"]
+        weekend, peak = t.weekday() in (5, 6), 7 <= t.hour <= 22
+        assert (r["date"], r["hour_of_day"], r["minute_of_hour"]) == (t.strftime("%Y-%m-%d"), t.hour, t.minute)
+        assert (r["day_of_week"], r["day_of_year"], r["week_of_year"]) == (t.weekday(), t.timetuple().tm_yday,
+                                                                           t.isocalendar()[1])
+        assert (r["month"], r["quarter"], r["year"]) == (t.month, (t.month - 1) // 3 + 1, t.year)
+        assert r["hour"] == t.replace(minute=0, second=0, microsecond=0)
+        assert (r["is_weekend"], r["is_peak_hour"], r["is_business_hour"]) == (weekend, peak, 9 <= t.hour <= 17)
+        assert r["season"] == seasons[t.month]
+        assert r["time_period"] == ("Weekend" if weekend else "Peak" if peak else "Off-Peak")
