@@ -174,3 +174,29 @@ def test_time_fields_match_python_calendar(spark):
         assert (r["is_weekend"], r["is_peak_hour"], r["is_business_hour"]) == (weekend, peak, 9 <= t.hour <= 17)
         assert r["season"] == seasons[t.month]
         assert r["time_period"] == ("Weekend" if weekend else "Peak" if peak else "Off-Peak")
+
+
+def test_numeric_rules_match_python(spark):
+    import math
+    from voltframe.functions.numeric import congestion_level, loss_percentage, pct_diff
+    rng = random.Random(8)
+    rows = [(rng.choice([0.0, 5.0, 15.0, -3.0, rng.uniform(-20, 40)]), rng.choice([0.0, rng.uniform(-50, 500)]),
+             rng.choice([0.0, rng.uniform(-5, 20)])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "cong double, lmp double, loss double")
+    out = df.select(congestion_level(F.col("cong")).alias("lvl"), loss_percentage(F.col("loss"), F.col("lmp")).alias("lp"),
+                    pct_diff(F.col("lmp"), F.lit(40.0)).alias("pd")).collect()
+
+    def level(c):
+        return "None" if c <= 0 else "Low" if c <= 5 else "Medium" if c <= 15 else "High"
+
+    def loss_pct_at_zero_price(loss):
+        return 100.0 if loss > 0 else 0.0 if loss < 0 else None   # +inf, -inf, NaN through the clip
+
+    for (cong, lmp, loss), r in zip(rows, out):
+        assert r["lvl"] == level(cong)
+        if lmp == 0:
+            assert r["lp"] == loss_pct_at_zero_price(loss)
+        else:
+            raw = loss / lmp * 100
+            assert r["lp"] is not None and 0.0 <= r["lp"] <= 100.0 and abs(r["lp"] - min(max(raw, 0), 100)) <= 0.005 + 1e-9
+        assert math.isclose(r["pd"], (lmp - 40.0) / 40.0 * 100, abs_tol=0.005 + 1e-9)
