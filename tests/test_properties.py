@@ -200,3 +200,36 @@ def test_numeric_rules_match_python(spark):
             raw = loss / lmp * 100
             assert r["lp"] is not None and 0.0 <= r["lp"] <= 100.0 and abs(r["lp"] - min(max(raw, 0), 100)) <= 0.005 + 1e-9
         assert math.isclose(r["pd"], (lmp - 40.0) / 40.0 * 100, abs_tol=0.005 + 1e-9)
+
+
+def test_header_detection_matches_brute_force(spark):
+    rng = random.Random(17)
+    types = [None, "", "Application/JSON", "text/csv; charset=utf-8", "TEXT/XML", "application/xml", "text/html",
+             "text/tab-separated-values", "application/octet-stream"]
+    parts = ["<", ">", ",", "\n", " ", "x", "{", "}", "[1]", '"k"', ":"]
+    rows = [(rng.choice(types), None if rng.random() < 0.05 else "".join(rng.choice(parts) for _ in range(rng.randint(0, 6))))
+            for _ in range(400)]
+
+    def brute(ct, data):
+        c = (ct or "").lower()
+        for needles, fmt in ((("application/json",), "json"), (("text/csv",), "csv"),
+                             (("text/xml", "application/xml"), "xml"), (("text/html",), "html"),
+                             (("text/tab-separated-values",), "tsv")):
+            if any(n in c for n in needles):
+                return fmt
+        if data is None:
+            return "bin"
+        try:
+            if isinstance(json.loads(data), (dict, list)):
+                return "json"
+        except ValueError:
+            pass
+        s = data.strip(" \t\n\r\x0b\x0c")
+        if s.startswith("<") and s.endswith(">"):
+            return "xml"
+        if "," in data and "\n" in data:
+            return "csv"
+        return "txt"
+    df = spark.createDataFrame(rows, "ct string, c string")
+    got = [r[0] for r in df.select(FM.detect_by_header(F.col("ct"), F.col("c"))).collect()]
+    assert got == [brute(ct, c) for ct, c in rows]
