@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import decontaminate, simhash
+from voltframe.llm import bpe, decontaminate, langid, secrets, simhash, tokens, toxicity
 from voltframe.llm.common import table
+from voltframe.session import scratch_path
+
+# Where vocabulary files lie; each operator takes a path.
+VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+WORD_BPE, BYTE_BPE = f"{VOCABULARIES}/word_bpe_49k.json", f"{VOCABULARIES}/byte_bpe_50k.json"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +31,46 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE, drop=("text",))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    return tokens.read(tokens.write(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE, folder), folder)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.histogram(tokens.lengths(table(spark, sf_dir, "documents").select("text"), BYTE_BPE, drop=("text",)))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out("doc_id", 3, 1)
+    model = langid.fit(docs, ~out)
+    found = langid.identify(docs.select("doc_id", "text"), model, drop=("text",))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    out = langid.held_out("doc_id", 4, 2)
+    docs = docs.select("doc_id", "text")
+    model = toxicity.fit(docs, labels, ~out)
+    found = toxicity.score(docs, model, drop=("text",))
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.scan(docs, keep=("doc_id",))
+    def of(kind):
+        return F.size(F.filter("secret_spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(of, secrets.KINDS), F.sha2(secrets.named(secrets.KINDS), 256).alias("base_sha256"),
+                        secrets.named((*secrets.KINDS, "live")).alias("spans"))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
                   coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -46,6 +93,12 @@ FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
+    "op6_language": op6_language,
+    "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
+    "op9_token_counts": op9_token_counts,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {"op1_decontaminate": OP1_SQL}
