@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, decontaminate, langid, secrets, simhash, tokens, toxicity
+from voltframe.llm import bpe, decontaminate, hilbert_knn, langid, secrets, simhash, suffix_dedup, tokens, toxicity
 from voltframe.llm.common import table
 from voltframe.session import scratch_path
 
@@ -25,6 +25,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_knn.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove(docs, drop=("text",), digest=True)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.classes(docs, keep=("doc_id",))
@@ -92,6 +102,8 @@ FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_neighbours": op2_neighbours,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
