@@ -57,6 +57,28 @@ def test_flatten_matches_brute_force(spark):
         assert got.get(i, {}) == _flatten(json.loads(text)), text
 
 
+def test_flatten_one_document_at_a_time(spark):
+    rng = random.Random(31)
+    docs = ['{"a":[1,[2,3]]}', '{"r":[{"x":1},{"x":{"y":2}}]}', '{"a":1,"a":2}', '{"":{"x":1}}', "[[],{}]", "7", '"t"', "null",
+            '{"a_0":5,"a":[6]}'] + [json.dumps(_doc(rng)) for _ in range(12)]
+    for text in docs:
+        df = spark.createDataFrame([(1, text)], "id long, doc string")
+        got = {r["key"]: r["value"] for r in SS.flatten_json(df, ["id"], "doc").collect()}
+        assert got == _flatten(json.loads(text)), text
+
+
+def test_flatten_has_no_size_or_depth_limit_of_its_own(spark):
+    deep = "[" * 500 + "1" + "]" * 500
+    long = json.dumps({"a": ["x" * 1000] * 18_000})
+    df = spark.createDataFrame([(1, deep), (2, long), (3, "{"), (4, None), (5, "[" * 200_000)], "id long, doc string")
+    counts = {r["id"]: r["count"] for r in SS.flatten_json(df, ["id"], "doc").groupBy("id").count().collect()}
+    assert counts == {1: 1, 2: 18_000}
+    rejects = {r["id"]: r["n_chars"] for r in SS.payload_rejects(df, ["id"], "doc").collect()}
+    assert rejects == {3: 1, 5: 200_000}
+    got = {r["id"]: (r["f"], r["n"]) for r in df.select("id", FM.detect_by_content(F.col("doc")).alias("f"), SS.record_count(F.col("doc")).alias("n")).collect()}
+    assert got[2] == ("json", 1) and got[3] == ("txt", 1) and got[4] == ("bin", 0)
+
+
 def _detect(path, data):
     """SF2 rules in plain Python."""
     ext = path.lower().split(".")[-1] if "." in path else ""

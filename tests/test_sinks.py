@@ -130,7 +130,7 @@ def test_readings_json_source(spark):
     os.makedirs(root, exist_ok=True)
     with open(f"{root}/r.json", "w") as f:
         f.write('{"timestamp": "2025-06-04T10:00:00Z", "location_id": ".Z.MAINE", "lmp_total": 45.5}\n')
-    r = read_readings_json(spark, root).first()
+    r = read_readings_json(spark, root, lines=True).first()
     assert r["lmp_total"] == "45.5" and r["location_name"] is None
 
 
@@ -246,3 +246,66 @@ def test_save_to_storage_empty_batch(spark):
     from voltframe.schemas import READING_TEXT
     empty = enrich_readings(spark.createDataFrame([], READING_TEXT)).readings
     assert W.save_to_storage(empty, scratch_path(spark, "snk15-empty"), "20250604") == {}
+
+
+TRICKY = ['a "q" b,c', " both ends ", "x\ny\r\nz", "", None, "tab\tx\\y\\", "cr\rx", '"', '\\"', "é\u2028 z", "#c", "<td>&amp;</td>", "it's: - x", "null"]
+
+
+def test_text_round_trips_unchanged(spark):
+    df = spark.createDataFrame([(i, t, dt.datetime(2024, 1, 2, 3, 4, 5, 678901)) for i, t in enumerate(TRICKY)], "i int, t string, at timestamp_ntz")
+    for fmt in ("csv", "tsv", "json", "parquet", "html"):
+        path = scratch_path(spark, f"tricky-{fmt}")
+        W.WRITERS[fmt](df, path)
+        got = {r["i"]: (r["t"], r["at"]) for r in read_back(spark, path, fmt, df.schema).collect()}
+        want = {r["i"]: (None if fmt == "html" and r["t"] == "" else r["t"], r["at"]) for r in df.collect()}
+        assert got == want, fmt
+
+
+def test_html_parts_are_whole_tables(spark):
+    path = scratch_path(spark, "html-parts")
+    W.write_html(spark.createDataFrame([(1, "a"), (2, "b")], "`n<` int, s string").repartition(2), path)
+    texts = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
+    assert texts and all(t.startswith("<table><thead><tr><th>n&lt;</th>") and t.rstrip().endswith("</tbody></table>") for t in texts)
+
+
+def test_yaml_keeps_line_ends_and_microseconds(spark):
+    import yaml
+    rows = [(i, t, dt.datetime(2024, 1, 2, 3, 4, 5, 678901)) for i, t in enumerate(TRICKY)]
+    df = spark.createDataFrame(rows, "i int, t string, at timestamp_ntz")
+    loaded = yaml.safe_load("\n".join(r[0] for r in W.yaml_records(df).collect()))
+    assert sorted((r["i"], r["t"], r["at"]) for r in loaded if r["t"] is not None) == [r for r in rows if r[1] is not None]
+
+
+def test_indented_arrays_are_read(spark):
+    from voltframe.sources.files import read_readings_json
+    root = scratch_path(spark, "indented")
+    os.makedirs(root)
+    with open(f"{root}/a.json", "w") as f:
+        f.write('[\n  {"timestamp": "2025-01-01T00:00:00", "location_id": "A", "lmp_total": 1.5},\n  {"location_id": "B"}\n]')
+    assert sorted(r["location_id"] for r in read_readings_json(spark, root).collect()) == ["A", "B"]
+
+
+def test_binary_payloads_land_as_they_are(spark):
+    from voltframe.plans.landing import land_payloads
+    root = scratch_path(spark, "binary")
+    os.makedirs(f"{root}/in/some api")
+    raw = bytes(range(256))
+    with open(f"{root}/in/some api/x", "wb") as f:
+        f.write(raw)
+    with open(f"{root}/in/some api/bad.json", "w") as f:
+        f.write("{")
+    run = land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="r1")
+    log = {os.path.basename(r["s3_key"]): (r["data_format"], r["upload_status"]) for r in run.run_log.collect()}
+    assert log == {"x": ("bin", "success"), "bad.json": ("json", "success")}
+    stored = {os.path.basename(r["path"]): bytes(r["content"]) for r in spark.read.parquet(run.raw_path).collect()}
+    assert stored["x"] == raw and run.rejects.count() == 1 and run.manifest.first()["files"] == 2
+
+
+def test_upsert_keeps_what_the_batch_does_not_touch(spark):
+    path = scratch_path(spark, "upsert-keeps")
+    schema = "timestamp timestamp_ntz, location_id string, w double, v double, date string"
+    t = dt.datetime(2024, 1, 1)
+    W.upsert(spark.createDataFrame([(t, "A", 1.0, 1.0, None), (t, "B", 2.0, 2.0, None), (t, "C", 3.0, 3.0, "007"), (t, "C", 9.0, 9.0, "007")], schema), path)
+    out = W.upsert(spark.createDataFrame([(t, "B", 5.0, None, 1), (t, "D", 6.0, "", 2)], "timestamp timestamp_ntz, location_id string, v double, date string, extra int"), path)
+    got = {r["location_id"]: (r["w"], r["v"], r["date"], r["extra"]) for r in out.collect()}
+    assert got == {"A": (1.0, 1.0, None, None), "B": (2.0, 5.0, None, 1), "C": (3.0, 3.0, "007", None), "D": (None, 6.0, None, 2)}

@@ -37,12 +37,22 @@ def strict_parse_json(c: Column) -> Column:
     return F.try_variant_get(wrapped, "$[0]", "variant")
 
 
+VARIANT_BYTES = 16 << 20     # fixed value: the engine's limit for one Variant
+
+
+def too_long_for_variant(c: Column) -> Column:
+    return F.octet_length(c) > VARIANT_BYTES // 2
+
+
 def is_json_container(c: Column) -> Column:
     """Text that parses as a JSON object or array (a dict/list payload).  Only text
-    whose first non-blank character is '{' or '[' is parsed at all."""
+    whose first non-blank character is '{' or '[' is parsed at all; one too long for
+    Variant is read by the streaming JSON functions."""
     head = F.substring(stripped(c), 1, 1)
-    kind = F.schema_of_variant(strict_parse_json(c))
-    return F.coalesce(head.isin("{", "[") & (kind.startswith("OBJECT") | kind.startswith("ARRAY")), F.lit(False))
+    kind = F.schema_of_variant(F.when(~too_long_for_variant(c), strict_parse_json(c)))
+    streamed = F.json_array_length(c).isNotNull() | F.json_object_keys(c).isNotNull()
+    parses = F.when(too_long_for_variant(c), streamed).otherwise(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+    return F.coalesce(head.isin("{", "[") & parses, F.lit(False))
 
 
 def detect_by_header(content_type: Column, content: Column) -> Column:

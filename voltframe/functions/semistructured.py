@@ -1,9 +1,9 @@
 """JSON flattening, payload records, record counts, URL checks, header redaction and
 XML rendering (SF3-SF7, AG17, PF9), on table columns instead of single objects.
 
-Flattening of unknown JSON uses Variant: each level is one ``variant_explode`` over
-the rows that still hold containers, so the work is spread over all payloads and the
-loop runs once per nesting level (a handful), never once per document.
+Flattening of unknown JSON parses each document once, in Arrow batches, with Python's
+parser: its rules are the ones to match, and it has neither Variant's size limit nor its
+refusal of repeated names.
 """
 
 from __future__ import annotations
@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.functions.formats import strict_parse_json
-from voltframe.operators.common import spread
+from voltframe.functions.formats import strict_parse_json, too_long_for_variant
 
 
 # Header names redacted case-insensitively, and the replacement text.
@@ -20,18 +19,12 @@ SENSITIVE_HEADERS = ["authorization", "x-api-key", "api-key", "token",
                      "cookie", "set-cookie", "x-auth-token", "password"]
 REDACTED = "[REDACTED]"
 URL_SCHEMES = ["http", "https"]
-MAX_DEPTH = 64
 
 
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _is_container(v: Column) -> Column:
-    k = _kind(v)
-    return F.coalesce(k.startswith("OBJECT") | k.startswith("ARRAY"), F.lit(False))
-
-
 def py_float_text(d: Column) -> Column:
     """A double as Python's ``str(float)`` writes it (shortest digits; fixed notation for
     decimal exponents -4..15 with at least one fractional digit, else 'de+XX'), derived
@@ -59,101 +52,86 @@ def py_float_text(d: Column) -> Column:
         .when(d == float("-inf"), "-inf").otherwise(out)
 
 
-def _leaf_text(v: Column, kind: Column | None = None) -> Column:
-    """Scalar leaf as the reference's Python would print it: JSON null -> NULL,
-    numbers with a fraction or exponent as Python floats, booleans as True/False.
-    Pass ``kind`` (a column holding ``schema_of_variant(v)``) to compute it once."""
-    kind = _kind(v) if kind is None else kind
-    is_float = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
-    as_text = F.try_variant_get(v, "$", "string")
-    return (F.when(F.is_variant_null(v), F.lit(None).cast("string"))
-            .when(is_float, py_float_text(F.try_variant_get(v, "$", "double")))
-            .when(kind == "BOOLEAN", F.when(as_text == "true", "True").otherwise("False"))
-            .otherwise(as_text))
-
-
-def variant_depth(v: Column, schema_text: Column | None = None) -> Column:
-    """Container nesting depth of a Variant value, from its schema text: the deepest
-    run of '<' (names in backticks are removed first, so keys cannot fake brackets)."""
-    text = F.schema_of_variant(v) if schema_text is None else schema_text
-    schema = F.regexp_replace(text, "`([^`]|``)*`", "")
-    brackets = F.regexp_replace(schema, "[^<>]", "")
-
-    def step(acc, ch):
-        cur = acc["c"] + F.when(ch == "<", 1).otherwise(-1)
-        return F.struct(cur.alias("c"), F.greatest(acc["m"], cur).alias("m"))
-    start = F.struct(F.lit(0).alias("c"), F.lit(0).alias("m"))
-    return F.aggregate(F.split(brackets, ""), start, step, lambda acc: acc["m"])
-
-
-def may_clash(v: Column, sep: str = "_", schema_text: Column | None = None) -> Column:
-    """True when a document has a key containing ``sep`` or needing backtick quoting
-    (empty or special); only then can two leaves join to the same key.  Read from the
-    schema text, so it is conservative: any ``sep`` outside a type name counts."""
-    text = F.schema_of_variant(v) if schema_text is None else schema_text
-    schema = F.replace(text, F.lit("TIMESTAMP_NTZ"), F.lit(""))
-    return F.coalesce((F.instr(schema, sep) > 0) | (F.instr(schema, "`") > 0), F.lit(True))
-
-
-def flatten_variant(df: DataFrame, id_cols: list[str], v: str = "v", sep: str = "_",
-                    max_depth: int = MAX_DEPTH, resolve_clashes: bool = True) -> DataFrame:
-    """SF3 on a Variant column: long (ids..., key, value) rows.
-
-    Keys join object names with ``sep``; list items add ``sep`` + position (so a
-    top-level list yields '_0...', as the reference does).  Empty objects and lists
-    vanish.  On a key clash the later leaf wins; object fields come back from Variant in
-    key order, so "later" is key order, not the document's text order.
-
-    Plan: one aggregate finds the deepest nesting and whether any key could clash;
-    then one lazy chain of that many ``LATERAL variant_explode_outer`` levels (leaves
-    pass through a level unchanged), all narrow, so a single job flattens every
-    document.  Only when a clash is possible is there a group-by on (ids, key)."""
-    spark = df.sparkSession
-    # one schema text per document, read by both measures
-    schemas = df.select(F.schema_of_variant(F.col(v)).alias("_schema"))
-    stats = schemas.agg(F.max(variant_depth(F.col(v), F.col("_schema"))).alias("d"),
-                        F.max(may_clash(F.col(v), sep, F.col("_schema")).cast("int")).alias("c")).first()
-    depth = stats["d"] or 0
-    resolve_clashes = resolve_clashes and bool(stats["c"])
-    if depth > max_depth:
-        raise ValueError(f"JSON nested deeper than {max_depth} levels")
-    ids = ", ".join(f"c.`{c}`" for c in id_cols)
-    cur = df.select(*id_cols, F.lit("").alias("_path"), F.array().cast("array<int>").alias("_ord"),
-                    F.col(v).alias("v"))
-    for _ in range(depth):
-        # a non-NULL pos means v was a non-empty container: descend.  A NULL pos is a
-        # scalar (kept as is) or an empty container (dropped); only those small values
-        # get the type test.
-        cur = spark.sql(f"""
-            SELECT {ids},
-                   CASE WHEN e.pos IS NULL THEN c._path
-                        WHEN e.key IS NULL THEN concat(c._path, '{sep}', CAST(e.pos AS STRING))
-                        WHEN c._path = '' THEN e.key
-                        ELSE concat(c._path, '{sep}', e.key) END AS _path,
-                   CASE WHEN e.pos IS NULL THEN c._ord ELSE concat(c._ord, array(e.pos)) END AS _ord,
-                   CASE WHEN e.pos IS NULL THEN c.v ELSE e.value END AS v
-            FROM {{cur}} AS c, LATERAL variant_explode_outer(c.v) AS e
-            WHERE e.pos IS NOT NULL OR NOT coalesce(schema_of_variant(c.v) LIKE 'OBJECT%'
-                                                  OR schema_of_variant(c.v) LIKE 'ARRAY%', false)""",
-                        cur=cur)
-    leaves = (cur.select(*id_cols, "_path", "_ord", "v", _kind(F.col("v")).alias("_k"))
-              .select(*id_cols, "_path", "_ord", _leaf_text(F.col("v"), F.col("_k")).alias("value")))
-    if not resolve_clashes:
-        return leaves.select(*id_cols, F.col("_path").alias("key"), "value")
-    last = F.max_by(F.col("value"), F.col("_ord"))
-    return leaves.groupBy(*id_cols, F.col("_path").alias("key")).agg(last.alias("value"))
+def _leaves(value, sep: str, start: str = ""):
+    """(key, text) of every scalar in document order, without recursion: object names join
+    with ``sep``, list items add ``sep`` and their position, empty containers vanish."""
+    todo = [(start, value)]
+    while todo:
+        key, value = todo.pop()
+        if isinstance(value, dict):
+            todo += [(f"{key}{sep}{k}" if key else k, v) for k, v in reversed(value.items())]
+        elif isinstance(value, list):
+            todo += [(f"{key}{sep}{i}", value[i]) for i in range(len(value) - 1, -1, -1)]
+        else:
+            yield key, None if value is None else str(value)
+
+
+def _parsed(text: str):
+    """(value, None) of a JSON text, or (None, why it has none).  Repeated names: the last wins."""
+    import json
+    try:
+        return json.loads(text), None
+    except RecursionError:
+        return None, "nested too deeply for the parser"
+    except ValueError as e:
+        return None, f"not JSON: {e}"
+
+
+def _json_rows(df: DataFrame, id_cols: list[str], json_col: str, fields: str, rows_of) -> DataFrame:
+    """``rows_of(value, why)`` of every document that is not NULL, after its id columns.  Each
+    document is parsed once, by itself, in Arrow batches."""
+    from pyspark.sql import types as T
+
+    frame = df.select(*id_cols, F.col(json_col).alias("_document"))
+    out = T.StructType(frame.schema.fields[:-1] + T._parse_datatype_string(fields).fields)
+    n = len(id_cols)
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            taken, columns = [], [[] for _ in range(len(out.fields) - n)]
+            for i, text in enumerate(batch.column(n).to_pylist()):
+                for row in rows_of(*_parsed(text)) if text is not None else ():
+                    taken.append(i)
+                    for column, value in zip(columns, row):
+                        column.append(value)
+                if len(taken) > 1 << 16:
+                    yield made(pa, batch, taken, columns)
+                    taken, columns = [], [[] for _ in columns]
+            yield made(pa, batch, taken, columns)
+
+    kinds = [f.dataType.simpleString() for f in out.fields[n:]]
+
+    def made(pa, batch, taken, columns):
+        arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}
+        ids = [batch.column(k).take(pa.array(taken, pa.int64())) for k in range(n)]
+        return pa.RecordBatch.from_arrays(ids + [pa.array(c, arrow[k]) for c, k in zip(columns, kinds)], names=out.names)
+
+    return frame.mapInArrow(run, out)
 
 
 def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_",
                  strip_leading_sep: bool = False) -> DataFrame:
-    """SF3 on JSON text; unparseable text yields no rows.  ``strip_leading_sep`` drops
-    the separator the reference puts in front of keys of a top-level list ('_0_q')."""
-    parsed = spread(df).select(*id_cols, strict_parse_json(F.col(json_col)).alias("v")).filter(F.col("v").isNotNull())
-    out = flatten_variant(parsed, id_cols, "v", sep)
-    if strip_leading_sep:
-        out = out.withColumn("key", F.when(F.col("key").startswith(sep), F.expr(f"substring(key, {len(sep) + 1})"))
-                             .otherwise(F.col("key")))
-    return out
+    """SF3 on JSON text: long (ids..., key, value) rows.
+
+    Keys join object names with ``sep``; list items add ``sep`` + position (so a top-level
+    list yields '_0...', as the reference does; ``strip_leading_sep`` drops it).  Empty objects
+    and lists vanish, JSON null is a NULL value, and of equal keys the later leaf in the
+    document wins.  A document's rows depend on that document alone.  Python's parser has
+    the rules to match (repeated names, numbers as Python prints them) and no size limit, which
+    Variant has; NULL gives no row, and a text that is not JSON is a row of ``payload_rejects``."""
+    def rows(value, why):
+        if why is None:
+            last = dict(_leaves(value, sep))
+            yield from (((k[len(sep):] if strip_leading_sep and k.startswith(sep) else k), v) for k, v in last.items())
+    return _json_rows(df, id_cols, json_col, "key string, value string", rows)
+
+
+def payload_rejects(df: DataFrame, id_cols: list[str], json_col: str) -> DataFrame:
+    """The documents that flattening leaves out: ids, characters, and the reason."""
+    sized = df.select(*id_cols, F.col(json_col), F.char_length(json_col).cast("long").alias("n_chars"))
+    return _json_rows(sized, [*id_cols, "n_chars"], json_col, "reason string",
+                      lambda value, why: [(why,)] if why is not None else [])
 
 
 def flatten_struct(df: DataFrame, id_cols: list[str], col: str, sep: str = "_") -> DataFrame:
@@ -200,42 +178,43 @@ def flatten_wide(long: DataFrame, id_cols: list[str], keys: list[str] | None = N
 def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_") -> DataFrame:
     """SF5: a list payload gives one record per element, a dict one record (flattened
     when nested), a scalar one record with key 'value'.  Long form
-    (ids..., record, key, value)."""
-    spark = df.sparkSession
-    parsed = spread(df).select(*id_cols, strict_parse_json(F.col(json_col)).alias("v")).filter(F.col("v").isNotNull())
-    is_array = F.coalesce(_kind(F.col("v")).startswith("ARRAY"), F.lit(False))
-    ids = ", ".join(f"p.`{c}`" for c in id_cols)
-    arrays = parsed.filter(is_array)
-    elements = spark.sql(f"SELECT {ids}, e.pos AS record, e.value AS v FROM {{p}} AS p, "
-                         "LATERAL variant_explode(p.v) AS e", p=arrays)
-    singles = parsed.filter(~is_array).select(*id_cols, F.lit(0).alias("record"), "v")
-    records = elements.unionByName(singles)
-    scalars = (records.filter(~_is_container(F.col("v")))
-               .select(*id_cols, "record", "v", _kind(F.col("v")).alias("_k"))
-               .select(*id_cols, "record", F.lit("value").alias("key"),
-                       _leaf_text(F.col("v"), F.col("_k")).alias("value")))
-    nested = flatten_variant(records.filter(_is_container(F.col("v"))), [*id_cols, "record"], "v", sep)
-    return nested.unionByName(scalars)
+    (ids..., record, key, value); rejects as for ``flatten_json``."""
+    def rows(value, why):
+        if why is not None:
+            return
+        for i, record in enumerate(value if isinstance(value, list) else [value]):
+            if isinstance(record, (dict, list)):
+                yield from ((i, k, v) for k, v in dict(_leaves(record, sep)).items())
+            else:
+                yield i, "value", None if record is None else str(record)
+    return _json_rows(df, id_cols, json_col, "record int, key string, value string", rows)
 
 
 def record_count(content: Column) -> Column:
     """AG17: JSON array -> its length, JSON object -> 1, text -> newlines + 1,
     empty or missing -> 0."""
     head = F.substring(F.btrim(content, F.lit(" \t\n\r\x0b\x0c")), 1, 1)
-    v = F.when(head.isin("{", "["), strict_parse_json(content))
+    v = F.when(head.isin("{", "[") & ~too_long_for_variant(content), strict_parse_json(content))
     kind = _kind(v)
     newlines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
+    long = too_long_for_variant(content)
     return (F.when(content.isNull() | (content == ""), 0)
+            .when(long & (head == "["), F.coalesce(F.json_array_length(content), newlines + 1))
+            .when(long & (head == "{") & F.json_object_keys(content).isNotNull(), 1)
             .when(F.coalesce(kind.startswith("ARRAY"), F.lit(False)), F.size(F.try_variant_get(v, "$", "array<variant>")))
             .when(F.coalesce(kind.startswith("OBJECT"), F.lit(False)), 1)
             .otherwise(newlines + 1)).cast("long")
 
 
 def valid_url(url: Column) -> Column:
-    """PF9: scheme http/https and a host present."""
-    scheme = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
-    host = F.try_parse_url(url, F.lit("HOST"))
-    return F.coalesce(scheme.isin(URL_SCHEMES) & host.isNotNull() & (host != ""), F.lit(False))
+    """PF9: scheme http or https (either case) and something before the next '/', '?' or '#'
+    after '//'.  Control characters and spaces around are dropped first, line ends and tabs
+    anywhere, and nothing else about the text is judged: blanks, '_' or '{' may stand in it."""
+    c = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    scheme = F.lower(F.regexp_extract(c, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    host = F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    balanced = F.contains(host, F.lit("[")) == F.contains(host, F.lit("]"))    # an open bracket is no address
+    return F.coalesce(scheme.isin(URL_SCHEMES) & (host != "") & balanced, F.lit(False))
 
 
 def redact_headers(headers: Column) -> Column:

@@ -25,11 +25,18 @@ def _is_ntz(df: DataFrame, name: str) -> bool:
 
 
 def parse_timestamp(c: Column, strict: bool = False) -> Column:
-    """DT1: text to timestamp.  Lenient form yields NULL for bad text (counted by the
-    cleaning report); ``strict`` raises like the reference batch does."""
+    """DT1: text to timestamp.  Lenient form yields NULL for bad text (rejected and counted
+    by the cleaner); ``strict`` raises like the reference batch does."""
     return F.to_timestamp(c) if strict else F.try_to_timestamp(c)
 
 
+def bad_time(df: DataFrame, name: str) -> Column:
+    """Text that is no time.  NULL is a missing time, not a bad one."""
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(False)
+    return F.col(name).isNotNull() & parse_timestamp(F.col(name)).isNull()
+
+
 def floor_to_seconds(df: DataFrame, name: str, seconds: int) -> Column:
     """Floor a timestamp column to a multiple of ``seconds`` since the epoch, keeping
     its type (timestamp or timestamp_ntz) and its NULLs."""

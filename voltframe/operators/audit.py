@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from voltframe.functions.formats import folder_name
 from voltframe.functions.numeric import round_to
+from voltframe.operators.common import join_small
 
 # The source catalogue (name, output folder, file prefix) and the
 # fallbacks for an unknown source (folder = lower-cased name with '_', prefix 'data').
@@ -36,9 +37,10 @@ def source_catalogue(spark: SparkSession) -> DataFrame:
 
 def resolve_sources(run_log: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
     """JN3: attach folder and file prefix from the catalogue, with the fallbacks.
-    The catalogue is a configuration table (a handful of rows): broadcast."""
-    cat = catalogue if catalogue is not None else source_catalogue(run_log.sparkSession)
-    joined = run_log.join(F.broadcast(cat), "api_name", "left")
+    The built-in catalogue has a handful of rows: broadcast; one of the caller's only if its
+    measured size allows."""
+    cat = F.broadcast(source_catalogue(run_log.sparkSession)) if catalogue is None else catalogue
+    joined = run_log.join(cat, "api_name", "left") if catalogue is None else join_small(run_log, cat, "api_name")
     return (joined.withColumn("folder_path", F.coalesce(F.col("output_folder"), folder_name(F.col("api_name"))))
             .withColumn("file_prefix", F.coalesce(F.col("csv_prefix"), F.lit(DEFAULT_PREFIX)))
             .drop("output_folder", "csv_prefix"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.numeric import coerce_double
-from voltframe.functions.timefields import parse_timestamp
+from voltframe.functions.timefields import bad_time, parse_timestamp
 from voltframe.schemas import DEDUP_KEYS, PRICE_COLUMNS
 
 DEFAULT_ORDER = ["extraction_time", *PRICE_COLUMNS]
@@ -59,10 +59,15 @@ def clean_readings(df: DataFrame, order: list[str] | None = None, trim_first: bo
     (timestamp, location_id) keeping the first, trim ids/names, coerce the four price
     columns to double (bad -> NULL) and fill NULL prices with 0.
 
+    Rows whose time is text but no time are left out before the dedup (``bad_times`` returns
+    them, the report and the verdict count them); ``strict_time`` fails instead.
+
     ``trim_first`` trims before dedup (the reference dedups first, so ' A' and 'A' are
     kept apart there)."""
     if "location_name" not in df.columns:
         df = df.withColumn("location_name", F.lit(None).cast("string"))
+    if not strict_time:
+        df = df.filter(~bad_time(df, "timestamp"))
     df = ensure_timestamp(df, "timestamp", strict_time)
     if "extraction_time" in df.columns:
         df = ensure_timestamp(df, "extraction_time", strict_time)
@@ -76,23 +81,33 @@ def clean_readings(df: DataFrame, order: list[str] | None = None, trim_first: bo
     return df.fillna(0.0, subset=PRICE_COLUMNS)
 
 
+def bad_times(df: DataFrame) -> DataFrame:
+    """The rows that cleaning rejects: their time is text but no time."""
+    return df.filter(bad_time(df, "timestamp"))
+
+
 def cleaning_report(raw: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """AG18: duplicates removed, and per price column the values coerced to NULL and
-    the NULLs filled with 0 (counted after the dedup, as the reference logs them).
+    """AG18: times rejected, duplicates removed, and per price column the values coerced to
+    NULL and the NULLs filled with 0 (counted after the dedup, as the reference logs them).
 
     One chain: the keep-first aggregate also counts rows per key, so input rows are
-    the sum of the per-key counts and output rows the number of keys."""
-    raw = ensure_timestamp(raw, "timestamp")
-    keys = DEDUP_KEYS
+    the sum of the per-key counts and output rows the number of keys.  Rejected rows share
+    one key of their own, of which nothing but the count is used."""
+    rejected = bad_time(raw, "timestamp")
+    raw = ensure_timestamp(raw.withColumn("_rejected", rejected), "timestamp")
+    raw = raw.withColumn("location_id", F.when(~F.col("_rejected"), F.col("location_id")))
+    keys = ["_rejected", *DEDUP_KEYS]
     order = [c for c in (order or DEFAULT_ORDER) if c in raw.columns]
     rest = [c for c in raw.columns if c not in keys]
     per_key = (raw.groupBy(*keys)
                .agg(F.min_by(F.struct(*rest), _order_struct(order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
                .select(*keys, "_first.*", "_n"))
+    kept = ~F.col("_rejected")
     return per_key.agg(
-        *[F.count_if(F.col(c).isNotNull() & coerce_double(per_key, c).isNull()).alias(f"{c}_coerced")
+        *[F.count_if(kept & F.col(c).isNotNull() & coerce_double(per_key, c).isNull()).alias(f"{c}_coerced")
           for c in PRICE_COLUMNS],
-        *[F.count_if(coerce_double(per_key, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
-        F.count(F.lit(1)).alias("output_rows"),
-        F.sum("_n").alias("input_rows"),
-    ).withColumn("duplicates_removed", F.col("input_rows") - F.col("output_rows"))
+        *[F.count_if(kept & coerce_double(per_key, c).isNull()).alias(f"{c}_filled") for c in PRICE_COLUMNS],
+        F.count_if(kept).alias("output_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum(F.when(F.col("_rejected"), F.col("_n"))), F.lit(0)).alias("rejected_times"),
+    ).withColumn("duplicates_removed", F.col("input_rows") - F.col("output_rows") - F.col("rejected_times"))

@@ -60,13 +60,3 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     side = F.broadcast(small) if fits_broadcast(small, max_bytes, rows) else small
     return big.join(side, on, how)
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (JSON parsing, text scans) at least one partition per
-    core.  Large inputs already arrive in many splits and pass through untouched; only
-    an input with fewer partitions than cores (one small file) is redistributed."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

@@ -5,9 +5,9 @@ SinglePartition``: the whole series in one task.  Here the series is range-parti
 on the ordering key (sampled bounds, so dense stretches of time split across tasks),
 each partition computes its own lag/lead on Arrow batches (``mapInArrow``: zero-copy
 slices, no pandas conversion), and only the first and last
-row of every partition look across a boundary.  The boundary table has one row per
-partition (a proven bound), so it is broadcast.  One shuffle in total; the range
-exchange is shared by the row pass and the boundary pass.
+row of every partition look across a boundary.  The pass is staged once with its partition
+ids; the boundary table is read from it and has one row per partition (a proven bound), so it is
+broadcast.  One shuffle in total.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltframe.operators.common import stage_table
+
 
 def _edge_fn(value: str, prev: str, nxt: str):
     """Per range partition: previous/next value inside the partition, computed on Arrow
@@ -61,7 +63,6 @@ def global_lag_lead(df: DataFrame, order: list[str], value: str, prev: str = "pr
     broken by the remaining columns of ``order``, so list a tiebreak)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the partition id is one column on one plan node, read by both passes
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))
     vtype = df.schema[value].dataType
@@ -69,15 +70,15 @@ def global_lag_lead(df: DataFrame, order: list[str], value: str, prev: str = "pr
         T.StructField(prev, vtype), T.StructField(nxt, vtype),
         T.StructField("_first", T.BooleanType()), T.StructField("_last", T.BooleanType()),
     ])
-    rows = ranged.mapInArrow(_edge_fn(value, prev, nxt), out_schema)
-
-    key = F.struct(*order)
-    bounds = (ranged
-              .groupBy("_pid")
-              .agg(F.min_by(value, key).alias("_head"), F.max_by(value, key).alias("_tail")))
+    # staged: range bounds are sampled anew by every job that plans the exchange, so the
+    # boundary rows must come from the very partitions that the row pass has seen
+    rows = stage_table(ranged.mapInArrow(_edge_fn(value, prev, nxt), out_schema), "lag-lead")
+    bounds = (rows.filter("_first OR _last").groupBy("_pid")
+              .agg(F.max(F.when(F.col("_first"), F.struct(value))).alias("_head"),
+                   F.max(F.when(F.col("_last"), F.struct(value))).alias("_tail")))
     w = Window.orderBy("_pid")          # one row per partition: a bounded, tiny window
-    bounds = bounds.select("_pid", F.lag("_tail").over(w).alias("_prev_tail"),
-                           F.lead("_head").over(w).alias("_next_head"))
+    bounds = bounds.select("_pid", F.lag(F.col("_tail")[value]).over(w).alias("_prev_tail"),
+                           F.lead(F.col("_head")[value]).over(w).alias("_next_head"))
 
     joined = rows.join(F.broadcast(bounds), "_pid", "left")
     return (joined.withColumn(prev, F.when(F.col("_first"), F.col("_prev_tail")).otherwise(F.col(prev)))

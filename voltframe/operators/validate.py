@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.functions.numeric import coerce_double
+from voltframe.functions.timefields import bad_time
 from voltframe.schemas import CRITICAL_COLUMNS, REQUIRED_COLUMNS
 
 # Plausible LMP range in $/MWh, inclusive; sample size of the outlier report.
@@ -18,6 +20,13 @@ def missing_columns(df: DataFrame, required: list[str] | None = None) -> list[st
     return [c for c in (required or REQUIRED_COLUMNS) if c not in df.columns]
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """NULL, or NaN in a floating column (pandas counts both)."""
+    c = F.col(name)
+    floating = isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+    return c.isNull() | F.isnan(c) if floating else c.isNull()
+
+
 def outlier_flag(df: DataFrame, col: str = "lmp_total", lo: float = LMP_RANGE[0],
                  hi: float = LMP_RANGE[1]) -> DataFrame:
     """PF3: flag (never drop) values outside [lo, hi]; NULL counts as outside, as a
@@ -29,13 +38,15 @@ def verdict_aggregates(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_
     """The aggregate expressions of the verdict (usable in ``agg`` or ``observe``)."""
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for c in CRITICAL_COLUMNS:
-        aggs.append((F.count_if(F.col(c).isNull()) if c in df.columns else F.lit(None).cast("long"))
-                    .alias(f"null_{c}"))
+        # over no rows at all these are 0, over a missing column NULL
+        aggs.append((F.count_if(is_missing(df, c)) if c in df.columns else F.max(F.lit(None).cast("long"))).alias(f"null_{c}"))
+    aggs.append((F.count_if(bad_time(df, "timestamp")) if "timestamp" in df.columns else F.max(F.lit(None).cast("long")))
+                .alias("rejected_times"))
     if "lmp_total" in df.columns:
         price = coerce_double(df, "lmp_total")     # landed text: bad values count as outside
         aggs.append(F.count_if(~F.coalesce(price.between(lo, hi), F.lit(False))).alias("outlier_count"))
     else:
-        aggs.append(F.lit(None).cast("long").alias("outlier_count"))
+        aggs.append(F.max(F.lit(None).cast("long")).alias("outlier_count"))
     return aggs
 
 
@@ -50,7 +61,8 @@ def verdict_from_counts(v: DataFrame, missing: list[str]) -> DataFrame:
 
 def batch_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RANGE[1]) -> DataFrame:
     """PF1+PF2+PF3 as one single-row frame: the whole batch passes only with all
-    required columns and no NULL in a critical column.  One aggregate pass."""
+    required columns and no NULL (or NaN) in a critical column.  ``rejected_times`` counts
+    the texts that are no time; the cleaner leaves those rows out.  One aggregate pass."""
     return verdict_from_counts(df.agg(*verdict_aggregates(df, lo, hi)), missing_columns(df))
 
 
@@ -67,9 +79,9 @@ def observed_verdict(df: DataFrame, lo: float = LMP_RANGE[0], hi: float = LMP_RA
     def finish() -> DataFrame:
         counts = obs.get
         spark = df.sparkSession
-        schema = "row_count long, null_timestamp long, null_location_id long, null_lmp_total long, outlier_count long"
-        row = [counts.get(c) for c in ("row_count", "null_timestamp", "null_location_id", "null_lmp_total",
-                                       "outlier_count")]
+        names = ["row_count", "null_timestamp", "null_location_id", "null_lmp_total", "rejected_times", "outlier_count"]
+        schema = ", ".join(f"{c} long" for c in names)
+        row = [counts.get(c) for c in names]
         return verdict_from_counts(spark.createDataFrame([row], schema), missing)
     return observed, finish
 
@@ -84,7 +96,7 @@ def gate(df: DataFrame, verdict: DataFrame) -> DataFrame:
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Row-level alternative to the all-or-nothing gate: (good, rejected)."""
-    bad = sum((F.col(c).isNull().cast("int") for c in CRITICAL_COLUMNS), F.lit(0)) > 0
+    bad = sum((is_missing(df, c).cast("int") for c in CRITICAL_COLUMNS), F.lit(0)) > 0
     return df.filter(~bad), df.filter(bad)
 
 

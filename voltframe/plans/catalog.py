@@ -21,7 +21,6 @@ from voltframe.operators.audit import (
     SOURCE_CATALOGUE, ingest_audit, resolve_sources, select_sources, selective_summary,
 )
 from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
-from voltframe.operators.common import spread
 from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values
 from voltframe.operators.gaps import backfill_urls, missing_intervals
 from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
@@ -166,7 +165,7 @@ _NULLS = "count(CASE WHEN timestamp IS NULL THEN 1 END) + count(CASE WHEN locati
           "SELECT count(*) AS row_count, count(CASE WHEN timestamp IS NULL THEN 1 END) AS null_timestamp, "
           "count(CASE WHEN location_id IS NULL THEN 1 END) AS null_location_id, count(CASE WHEN lmp_total IS NULL THEN 1 END) AS null_lmp_total, "
           "count(CASE WHEN NOT coalesce(lmp_total BETWEEN -1000 AND 1000, false) THEN 1 END) AS outlier_count, "
-          f"'' AS missing_columns, ({_NULLS}) = 0 AS is_valid, count(*) = 0 AS is_empty FROM r")
+          f"CAST(0 AS BIGINT) AS rejected_times, '' AS missing_columns, ({_NULLS}) = 0 AS is_valid, count(*) = 0 AS is_empty FROM r")
 def q_batch_verdict(spark, sf_dir):
     return batch_verdict(_dirty(spark, sf_dir))
 
@@ -203,7 +202,7 @@ _REPORT = ", ".join(
 
 @register("cleaning_report", O.with_(RT, O.D) +
           f"SELECT {_REPORT}, count(*) AS output_rows, (SELECT count(*) FROM r) AS input_rows, "
-          "(SELECT count(*) FROM r) - count(*) AS duplicates_removed FROM d")
+          "(SELECT count(*) FROM r) - count(*) AS duplicates_removed, CAST(0 AS BIGINT) AS rejected_times FROM d")
 def q_cleaning_report(spark, sf_dir):
     return cleaning_report(_text(spark, sf_dir), TIE_ORDER)
 
@@ -437,13 +436,13 @@ _GENMIX_ROWS = ("gm AS (SELECT CASE WHEN event_type = 'signup' THEN '' ELSE strf
 
 @register("genmix_rows", O.with_(_GENMIX_ROWS) + "SELECT DateTime, kWh FROM gm")
 def q_genmix_rows(spark, sf_dir):
-    return genmix_records(spread(genmix_payloads(load_table(spark, sf_dir, "events"))))
+    return genmix_records(genmix_payloads(load_table(spark, sf_dir, "events")))
 
 
 @register("genmix_kwh", O.with_(_GENMIX_ROWS) +
           f"SELECT DISTINCT TRY_CAST(DateTime AS TIMESTAMP) AS DateTime, {O.rnd('kWh', 1)} AS kWh FROM gm")
 def q_genmix_kwh(spark, sf_dir):
-    return transform_kwh(genmix_records(spread(genmix_payloads(load_table(spark, sf_dir, "events")))))
+    return transform_kwh(genmix_records(genmix_payloads(load_table(spark, sf_dir, "events"))))
 
 
 # ---------------------------------------------------------------- semi-structured (SF1-SF8, AG17, PF9)
@@ -460,7 +459,7 @@ def _contents(spark, sf_dir):
     docs = load_table(spark, sf_dir, "documents").select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.col("source").alias("path"),
         F.lit(None).cast("string").alias("content_type"), F.col("text").alias("content"))
-    return spread(pages.unionByName(docs))
+    return pages.unionByName(docs)
 
 
 _CONTENTS_SQL = ("x AS (SELECT 'page' AS kind, page_id AS id, url AS path, CASE WHEN contains(url, '.com/') "
@@ -561,7 +560,7 @@ def q_payload_rows(spark, sf_dir):
           "ELSE length(text) - length(replace(text, chr(10), '')) + 1 END) AS BIGINT) AS record_count, "
           "count(*) AS payloads FROM documents GROUP BY source")
 def q_payload_record_counts(spark, sf_dir):
-    docs = spread(load_table(spark, sf_dir, "documents", ["source", "text"]))
+    docs = load_table(spark, sf_dir, "documents", ["source", "text"])
     return docs.groupBy("source").agg(F.sum(SS.record_count(F.col("text"))).alias("record_count"),
                                       F.count(F.lit(1)).alias("payloads"))
 

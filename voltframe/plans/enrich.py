@@ -9,7 +9,7 @@ readings.  The readings themselves cross the network once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from voltframe.operators.common import join_small, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
 from voltframe.operators.hourly import daily_means, reading_statistics
 from voltframe.operators.quantiles import exact_quantiles_bounded
-from voltframe.operators.validate import batch_verdict, gate, observed_verdict
+from voltframe.operators.validate import batch_verdict, gate, missing_columns, observed_verdict
 
 
 @dataclass
@@ -32,16 +32,27 @@ class Enriched:
     verdict: DataFrame       # one-row validation verdict (PF1-PF3)
     volatility_threshold: float | None
 
+    def _replaced(self, verdict: DataFrame) -> "Enriched":
+        return replace(self, verdict=verdict)
+
 
 def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | None = None,
                     trim_first: bool = False, processing_metadata: bool = False,
-                    expected_per_hour: int = 4, stage: bool = True) -> Enriched:
+                    expected_per_hour: int = 4, stage: bool = True, strict_time: bool = False) -> Enriched:
+    """The whole PL1 chain.  A batch without a required column is rejected as a whole (PF1):
+    the verdict names what is missing and no reading comes back.  Readings whose time is no
+    time are left out and counted in the verdict; ``strict_time`` fails instead."""
+    if validate and (missing := missing_columns(raw)):
+        verdict = batch_verdict(raw)
+        kinds = {"timestamp": "timestamp", "location_id": "string"}
+        raw = raw.filter(F.lit(False)).withColumns({c: F.lit(None).cast(kinds.get(c, "double")) for c in missing})
+        return enrich_readings(raw, False, order, trim_first, processing_metadata, expected_per_hour, stage)._replaced(verdict)
     if stage:
         # one job reads the raw batch: it counts the verdict (Observation), runs the
         # keep-first dedup (the one shuffle of the readings) and stages the result, so
         # the statistics pass and the row pass both read the staged table
         observed, finish = observed_verdict(raw)
-        cleaned = stage_table(clean_readings(observed, order=order, trim_first=trim_first), "cleaned-readings")
+        cleaned = stage_table(clean_readings(observed, order=order, trim_first=trim_first, strict_time=strict_time), "cleaned-readings")
         verdict = finish()
         if validate:
             cleaned = gate(cleaned, verdict)
@@ -49,7 +60,7 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
         verdict = batch_verdict(raw)
         if validate:
             raw = gate(raw, verdict)
-        cleaned = clean_readings(raw, order=order, trim_first=trim_first)
+        cleaned = clean_readings(raw, order=order, trim_first=trim_first, strict_time=strict_time)
     cleaned = add_time_fields(cleaned)
     hourly, system, n_hourly, n_system = reading_statistics(cleaned, with_counts=True)
 

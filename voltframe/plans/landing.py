@@ -1,11 +1,11 @@
-"""PL4: landed payloads -> format detection -> records -> foldered sink -> manifest ->
-run log and audit (SRC4, SF2, SF5, AG17, SNK9, SNK12, AG16).
+"""PL4: landed payloads -> format detection -> foldered sink -> records -> manifest -> run log
+and audit (SRC4, SF2, SF5, SF8, AG17, SNK8, SNK9, SNK12, AG16).
 
 The reference handles one API response at a time on one machine.  Here a landing
 folder (one sub-folder per source, one file per pull) is one table: every file is a
-row, detection and record counting are column expressions, JSON payloads are
-flattened to long records by the Variant explode chain, and both the raw payloads and
-the records are written in parallel into per-source partition folders.
+row, and detection and record counting are column expressions.  The payloads, bytes as they
+are, go to the folder that the source catalogue names, and everything after (records,
+manifest, run log) is read from what was written there.
 """
 
 from __future__ import annotations
@@ -16,38 +16,67 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.functions.semistructured import payload_rows, record_count
+from voltframe.functions.formats import declared_or_detected
+from voltframe.functions.semistructured import payload_rejects, payload_rows, record_count
 from voltframe.operators.audit import ingest_audit, resolve_sources
-from voltframe.sinks.writers import NAME_TS, write_foldered
-from voltframe.sources.files import read_payloads
+from voltframe.sinks.writers import NAME_TS
+from voltframe.sources.files import payload_text, read_payloads
 
 
 @dataclass
 class LandingRun:
     run_log: DataFrame
     audit: DataFrame
+    manifest: DataFrame
+    rejects: DataFrame
     records_path: str
     raw_path: str
 
 
-def land_payloads(spark: SparkSession, landing: str, out_root: str, run_ts: str | None = None) -> LandingRun:
+def land_payloads(spark: SparkSession, landing: str, out_root: str, run_ts: str | None = None,
+                  catalogue: DataFrame | None = None, declared: str | None = None) -> LandingRun:
+    """Land one run.  ``declared`` (SF8) is a format that the caller declares for all files;
+    it wins over detection if it is a known one.  A payload that is not UTF-8 is ``bin`` and
+    lands like any other; JSON that can't be parsed lands too and is listed in ``rejects``.
+    A file is uploaded if the written folder holds it, which is what the log reports."""
     run_ts = run_ts or dt.datetime.now().strftime(NAME_TS)
-    payloads = (read_payloads(spark, landing)
-                .withColumn("api_name", F.regexp_extract("path", r"/([^/]+)/[^/]*$", 1))
-                .withColumn("record_count", record_count(F.col("content"))))
-    raw_path, records_path = f"{out_root}/raw", f"{out_root}/records"
-    write_foldered(payloads.select("api_name", "path", "format", "size", "content"), raw_path,
-                   fmt="parquet", run_ts=run_ts)
-    records = payload_rows(payloads.filter(F.col("format") == "json"), ["api_name", "path"], "content")
-    write_foldered(records, records_path, fmt="parquet", run_ts=run_ts)
-
-    run_log = resolve_sources(payloads.select(
-        F.lit(run_ts).alias("run_id"), "api_name",
-        F.when(F.col("content").isNotNull(), "success").otherwise("failed").alias("collection_status"),
-        F.when(F.col("content").isNotNull(), "success").alias("upload_status"),
-        F.col("path").alias("s3_key"), F.col("format").alias("data_format"),
-        F.col("record_count").cast("long").alias("record_count"),
-        F.col("size").alias("file_size_bytes"),
-        F.when(F.col("content").isNull(), "unreadable payload").alias("error"),
-        F.col("modified").alias("timestamp")))
-    return LandingRun(run_log, ingest_audit(run_log), records_path, raw_path)
+    raw_path, records_path, log_path, manifest_path = (f"{out_root}/{x}" for x in ("raw", "records", "run_log", "manifest"))
+    api_name = F.regexp_extract("path", r"/([^/]+)/[^/]*$", 1).alias("api_name")
+    seen = read_payloads(spark, landing).select("*", api_name)
+    if declared is not None:
+        seen = seen.withColumn("format", declared_or_detected(F.lit(declared), F.col("format")))
+    seen = resolve_sources(seen, catalogue).withColumns({
+        "record_count": record_count(F.col("content")), "source": F.col("folder_path"), "run_ts": F.lit(run_ts)})
+    (seen.select("api_name", "path", "format", "size", "modified", "record_count", "folder_path", "file_prefix",
+                 F.col("raw").alias("content"), "source", "run_ts")
+     .write.mode("append").partitionBy("source", "run_ts").parquet(raw_path))
+
+    def of_run(path):
+        return spark.read.option("basePath", path).parquet(path).where(F.col("run_ts").cast("string") == run_ts)
+
+    stored = of_run(raw_path)
+    texts = stored.where("format = 'json'").select("api_name", "path", "folder_path", payload_text(F.col("content")).alias("content"))
+    records = payload_rows(texts, ["api_name", "path", "folder_path"], "content")
+    (records.withColumnRenamed("folder_path", "source").withColumn("run_ts", F.lit(run_ts))
+     .write.mode("append").partitionBy("source", "run_ts").parquet(records_path))
+
+    (stored.groupBy("folder_path").agg(F.count("*").alias("files"), F.sum("record_count").alias("record_count"),
+                                       F.sum("size").alias("file_size_bytes"), F.array_sort(F.collect_set("format")).alias("formats"))
+     .withColumns({"path": F.concat(F.lit(f"{raw_path}/source="), "folder_path", F.lit(f"/run_ts={run_ts}")), "run_ts": F.lit(run_ts)})
+     .write.mode("append").partitionBy("run_ts").parquet(manifest_path))
+
+    # the listing (file metadata only) against what was written
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select(
+        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    listed = resolve_sources(listed.select("*", api_name), catalogue)
+    facts = stored.select("path", F.col("format").alias("data_format"), "record_count", F.lit(True).alias("there"))
+    (listed.join(facts, "path", "left").select(
+        "api_name", F.when(F.col("there"), "success").otherwise("failed").alias("collection_status"),
+        F.when(F.col("there"), "success").alias("upload_status"),
+        F.col("path").alias("s3_key"), "data_format", "record_count", F.col("size").alias("file_size_bytes"),
+        F.when(F.col("there").isNull(), "not written").alias("error"), F.col("modified").alias("timestamp"),
+        "folder_path", "file_prefix", F.lit(run_ts).alias("run_id"), F.lit(run_ts).alias("run_ts"))
+     .write.mode("append").partitionBy("run_ts").parquet(log_path))
+    run_log = of_run(log_path)
+    return LandingRun(run_log, ingest_audit(run_log), of_run(manifest_path), payload_rejects(texts, ["api_name", "path"], "content"),
+                      records_path, raw_path)

@@ -29,6 +29,8 @@ SESSION_DEFAULTS = {
     # fixed-size sides, and AQE's runtime broadcast from measured shuffle sizes
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # JSON with a repeated name is JSON: the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     # checkpoint files of garbage-collected DataFrames are removed by Spark itself
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -37,12 +39,14 @@ SESSION_DEFAULTS = {
 
 def get_spark(master: str | None = None, app: str = "voltframe",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the voltframe defaults applied."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    """Build (or reuse) a session with the voltframe defaults applied.  Without ``master`` and
+    ``shuffle_partitions``, what spark-submit or the cluster's configuration says holds."""
+    builder = SparkSession.builder.appName(app)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "16g")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -53,17 +57,17 @@ def get_spark(master: str | None = None, app: str = "voltframe",
 
 
 def cluster_settings(total_cores: int, input_bytes: float, shuffle_ratio: float = 0.3,
-                     target_partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 100_000) -> dict:
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Sizing for a cluster run (apply with ``get_spark(extra=...)``).
 
     Initial shuffle partitions are sized so a reduce task reads ~256 MB of the expected
     shuffle volume (``input_bytes * shuffle_ratio``; projections and map-side combine
-    shrink most shuffles well below the input), at least 2 per core and capped; AQE
+    shrink most shuffles well below the input), at least 2 per core; AQE
     then coalesces small partitions and splits skewed ones.  Scan splits of 256 MB keep
     file tasks large enough to amortize scheduling on 100 TB."""
     import math
     want = math.ceil(input_bytes * shuffle_ratio / target_partition_bytes)
-    partitions = max(2 * total_cores, min(want, max_partitions))
+    partitions = max(2 * total_cores, want)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -88,8 +92,8 @@ def apply_session_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local tests)
-    a private folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only a local session without it (tests) gets a
+    private folder; on a cluster the executors could not see one, so it is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -99,6 +103,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="voltframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc._jsc.sc().getCheckpointDir().isEmpty():

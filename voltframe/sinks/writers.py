@@ -13,16 +13,19 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.functions.formats import folder_name
 from voltframe.schemas import DEDUP_KEYS, MANIFEST
-from voltframe.sources.files import list_files
+from voltframe.sources.files import HTML_ESCAPES, RECORD_SEPARATOR, list_files
 
 ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Text that reads back unchanged: quotes doubled, nothing trimmed, empty text quoted (NULL is bare).
+DELIMITED = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+             "emptyValue": '""', "nullValue": "", "timestampFormat": ISO_TS, "timestampNTZFormat": ISO_TS}
 # Default file prefix and the upload timestamp pattern in file names.
 DEFAULT_FILE_PREFIX = "energy_data"
 NAME_TS = "%Y%m%d_%H%M%S"
-MAX_PRUNE_VALUES = 10_000   # touched partition values listed literally (pruning) up to this many
 
 
 def sorted_for_sink(df: DataFrame, by: list[str]) -> DataFrame:
@@ -31,14 +34,19 @@ def sorted_for_sink(df: DataFrame, by: list[str]) -> DataFrame:
     return df.sortWithinPartitions(*by)
 
 
+# Text that reads back unchanged: quotes doubled, nothing trimmed, empty text quoted (NULL is bare).
+DELIMITED = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+             "emptyValue": '""', "nullValue": "", "timestampFormat": ISO_TS, "timestampNTZFormat": ISO_TS}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK1: CSV with a header line, no index."""
-    df.write.mode(mode).option("header", True).option("timestampFormat", ISO_TS).csv(path)
+    df.write.mode(mode).options(**DELIMITED).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK2: tab-separated (also the reference's frame-as-text form)."""
-    df.write.mode(mode).option("header", True).option("sep", "\t").option("timestampFormat", ISO_TS).csv(path)
+    df.write.mode(mode).options(**DELIMITED).option("sep", "\t").csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -63,25 +71,53 @@ def write_xml(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _escape(c):
-    c = F.replace(c, F.lit("&"), F.lit("&amp;"))
-    c = F.replace(c, F.lit("<"), F.lit("&lt;"))
-    return F.replace(c, F.lit(">"), F.lit("&gt;"))
+    for plain, spelled in HTML_ESCAPES.items():
+        c = F.replace(c, F.lit(plain), F.lit(spelled))
+    return c
 
 
 def html_rows(df: DataFrame) -> DataFrame:
-    """SNK6 body: one escaped ``<tr><td>..</td></tr>`` fragment per record."""
+    """SNK6 body: one escaped ``<tr><td>..</td></tr>`` line per record."""
     cells = [F.concat(F.lit("<td>"), _escape(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))), F.lit("</td>"))
              for c in df.columns]
     return df.select(F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("value"))
 
 
+def html_head(columns: list[str]) -> str:
+    for plain, spelled in HTML_ESCAPES.items():
+        columns = [c.replace(plain, spelled) for c in columns]
+    return "<table><thead><tr>" + "".join(f"<th>{c}</th>" for c in columns) + "</tr></thead><tbody>"
+
+
 def write_html(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK6 re-aimed: the header row goes to ``_head`` (one line), the body rows to
-    part files written in parallel; a reader concatenates head then parts."""
-    spark = df.sparkSession
-    head = "<table><thead><tr>" + "".join(f"<th>{c}</th>" for c in df.columns) + "</tr></thead>"
-    spark.createDataFrame([(head,)], "value string").write.mode(mode).text(f"{path}/_head")
-    html_rows(df).write.mode(mode).text(f"{path}/rows")
+    """SNK6: every part file is a whole table with its header; tasks write in parallel."""
+    head = html_head(df.columns)
+
+    def whole(batches):
+        import pyarrow as pa
+
+        def lines(column):
+            return pa.RecordBatch.from_arrays([column], names=["value"])
+        yield lines(pa.array([head]))
+        for batch in batches:
+            yield lines(batch.column(0))
+        yield lines(pa.array(["</tbody></table>"]))
+    html_rows(df).mapInArrow(whole, "value string").write.mode(mode).text(path)
+
+
+# YAML escapes of what a single-quoted scalar can't hold (line ends would fold).
+YAML_ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\x85": "\\N", "\u2028": "\\L", "\u2029": "\\P",
+                "\x7f": "\\x7f", **{chr(i): f"\\x{i:02x}" for i in range(32) if i not in (9, 10, 13)}}
+
+
+def _yaml_text(c):
+    """Single-quoted, or double-quoted with escapes where control characters or line ends are."""
+    escaped = c
+    for plain, spelled in YAML_ESCAPES.items():
+        escaped = F.replace(escaped, F.lit(plain), F.lit(spelled))
+    plain = F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
+    special = c.rlike(r"[\x00-\x1f\x7f\x85\u2028\u2029]")
+    return F.when(special, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(plain)
 
 
 def yaml_records(df: DataFrame) -> DataFrame:
@@ -110,9 +146,9 @@ def yaml_records(df: DataFrame) -> DataFrame:
         elif isinstance(t, T.DateType):
             text = F.date_format(col, "yyyy-MM-dd")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            text = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            text = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         else:
-            text = F.concat(F.lit("'"), F.replace(col.cast("string"), F.lit("'"), F.lit("''")), F.lit("'"))
+            text = _yaml_text(col.cast("string"))
         return F.when(col.isNull(), F.lit("null")).otherwise(text)
     lines = [F.concat(F.lit(("- " if i == 0 else "  ") + f"{k}: "), val(k)) for i, k in enumerate(keys)]
     return df.select(F.concat_ws("\n", *lines).alias("value"))
@@ -123,8 +159,13 @@ def write_yaml(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_text(df: DataFrame, path: str, column: str = "value", mode: str = "overwrite") -> None:
-    """SNK8: pass-through of a string payload column."""
-    df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
+    """SNK8: pass-through of a text payload column, one payload between two separators."""
+    df.select(F.col(column).cast("string").alias("value")).write.mode(mode).option("lineSep", RECORD_SEPARATOR).text(path)
+
+
+def write_payloads(df: DataFrame, path: str, column: str = "content", mode: str = "overwrite") -> None:
+    """SNK8 for bytes: payloads of any kind as they are, one per row."""
+    df.withColumn(column, F.col(column).cast("binary")).write.mode(mode).parquet(path)
 
 
 WRITERS = {"csv": write_csv, "tsv": write_tsv, "txt": write_tsv, "json": write_json, "parquet": write_parquet,
@@ -164,43 +205,74 @@ def write_date_path(df: DataFrame, root: str, ts_col: str = "DateTime", fmt: str
                           "day": F.date_format(ts_col, "dd")})
     w = out.write.mode(mode).partitionBy("year", "month", "day").format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("timestampFormat", ISO_TS)
+        w = w.options(**DELIMITED)
     w.save(root)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_col: str = "date") -> DataFrame:
+def path_exists(spark, path: str) -> bool:
+    """Whether a folder or file is there; storage errors other than its absence are raised."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def stored_table(spark, path: str, partition_col: str, partition_type=None) -> DataFrame:
+    """The stored table with all columns that any of its files has; the partition column keeps
+    the given type (folder names alone would turn '007' into a number)."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    for f in found.fields:
+        if f.name == partition_col and partition_type is not None:
+            f.dataType = partition_type
+    return spark.read.schema(found).parquet(path)
+
+
+def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_col: str = "date",
+           order: list[str] | None = None) -> DataFrame:
     """SNK11: insert-or-replace rows by key into a parquet table partitioned by
-    ``partition_col``.  Only partitions the batch touches are rewritten (dynamic
-    partition overwrite); inside them, the new row wins per key.  The preference is an
-    aggregate (``min_by``), so a hot key combines map-side.  Single writer per table."""
+    ``partition_col``.  Only partitions that the batch touches are rewritten (dynamic
+    partition overwrite), the NULL partition like any other (a folder name can't tell the
+    empty text from NULL, so it counts as NULL).  Inside them the batch's row wins per key.
+
+    The batch may hold a key more than once: the row that comes first by ``order`` (the
+    dedup order by default, NULLs last, then the remaining columns) is the one stored.  The
+    table keeps its columns: those that the batch lacks keep the stored value of a replaced
+    row and are NULL in a new one; columns that only the batch has are added.  The
+    preference is an aggregate, so a hot key combines map-side.  Single writer per table."""
+    from voltframe.operators.clean import DEFAULT_ORDER, dedup_first
+
     spark = new.sparkSession
     keys = keys or DEDUP_KEYS
-    schema = new.schema
-    try:
-        existing = spark.read.schema(schema).parquet(path)
-        existing.schema  # noqa: B018  (resolves the path)
-    except Exception:  # first write: no table yet
-        existing = None
-    if existing is None:
-        new.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.schema(schema).parquet(path)
-    cols = list(new.columns)
-    # partitions the batch touches: a calendar span, so a short list; used as a literal
-    # filter it becomes static partition pruning of the existing table.  Beyond the
-    # bound the semi-join does the same work without pruning.
-    touched = new.select(partition_col).distinct()
-    values = [r[0] for r in touched.limit(MAX_PRUNE_VALUES + 1).collect()]
-    if len(values) <= MAX_PRUNE_VALUES:
-        old = existing.filter(F.col(partition_col).isin(values)).select(*cols)
-    else:
-        old = existing.join(touched, partition_col, "left_semi").select(*cols)
-    both = new.withColumn("_rank", F.lit(0)).unionByName(old.withColumn("_rank", F.lit(1)))
+    rest = [c for c in new.columns if c not in keys]
+    first = [c for c in (order or DEFAULT_ORDER) if c in rest]
+    new = dedup_first(new, keys, first + [c for c in rest if c not in first])
+    kind = new.schema[partition_col].dataType
+    if isinstance(kind, T.StringType):
+        new = new.withColumn(partition_col, F.nullif(partition_col, F.lit("")))
+    if not path_exists(spark, path):
+        new.write.partitionBy(partition_col).parquet(path)
+        return stored_table(spark, path, partition_col, kind)
+    existing = stored_table(spark, path, partition_col, kind)
+    # one value for each folder that the commit is about to replace, a list that the writer's
+    # commit holds as well; as a literal filter it prunes the scan of the stored table
+    touched = [r[0] for r in new.select(partition_col).distinct().collect()]
+    here = F.col(partition_col).isin([v for v in touched if v is not None])
+    if None in touched:
+        here = here | F.col(partition_col).isNull()
+    old = existing.filter(here)
+    cols = existing.columns + [c for c in new.columns if c not in existing.columns]
     rest = [c for c in cols if c not in keys]
-    merged = (both.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col("_rank")).alias("_r"))
-              .select(*keys, "_r.*").select(*cols))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    both = (new.select(*keys, F.struct(*[c for c in rest if c in new.columns]).alias("_new"))
+            .unionByName(old.select(*keys, F.struct(*[c for c in rest if c in old.columns]).alias("_old")), allowMissingColumns=True))
+    merged = both.groupBy(*keys).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    picked = []
+    for c in rest:
+        mine, stored = (F.col(f"{side}.`{c}`") if c in frame.columns else None for side, frame in (("_new", new), ("_old", old)))
+        if mine is None:
+            picked.append(stored.alias(c))
+        else:
+            picked.append(F.when(F.col("_new").isNotNull(), mine).otherwise(F.lit(None) if stored is None else stored).alias(c))
+    (merged.select(*keys, *picked).select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return spark.read.schema(schema).parquet(path)
+    return stored_table(spark, path, partition_col, kind)
 
 
 def write_with_manifest(df: DataFrame, path: str, fmt: str, manifest_path: str | None = None,
@@ -263,5 +335,3 @@ def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]
     finally:
         cached.unpersist()
 
-
-MANIFEST_COLUMNS = [f.name for f in MANIFEST.fields]

@@ -36,8 +36,9 @@ def read_genmix(spark: SparkSession, path: str) -> DataFrame:
 
 
 def transform_kwh(records: DataFrame) -> DataFrame:
-    """PL2 transform: parse the time, round kWh to tenths, drop fully equal rows.
-    (Sorting belongs to the sink.)"""
-    return (records.select(F.expr("try_cast(DateTime AS TIMESTAMP_NTZ)").alias("DateTime"),
+    """PL2 transform: parse the time, round kWh to tenths, drop fully equal rows.  A time is
+    the instant that its zone offset names, in UTC, so the two hours of a clock that is set
+    back stay apart.  (Sorting belongs to the sink.)"""
+    return (records.select(F.expr("try_cast(DateTime AS TIMESTAMP)").cast("timestamp_ntz").alias("DateTime"),
                            round_to(F.col("kWh"), 1).alias("kWh"))
             .distinct())
