@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from voltframe.llm.common import fields, with_columns
+from voltframe.llm.common import fields, share_file, with_columns
 
 KEPT = 300_000
 # The Unicode property White_Space (Python's own class also has 28 to 31).
@@ -146,26 +146,9 @@ class Codec:
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _codec(spec):
-    """The task's codec, made at its first use."""
-    made = []
-
-    def get() -> Codec:
-        if not made:
-            made.append(Codec(spec.value))
-        return made[0]
-
-    return get
-
-
-def _shared(df: DataFrame, path: str):
-    with open(path, encoding="utf-8") as f:
-        return _codec(df.sparkSession.sparkContext.broadcast(f.read()))
-
-
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` plus the ids of each text (array<bigint>, empty for null)."""
-    get, at = _shared(docs, path), docs.columns.index(text_col)
+    get, at = share_file(docs, path, Codec), docs.columns.index(text_col)
 
     def run(batch):
         codec = get()
@@ -177,7 +160,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded", drop: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` plus the text that the ids stand for (null ids give the empty text)."""
-    get, at = _shared(rows, path), rows.columns.index(ids_col)
+    get, at = share_file(rows, path, Codec), rows.columns.index(ids_col)
 
     def run(batch):
         codec = get()
@@ -189,7 +172,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
 def digests(docs: DataFrame, path: str, text_col: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` plus n_tokens, ids_sha256 and decoded_sha256: encoded and decoded in one pass,
     so neither ids nor decoded texts travel."""
-    get, at = _shared(docs, path), docs.columns.index(text_col)
+    get, at = share_file(docs, path, Codec), docs.columns.index(text_col)
 
     def run(batch):
         codec, n, ids, texts = get(), [], [], []

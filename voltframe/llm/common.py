@@ -141,6 +141,37 @@ def word_hashes(low: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: in
     return out * np.uint64(0x9E3779B97F4A7C15) ^ (out >> np.uint64(29))
 
 
+class Lazy:
+    """Something large that a worker makes from a small broadcast value when it first needs it.
+    A worker keeps broadcast values between its tasks, and so what was made of them."""
+
+    def __init__(self, make, *given):
+        self.make, self.given, self.made = make, given, None
+
+    def get(self):
+        if self.made is None:
+            self.made = self.make(*self.given)
+        return self.made
+
+
+def share_file(df: DataFrame, path: str, make):
+    """A function that gives a task ``make(text of the file at path)``; the driver reads the file."""
+    with open(path, encoding="utf-8") as f:
+        shared = df.sparkSession.sparkContext.broadcast(Lazy(make, f.read()))
+    return lambda: shared.value.get()
+
+
+def hash_sample(df: DataFrame, group: str, key: list, size: int) -> DataFrame:
+    """About ``size`` rows of each group, all of a smaller one: those whose hash of ``key`` lies
+    below the group's share.  Takes one count by group and no shuffle of rows."""
+    counts = df.where(F.col(group).isNotNull()).groupBy(group).count().collect()
+    place = F.xxhash64(*key).cast("double") / F.lit(2.0**64) + 0.5
+    share = F.lit(None).cast("double")
+    for r in counts:
+        share = F.when(F.col(group) == r[0], size / r["count"]).otherwise(share)
+    return df.where(place < share)
+
+
 def text_key(*cols) -> "F.Column":
     """A deterministic order for rows that share an id."""
     return F.xxhash64(*cols)

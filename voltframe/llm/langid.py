@@ -2,8 +2,8 @@
 
 The kernel of two texts is the blended spectrum of presence: the number of byte n-grams, n = 1 to
 3, that both hold, over the root of the product of their own numbers (hashed to ``SIZES`` places,
-one range for each n).  ``fit`` takes at most ``PER_LANG`` labelled texts of each language, in the
-order of a hash of the id, and ``LANDMARKS`` of them as Nystroem landmarks.  One-versus-rest kernel
+one range for each n).  ``fit`` takes about ``PER_LANG`` labelled texts of each language, chosen by
+a hash of id and text, and ``LANDMARKS`` of them as Nystroem landmarks.  One-versus-rest kernel
 ridge regression on the Nystroem features has a closed form.  Texts are scored in batches: one
 product gives the kernels with all landmarks, one the scores of all languages.
 
@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import fields, under_aliases, utf8, with_columns
+from voltframe.llm.common import fields, hash_sample, under_aliases, with_columns
 
 SIZES = (256, 4096, 12288)          # places for the n-grams of one, two and three bytes
 PER_LANG, LANDMARKS, RIDGE, SHARPNESS = 500, 192, 1e-3, 6.0
@@ -65,28 +65,27 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True)))
 
 
-def _order(id_col: str, text_col: str) -> list[Column]:
-    return [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col), F.xxhash64(text_col)]
-
-
 def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         per_lang: int = PER_LANG, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """Learn from the rows for which ``learn`` holds.  The driver gets one packed bit row of
     2 KB for each sampled text, so its share is bounded by ``per_lang`` and the languages."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(*_order("id", "text")))
-    rows = rows.withColumn("nth", nth).where(F.col("nth") <= per_lang).select("text", "lang", "nth")
+    key = [F.col("id").cast("string"), F.col("text")]
+    rows = hash_sample(rows, "lang", key, per_lang).select("text", "lang", F.xxhash64(*key).alias("place"))
 
     def bits(batch):
         texts = batch.column(0).to_pylist()
         packed = [np.packbits(presence([t]).astype(bool)).tobytes() if _has_letter(t) else None for t in texts]
         return [pa.array(packed, pa.binary())]
 
-    got = with_columns(rows, bits, fields(bits="binary"), drop=("text",)).where("bits is not null").collect()
+    got = with_columns(rows, bits, fields(bits="binary"), drop=("text",)).where("bits is not null").distinct().collect()
     if not got:
         return None
-    got.sort(key=lambda r: (r.nth, r.lang))
+    nth, last = {}, {}
+    for r in sorted(got, key=lambda r: (r.lang, r.place)):
+        last[r.lang] = nth[r] = last.get(r.lang, 0) + 1
+    got.sort(key=lambda r: (nth[r], r.lang))
     x = np.unpackbits(np.frombuffer(b"".join(r.bits for r in got), np.uint8).reshape(len(got), -1), axis=1,
                       count=sum(SIZES)).astype(np.float32)
     x = _unit(x)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm.bpe import BLANK
-from voltframe.llm.common import fields, stage, with_columns
+from voltframe.llm.common import fields, share_file, stage, with_columns
 
 END = 2
 KEPT = 300_000
@@ -91,22 +91,9 @@ class Encoder:
         return out
 
 
-def _shared(df: DataFrame, path: str):
-    with open(path, encoding="utf-8") as f:
-        spec = df.sparkSession.sparkContext.broadcast(f.read())
-    made = []
-
-    def get() -> Encoder:
-        if not made:
-            made.append(Encoder(spec.value))
-        return made[0]
-
-    return get
-
-
 def lengths(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens", drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` plus the number of ids of each text (0 for null)."""
-    get, at = _shared(docs, path), docs.columns.index(text_col)
+    get, at = share_file(docs, path, Encoder), docs.columns.index(text_col)
 
     def run(batch):
         enc = get()
@@ -178,7 +165,7 @@ def _map(folder: str, name: str, kind: str) -> np.ndarray:
 def write(docs: DataFrame, path: str, folder: str, text_col: str = "text", id_col: str = "doc_id", end: int = END) -> DataFrame:
     """Write the corpus under ``folder``; returns the staged table of shards: shard, docs,
     tokens and base (ids of all shards before)."""
-    get = _shared(docs, path)
+    get = share_file(docs, path, Encoder)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
         F.col("id").asc_nulls_first(), F.xxhash64("text"), "text").withColumn("part", F.spark_partition_id())

@@ -1,14 +1,15 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are the lower-cased words of a text (digits, letters, characters beyond ASCII), hashed to
-2^22 places; a text is the set of its terms.  The model is a bias, a weight for each kept place and
+Terms are the lower-cased words of a text (digits, letters, characters beyond ASCII) and their
+first 3 to 8 bytes, which an insult keeps in all its forms, hashed to 2^22 places; a text is the set
+of its terms.  The model is a bias, a weight for each kept place and
 a vector of ``FACTORS`` numbers for each, whose products are the weights of pairs of terms: an insult
 next to a group's name can count for more than both alone, which a sum of term weights can't tell.
 
-``fit`` takes at most ``PER_CLASS`` labelled texts of each class in the order of a hash of their id,
+``fit`` takes about ``PER_CLASS`` labelled texts of each class, chosen by a hash of their id,
 keeps the ``PLACES`` places whose presence tells most about the label (chi-squared, counted in
 Spark over the sample), and minimises the weighted logistic loss by Adam on the driver, whose
-share is at most 2 x PER_CLASS rows of PLACES bits.  Each class weighs as much as it does among
+share is about 2 x PER_CLASS rows of PLACES bits.  Each class weighs as much as it does among
 all labelled rows, so scores are probabilities.
 
 Defined cases: null and empty texts hold no term and get the score of the bias; a document
@@ -22,15 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import (fields, letters_and_digits, lower_table, row_runs, stage, unstage, utf8, with_columns,
-                                  word_hashes, word_spans)
+from voltframe.llm.common import (fields, hash_sample, letters_and_digits, lower_table, row_runs, stage, unstage, utf8,
+                                  with_columns, word_hashes, word_spans)
 
 HASH_BITS = 22
 PER_CLASS, PLACES, FACTORS = 6000, 1024, 8
-ROUNDS, RATE, SHRINK = 150, 0.05, 2e-4
+STEMS = (3, 4, 5, 6, 7, 8)
+ROUNDS, RATE, SHRINK = 150, 0.05, 2e-5
 THRESHOLD = 0.3
 
 
@@ -43,13 +45,18 @@ class Model:
 
 
 def _terms(column, shift=np.uint64(64 - HASH_BITS)):
-    """For each run of rows: first row, number of rows, and the distinct (row, place) pairs."""
+    """For each run of rows: first row, number of rows, and row and place of every term."""
     lower, is_word = lower_table(), letters_and_digits()
     data, offsets = utf8(column)
     for lo, hi in row_runs(offsets):
         low = lower[data[offsets[lo]:offsets[hi]]]
         s, e, row = word_spans(low, offsets[lo:hi + 1] - offsets[lo], is_word)
-        yield lo, hi - lo, row, (word_hashes(low, s, e) >> shift).astype(np.int64)
+        rows, places = [row], [word_hashes(low, s, e)]
+        for n in STEMS:
+            longer = np.flatnonzero(e - s > n)
+            rows.append(row[longer])
+            places.append(word_hashes(low, s[longer], s[longer] + n, seed=100 + n))
+        yield lo, hi - lo, np.concatenate(rows), (np.concatenate(places) >> shift).astype(np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", id_col: str = "doc_id",
@@ -57,10 +64,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text
     """Learn from the labelled rows for which ``learn`` (a condition on the id column) holds."""
     said = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn)
     said = said.groupBy(id_col).agg(F.max((F.col(label_col) == 1).cast("int")).alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
     totals = {r.y: r["count"] for r in said.groupBy("y").count().collect()}
-    sample = said.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_class).select(id_col, "y")
-    # at most 2 x per_class rows of two numbers
+    sample = hash_sample(said, "y", [F.col(id_col).cast("string")], per_class).select(id_col, "y")
+    # about 2 x per_class rows of two numbers
     texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).select("text", "y")
 
     def places(batch):
