@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from voltframe.operators.clean import dedup_first
 from voltframe.operators.quantiles import exact_quantiles, median_and_mad
 from voltframe.operators.series import global_lag_lead
-from voltframe.sources.adapters import load_kwh
+from voltframe.sources.adapters import load_kwh, load_readings
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +86,22 @@ def test_peaks_do_not_rest_on_exchange_reuse(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_enrichment_takes_two_exchanges_and_no_join(spark):
+    """The rows cross once by (zone, date) for all hourly and daily statistics and once by
+    timestamp, whatever may be broadcast."""
+    from voltframe.plans.enrich import enrich_readings
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(enrich_readings(load_readings(spark, SF), order=["extraction_time", "event_id"]).readings)
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    exchanges = [ln for ln in plan.splitlines() if "Exchange" in ln]
+    assert len(exchanges) == 2 and "Join" not in plan
+    assert sum("hashpartitioning(location_id" in ln for ln in exchanges) == 1
+    assert sum("hashpartitioning(timestamp" in ln for ln in exchanges) == 1
+
+
 def test_dedup_idempotent(spark):
     r = E.queries()["dedup_first"](spark, SF)
     again = dedup_first(r, ["timestamp", "location_id"], ["extraction_time", "event_id"])
@@ -123,26 +139,6 @@ def test_grouped_percentile_disc_matches_rank_rule(spark):
         assert got[g] == want, g
 
 
-def test_enrichment_row_pass_has_no_shuffle(spark):
-    """The readings are shuffled once (keep-first dedup, in the staging job); the row
-    pass scans the staged table and joins measured statistics by broadcast."""
-    lines = _plan(E.queries()["enriched_readings"](spark, SF)).splitlines()
-
-    def indent(ln):
-        return len(ln) - len(ln.lstrip(" :+-"))
-
-    for i, ln in enumerate(lines):
-        if "Exchange hashpartitioning" in ln or "SortMergeJoin" in ln:
-            # every shuffle sits inside a broadcast side (statistics), never on the row path
-            level, ancestors = indent(ln), []
-            for up in reversed(lines[:i]):
-                if indent(up) < level:
-                    ancestors.append(up)
-                    level = indent(up)
-            assert any("BroadcastExchange" in a for a in ancestors), ln
-    assert sum("BroadcastHashJoin" in ln for ln in lines) == 2
-
-
 def test_statistics_combine_map_side(spark):
     from voltframe.operators.hourly import hourly_stats
     from voltframe.sources.adapters import load_readings

@@ -10,55 +10,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions.timefields import floor_to_seconds, yyyymmdd
+from voltframe.operators.common import materialize
 
 
-def expected_grid(present: DataFrame, ts: str = "timestamp", zone: str = "location_id",
-                  interval_minutes: int = 15, zones: DataFrame | None = None,
-                  bounds_from: DataFrame | None = None) -> DataFrame:
-    """Every interval of every day between the first and last reading, per zone.
-    The day range is a min/max scalar (partial aggregate, no shuffle) taken from
-    ``bounds_from`` (the raw rows) when given."""
-    ntz = dict(present.dtypes)[ts] == "timestamp_ntz"
-    src = bounds_from if bounds_from is not None else present
-    bounds = src.agg(F.to_date(F.min(ts)).alias("d0"), F.to_date(F.max(ts)).alias("d1")).first()
-    if bounds["d0"] is None:
-        return present.select(zone, ts).limit(0)
-    zone_tab = zones if zones is not None else present.select(zone).filter(F.col(zone).isNotNull()).distinct()
-    days = zone_tab.select(zone, F.explode(F.sequence(F.lit(bounds["d0"]), F.lit(bounds["d1"]),
-                                                      F.expr("INTERVAL 1 DAY"))).alias("_day"))
-    days = days.repartition(zone, "_day")
-    start = F.col("_day").cast("timestamp_ntz" if ntz else "timestamp")
-    end = start + F.expr(f"INTERVAL {24 * 60 - interval_minutes} MINUTES")
-    return days.select(zone, F.explode(F.sequence(start, end, F.expr(f"INTERVAL {interval_minutes} MINUTES")))
-                       .alias(ts))
-
-
-def missing_intervals(df: DataFrame, ts: str = "timestamp", zone: str = "location_id",
-                      interval_minutes: int = 15) -> DataFrame:
-    """JN5: (zone, interval) pairs with no reading.
+def missing_days(df: DataFrame, ts: str = "timestamp", zone: str = "location_id",
+                 interval_minutes: int = 15) -> DataFrame:
+    """JN5 by day: (zone, day, missing), the intervals of a zone's day with no reading, for
+    days that miss any.
 
     Per (zone, day): the set of grid-aligned timestamps present -- at most one day's
     worth of intervals (96 at 15 minutes), a proven bound, combined map-side so a hot
     zone-day costs one small set per task -- then ``array_except`` against the day's
-    generated intervals.  The readings are read once; only zone-day tables move.  Days
-    with no reading at all come from the (zone x day) calendar."""
+    generated intervals.  The readings are read once, into that table; zones and calendar
+    bounds come from it.  Days with no reading at all come from the (zone x day) calendar."""
     ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
     ttype = "timestamp_ntz" if ntz else "timestamp"
     step = F.expr(f"INTERVAL {interval_minutes} MINUTES")
-    rows = df.select(zone, ts).filter(F.col(ts).isNotNull() & F.col(zone).isNotNull())
-    aligned = rows.filter(F.col(ts) == floor_to_seconds(rows, ts, interval_minutes * 60))
-    present = aligned.groupBy(zone, F.to_date(ts).alias("_day")).agg(F.collect_set(ts).alias("_present"))
-    bounds = df.agg(F.to_date(F.min(ts)).alias("d0"), F.to_date(F.max(ts)).alias("d1")).first()
+    rows = df.select(zone, ts).filter(F.col(ts).isNotNull())
+    on_grid = F.when(F.col(ts) == floor_to_seconds(rows, ts, interval_minutes * 60), F.col(ts))
+    present = materialize(rows.groupBy(zone, F.to_date(ts).alias("day")).agg(F.collect_set(on_grid).alias("_present")))
+    bounds = present.agg(F.min("day").alias("d0"), F.max("day").alias("d1")).first()
     if bounds["d0"] is None:
-        return rows.limit(0)
-    zones = rows.select(zone).distinct()
+        return present.select(zone, "day", F.col("_present").alias("missing"))
+    zones = present.select(zone).filter(F.col(zone).isNotNull()).distinct()
     calendar = zones.select(zone, F.explode(F.sequence(F.lit(bounds["d0"]), F.lit(bounds["d1"]),
-                                                       F.expr("INTERVAL 1 DAY"))).alias("_day"))
-    days = calendar.join(present, [zone, "_day"], "left")
-    start = F.col("_day").cast(ttype)
+                                                       F.expr("INTERVAL 1 DAY"))).alias("day"))
+    days = calendar.join(present, [zone, "day"], "left")
+    start = F.col("day").cast(ttype)
     grid = F.sequence(start, start + F.expr(f"INTERVAL {24 * 60 - interval_minutes} MINUTES"), step)
     missing = F.array_except(grid, F.coalesce(F.col("_present"), F.array().cast(f"array<{ttype}>")))
-    return days.select(zone, F.explode(missing).alias(ts))
+    return days.select(zone, "day", missing.alias("missing")).filter(F.size("missing") > 0)
+
+
+def missing_intervals(df: DataFrame, ts: str = "timestamp", zone: str = "location_id",
+                      interval_minutes: int = 15) -> DataFrame:
+    """JN5: (zone, interval) pairs with no reading."""
+    return missing_days(df, ts, zone, interval_minutes).select(zone, F.explode("missing").alias(ts))
 
 
 def fill_url_template(template: Column, params: Column) -> Column:
@@ -69,10 +56,9 @@ def fill_url_template(template: Column, params: Column) -> Column:
                                                 e["value"].cast("string")))
 
 
-def backfill_urls(missing: DataFrame, url_template: str, ts: str = "timestamp",
-                  zone: str = "location_id") -> DataFrame:
-    """Days with missing intervals per zone, with the pull URL for that day
-    (``{day}`` in the template becomes yyyyMMdd)."""
-    per_day = missing.groupBy(zone, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("missing_intervals"))
+def backfill_urls(days: DataFrame, url_template: str) -> DataFrame:
+    """Days with missing intervals per zone (``missing_days``), their number, and the pull URL
+    for that day (``{day}`` in the template becomes yyyyMMdd)."""
     params = F.create_map(F.lit("day"), yyyymmdd(F.col("day")))
-    return per_day.withColumn("url", fill_url_template(F.lit(url_template), params))
+    return days.withColumn("missing_intervals", F.size("missing").cast("long")).drop("missing").withColumn(
+        "url", fill_url_template(F.lit(url_template), params))

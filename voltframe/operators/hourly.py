@@ -1,16 +1,10 @@
-"""Hourly statistics (AG1), join-back (JN1), overall means (AG2), and the one-pass
-statistics table the enrichment plan uses for AG1 + WN1 + WN2.
-
-Plan shape: statistics are partial-aggregated (map-side combine, so a hot zone or a
-hot timestamp costs one row per map task), materialized in the shared folder, measured,
-and joined back with a broadcast when the measured size allows.  The big side is never
-shuffled for a window; compare the SURVEY's window form, which is one exchange but puts
-a whole (zone, day) in one task.
+"""Hourly statistics (AG1), join-back (JN1), overall means (AG2), and the statistics that the
+enrichment plan attaches to every reading (AG1 + WN1 + WN2) as windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.numeric import round_to
@@ -26,10 +20,6 @@ def with_hour(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df if "hour" in df.columns else df.withColumn("hour", floor_hour(df, ts))
 
 
-def _stat_columns(cols: list[str]) -> list[str]:
-    return [f"{c}_{s}_hourly" for c in cols for s in ("mean", "min", "max", "std", "count")]
-
-
 def _stat_aggs(cols: list[str], digits: int = STAT_DIGITS) -> list:
     out = []
     for c in cols:
@@ -68,36 +58,25 @@ def overall_hourly_means(stats_with_rows: DataFrame, cols: list[str] | None = No
     return stats_with_rows.agg(*aggs)
 
 
-def reading_statistics(df: DataFrame, cols: list[str] | None = None,
-                       with_counts: bool = False) -> tuple:
-    """One scan, one shuffle: GROUPING SETS ((location_id, hour), (timestamp)).
-
-    Returns (hourly, system), both materialized:
-      hourly: AG1 columns + ``_rows`` + ``_lmp_sum`` (unrounded, for exact daily means)
-      system: (timestamp, ``_system_avg``) for WN2;
-    with ``with_counts`` also their exact row counts (one scan of the small table)."""
-    cols = cols or PRICE_COLUMNS
-    df = with_hour(df)
-    aggs = _stat_aggs(cols) + [
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum("lmp_total").alias("_lmp_sum"),
-        F.count("lmp_total").alias("_lmp_n"),
-        F.avg("lmp_total").alias("_system_avg"),
-        F.grouping_id().alias("_gid"),
-    ]
-    g = materialize(df.groupingSets([["location_id", "hour"], ["timestamp"]],
-                                    "location_id", "hour", "timestamp").agg(*aggs))
-    # grouping_id bits follow (location_id, hour, timestamp); 1 = rolled up
-    hourly = g.filter(F.col("_gid") == 1).select(*HOURLY_KEYS, *_stat_columns(cols),
-                                                 "_rows", "_lmp_sum", "_lmp_n")
-    system = g.filter(F.col("_gid") == 6).select("timestamp", "_system_avg")
-    if not with_counts:
-        return hourly, system
-    n = g.agg(F.count_if(F.col("_gid") == 1).alias("h"), F.count_if(F.col("_gid") == 6).alias("s")).first()
-    return hourly, system, int(n["h"]), int(n["s"])
-
-
-def daily_means(hourly: DataFrame) -> DataFrame:
-    """WN1 reference mean per (zone, date) from the unrounded hourly sums."""
-    return (hourly.groupBy("location_id", F.date_format("hour", "yyyy-MM-dd").alias("date"))
-            .agg(F.try_divide(F.sum("_lmp_sum"), F.sum("_lmp_n")).alias("_daily_avg")))
+def hourly_with_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """AG1 columns plus ``_rows``, the readings of each (zone, hour)."""
+    return with_hour(df).groupBy(*HOURLY_KEYS).agg(*_stat_aggs(cols or PRICE_COLUMNS), F.count(F.lit(1)).alias("_rows"))
+
+
+def attach_statistics(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """AG1 + JN1, WN1 and WN2 on every reading: the hourly statistics, ``_daily_avg`` (zone and
+    date) and ``_system_avg`` (timestamp).  Windows keyed (zone, date, hour) and (zone, date)
+    share one exchange on (zone, date); the mean by timestamp takes one more.  Neither depends on
+    the size of a statistics table, and a group is a zone's day or one instant's zones.
+    Readings without a zone or a time belong to no group and get NULLs.  Needs ``date``."""
+    df = with_hour(df).repartition("location_id", "date")
+    by_hour, by_day = Window.partitionBy("location_id", "date", "hour"), Window.partitionBy("location_id", "date")
+    known = F.col("location_id").isNotNull() & F.col("hour").isNotNull()
+    stats = {}
+    for c in cols or PRICE_COLUMNS:
+        stats |= {f"{c}_mean_hourly": round_to(F.avg(c).over(by_hour), STAT_DIGITS), f"{c}_min_hourly": round_to(F.min(c).over(by_hour), STAT_DIGITS),
+                  f"{c}_max_hourly": round_to(F.max(c).over(by_hour), STAT_DIGITS),
+                  f"{c}_std_hourly": round_to(F.stddev_samp(c).over(by_hour), STAT_DIGITS), f"{c}_count_hourly": F.count(c).over(by_hour)}
+    stats["_daily_avg"] = F.avg("lmp_total").over(by_day)
+    df = df.withColumns({name: F.when(known, value) for name, value in stats.items()})
+    return df.withColumn("_system_avg", F.when(F.col("timestamp").isNotNull(), F.avg("lmp_total").over(Window.partitionBy("timestamp"))))

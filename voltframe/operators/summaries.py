@@ -9,23 +9,30 @@ from voltframe.functions.numeric import round_to
 
 
 def batch_metadata(enriched: DataFrame, nested: bool = False) -> DataFrame:
-    """AG5: one-row metadata of an enriched batch (flat columns), one aggregate.  The
+    """AG5: one-row metadata of an enriched batch (flat columns), from one row for each (zone,
+    hour), so the distinct counts multiply that table and not the readings.  The
     sorted zone list is a set of distinct zones per task (bounded by the zone
     dimension, a few hundred ids), merged once.  ``nested`` groups the columns as the
     reference's metadata document (time_range, data_quality, price_summary)."""
-    flat = enriched.agg(
-        F.count(F.lit(1)).alias("record_count"),
+    hours = enriched.groupBy("location_id", "hour").agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"),
+        F.sum("data_completeness_hourly").alias("c_sum"), F.count("data_completeness_hourly").alias("c_n"),
+        F.min("data_completeness_hourly").alias("c_min"), F.count_if("is_complete_hour").alias("complete"),
+        F.sum("lmp_total").alias("p_sum"), F.count("lmp_total").alias("p_n"), F.min("lmp_total").alias("p_min"),
+        F.max("lmp_total").alias("p_max"), F.max("has_congestion").alias("congested"))
+    flat = hours.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("record_count"),
         F.count_distinct("location_id").alias("unique_locations"),
-        F.min("timestamp").alias("time_start"),
-        F.max("timestamp").alias("time_end"),
-        round_to(F.avg("data_completeness_hourly"), 4).alias("avg_completeness"),
-        F.min("data_completeness_hourly").alias("min_completeness"),
-        F.count_if("is_complete_hour").alias("complete_hours"),      # rows, as the reference sums
+        F.min("t0").alias("time_start"),
+        F.max("t1").alias("time_end"),
+        round_to(F.try_divide(F.sum("c_sum"), F.sum("c_n")), 4).alias("avg_completeness"),
+        F.min("c_min").alias("min_completeness"),
+        F.coalesce(F.sum("complete"), F.lit(0)).alias("complete_hours"),      # rows, as the reference sums
         F.count_distinct("hour").alias("total_hours"),
-        round_to(F.avg("lmp_total"), 4).alias("avg_lmp"),
-        F.min("lmp_total").alias("min_lmp"),
-        F.max("lmp_total").alias("max_lmp"),
-        F.count_distinct(F.when(F.col("has_congestion"), F.col("location_id"))).alias("zones_with_congestion"),
+        round_to(F.try_divide(F.sum("p_sum"), F.sum("p_n")), 4).alias("avg_lmp"),
+        F.min("p_min").alias("min_lmp"),
+        F.max("p_max").alias("max_lmp"),
+        F.count_distinct(F.when(F.col("congested"), F.col("location_id"))).alias("zones_with_congestion"),
         F.array_join(F.array_sort(F.collect_set("location_id")), ",").alias("locations"),
     )
     if not nested:

@@ -22,13 +22,13 @@ from voltframe.operators.audit import (
 )
 from voltframe.operators.clean import cleaning_report, coerce_prices, dedup_first
 from voltframe.operators.duplicates import dedup_report, distinct_rows, distinct_values, duplicate_values
-from voltframe.operators.gaps import backfill_urls, missing_intervals
-from voltframe.operators.hourly import hourly_stats, join_back, overall_hourly_means, reading_statistics
+from voltframe.operators.gaps import backfill_urls, missing_days, missing_intervals
+from voltframe.operators.hourly import hourly_stats, hourly_with_rows, join_back, overall_hourly_means
 from voltframe.operators.summaries import batch_metadata, load_weighted_average, processing_summary
 from voltframe.operators.validate import batch_verdict, outlier_flag, outlier_sample
 from voltframe.plans import kwh as KW
 from voltframe.plans import oracle_sql as O
-from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness
+from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness_of
 from voltframe.session import scratch_path
 from voltframe.sinks import writers as W
 from voltframe.sources.adapters import (
@@ -56,6 +56,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _deduped(spark: SparkSession, sf_dir: str):
+    """What AG3 and AG4 take of the cleaned readings."""
+    rows = load_readings(spark, sf_dir).select("timestamp", "location_id", "lmp_total", *TIE_ORDER)
+    return dedup_first(rows, ["timestamp", "location_id"], TIE_ORDER)
+
+
 def _enriched(spark: SparkSession, sf_dir: str):
     return enrich_readings(load_readings(spark, sf_dir), order=TIE_ORDER)
 
@@ -84,8 +90,7 @@ _OVERALL = ", ".join(f"{O.rnd(f'avg({c}_mean_hourly)', 4)} AS {c}_overall_mean"
           f"SELECT {_OVERALL} FROM (SELECT *, date_trunc('hour', timestamp) AS hour FROM r) r "
           "LEFT JOIN h USING (location_id, hour)")
 def q_hourly_overall_mean(spark, sf_dir):
-    hourly, _ = reading_statistics(load_readings(spark, sf_dir))
-    return overall_hourly_means(hourly)
+    return overall_hourly_means(hourly_with_rows(load_readings(spark, sf_dir)))
 
 
 @register("dedup_first", O.with_(O.R, O.D) + "SELECT * FROM d")
@@ -137,14 +142,14 @@ def q_vs_system_avg(spark, sf_dir):
           "count(timestamp) AS record_count, coalesce(avg(data_completeness_hourly) < 80, false) AS is_low_completeness "
           "FROM e GROUP BY location_id")
 def q_zone_completeness(spark, sf_dir):
-    return zone_completeness(_enriched(spark, sf_dir).readings)
+    return zone_completeness_of(_deduped(spark, sf_dir))
 
 
 @register("thin_zone", O.with_(*O.READING_CHAIN) +
           "SELECT min(n) AS min_records, count(*) AS zones, min(n) < 80 AS has_thin_zone "
           "FROM (SELECT location_id, count(timestamp) AS n FROM e GROUP BY location_id)")
 def q_thin_zone(spark, sf_dir):
-    return thin_zones(_enriched(spark, sf_dir).readings)
+    return thin_zones(_deduped(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- validation and cleaning
@@ -410,7 +415,7 @@ def q_missing_intervals(spark, sf_dir):
           f"replace('{BACKFILL_TEMPLATE}', '{{day}}', strftime(CAST(timestamp AS DATE), '%Y%m%d')) AS url "
           "FROM m GROUP BY location_id, CAST(timestamp AS DATE)")
 def q_backfill_urls(spark, sf_dir):
-    return _dec_as_double(backfill_urls(missing_intervals(load_readings(spark, sf_dir)), BACKFILL_TEMPLATE))
+    return _dec_as_double(backfill_urls(missing_days(load_readings(spark, sf_dir)), BACKFILL_TEMPLATE))
 
 
 # ---------------------------------------------------------------- generation mix (SRC3, MA16, PL2)

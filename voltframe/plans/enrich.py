@@ -1,10 +1,9 @@
 """PL1 ``process_readings``: validate -> clean -> time fields -> hourly statistics and
 join-back -> derived indicators -> zone quality.
 
-Physical shape (see ``explain``): one shuffle for the keep-first dedup (hash aggregate),
-one GROUPING SETS aggregate for hourly + per-timestamp statistics (partial aggregation,
-small output, materialized), then broadcast joins of the measured statistics onto the
-readings.  The readings themselves cross the network once.
+Physical shape (see ``explain``): one shuffle for the keep-first dedup (hash aggregate) into a
+staged table; from it one aggregate for the volatility threshold, and for the rows one exchange
+on (zone, date) and one on timestamp, whatever the size of the statistics.
 """
 
 from __future__ import annotations
@@ -14,12 +13,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.functions.numeric import round_to
+from voltframe.functions.numeric import EXPECTED_PER_HOUR, completeness, round_to
 from voltframe.functions.timefields import add_time_fields
 from voltframe.operators.clean import clean_readings
-from voltframe.operators.common import join_small, stage_table
+from voltframe.operators.common import materialize, stage_table
 from voltframe.operators.derived import VOLATILITY_QUANTILE, add_derived_fields
-from voltframe.operators.hourly import daily_means, reading_statistics
+from voltframe.operators.hourly import attach_statistics, hourly_with_rows, with_hour
 from voltframe.operators.quantiles import exact_quantiles_bounded
 from voltframe.operators.validate import batch_verdict, gate, missing_columns, observed_verdict
 
@@ -27,8 +26,7 @@ from voltframe.operators.validate import batch_verdict, gate, missing_columns, o
 @dataclass
 class Enriched:
     readings: DataFrame      # one row per cleaned reading, all enrichment columns
-    hourly: DataFrame        # compact AG1 table (+ _rows weight), materialized
-    system: DataFrame        # per-timestamp mean (WN2), materialized
+    hourly: DataFrame        # compact AG1 table (+ _rows weight)
     verdict: DataFrame       # one-row validation verdict (PF1-PF3)
     volatility_threshold: float | None
 
@@ -62,24 +60,26 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
             raw = gate(raw, verdict)
         cleaned = clean_readings(raw, order=order, trim_first=trim_first, strict_time=strict_time)
     cleaned = add_time_fields(cleaned)
-    hourly, system, n_hourly, n_system = reading_statistics(cleaned, with_counts=True)
+    hourly = hourly_with_rows(cleaned)
 
-    # WN1 reference means derived from the compact table, attached per (zone, hour):
-    # exactly one daily row per hourly row, so the context table has n_hourly rows
-    daily = daily_means(hourly)
-    hourly_ctx = (hourly.withColumn("date", F.date_format("hour", "yyyy-MM-dd"))
-                  .join(daily, ["location_id", "date"], "left").drop("date", "_lmp_sum", "_lmp_n"))
+    # MA7: row-weighted 75th percentile of the hour volatility, exact, as a scalar; the per-hour
+    # table keeps the two columns that it takes
+    vol_rows = materialize(hourly.select(F.coalesce("lmp_total_std_hourly", F.lit(0.0)).alias("vol"), "_rows"))
+    (threshold,) = exact_quantiles_bounded(vol_rows, "vol", [VOLATILITY_QUANTILE], vol_rows.count(), weight="_rows")
 
-    # MA7: row-weighted 75th percentile of the hour volatility, exact, as a scalar
-    vol_rows = hourly.select(F.coalesce("lmp_total_std_hourly", F.lit(0.0)).alias("vol"), "_rows")
-    (threshold,) = exact_quantiles_bounded(vol_rows, "vol", [VOLATILITY_QUANTILE], n_hourly, weight="_rows")
-
-    joined = join_small(cleaned, hourly_ctx.drop("_rows"), ["location_id", "hour"], "left", rows=n_hourly)
-    joined = join_small(joined, system, ["timestamp"], "left", rows=n_system)
-    out = add_derived_fields(joined, threshold, expected_per_hour=expected_per_hour,
+    out = add_derived_fields(attach_statistics(cleaned), threshold, expected_per_hour=expected_per_hour,
                              processing_metadata=processing_metadata)
-    out = out.drop("_daily_avg", "_system_avg")
-    return Enriched(out, hourly, system, verdict, threshold)
+    return Enriched(out.drop("_daily_avg", "_system_avg"), hourly, verdict, threshold)
+
+
+def zone_completeness_of(cleaned: DataFrame, expected_per_hour: int = EXPECTED_PER_HOUR, low: float = 80.0) -> DataFrame:
+    """AG3 without the enrichment: from the readings of each (zone, hour)."""
+    hours = with_hour(cleaned).groupBy("location_id", "hour").agg(
+        F.count("lmp_total").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.count("timestamp").alias("_times"))
+    share = completeness(F.col("_n"), expected_per_hour)
+    return hours.groupBy("location_id").agg(F.sum(share * F.col("_rows")).alias("_sum"), F.sum("_rows").alias("_rows"), F.sum("_times").alias("record_count")).select(
+        "location_id", round_to(F.col("_sum") / F.col("_rows"), 4).alias("avg_completeness"), "record_count",
+        F.coalesce(F.col("_sum") / F.col("_rows") < low, F.lit(False)).alias("is_low_completeness"))
 
 
 def zone_completeness(enriched: DataFrame, low: float = 80.0) -> DataFrame:

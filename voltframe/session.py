@@ -7,7 +7,7 @@ session and only invent a local one when it is unset (local tests).
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -112,6 +112,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/voltframe/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder.  What is still there when the
+    process ends in good order is removed; a lifecycle rule is for processes that don't."""
+    path = f"{checkpoint_root(spark)}/voltframe/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_scratch)
+    _SCRATCH.append(path)
+    return path
+
+
+def _drop_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for path in _SCRATCH:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
