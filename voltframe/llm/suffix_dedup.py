@@ -209,8 +209,11 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD,
         "anchor", (F.col("n") > crowd).alias("crowded")), "shared-anchors")
     hits = anchors.join(shared, "anchor")
     lists = stage(hits.groupBy(*TEXT_KEY).agg(F.collect_set(F.struct("place", "anchor", "crowded")).alias("places")), "places")
+    unstage(anchors)
+    unstage(shared)
     listed = texts.join(_side(lists, "places"), TEXT_KEY).select(*TEXT_KEY, "text", "places")
     parts = stage(_contents(listed, length), "contents")
+    unstage(lists)
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = parts.where("content is not null").select("content_a", "content_b", "starts", "content", "shard")
     dealt = dealt.repartition(shards, "shard").select("content_a", "content_b", "starts", "content")
@@ -223,13 +226,14 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD,
     twice = parts.groupBy("content_a", "content_b").agg(unlike.alias("twice"))
     verdict = twice.join(found, ["content_a", "content_b"], "left").where("twice or spans is not null")
     verdict = stage(verdict, "verdicts")
+    unstage(sorted_)
     spans = F.when(F.col("twice"), F.array(F.struct(F.lit(0).alias("lo"), F.col("starts").alias("hi")))).otherwise(F.col("spans"))
     there = parts.select(*TEXT_KEY, "start", "starts", "content_a", "content_b").join(verdict, ["content_a", "content_b"])
     there = there.select(*TEXT_KEY, F.explode(F.transform(spans, lambda s: F.struct(
         (F.col("start") + s.lo).alias("lo"), (F.col("start") + s.hi).alias("hi")))).alias("s"))
     out = stage(there.groupBy(*TEXT_KEY).agg(F.collect_set("s").alias("spans")), "repeated-starts")
-    for old in (anchors, shared, lists, parts, sorted_, verdict):
-        unstage(old)
+    unstage(parts)
+    unstage(verdict)
     return out
 
 
