@@ -133,14 +133,21 @@ def word_hashes(low: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: in
         return np.zeros(0, np.uint64)
     draw = np.random.default_rng(seed).integers(1, 2**63, 256 + POWERS, dtype=np.uint64)
     symbol, weight = draw[:256], draw[256:] | np.uint64(1)
-    lens = stops - starts
-    firsts = np.cumsum(lens) - lens
-    nth = np.arange(int(lens.sum())) - np.repeat(firsts, lens)
-    value = symbol[low[nth + np.repeat(starts, lens)]] * weight[nth % POWERS]
-    out = np.add.reduceat(value ^ (value >> np.uint64(31)), firsts)
+    out = np.empty(len(starts), np.uint64)
+    for a, b in word_runs(stops - starts):
+        lens = stops[a:b] - starts[a:b]
+        firsts = np.cumsum(lens) - lens
+        nth = np.arange(int(lens.sum())) - np.repeat(firsts, lens)
+        value = symbol[low[nth + np.repeat(starts[a:b], lens)]] * weight[nth % POWERS]
+        out[a:b] = np.add.reduceat(value ^ (value >> np.uint64(31)), firsts)
     return out * np.uint64(0x9E3779B97F4A7C15) ^ (out >> np.uint64(29))
 
 
+def word_runs(lens: np.ndarray, piece: int = PIECE):
+    """Ranges of words of about ``piece`` bytes each, so a very long text takes no more at once."""
+    yield from row_runs(np.append(0, np.cumsum(lens)), piece)
+
+
 class Lazy:
     """Something large that a worker makes from a small broadcast value when it first needs it.
     A worker keeps broadcast values between its tasks, and so what was made of them."""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import (fields, lower_table, not_blank, row_runs, stage, text_key, under_aliases,
-                                  unstage, utf8, with_columns, word_spans)
+                                  unstage, utf8, with_columns, word_runs, word_spans)
 from voltframe.llm.components import components
 
 SHINGLE, BITS, SEED = 4, 4, 42
@@ -46,9 +46,10 @@ def _fingerprinter(size: int):
         lens = e - s                                   # the words again, one space after each
         to = np.cumsum(lens + 1) - lens - 1
         flat = np.full(int((lens + 1).sum()), 32, np.uint8)
-        firsts = np.cumsum(lens) - lens
-        nth = np.arange(int(lens.sum())) - np.repeat(firsts, lens)
-        flat[nth + np.repeat(to, lens)] = low[nth + np.repeat(s, lens)]
+        for a, b in word_runs(lens):
+            n = lens[a:b]
+            nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            flat[nth + np.repeat(to[a:b], n)] = low[nth + np.repeat(s[a:b], n)]
         flat, ends = flat.tobytes(), to + lens
         n_words = np.bincount(row, minlength=rows)
         first = np.cumsum(n_words) - n_words

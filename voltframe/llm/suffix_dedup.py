@@ -135,11 +135,11 @@ def _contents(listed: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             out = [[] for _ in names]
             for a, b, text, places in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if len(out[0]) > 1 << 14:
-                    yield flush(out)
-                    out = [[] for _ in names]
                 raw = text.encode()
                 for p in places:
+                    if len(out[0]) > 1 << 14:
+                        yield flush(out)
+                        out = [[] for _ in names]
                     place, anchor = p["place"], p["anchor"]
                     for start, count, core in _cut(place >> 16, place >> 8 & 255, place & 255, p["crowded"], length):
                         content = raw[start:start + count + length - 1]
