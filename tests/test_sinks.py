@@ -309,3 +309,13 @@ def test_upsert_keeps_what_the_batch_does_not_touch(spark):
     out = W.upsert(spark.createDataFrame([(t, "B", 5.0, None, 1), (t, "D", 6.0, "", 2)], "timestamp timestamp_ntz, location_id string, v double, date string, extra int"), path)
     got = {r["location_id"]: (r["w"], r["v"], r["date"], r["extra"]) for r in out.collect()}
     assert got == {"A": (1.0, 1.0, None, None), "B": (2.0, 5.0, None, 1), "C": (3.0, 3.0, "007", None), "D": (None, 6.0, None, 2)}
+
+
+def test_genmix_files(spark):
+    from voltframe.sources.genmix import read_genmix, transform_kwh
+    root = scratch_path(spark, "genmix-files")
+    os.makedirs(root)
+    for i, offset in enumerate(("-04:00", "-05:00")):      # the hour that a clock set back shows twice
+        with open(f"{root}/{i}.json", "w") as f:
+            f.write('{"GenMixes": [{"GenMixs": [\n{"BeginDate": "2024-11-03T01:30:00%s", "GenMw": "1.5"}]}]}' % offset)
+    assert sorted(str(r["DateTime"]) for r in transform_kwh(read_genmix(spark, root)).collect()) == ["2024-11-03 05:30:00", "2024-11-03 06:30:00"]

@@ -28,7 +28,7 @@ from voltframe.operators.summaries import batch_metadata, load_weighted_average,
 from voltframe.operators.validate import batch_verdict, outlier_flag, outlier_sample
 from voltframe.plans import kwh as KW
 from voltframe.plans import oracle_sql as O
-from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness_of
+from voltframe.plans.enrich import enrich_readings, thin_zones, zone_completeness
 from voltframe.session import scratch_path
 from voltframe.sinks import writers as W
 from voltframe.sources.adapters import (
@@ -142,7 +142,7 @@ def q_vs_system_avg(spark, sf_dir):
           "count(timestamp) AS record_count, coalesce(avg(data_completeness_hourly) < 80, false) AS is_low_completeness "
           "FROM e GROUP BY location_id")
 def q_zone_completeness(spark, sf_dir):
-    return zone_completeness_of(_deduped(spark, sf_dir))
+    return zone_completeness(_deduped(spark, sf_dir))
 
 
 @register("thin_zone", O.with_(*O.READING_CHAIN) +

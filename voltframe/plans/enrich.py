@@ -72,8 +72,9 @@ def enrich_readings(raw: DataFrame, validate: bool = True, order: list[str] | No
     return Enriched(out.drop("_daily_avg", "_system_avg"), hourly, verdict, threshold)
 
 
-def zone_completeness_of(cleaned: DataFrame, expected_per_hour: int = EXPECTED_PER_HOUR, low: float = 80.0) -> DataFrame:
-    """AG3 without the enrichment: from the readings of each (zone, hour)."""
+def zone_completeness(cleaned: DataFrame, expected_per_hour: int = EXPECTED_PER_HOUR, low: float = 80.0) -> DataFrame:
+    """AG3: row-weighted mean completeness and reading count per zone; low below 80 %.  Needs
+    the cleaned readings only: it works on the number of readings of each (zone, hour)."""
     hours = with_hour(cleaned).groupBy("location_id", "hour").agg(
         F.count("lmp_total").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.count("timestamp").alias("_times"))
     share = completeness(F.col("_n"), expected_per_hour)
@@ -82,14 +83,6 @@ def zone_completeness_of(cleaned: DataFrame, expected_per_hour: int = EXPECTED_P
         F.coalesce(F.col("_sum") / F.col("_rows") < low, F.lit(False)).alias("is_low_completeness"))
 
 
-def zone_completeness(enriched: DataFrame, low: float = 80.0) -> DataFrame:
-    """AG3: row-weighted mean completeness and reading count per zone; low below 80 %."""
-    return (enriched.groupBy("location_id")
-            .agg(F.avg("data_completeness_hourly").alias("_avg"), F.count("timestamp").alias("record_count"))
-            .select("location_id", round_to(F.col("_avg"), 4).alias("avg_completeness"), "record_count",
-                    F.coalesce(F.col("_avg") < low, F.lit(False)).alias("is_low_completeness")))
-
-
 def thin_zones(enriched: DataFrame, min_records: int = 80) -> DataFrame:
     """AG4: the smallest per-zone reading count against the ~96/day expectation."""
     per_zone = enriched.groupBy("location_id").agg(F.count("timestamp").alias("n"))

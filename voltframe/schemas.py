@@ -28,45 +28,6 @@ KWH = T.StructType([
     T.StructField("kWh", T.DecimalType(15, 1)),
 ])
 
-# Nested generation mix payload: {GenMixes: [{GenMixs: [{BeginDate, GenMw}]}]}.
-GENMIX = T.StructType([
-    T.StructField("GenMixes", T.ArrayType(T.StructType([
-        T.StructField("GenMixs", T.ArrayType(T.StructType([
-            T.StructField("BeginDate", T.StringType()),
-            T.StructField("GenMw", T.DoubleType()),
-        ]))),
-    ]))),
-])
-
-# Raw payload landing row.
-RAW_PAYLOAD = T.StructType([
-    T.StructField("file_path", T.StringType()),
-    T.StructField("file_type", T.StringType()),
-    T.StructField("raw_data", T.StringType()),
-    T.StructField("metadata", T.StructType([
-        T.StructField("api_name", T.StringType()),
-        T.StructField("timestamp", T.StringType()),
-        T.StructField("unique_id", T.StringType()),
-        T.StructField("file_size", T.LongType()),
-    ])),
-    T.StructField("response_headers", T.MapType(T.StringType(), T.StringType())),
-])
-
-# Ingest run log (one row per source per run).
-RUN_LOG = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("api_name", T.StringType()),
-    T.StructField("collection_status", T.StringType()),
-    T.StructField("upload_status", T.StringType()),
-    T.StructField("s3_key", T.StringType()),
-    T.StructField("folder_path", T.StringType()),
-    T.StructField("data_format", T.StringType()),
-    T.StructField("record_count", T.LongType()),
-    T.StructField("file_size_bytes", T.LongType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
-])
-
 # Upload manifest row.
 MANIFEST = T.StructType([
     T.StructField("path", T.StringType()),

@@ -328,7 +328,7 @@ def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]
                  "json": f"{root}/raw/lmp_processed_{date}.json",
                  "metadata": f"{root}/processed/metadata_{date}.json"}
         upsert(cached, paths["table"])
-        write_csv(cached, paths["csv"])
+        write_csv(sorted_for_sink(cached, DEDUP_KEYS), paths["csv"])
         write_json(cached, paths["json"])
         write_json(batch_metadata(cached, nested=True).withColumn("date", F.lit(date)), paths["metadata"])
         return paths
