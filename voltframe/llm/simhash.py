@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import (fields, lower_table, not_blank, row_runs, stage, text_key, under_aliases,
@@ -32,6 +32,7 @@ from voltframe.llm.components import components
 SHINGLE, BITS, SEED = 4, 4, 42
 BLOCK, WIDTH = 31, np.uint64((1 << 31) - 1)
 CROWD = 20_000
+SPARE = 1 << 20
 
 
 def _fingerprinter(size: int):
@@ -190,21 +191,34 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", siz
     keep = list(keep or [c for c in docs.columns if c.lower() not in ("fingerprint", "near_root", "component_id")])
     work = docs.select(list(dict.fromkeys([*keep, text_col, id_col])))
     prints = stage(fingerprints(work, text_col, size, drop=() if text_col in keep else (text_col,)), "prints")
+    return prints.join(_member_table(prints, id_col, bits), "fingerprint")
+
+
+def _member_table(prints: DataFrame, id_col: str, bits: int) -> DataFrame:
+    """fingerprint, near_root and component_id, one row for each distinct fingerprint; staged."""
     one = prints.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
     near = links(prints, bits=bits)
     roots = components(near).select(F.col("node").alias("fingerprint"), "root")
     member = stage(one.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")), "members")
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     member = member.join(ids, "root").select("fingerprint", F.col("root").alias("near_root"), "component_id")
-    return prints.join(stage(member, "classes"), "fingerprint")
+    return stage(member, "classes")
 
 
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **kw) -> DataFrame:
-    """One document of each component: the smallest id (nulls last), then a hash of the row."""
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """One document of each component: the smallest id (nulls last), then a hash of the row.
+    Which rows go is found without the texts, which move once at most."""
     work, name, back = under_aliases(docs)
-    c = classes(work, name[text_col], name[id_col], **kw)
-    order = Window.partitionBy("near_root").orderBy(F.col(name[id_col]).asc_nulls_last(), text_key(*work.columns))
-    return back(c.withColumn("near_rank", F.row_number().over(order)).where("near_rank = 1"))
+    row = F.monotonically_increasing_id().alias("near_row")
+    prints = stage(fingerprints(work, name[text_col], size).select("*", row), "prints")
+    member = _member_table(prints, name[id_col], bits)
+    own = F.struct(F.col(name[id_col]).isNull().alias("none"), F.col(name[id_col]).alias("id"), text_key(*work.columns).alias("key"), "near_row")
+    rows = prints.select("fingerprint", own.alias("own")).join(member.select("fingerprint", "near_root"), "fingerprint").select("near_root", "own")
+    first = rows.groupBy("near_root").agg(F.min("own").alias("first"))
+    spare = stage(rows.join(first, "near_root").where("own.near_row <> first.near_row").select("own.near_row"), "spare-rows")
+    # numbers of 8 bytes, broadcast only if there are few
+    spare = F.broadcast(spare) if spare.count() <= SPARE else spare
+    return back(prints.join(spare, "near_row", "left_anti"))
 
 
 def hex16(fingerprint) -> "F.Column":
