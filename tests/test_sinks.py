@@ -319,3 +319,18 @@ def test_genmix_files(spark):
         with open(f"{root}/{i}.json", "w") as f:
             f.write('{"GenMixes": [{"GenMixs": [\n{"BeginDate": "2024-11-03T01:30:00%s", "GenMw": "1.5"}]}]}' % offset)
     assert sorted(str(r["DateTime"]) for r in transform_kwh(read_genmix(spark, root)).collect()) == ["2024-11-03 05:30:00", "2024-11-03 06:30:00"]
+
+
+def test_an_hour_in_two_batches_gets_the_statistics_of_both(spark):
+    from voltframe.schemas import READING_TEXT
+    from voltframe.streaming.ingest import enrich_stream_to_table, read_landing_stream
+    root = scratch_path(spark, "two-batches")
+
+    def land(minute, price):
+        row = (f"2025-06-04T10:{minute}:00Z", ".Z.MAINE", "Maine", price, "1.0", "0.0", "0.0", "2025-06-04T11:00:00Z")
+        spark.createDataFrame([row], READING_TEXT).write.mode("append").parquet(f"{root}/in")
+        enrich_stream_to_table(read_landing_stream(spark, f"{root}/in", READING_TEXT), f"{root}/table", f"{root}/ck")
+    land("00", "10.0")
+    land("15", "20.0")
+    rows = spark.read.parquet(f"{root}/table").collect()
+    assert sorted((r["lmp_total"], r["lmp_total_mean_hourly"], r["lmp_total_count_hourly"]) for r in rows) == [(10.0, 15.0, 2), (20.0, 15.0, 2)]

@@ -70,18 +70,31 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, fmt: s
         raise q.exception()
 
 
-def enrich_stream_to_table(stream: DataFrame, table_path: str, checkpoint: str, **enrich_options) -> None:
-    """PL1 on the hourly re-pull: every micro-batch of landed readings is validated,
-    cleaned and enriched (``plans.enrich``) and upserted by (timestamp, location_id)
-    into a date-partitioned parquet table.  The upsert is keyed, so a micro-batch that
-    is replayed after a failure rewrites the same rows: exactly-once results."""
+def enrich_stream_to_table(stream: DataFrame, table_path: str, checkpoint: str, readings_path: str | None = None,
+                           **enrich_options) -> None:
+    """PL1 on the hourly re-pull.  Every micro-batch is validated and cleaned, and upserted by
+    (timestamp, location_id) into a date-partitioned table of readings (``readings_path``, beside
+    the enriched one by default); the dates that it touches are then enriched anew from that
+    table, so an hour or day that arrives in several batches gets the statistics of all its
+    readings.  Both upserts are keyed: a batch replayed after a failure writes the same rows."""
+    from voltframe.operators.clean import clean_readings
+    from voltframe.operators.validate import batch_verdict, gate, missing_columns
     from voltframe.plans.enrich import enrich_readings
     from voltframe.sinks.writers import upsert
 
+    readings_path = readings_path or f"{table_path.rstrip('/')}_readings"
+
     def each(batch: DataFrame, _batch_id: int) -> None:
-        if batch.isEmpty():
+        if batch.isEmpty() or missing_columns(batch):
+            return
+        good = clean_readings(gate(batch, batch_verdict(batch))).withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
+        dates = [r[0] for r in good.select("date").distinct().collect()]     # the folders that the upsert replaces
+        if not dates:
             return
-        upsert(enrich_readings(batch, **enrich_options).readings, table_path)
+        stored = upsert(good, readings_path)
+        known = F.col("date").isin([d for d in dates if d is not None])
+        days = stored.where(known | F.col("date").isNull() if None in dates else known).drop("date")
+        upsert(enrich_readings(days, validate=False, **enrich_options).readings, table_path)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
