@@ -3,8 +3,8 @@
 A merge only ever makes a vocabulary token, so two neighbouring bytes that stand side by side in
 no token can't be joined by any order of merges: between them a cut is certain.  Words are cut
 there, every fragment is encoded by itself (lowest merge rank first, leftmost first) and the ids
-are concatenated.  White space is a certain cut too, so fragments recur, and their ids are kept
-in a table of bounded size that is emptied when full.
+are concatenated.  White space is a certain cut too, so pieces and fragments recur, and their ids
+are kept in tables of bounded size.
 
 The vocabulary file is read on the driver (``path`` is a parameter) and broadcast as text.  The
 library normalises and splits pieces beyond ASCII; merging and joining are done here.
@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from voltframe.llm.common import fields, share_file, with_columns
+from voltframe.llm.common import Remembered, fields, share_file, with_columns
 
-KEPT = 300_000
+KEPT = 200_000
 # The Unicode property White_Space (Python's own class also has 28 to 31).
 BLANK = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
@@ -59,7 +59,9 @@ class Codec:
         self.pieces = re.compile(rf"[^{BLANK}]+")
         self.odd = re.compile(r"[\x1c-\x1f]")
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-        self.chunks, self.fragments = {}, {}
+        self.chunks = Remembered(self.chunk_ids, KEPT)
+        self.inner = Remembered(lambda f: self._ids(list(f)), KEPT)
+        self.last = Remembered(lambda f: self._ids([*f[:-1], f[-1] + self.suffix]), KEPT)
 
     def _bare(self, token: str) -> str:
         return token[:-len(self.suffix)] if self.suffix and token.endswith(self.suffix) else token
@@ -90,18 +92,8 @@ class Codec:
                     heapq.heappush(heap, (r, left, symbols[left], symbols[right]))
         return [s for s in symbols if s is not None]
 
-    def fragment_ids(self, fragment: str, last: bool) -> list[int]:
-        key = (fragment, last)
-        if (got := self.fragments.get(key)) is None:
-            symbols = list(fragment)
-            if last:
-                symbols[-1] += self.suffix
-            got = [self.vocab[s] for s in self.merged(symbols) if s in self.vocab]
-            if len(self.fragments) >= KEPT:
-                self.fragments.clear()
-            if len(fragment) < 200:
-                self.fragments[key] = got
-        return got
+    def _ids(self, symbols: list[str]) -> list[int]:
+        return [self.vocab[s] for s in self.merged(symbols) if s in self.vocab]
 
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a piece without white space, in byte letters."""
@@ -115,9 +107,10 @@ class Codec:
     def chunk_ids(self, chunk: str) -> bytes:
         out = []
         for word in self.words(chunk):
-            parts = self.cuts(word)
-            for i, part in enumerate(parts):
-                out += self.fragment_ids(part, i == len(parts) - 1)
+            *inner, last = self.cuts(word)
+            for part in inner:
+                out += self.inner[part]
+            out += self.last[last]
         return np.array(out, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
@@ -130,16 +123,8 @@ class Codec:
 
     def encode_plain(self, text: str) -> bytes:
         chunks = text.split() if self.odd.search(text) is None else self.pieces.findall(text)
-        kept, out = self.chunks, []
-        for c in chunks:
-            if (got := kept.get(c)) is None:
-                got = self.chunk_ids(c)
-                if len(kept) >= KEPT:
-                    kept.clear()
-                if len(c) < 200:
-                    kept[c] = got
-            out.append(got)
-        return b"".join(out)
+        kept = self.chunks
+        return b"".join([kept[c] for c in chunks])
 
     def decode(self, ids: bytes) -> str:
         """The tokens' strings with a space between two: the file names no decoder."""

@@ -148,6 +148,27 @@ def word_runs(lens: np.ndarray, piece: int = PIECE):
     yield from row_runs(np.append(0, np.cumsum(lens)), piece)
 
 
+class Remembered(dict):
+    """``make(key)`` of text keys, kept while a key recurs: two generations of ``size`` entries at
+    most.  A full one becomes the old one, from which keys that recur move on.  Texts longer than
+    ``longest`` are made anew each time."""
+
+    def __init__(self, make, size: int, longest: int = 200):
+        super().__init__()
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
 class Lazy:
     """Something large that a worker makes from a small broadcast value when it first needs it.
     A worker keeps broadcast values between its tasks, and so what was made of them."""

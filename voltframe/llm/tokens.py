@@ -30,21 +30,20 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltframe.llm.bpe import BLANK
-from voltframe.llm.common import fields, share_file, stage, with_columns
+from voltframe.llm.bpe import BLANK, byte_letters
+from voltframe.llm.common import Remembered, fields, share_file, stage, with_columns
 
 END = 2
-KEPT = 300_000
-PART = 1 << 16
+KEPT = 200_000
 SHARD = "shard string, docs long, tokens long"
 
 
 class Encoder:
     """The library's ids of whole texts, made piece by piece.  A byte-level vocabulary with the
     usual split never joins a character with white space after it, so a text parts before each
-    blank that follows and precedes other characters.  Pieces recur; a new one of ASCII parts
-    further into the words of that split, which recur more, and only new words go to the
-    library, a batch at a time.  Both tables are emptied when full."""
+    blank, unless blanks follow one another.  Pieces recur; a new one of ASCII parts further
+    into the words of that split, which recur more, and only new words go to the library's
+    model; other new pieces, and texts that spell out a special token, go to the library whole."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -52,43 +51,43 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         model = json.loads(spec)
         self.library = Tokenizer.from_str(spec)
+        self.model = self.library.model
         self.width = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         special = [t["content"] for t in model["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pieces = re.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
-        self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{BLANK}A-Za-z0-9]+|[{BLANK}]+")
-        self.kept: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def library_ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.width).tobytes() for e in found]
-
-    def learn(self, pieces: list[str]) -> None:
-        words = self.words
-        if len(self.kept) + len(pieces) > KEPT:
-            self.kept.clear()
-        if len(words) > KEPT:
-            words.clear()
-        parts = [self.split.findall(p) if p.isascii() else [p] for p in pieces]
-        new = list({w for ws in parts for w in ws if w not in words})
-        for lo in range(0, len(new), PART):
-            words.update(zip(new[lo:lo + PART], self.library_ids(new[lo:lo + PART])))
-        self.kept.update(zip(pieces, [b"".join(map(words.__getitem__, ws)) for ws in parts]))
+        self.runs = re.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+        self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{BLANK}A-Za-z0-9]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+        self.letters = dict(enumerate(byte_letters()[:128]))
+        self.words = Remembered(self.word_ids, KEPT)
+        self.pieces = Remembered(self.piece_ids, KEPT)
+        self.after_blank = Remembered(lambda piece: self.piece_ids(" " + piece), KEPT)
+
+    def word_ids(self, word: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(word.translate(self.letters))], self.width).tobytes()
+
+    def piece_ids(self, piece: str) -> bytes:
+        if piece.isascii():
+            words = self.words
+            return b"".join([words[w] for w in self.split.findall(piece)])
+        return self.whole(piece)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+
+    def one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.special and self.special.search(text):
+            return self.whole(text)
+        if "  " in text:
+            pieces = self.pieces
+            return b"".join([pieces[p] for p in self.runs.findall(text)])
+        first, *rest = text.split(" ")
+        after = self.after_blank
+        return b"".join([self.pieces[first], *[after[p] for p in rest]])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for t in texts:
-            if not t:
-                out.append(b"")
-            elif self.special and self.special.search(t):
-                out += self.library_ids([t])
-            else:
-                pieces = self.pieces.findall(t)
-                if new := set(pieces).difference(self.kept):
-                    self.learn(list(new) if len(self.kept) + len(new) <= KEPT else list(set(pieces)))
-                out.append(b"".join(map(self.kept.__getitem__, pieces)))
-        return out
+        return [self.one(t) for t in texts]
 
 
 def lengths(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens", drop: tuple[str, ...] = ()) -> DataFrame:
