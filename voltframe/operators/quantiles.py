@@ -1,13 +1,15 @@
 """Exact quantiles at scale (AG8, AG9) without a single-reducer value map.
 
 ``percentile`` keeps a value->count map for the whole column in one final task, which
-does not survive a high-cardinality column at 100 TB.  Here the column is first reduced
-to a value-count table (hash aggregate with map-side combine, so one hot value costs one
-row), then the rank is located by narrowing a band: approximate cut points split the
-band, exact weighted counts pick the sub-band holding the rank, and only a band whose
-distinct-value count is under a checked bound is brought to the driver.  Cut points only
-steer the search; the answer is exact.  Interpolation is linear (pandas ``quantile``,
-DuckDB ``quantile_cont``).
+does not survive a high-cardinality column at 100 TB.  Here a sketch of the column (one scan,
+bounded size) brackets each rank first, a second scan counts what lies below and inside the
+brackets, and only the values inside, a few ten-thousandths of the rows, are reduced to a
+value-count table (hash aggregate with map-side combine, so one hot value costs one row).  In
+that table the rank is located by narrowing a band: approximate cut points split it, exact
+weighted counts pick the sub-band holding the rank, and only a band whose distinct-value count
+is under a checked bound is brought to the driver.  Sketches and cut points only steer the
+search: a rank outside its bracket widens it to everything, and the answer is exact.
+Interpolation is linear (pandas ``quantile``, DuckDB ``quantile_cont``).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from voltframe.operators.common import materialize
 COLLECT_LIMIT = 50_000   # distinct values a band may hold before it is collected
 CUTS = 64                # sub-bands per narrowing pass
 APPROX_ACCURACY = 10_000
+BRACKET = 4 / APPROX_ACCURACY    # of the rows, on either side of a rank
 
 
 def value_counts(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
@@ -81,10 +84,7 @@ def quantiles_from_counts(vc: DataFrame, qs: list[float], limit: int = COLLECT_L
     total, n_distinct = vc.agg(F.sum("c"), F.count(F.lit(1))).first()   # vc is materialized: a cheap scan
     if not total:
         return [None] * len(qs)
-    wanted = {}
-    for q in qs:
-        h = (total - 1) * q
-        wanted[q] = (h, int(math.floor(h)), int(math.ceil(h)))
+    wanted = _ranks(total, qs)
     ranks = sorted({k for _, k1, k2 in wanted.values() for k in (k1, k2)})
     found: dict = {}
     _resolve(vc, None, None, 0, ranks, found, limit, n_distinct)
@@ -96,10 +96,52 @@ def quantiles_from_counts(vc: DataFrame, qs: list[float], limit: int = COLLECT_L
     return out
 
 
+def _ranks(total: int, qs: list[float]) -> dict[float, tuple[float, int, int]]:
+    """Place of each quantile among ``total`` sorted values, and the ranks around it."""
+    return {q: ((total - 1) * q, math.floor((total - 1) * q), math.ceil((total - 1) * q)) for q in qs}
+
+
+def _bracketed(values: DataFrame, qs: list[float], limit: int) -> list[float | None]:
+    """Exact quantiles of the column ``v`` (no NULL, no NaN): sketch, count, then resolve."""
+    marks = sorted({min(1.0, max(0.0, q + side * BRACKET)) for q in qs for side in (-1, 1)})
+    total, cuts = values.agg(F.count("v"), F.percentile_approx("v", marks, APPROX_ACCURACY)).first()
+    if not total:
+        return [None] * len(qs)
+    cut, places = dict(zip(marks, cuts)), _ranks(total, qs)
+    # a band excludes its lower end, so that end is the number just below the sketch's
+    ends = {q: (math.nextafter(cut[max(0.0, q - BRACKET)], -math.inf), cut[min(1.0, q + BRACKET)]) for q in qs}
+    counted = values.agg(*[F.count_if(F.col("v") <= F.lit(end)).alias(f"n{i}{side}")
+                           for i, q in enumerate(qs) for side, end in enumerate(ends[q])]).first()
+    below = {}
+    for i, q in enumerate(qs):
+        _, first, last = places[q]
+        below[q] = int(counted[f"n{i}0"])
+        if not below[q] <= first <= last < int(counted[f"n{i}1"]):
+            ends[q], below[q] = (None, None), 0
+    inside = F.lit(False)
+    for lo, hi in ends.values():
+        inside = inside | (F.lit(True) if lo is None else (F.col("v") > F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+    vc, out = value_counts(values.filter(inside), "v"), []
+    for q in qs:
+        found: dict = {}
+        place, first, last = places[q]
+        _resolve(vc, *ends[q], below[q], sorted({first, last}), found, limit)
+        out.append(found[first] + (found[last] - found[first]) * (place - first))
+    return out
+
+
+def _numbers(df: DataFrame, value: str) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], weight: str | None = None,
                     limit: int = COLLECT_LIMIT) -> list[float | None]:
-    """Exact linear-interpolated quantiles of a column (optionally row-weighted)."""
-    return quantiles_from_counts(value_counts(df, value, weight), qs, limit)
+    """Exact linear-interpolated quantiles of a column.  With ``weight`` the input is a table
+    of counts already, and its ranks are resolved without a sketch."""
+    if weight:
+        return quantiles_from_counts(value_counts(df, value, weight), qs, limit)
+    return _bracketed(_numbers(df, value), qs, limit)
 
 
 def exact_quantiles_bounded(df: DataFrame, value: str, qs: list[float], rows: int,
@@ -123,13 +165,11 @@ def approx_quantiles(df: DataFrame, value: str, qs: list[float], accuracy: int =
 
 
 def median_and_mad(df: DataFrame, value: str, limit: int = COLLECT_LIMIT) -> tuple:
-    """AG9: median, then the median of absolute deviations, both exact.  The second
-    pass regroups the value-count table, never the raw rows."""
-    vc = value_counts(df, value)
-    (med,) = quantiles_from_counts(vc, [0.5], limit)
+    """AG9: median, then the median of absolute deviations, both exact; the deviations are
+    computed as they are scanned."""
+    values = _numbers(df, value)
+    (med,) = _bracketed(values, [0.5], limit)
     if med is None:
         return None, None
-    dev = materialize(vc.select(F.abs(F.col("v") - F.lit(med)).alias("v"), "c")
-                      .groupBy("v").agg(F.sum("c").alias("c")))
-    (mad,) = quantiles_from_counts(dev, [0.5], limit)
+    (mad,) = _bracketed(values.select(F.abs(F.col("v") - F.lit(med)).alias("v")), [0.5], limit)
     return med, mad
