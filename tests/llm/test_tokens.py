@@ -26,6 +26,8 @@ def texts():
     alphabet = "abcdefghABCXYZ0123456789 .,;'!?-_\n\t'" + "éÉßΣ日本語한تي١٢ﬁ́\x1c\x1f\x85\xa0 　\x00\x7f😀"
     out = ["", " ", "  ", "Hello, World's 2nd test: don't we'll I'VE  two\n\n three ", "<|endoftext|> a <|endoftext|>", "x" * 4000, "!'s ''s '' 'll", " 's"]
     out += [f"a{c}{c} b{c}c  {c}" for c in BLANK] + [f"a {c}b" for c in BLANK]
+    latin = "abcÀÖØöøſßéñŠ'’ 0129.,!\n\tªµº²¼×÷\x1d"
+    out += ["".join(rng.choices(latin[:-8], k=rng.randint(1, 80))) for _ in range(800)] + ["".join(rng.choices(latin, k=rng.randint(1, 80))) for _ in range(800)]
     return out + ["".join(rng.choices(alphabet, k=rng.randint(1, 120))) for _ in range(1500)]
 
 
@@ -36,12 +38,12 @@ def test_pieces_give_the_librarys_ids(encoder, library):
 
 
 def test_small_tables_change_nothing(encoder, library):
-    old, encoder.words.size, encoder.after_blank.size = (encoder.words.size, encoder.after_blank.size), 5, 5
+    old, encoder.words.size, encoder.pieces.size = (encoder.words.size, encoder.pieces.size), 5, 5
     try:
         for t in texts()[:300]:
             assert np.frombuffer(encoder.encode([t])[0], encoder.width).tolist() == library.encode(t, add_special_tokens=False).ids
     finally:
-        encoder.words.size, encoder.after_blank.size = old
+        encoder.words.size, encoder.pieces.size = old
 
 
 ROWS = [(7, "seven words are in this text here"), (3, None), (5, ""), (None, "no id"), (9, "nine"), (7, "another seven"), (2, "two é"), (-4, "minus four"), (7, "another seven")]

@@ -34,16 +34,20 @@ from voltframe.llm.bpe import BLANK, byte_letters
 from voltframe.llm.common import Remembered, fields, share_file, stage, with_columns
 
 END = 2
-KEPT = 200_000
+KEPT = 400_000
 SHARD = "shard string, docs long, tokens long"
 
 
+# The letters of ASCII, Latin-1 and Latin Extended-A, as ranges of a pattern.
+LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x17F)))
+
+
 class Encoder:
-    """The library's ids of whole texts, made piece by piece.  A byte-level vocabulary with the
-    usual split never joins a character with white space after it, so a text parts before each
-    blank, unless blanks follow one another.  Pieces recur; a new one of ASCII parts further
-    into the words of that split, which recur more, and only new words go to the library's
-    model; other new pieces, and texts that spell out a special token, go to the library whole."""
+    """The library's ids of whole texts, made word by word.  Where a text has ASCII and Latin
+    letters only, what the vocabulary's split does to it is plain, and its words recur: only new
+    ones go to the library's model.  Other texts part before each blank, where no token
+    crosses, and the pieces that have other characters go to the library whole; so do texts that
+    spell out a special token."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -56,20 +60,22 @@ class Encoder:
         special = [t["content"] for t in model["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.runs = re.compile(rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
-        self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{BLANK}A-Za-z0-9]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
-        self.letters = dict(enumerate(byte_letters()[:128]))
+        self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^{BLANK}{LETTERS}0-9]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+        self.other = re.compile(rf"[^\x00-\x7f{LETTERS}]")
+        self.letters = byte_letters()
         self.words = Remembered(self.word_ids, KEPT)
-        self.pieces = Remembered(self.piece_ids, KEPT)
-        self.after_blank = Remembered(lambda piece: self.piece_ids(" " + piece), KEPT)
+        self.pieces = Remembered(self.piece_ids, KEPT // 4)
 
     def word_ids(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word.translate(self.letters))], self.width).tobytes()
+        found = self.model.tokenize("".join([self.letters[b] for b in word.encode()]))
+        return np.array([t.id for t in found], self.width).tobytes()
 
     def piece_ids(self, piece: str) -> bytes:
-        if piece.isascii():
-            words = self.words
-            return b"".join([words[w] for w in self.split.findall(piece)])
-        return self.whole(piece)
+        return self.by_words(piece) if self.other.search(piece) is None else self.whole(piece)
+
+    def by_words(self, text: str) -> bytes:
+        words = self.words
+        return b"".join([words[w] for w in self.split.findall(text)])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.width).tobytes()
@@ -79,12 +85,10 @@ class Encoder:
             return b""
         if self.special and self.special.search(text):
             return self.whole(text)
-        if "  " in text:
-            pieces = self.pieces
-            return b"".join([pieces[p] for p in self.runs.findall(text)])
-        first, *rest = text.split(" ")
-        after = self.after_blank
-        return b"".join([self.pieces[first], *[after[p] for p in rest]])
+        if text.isascii() or self.other.search(text) is None:
+            return self.by_words(text)
+        pieces = self.pieces
+        return b"".join([pieces[p] for p in self.runs.findall(text)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return [self.one(t) for t in texts]
