@@ -240,7 +240,8 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD,
 def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, drop: tuple[str, ...] = (), digest: bool = False,
            **kw) -> DataFrame:
     """``docs`` plus n_bytes, n_removed, removed (maximal runs of removed bytes) and kept (the
-    remaining bytes), or kept_sha256 instead of kept if ``digest``."""
+    remaining bytes), or kept_sha256 instead of kept if ``digest``.  Input columns of these
+    names, or named text_a, text_b, spans or copied, are not returned."""
     if not GRAM < length < 255:
         raise ValueError(f"length: {length}")
     text = F.coalesce(F.col(text_col), F.lit(""))
