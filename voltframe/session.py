@@ -8,6 +8,7 @@ session and only invent a local one when it is unset (local tests).
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -126,9 +127,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _drop_scratch() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is None or spark.sparkContext._jsc is None:
-        return
-    for path in _SCRATCH:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    with contextlib.suppress(Exception):    # at the end of a process the JVM may be gone already
+        spark = SparkSession.getActiveSession()
+        for path in _SCRATCH if spark is not None else ():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
