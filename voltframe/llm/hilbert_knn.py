@@ -120,7 +120,8 @@ def positions(keys: DataFrame) -> DataFrame:
     parts = laid.groupBy("curve", "part").agg(F.min("nth").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    out = stage(laid.join(F.broadcast(parts), ["curve", "part"]).select("curve", "rep", (F.col("base") + F.col("nth") - F.col("first")).alias("pos")), "positions")
+    pos = (F.col("base") + F.col("nth") - F.col("first")).alias("pos")
+    out = stage(laid.join(F.broadcast(parts), ["curve", "part"]).select("curve", "rep", pos), "positions")
     unstage(laid)
     return out
 

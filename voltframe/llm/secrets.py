@@ -106,7 +106,8 @@ def scan(docs: DataFrame, text_col: str = "text", repo_col: str = "source", owne
     owned = ownership(some, F.col(repo_col), owner)
     each = some.select("secret_row", F.explode("secret_spans").alias("s")).where("s.random")
     live = each.join(owned.where(F.col("owners") < example_owners).select(F.col("hash").alias("h")), F.col("s.hash") == F.col("h"))
-    live = live.groupBy("secret_row").agg(F.array_sort(F.collect_set(F.struct(F.col("s.at").alias("start"), F.col("s.end").alias("end")))).alias("live_spans"))
+    span = F.struct(F.col("s.at").alias("start"), F.col("s.end").alias("end"))
+    live = live.groupBy("secret_row").agg(F.array_sort(F.collect_set(span)).alias("live_spans"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     out = found.join(live, "secret_row", "left").withColumn("live_spans", F.coalesce("live_spans", none))
     return out.select(*keep, "secret_spans", "live_spans")

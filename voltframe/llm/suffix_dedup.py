@@ -189,7 +189,8 @@ def _shard_repeats(batches, length: int, room: int):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], flags[at:at + n].astype(np.int8), [0]])))
             if len(edge):
                 rows.append({"content_a": a, "content_b": b, "spans": [{"lo": int(x), "hi": int(y)} for x, y in edge.reshape(-1, 2)]})
-        kind = pa.schema([("content_a", pa.int64()), ("content_b", pa.int64()), ("spans", pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))])
+        spans = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        kind = pa.schema([("content_a", pa.int64()), ("content_b", pa.int64()), ("spans", spans)])
         yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
 

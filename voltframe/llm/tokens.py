@@ -240,7 +240,8 @@ def read(shards: DataFrame, folder: str) -> DataFrame:
                 ids, there = np.frombuffer(raw[:8 * n].tobytes(), "<i8"), np.asarray(raw[8 * n:]).astype(bool)
                 for lo in range(0, n, 4096):
                     hi = min(n, lo + 4096)
-                    crc = [zlib.crc32(flat[a:b].astype("<u4").tobytes()) for a, b in zip((offs[lo:hi] - offs[0]).tolist(), (offs[lo + 1:hi + 1] - offs[0]).tolist())]
+                    cuts = (offs[lo:hi + 1] - offs[0]).tolist()
+                    crc = [zlib.crc32(flat[a:b].astype("<u4").tobytes()) for a, b in zip(cuts, cuts[1:])]
                     cols = [pa.array(ids[lo:hi], mask=~there[lo:hi]), pa.array(offs[lo:hi]), pa.array(np.diff(offs[lo:hi + 1])), pa.array(crc)]
                     yield pa.RecordBatch.from_arrays([c.cast(k) for c, k in zip(cols, kinds)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
