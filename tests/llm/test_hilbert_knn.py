@@ -78,3 +78,20 @@ def test_recall_of_the_given_vectors(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     recall = np.mean([len(got[q] & {i for _, i in want[q]}) / len(want[q]) for q in want])
     assert got.keys() == want.keys() and recall >= 0.9
+
+
+def test_recall_with_a_third_of_the_rows_in_one_tight_cluster(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=64)
+    for jitter in (0.03, 0.0005):
+        rows = [(i, (centre + jitter * rng.normal(size=64) if i % 3 == 0 else rng.normal(size=64)).tolist()) for i in range(6000)]
+        want = brute(rows, lambda q: q % 60 == 0, 10)
+        got = found(spark, rows, F.col("id") % 60 == 0)
+        recall = np.mean([len({i for _, i in got[q]} & {i for _, i in want[q]}) / 10 for q in want])
+        assert got.keys() == want.keys() and recall >= 0.95, (jitter, recall)
+
+
+def test_finer_keys_extend_coarse_ones():
+    cells = np.random.default_rng(2).integers(0, 1 << 12, (500, 5))
+    coarse = hilbert_knn.hilbert_keys(cells >> 9, 3)
+    assert (hilbert_knn.hilbert_keys(cells, 12) >> 45 == coarse).all()

@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by shifted Hilbert curves.
 
 Each of ``CURVES`` curves has its own random orthogonal projection to ``DIMS`` dimensions and its own
-shift; a vector's place on it is the Hilbert key of its quantised projection.  Per curve Spark
+shift; a vector's place on it is the Hilbert key of its quantised projection: ``BITS`` a dimension,
+then ``FINE`` more, which part the rows of a cell however tight a cluster they are (down to a
+float's precision); equal keys follow a hash of their own for each curve.  Per curve Spark
 range-partitions and sorts the keys, and counts by partition turn the order into positions.  A
 query looks at the rows within ``window`` positions on either side of it on every curve.  Positions
 are cut into blocks of ``BLOCK`` rows at most, a query goes to each block that its window meets, and
@@ -32,13 +34,14 @@ from pyspark.sql import functions as F
 
 from voltframe.llm.common import stage, unstage
 
-CURVES, DIMS, BITS = 12, 16, 3
+CURVES, DIMS, BITS, FINE = 12, 16, 3, 21
 SHARE, LEAST_WINDOW = 0.12, 64
 BLOCK, SAMPLE = 4096, 2000
 
 
-def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Position on the Hilbert curve of each row of non-negative integers below 2^bits."""
+def _hilbert_bits(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Bits of the position on the Hilbert curve of each row of non-negative integers below
+    2^bits, highest first.  The leading ones are the position among cells of fewer bits."""
     x = cells.astype(np.int64).copy()
     n, dims = x.shape
     for level in range(bits - 1, 0, -1):
@@ -55,13 +58,22 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     for level in range(bits - 1, 0, -1):
         carry ^= np.where(x[:, -1] & (1 << level), (1 << level) - 1, 0)
     x ^= carry[:, None]
-    key = np.zeros(n, np.int64)
-    for level in range(bits - 1, -1, -1):
-        for i in range(dims):
-            key = key << 1 | x[:, i] >> level & 1
+    levels = np.arange(bits - 1, -1, -1)
+    return (x[:, None, :] >> levels[None, :, None] & 1).astype(np.uint8).reshape(n, -1)
+
+
+def _number(bits: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(bits), np.int64)
+    for column in bits.T:
+        key = key << 1 | column
     return key
 
 
+def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Position on the Hilbert curve of each row of non-negative integers below 2^bits."""
+    return _number(_hilbert_bits(cells, bits))
+
+
 def _usable(vec: Column) -> Column:
     sound = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vec.isNotNull() & (F.size(vec) > 0) & F.coalesce(sound, F.lit(False)) & F.exists(vec, lambda x: x != 0)
@@ -97,23 +109,28 @@ def _curves(sample: np.ndarray, curves: int, dims: int, seed: int):
     return out
 
 
-def _keys(reps: DataFrame, curves, bits: int) -> DataFrame:
+def _keys(reps: DataFrame, curves, bits: int, fine: int = FINE) -> DataFrame:
+    """One row for each curve and entry: the key of ``bits`` a dimension, and the next ``fine``."""
     shared = reps.sparkSession.sparkContext.broadcast(curves)
 
     def run(batches):
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            side = 1 << (bits + fine)
             for c, (basis, mean, scale, shift) in enumerate(shared.value):
-                cells = np.clip(((x @ basis - mean) / scale + shift) * (1 << bits), 0, (1 << bits) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), c, np.int32)), pa.array(hilbert_keys(cells.astype(np.int64), bits)),
-                                                  pa.array(ids)], names=["curve", "key", "rep"])
+                cells = np.clip(((x @ basis - mean) / scale + shift) * side, 0, side - 1).astype(np.int64)
+                key, more = np.split(_hilbert_bits(cells, bits + fine), [bits * cells.shape[1]], axis=1)
+                more = pa.array([row.tobytes() for row in np.packbits(more, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), c, np.int32)), pa.array(_number(key)), more, pa.array(ids)],
+                                                 names=["curve", "key", "fine", "rep"])
 
-    return reps.select("rep", "vec").mapInArrow(run, "curve int, key long, rep long")
+    return reps.select("rep", "vec").mapInArrow(run, "curve int, key long, fine binary, rep long")
 
 
 def positions(keys: DataFrame) -> DataFrame:
-    """``keys`` (curve, key, rep) to curve, rep and position on the curve, counted from 0; staged."""
-    order = ["curve", "key", "rep"]
+    """``keys`` (curve, key, fine, rep) to curve, rep and position on the curve, counted from 0; staged."""
+    keys = keys.withColumn("tie", F.xxhash64("curve", "rep"))
+    order = ["curve", "key", "fine", "tie", "rep"]
     laid = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     laid = stage(laid.select("curve", "rep", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("nth")), "curve-order")
     # one row for each curve and partition that has rows of it
