@@ -5,8 +5,9 @@ characters or more), ``access`` (AKIA and capitals or digits, 18 or more in all)
 more), each leftmost without overlap within its kind.  The candidate of a span is its secret part.
 Candidates are then counted over the corpus by hash: in how many distinct repositories and owners
 each appears.  One that ``EXAMPLE_OWNERS`` owners or more share is an example that people copy; any
-other that looks random (not a word, not a placeholder) is a live-looking credential of few owners,
-and its own span is added as kind ``live``.
+other that may be a credential is a live-looking one of few owners, and its own span is added as
+kind ``live``.  Only values of few different characters (less than ``MIN_BITS`` a character) and
+assigned ones made of ``PLACEHOLDERS`` alone are none; digits or letters alone may be one.
 
 Only hashes leave a text, one row for each distinct (candidate, owner, repository) of a task, so a
 candidate in a third of all rows is pre-aggregated before its shuffle; the join that brings the
@@ -31,6 +32,9 @@ from voltframe.llm.common import fields, stage, under_aliases, with_columns
 KINDS = ("assign", "access", "hex")
 EXAMPLE_OWNERS = 4
 MIN_BITS = 2.5           # a character, for a value to look random
+PLACEHOLDERS = ("password", "passwd", "secret", "token", "api", "access", "private", "key", "your", "my", "the", "here", "user",
+                "name", "value", "string", "change", "replace", "insert", "enter", "with", "this", "me", "placeholder", "example",
+                "sample", "dummy", "default", "redacted", "hidden", "todo", "none", "null", "undefined", "x")
 KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
 SPAN = "array<struct<kind:string,start:int,end:int,at:int,hash:bigint,random:boolean>>"
 KINDS_OF_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("at", pa.int32()),
@@ -49,16 +53,17 @@ ACCESS, HEX = r"AKIA[A-Z0-9]+", r"[0-9a-f]{16,}"
 def _finder():
     assign, access, hexes = re.compile(ASSIGN), re.compile(ACCESS), re.compile(HEX)
     log2, digest = math.log2, xxhash.xxh64_intdigest
+    placeholder = re.compile("|".join(sorted(PLACEHOLDERS, key=len, reverse=True)) + "|[+/_.=-]")
 
-    def looks_random(value):
-        """Digits among letters, and many different characters."""
+    def looks_random(kind, value):
+        """Many different characters, and not just the words of a placeholder."""
         counts = [value.count(c) for c in set(value)]
         bits = -sum(n / len(value) * log2(n / len(value)) for n in counts)
-        return bits >= MIN_BITS and any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+        return bits >= MIN_BITS and (kind != "assign" or placeholder.sub("", value.lower()) != "")
 
     def span(kind, start, end, at, value):
         return {"kind": kind, "start": start, "end": end, "at": at, "hash": digest(value.encode(), 0) - (1 << 63),
-                "random": looks_random(value)}
+                "random": looks_random(kind, value)}
 
     def find(text):
         out = [span("hex", m.start(), m.end(), m.start(), m[0]) for m in hexes.finditer(text)]
