@@ -53,3 +53,14 @@ def test_no_labels_and_clashing_columns(spark):
     model = toxicity.fit(df, none, F.lit(True))
     assert model is None and tuple(toxicity.score(df, model).first()) == (1, "x", 0.0, 0)
     assert toxicity.score(df.where("false"), model).count() == 0
+
+
+def test_a_repeated_labelled_id_is_one_row_of_the_fit(spark, monkeypatch):
+    rows, labels = corpus(80)
+    seen, descend = [], toxicity._descend
+    monkeypatch.setattr(toxicity, "_descend", lambda x, y, weight: seen.append((len(x), weight.max())) or descend(x, y, weight))
+    more = [(3, f"w{i} w{i + 1}") for i in range(400)] + [(3, None)]
+    said = spark.createDataFrame(labels, "doc_id long, toxic int")
+    for docs in (rows, rows + more):
+        toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), said, F.lit(True))
+    assert seen[0] == seen[1] and seen[0][0] == 80

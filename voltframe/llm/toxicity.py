@@ -6,7 +6,8 @@ of its terms.  The model is a bias, a weight for each kept place and
 a vector of ``FACTORS`` numbers for each, whose products are the weights of pairs of terms: an insult
 next to a group's name can count for more than both alone, which a sum of term weights can't tell.
 
-``fit`` takes about ``PER_CLASS`` labelled texts of each class, chosen by a hash of their id,
+``fit`` takes about ``PER_CLASS`` labelled texts of each class, chosen by a hash of their id, one
+text (the least by a hash of it) for an id that comes in many rows,
 keeps the ``PLACES`` places whose presence tells most about the label (chi-squared, counted in
 Spark over the sample), and minimises the weighted logistic loss by Adam on the driver, whose
 share is about 2 x PER_CLASS rows of PLACES bits.  Each class weighs as much as it does among
@@ -67,7 +68,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text
     totals = {r.y: r["count"] for r in said.groupBy("y").count().collect()}
     sample = hash_sample(said, "y", [F.col(id_col).cast("string")], per_class).select(id_col, "y")
     # about 2 x per_class rows of two numbers
-    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col).select("text", "y")
+    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(sample), id_col)
+    order = F.struct(F.xxhash64("text"), F.col("text"))
+    texts = texts.groupBy(id_col, "y").agg(F.min_by("text", order).alias("text")).select("text", "y")    # combined before its shuffle
 
     def places(batch):
         out = [None] * batch.num_rows
