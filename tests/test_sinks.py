@@ -334,3 +334,17 @@ def test_an_hour_in_two_batches_gets_the_statistics_of_both(spark):
     land("15", "20.0")
     rows = spark.read.parquet(f"{root}/table").collect()
     assert sorted((r["lmp_total"], r["lmp_total_mean_hourly"], r["lmp_total_count_hourly"]) for r in rows) == [(10.0, 15.0, 2), (20.0, 15.0, 2)]
+
+
+def test_landed_files_of_a_hot_type_and_day_are_bounded(spark, monkeypatch):
+    from voltframe.plans import rules_catalog as R
+    ids = F.when(F.col("id") % 5 == 0, F.lit("view")).otherwise("click")
+    ev = spark.range(25_000).select(F.col("id").alias("event_id"), ids.alias("event_type"), F.lit("2024-01-01 01:00:00").cast("timestamp").alias("ts"))
+    monkeypatch.setattr(R, "load_table", lambda *a: ev)
+    monkeypatch.setattr(R, "_landed", lambda *a, landed=R._landed, **kw: roots.append(landed(*a, **kw)) or roots[-1])
+    roots = []
+    assert sorted(map(tuple, R.q_readings_json_arrays(spark, "").collect())) == [("click", 20_000), ("view", 5_000)]
+    assert R.q_landing_records(spark, "").distinct().count() == 25_000
+    for root in roots:
+        files = spark.read.text(f"{root}/in", wholetext=True)
+        assert max(r.n for r in files.select(F.regexp_count("value", F.lit("event_id")).alias("n")).collect()) <= 10_000

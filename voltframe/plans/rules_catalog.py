@@ -318,14 +318,21 @@ def q_readings_json_source(spark, sf_dir):
     return back.groupBy("location_id", F.col("lmp_total").cast("double").alias("lmp_total")).agg(F.count("*").alias("n"))
 
 
-def _landed(spark, sf_dir):
-    """Events as landed files: a folder for each type, one indented JSON array a day and file."""
+IDS_A_FILE = 10_000
+
+
+def _landed(spark, sf_dir, whole_days=False):
+    """Events as landed files: a folder for each type, one indented JSON array a file, which holds
+    a day's events of one range of ``IDS_A_FILE`` ids, or all of them if ``whole_days`` (the SQL of
+    landing_log and landing_manifest counts one file a type and day)."""
     ev = load_table(spark, sf_dir, "events")
     record = F.struct(F.col("event_id").cast("string").alias("event_id"), F.col("event_type").alias("location_id"))
-    files = ev.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
+    ids = F.lit(0) if whole_days else F.expr(f"event_id div {IDS_A_FILE}")
+    files = ev.withColumn("day", F.to_date("ts")).withColumn("ids", ids).groupBy("event_type", "day", "ids").agg(
+        F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
     root = scratch_path(spark, "landing")
-    files.select("value", F.concat(F.lit("Pull-"), "event_type").alias("api")).repartition("api").write.option(
-        "maxRecordsPerFile", 1).option("lineSep", " ").partitionBy("api").text(f"{root}/in")
+    files = files.withColumn("api", F.concat(F.lit("Pull-"), "event_type")).repartition("api", "day", "ids")
+    files.select("value", "api").write.option("maxRecordsPerFile", 1).option("lineSep", " ").partitionBy("api").text(f"{root}/in")
     return root
 
 
@@ -341,7 +348,7 @@ def q_readings_json_arrays(spark, sf_dir):
           "CAST(sum(n) AS BIGINT) AS records, count(*) AS uploaded "
           "FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type, CAST(ts AS DATE)) GROUP BY event_type")
 def q_landing_log(spark, sf_dir):
-    root = _landed(spark, sf_dir)
+    root = _landed(spark, sf_dir, whole_days=True)
     log = land_payloads(spark, f"{root}/in", f"{root}/out", declared="json").run_log
     return log.groupBy("api_name", "folder_path").agg(F.count("*").alias("files"), F.sum("record_count").alias("records"),
                                                       F.count_if(F.col("upload_status") == "success").alias("uploaded"))
@@ -358,7 +365,7 @@ def q_landing_records(spark, sf_dir):
           "SELECT 'api=pull-' || event_type AS folder_path, count(DISTINCT CAST(ts AS DATE)) AS files, count(*) AS record_count "
           "FROM events GROUP BY event_type")
 def q_landing_manifest(spark, sf_dir):
-    root = _landed(spark, sf_dir)
+    root = _landed(spark, sf_dir, whole_days=True)
     return land_payloads(spark, f"{root}/in", f"{root}/out", declared="json").manifest.select("folder_path", "files", "record_count")
 
 
