@@ -6,6 +6,9 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from test_alignment import brute as brute_links
+from test_alignment import libraries  # noqa: F401  (a fixture)
+from test_conversations import brute as brute_repair
 from test_hilbert_knn import brute as brute_near
 from test_secrets import brute as brute_spans
 from test_simhash import brute_classes
@@ -25,7 +28,7 @@ def tables(spark, tmp_path_factory):
     docs = spark.read.parquet(f"{GIVEN}/documents.parquet")
     more = spark.createDataFrame([(*r, len(r[1] or "")) for r in EXTRA], docs.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "))
     docs.unionByName(more).repartition(3).write.parquet(f"{folder}/documents.parquet")
-    for name in ("embeddings", "benchmark", "labels"):
+    for name in ("embeddings", "benchmark", "labels", "conversations"):
         spark.read.parquet(f"{GIVEN}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     return folder, [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
 
@@ -133,8 +136,39 @@ def test_op10(spark, tables):
         assert sha(",".join(base).encode()) == r[4]
 
 
+def test_op11(spark, tables, libraries):  # noqa: F811
+    rows = [r[:2] for r in tables[1] if len(r[1] or "") < 1200]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = f"{tables[0]}-short"
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = ran(spark, (folder,), "op11_alignment", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    want = [(*r[:7], sha(r[7].encode()) if r[1] else "") for r in brute_links(rows, libraries)[0]]
+    assert got == sorted(want, key=str) and len(got) > 50
+
+
+def test_op12(spark, tables):
+    library = Tokenizer.from_file(queries.BYTE_BPE)
+    want = []
+    for d, t, _, _ in tables[1]:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        cuts = sorted({0, *range(len(ids), 0, -1024)})
+        want += [(d, n, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert ran(spark, tables, "op12_packing", "doc_id", "piece", "start", "length", "ids_crc32") == sorted(want, key=str)
+    room = {}
+    for k, at, n in sorted(ran(spark, tables, "op12_packing", "sequence_id", "offset", "length"), key=lambda r: r[:2]):
+        assert room.get(k, 0) == at
+        room[k] = at + n
+    assert max(room.values()) <= 1024 and len(room) <= -(-sum(room.values()) // 1024) + 2
+
+
+def test_op13(spark, tables):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{GIVEN}/conversations.parquet").collect()]
+    got = ran(spark, tables, "op13_conversations", "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    assert got == brute_repair(rows)
+
+
 def test_every_operator_reads_its_whole_table_without_python_rows(spark):
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     for name in ("op1_decontaminate", "op5_bpe", "op6_language", "op8_toxicity"):
         plan = queries.QUERIES[name](spark, GIVEN)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "Limit" not in plan and "Exchange" not in plan, name
@@ -144,6 +178,9 @@ def test_small_columns_have_the_asked_types(spark):
     kinds = {"op2_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
              "op3_suffix_dedup": {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
              "op10_secrets": {"n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+             "op11_alignment": {"n_a": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+             "op12_packing": {"piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
+             "op13_conversations": {"gaps": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
              "op8_toxicity": {"held_out": "boolean", "score": "double", "predicted": "int"}}
     for name, want in kinds.items():
         assert want.items() <= dict(queries.QUERIES[name](spark, GIVEN).dtypes).items()

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm import bpe, decontaminate, hilbert_knn, langid, secrets, simhash, suffix_dedup, tokens, toxicity
+from voltframe.llm import (
+    alignment,
+    bpe,
+    conversations,
+    decontaminate,
+    hilbert_knn,
+    langid,
+    packing,
+    secrets,
+    simhash,
+    suffix_dedup,
+    tokens,
+    toxicity,
+)
 from voltframe.llm.common import table
 from voltframe.session import scratch_path
 
 # Where vocabulary files lie; each operator takes a path.
-VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-WORD_BPE, BYTE_BPE = f"{VOCABULARIES}/word_bpe_49k.json", f"{VOCABULARIES}/byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECE_BPE = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +92,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.named((*secrets.KINDS, "live")).alias("spans"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(docs, BYTE_BPE, PIECE_BPE, digest=True, drop=("text",)).documents
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    found = conversations.digests(conversations.repair(rows, dropped="dropped", times="times", digest=True))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
                   coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -111,6 +138,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
+    "op11_alignment": op11_alignment,
+    "op12_packing": op12_packing,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE = {"op1_decontaminate": OP1_SQL}
