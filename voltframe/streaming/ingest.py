@@ -3,7 +3,7 @@
 STR1: newly landed files are read incrementally with a fixed schema, each exactly
 once (the checkpoint records which files were consumed); ``availableNow`` processes
 the backlog and stops, which is the hourly-trigger job.  STR2: dedup on
-(timestamp, location_id) with state bounded by the watermark.  STR3: hourly
+(timestamp, location_id) with state bounded by the watermark, the first row seen or the first by extraction time.  STR3: hourly
 statistics per zone on a tumbling hour, emitted in append mode once the watermark
 passes the hour; rows later than the watermark are dropped.
 """
@@ -47,6 +47,21 @@ def dedup_stream(readings: DataFrame, delay: str = DEFAULT_WATERMARK) -> DataFra
     return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")) if ntz else out
 
 
+def first_readings_stream(readings: DataFrame, delay: str = DEFAULT_WATERMARK, order: list[str] | None = None) -> DataFrame:
+    """STR2 with the batch rule of the cleaner: of the readings of one (timestamp, location_id) that
+    are not late, whatever batches they come in, the first by ``order`` (NULLs last) is kept.  State is
+    one row a key until the watermark passes its timestamp, and then the row is final and is emitted."""
+    from voltframe.operators.clean import DEFAULT_ORDER
+
+    ev, ntz = _as_event_time(readings)
+    rest = [c for c in ev.columns if c not in DEDUP_KEYS]
+    by = [c for c in (order or DEFAULT_ORDER) if c in rest]
+    place = F.struct(*[x for c in by for x in (F.col(c).isNull(), F.col(c))])
+    out = ev.withWatermark("timestamp", delay).groupBy(*DEDUP_KEYS).agg(F.min_by(F.struct(*rest), place).alias("first"))
+    time = F.col("timestamp").cast("timestamp_ntz") if ntz else F.col("timestamp")
+    return out.select(time.alias("timestamp"), "location_id", "first.*").select(*readings.columns)
+
+
 def hourly_stream(readings: DataFrame, delay: str = DEFAULT_WATERMARK,
                   cols: list[str] | None = None) -> DataFrame:
     """STR3: AG1 statistics per (zone, tumbling hour)."""
