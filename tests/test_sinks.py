@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from voltframe.session import scratch_path
@@ -301,6 +302,60 @@ def test_binary_payloads_land_as_they_are(spark):
     assert stored["x"] == raw and run.rejects.count() == 1 and run.manifest.first()["files"] == 2
 
 
+def test_a_landing_run_that_is_tried_again_replaces_itself(spark):
+    from voltframe.plans.landing import committed, land_payloads
+    root = scratch_path(spark, "retried")
+    os.makedirs(f"{root}/in/api")
+    with open(f"{root}/in/api/a.json", "w") as f:
+        f.write('[{"q": 1}, {"q": 2}]')
+    for _ in range(2):
+        run = land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="20250101_000000", run_id="r")
+    assert run.run_log.count() == 1 and run.manifest.first()["record_count"] == 2
+    assert [committed(spark, f"{root}/out", t).count() for t in ("raw", "records", "run_log", "manifest")] == [1, 2, 1, 1]
+    land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="20250101_000000")        # the same second, another run
+    assert committed(spark, f"{root}/out", "records").count() == 4
+
+
+def test_a_landing_batch_that_fails_shows_nothing_and_is_replayed_once(spark, monkeypatch):
+    from voltframe.plans import landing
+    root = scratch_path(spark, "replayed")
+    os.makedirs(f"{root}/in/api")
+
+    def put(name, text):
+        with open(f"{root}/in/api/{name}", "w") as f:
+            f.write(text)
+
+    def go(checkpoint="c"):
+        landing.land_new(spark, f"{root}/in", f"{root}/out", f"{root}/{checkpoint}")
+
+    def counts():
+        return [landing.committed(spark, f"{root}/out", t).count() for t in ("raw", "records", "run_log", "manifest")]
+
+    put("a.json", '[{"q": 1}, {"q": 2}]')
+    go()
+    assert counts() == [1, 2, 1, 1]
+    put("b.json", '{"q": 3}')
+    real, calls = landing._replace, []
+
+    def third_write_fails(df, path, *by):
+        calls.append(path)
+        if len(calls) == 3:
+            raise OSError("disk full")
+        real(df, path, *by)
+
+    monkeypatch.setattr(landing, "_replace", third_write_fails)
+    with pytest.raises(Exception, match="disk full"):
+        go()
+    assert counts() == [1, 2, 1, 1]
+    monkeypatch.setattr(landing, "_replace", real)
+    go()
+    assert counts() == [2, 3, 2, 2]
+    go()
+    go("another checkpoint")
+    got = {(r["s3_key"].rsplit("/")[-1], r["upload_status"]) for r in landing.committed(spark, f"{root}/out", "run_log").collect()}
+    assert counts()[:2] == [2, 3] and got == {(f, s) for f in ("a.json", "b.json") for s in ("success", "skipped")}
+
+
 def test_upsert_keeps_what_the_batch_does_not_touch(spark):
     path = scratch_path(spark, "upsert-keeps")
     schema = "timestamp timestamp_ntz, location_id string, w double, v double, date string"

@@ -321,18 +321,19 @@ def q_readings_json_source(spark, sf_dir):
 IDS_A_FILE = 10_000
 
 
-def _landed(spark, sf_dir, whole_days=False):
+def _land_files(spark, sf_dir, folder, part=None):
     """Events as landed files: a folder for each type, one indented JSON array a file, which holds
-    a day's events of one range of ``IDS_A_FILE`` ids, or all of them if ``whole_days`` (the SQL of
-    landing_log and landing_manifest counts one file a type and day)."""
-    ev = load_table(spark, sf_dir, "events")
+    a day's events of one range of ``IDS_A_FILE`` ids.  ``part`` is a condition on day and ids."""
+    ev = load_table(spark, sf_dir, "events").withColumns({"day": F.to_date("ts"), "ids": F.expr(f"event_id div {IDS_A_FILE}")})
     record = F.struct(F.col("event_id").cast("string").alias("event_id"), F.col("event_type").alias("location_id"))
-    ids = F.lit(0) if whole_days else F.expr(f"event_id div {IDS_A_FILE}")
-    files = ev.withColumn("day", F.to_date("ts")).withColumn("ids", ids).groupBy("event_type", "day", "ids").agg(
-        F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
-    root = scratch_path(spark, "landing")
+    files = (ev if part is None else ev.where(part)).groupBy("event_type", "day", "ids").agg(F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value"))
     files = files.withColumn("api", F.concat(F.lit("Pull-"), "event_type")).repartition("api", "day", "ids")
-    files.select("value", "api").write.option("maxRecordsPerFile", 1).option("lineSep", " ").partitionBy("api").text(f"{root}/in")
+    files.select("value", "api").write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", " ").partitionBy("api").text(folder)
+
+
+def _landed(spark, sf_dir):
+    root = scratch_path(spark, "landing")
+    _land_files(spark, sf_dir, f"{root}/in")
     return root
 
 
@@ -346,9 +347,10 @@ def q_readings_json_arrays(spark, sf_dir):
 @register("landing_log",
           "SELECT 'api=Pull-' || event_type AS api_name, 'api=pull-' || event_type AS folder_path, count(*) AS files, "
           "CAST(sum(n) AS BIGINT) AS records, count(*) AS uploaded "
-          "FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type, CAST(ts AS DATE)) GROUP BY event_type")
+          "FROM (SELECT event_type, count(*) AS n FROM events "
+          f"GROUP BY event_type, CAST(ts AS DATE), event_id // {IDS_A_FILE}) GROUP BY event_type")
 def q_landing_log(spark, sf_dir):
-    root = _landed(spark, sf_dir, whole_days=True)
+    root = _landed(spark, sf_dir)
     log = land_payloads(spark, f"{root}/in", f"{root}/out", declared="json").run_log
     return log.groupBy("api_name", "folder_path").agg(F.count("*").alias("files"), F.sum("record_count").alias("records"),
                                                       F.count_if(F.col("upload_status") == "success").alias("uploaded"))
@@ -362,10 +364,11 @@ def q_landing_records(spark, sf_dir):
 
 
 @register("landing_manifest",
-          "SELECT 'api=pull-' || event_type AS folder_path, count(DISTINCT CAST(ts AS DATE)) AS files, count(*) AS record_count "
-          "FROM events GROUP BY event_type")
+          "SELECT 'api=pull-' || event_type AS folder_path, count(*) AS files, CAST(sum(n) AS BIGINT) AS record_count "
+          "FROM (SELECT event_type, count(*) AS n FROM events "
+          f"GROUP BY event_type, CAST(ts AS DATE), event_id // {IDS_A_FILE}) GROUP BY event_type")
 def q_landing_manifest(spark, sf_dir):
-    root = _landed(spark, sf_dir, whole_days=True)
+    root = _landed(spark, sf_dir)
     return land_payloads(spark, f"{root}/in", f"{root}/out", declared="json").manifest.select("folder_path", "files", "record_count")
 
 

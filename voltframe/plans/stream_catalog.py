@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from voltframe.plans import oracle_sql as O
 from voltframe.plans.catalog import HOURLY_RAW, TIE_ORDER, register
+from voltframe.plans.landing import committed, land_new
+from voltframe.plans.rules_catalog import IDS_A_FILE, _land_files
 from voltframe.session import scratch_path
 from voltframe.sources.adapters import READINGS_SQL, readings_from_events
 from voltframe.sources.tables import load_table
@@ -74,3 +76,28 @@ def q_stream_dedup_batches(spark, sf_dir):
 @register("stream_first_batches", O.with_(_ROWS, _BOUNDS, _in_time("r0.timestamp"), O.D) + f"SELECT * FROM d WHERE timestamp <= {_END}")
 def q_stream_first_batches(spark, sf_dir):
     return run_in_pulls(spark, sf_dir, "stream-first-batches", lambda r: first_readings_stream(r, order=TIE_ORDER))
+
+
+@register("landing_incremental",
+          "WITH f AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type, CAST(ts AS DATE), "
+          f"event_id // {IDS_A_FILE}) SELECT 'api=pull-' || event_type AS folder_path, count(*) AS files, "
+          "CAST(sum(n) AS BIGINT) AS records, count(*) AS manifest_files, CAST(sum(n) AS BIGINT) AS manifest_records, "
+          "count(*) AS uploaded, 2 * count(*) AS listed, CAST(sum(n) AS BIGINT) AS event_ids FROM f GROUP BY event_type")
+def q_landing_incremental(spark, sf_dir):
+    """Lands, lands again with nothing new, adds files, lands again, and then once more with a checkpoint
+    that knows nothing: every file is landed once, and listed once for each checkpoint."""
+    root = scratch_path(spark, "landing-incremental")
+    even = F.dayofmonth("day") % 2 == 0
+    for part, checkpoint in ((even, "a"), (None, "a"), (~even, "a"), (None, "b")):
+        if part is not None:
+            _land_files(spark, sf_dir, f"{root}/in", part)
+        land_new(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint-{checkpoint}", declared="json")
+    raw, records, log, manifest = (committed(spark, f"{root}/out", t) for t in ("raw", "records", "run_log", "manifest"))
+    by = [raw.groupBy("folder_path").agg(F.count("*").alias("files"), F.sum("record_count").alias("records")),
+          manifest.groupBy("folder_path").agg(F.sum("files").alias("manifest_files"), F.sum("record_count").alias("manifest_records")),
+          log.groupBy("folder_path").agg(F.count_if(F.col("upload_status") == "success").alias("uploaded"), F.count("*").alias("listed")),
+          records.where("key = 'event_id'").groupBy(F.col("source").alias("folder_path")).agg(F.count_distinct("value").alias("event_ids"))]
+    out = by[0]
+    for other in by[1:]:
+        out = out.join(other, "folder_path")
+    return out

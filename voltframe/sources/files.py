@@ -37,7 +37,11 @@ def read_payloads(spark: SparkSession, path: str, recursive: bool = True) -> Dat
     """SRC4: scan a landing folder of mixed-format payload files, one row per file: path,
     size, modification time, the bytes, their text (NULL if they are not UTF-8) and the
     detected format (SF2: extension first, else content; ``bin`` without text)."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    return described_payloads(spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path))
+
+
+def described_payloads(raw: DataFrame) -> DataFrame:
+    """What ``read_payloads`` gives of a frame of the ``binaryFile`` source, read once or as a stream."""
     return raw.select(F.col("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
                       F.col("content").alias("raw"), payload_text(F.col("content")).alias("content")).withColumn(
                           "format", detect_by_extension(F.col("path"), F.col("content")))
