@@ -111,7 +111,7 @@ def test_save_to_storage(spark):
     rows = [("2025-06-04T10:00:00Z", ".Z.MAINE", "Maine", "45.5", "40.0", "3.5", "2.0", "2025-06-04T10:05:00Z")]
     enriched = enrich_readings(spark.createDataFrame(rows, READING_TEXT)).readings
     paths = W.save_to_storage(enriched, scratch_path(spark, "snk15"), "20250604")
-    assert set(paths) == {"table", "csv", "json", "metadata"}
+    assert set(paths) == {"table", "csv", "json", "metadata", "rows"}
     assert read_back(spark, paths["json"], "json").count() == 1
     meta = read_back(spark, paths["metadata"], "json").first()
     assert meta["record_count"] == 1 and meta["locations"] == [".Z.MAINE"]
@@ -366,6 +366,52 @@ def test_upsert_keeps_what_the_batch_does_not_touch(spark):
     assert got == {"A": (1.0, 1.0, None, None), "B": (2.0, 5.0, None, 1), "C": (3.0, 3.0, "007", None), "D": (None, 6.0, None, 2)}
 
 
+def test_an_upsert_opens_touched_partitions_only(spark):
+    path = scratch_path(spark, "upsert-touched")
+    schema = "timestamp timestamp_ntz, location_id string, v double, date string"
+    t = dt.datetime(2024, 1, 1)
+    W.upsert(spark.createDataFrame([(t, "A", 1.0, "d1"), (t, "B", 2.0, "d2")], schema), path)
+    (broken,) = [f"{path}/date=d2/{f}" for f in os.listdir(f"{path}/date=d2") if f.endswith(".parquet")]
+    crc = os.path.join(os.path.dirname(broken), f".{os.path.basename(broken)}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    with open(broken, "wb") as f:
+        f.write(b"no parquet at all")
+    out = W.upsert(spark.createDataFrame([(t, "A", 5.0, "d1", 7)], schema + ", extra int"), path)
+    assert [(r["location_id"], r["v"], r["extra"]) for r in out.where("date = 'd1'").collect()] == [("A", 5.0, 7)]
+    assert out.columns == ["timestamp", "location_id", "v", "extra", "date"]
+
+
+def test_a_table_without_a_stored_schema_gets_one(spark):
+    path = scratch_path(spark, "upsert-old")
+    for i, extra in enumerate(("", ", w int")):
+        row = (dt.datetime(2024, 1, 1), f"L{i}", 1.0, "d", *([3] if extra else []))
+        spark.createDataFrame([row], f"timestamp timestamp_ntz, location_id string, v double, date string{extra}").write.mode("append").partitionBy("date").parquet(path)
+    out = W.upsert(spark.createDataFrame([(dt.datetime(2024, 1, 1), "L0", 9.0, "d")], "timestamp timestamp_ntz, location_id string, v double, date string"), path)
+    assert sorted((r["location_id"], r["v"], r["w"]) for r in out.collect()) == [("L0", 9.0, None), ("L1", 1.0, 3)]
+    assert os.path.exists(f"{path}/{W.SCHEMA_FILE}")
+
+
+def test_saves_of_one_date_publish_the_newest(spark):
+    from voltframe.plans.enrich import enrich_readings
+    from voltframe.schemas import READING_TEXT
+    root, rows = scratch_path(spark, "published"), [("2025-06-04T10:00:00Z", ".Z.MAINE", "Maine", "45.5", "40.0", "3.5", "2.0", "2025-06-04T10:05:00Z")]
+    enriched = enrich_readings(spark.createDataFrame(rows, READING_TEXT)).readings
+    assert W.published(spark, root).count() == 0
+
+    def fails(df, path):
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        W.save_to_storage(enriched, root, "20250604", json_writer=fails)
+    assert W.published(spark, root).count() == 0 and not os.path.exists(f"{root}/lmp_data")
+    first, second = (W.save_to_storage(enriched, root, "20250604", run_id=r) for r in ("one", "two"))
+    W.save_to_storage(enriched, root, "20250604", run_id="two")
+    got = {r["run_id"]: r["newest"] for r in W.published(spark, root).collect()}
+    assert got == {"one": False, "two": True} and first["csv"] != second["csv"]
+    assert W.save_to_storage(enriched.where("false"), root, "20250605") == {}
+
+
 def test_genmix_files(spark):
     from voltframe.sources.genmix import read_genmix, transform_kwh
     root = scratch_path(spark, "genmix-files")

@@ -5,6 +5,8 @@ rows is one row per map task by the time it is shuffled."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +38,22 @@ def distinct_rows(df: DataFrame, order: list[str] | None = None) -> DataFrame:
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """SO2."""
     return df.select(col).distinct()
+
+
+def across_sources(sources: dict[str, DataFrame]) -> DataFrame:
+    """AG15 over several sources: (value, occurrences, n_sources, sources) of every value of
+    one-column frames, as text so that sources of different types meet; NULLs count for nothing.
+    Combined map-side by (value, source) first, so a hot value is a row a task and source."""
+    def one(name, df):
+        return df.select(F.col(df.columns[0]).cast("string").alias("value"), F.lit(name).alias("source"))
+    rows = reduce(DataFrame.unionByName, [one(name, df) for name, df in sources.items()]).where("value IS NOT NULL")
+    per_source = rows.groupBy("value", "source").agg(F.count("*").alias("n"))
+    return per_source.groupBy("value").agg(F.sum("n").alias("occurrences"), F.count("*").alias("n_sources"),
+                                           F.array_sort(F.collect_list("source")).alias("sources"))
+
+
+def across_sources_report(found: DataFrame) -> DataFrame:
+    """Totals of a clean-up over sources: records, distinct values, records removed, and the values that
+    more than one source has."""
+    return found.agg(F.sum("occurrences").alias("total_records"), F.count("*").alias("distinct_records"),
+                     (F.sum("occurrences") - F.count("*")).alias("duplicates_removed"), F.count_if(F.col("n_sources") > 1).alias("shared_values"))

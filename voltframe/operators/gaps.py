@@ -6,7 +6,7 @@ The expected grid is generated, not cross-joined: each (zone, day) row is one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.timefields import floor_to_seconds, yyyymmdd
@@ -48,6 +48,38 @@ def missing_intervals(df: DataFrame, ts: str = "timestamp", zone: str = "locatio
     return missing_days(df, ts, zone, interval_minutes).select(zone, F.explode("missing").alias(ts))
 
 
+def missing_runs(days: DataFrame, zone: str = "location_id", interval_minutes: int = 15) -> DataFrame:
+    """JN5 as runs: (zone, first, last, intervals) of each stretch of missing intervals, over
+    midnights too, from ``missing_days``.
+
+    A day's runs come from its own set of intervals (96 at most) without a shuffle.  Only a run that
+    touches midnight can go on, so a zone's days are looked at in order, one row a day: a
+    day's last run and the next day's first are one if both touch the midnight between them."""
+    step = F.expr(f"INTERVAL {interval_minutes} MINUTES")
+    slots = F.array_sort("missing")
+    runs = F.aggregate(slots, F.array().cast(f"array<struct<first:{_slot_type(days)},last:{_slot_type(days)},intervals:bigint>>"), lambda acc, t: F.when(
+        (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["last"] + step == t),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
+            F.try_element_at(acc, F.lit(-1))["first"].alias("first"), t.alias("last"), (F.try_element_at(acc, F.lit(-1))["intervals"] + 1).alias("intervals")))))
+        .otherwise(F.concat(acc, F.array(F.struct(t.alias("first"), t.alias("last"), F.lit(1).cast("long").alias("intervals"))))))
+    each = days.select(zone, "day", F.posexplode(runs).alias("nth", "run")).select(zone, "day", "nth", "run.*")
+    midnight = F.col("day").cast(_slot_type(days))
+    from_start, to_end = F.col("first") == midnight, F.col("last") + step == midnight + F.expr("INTERVAL 24 HOURS")
+    # rows that touch a midnight, two a day at most
+    edge = each.where(from_start | to_end)
+    order = Window.partitionBy(zone).orderBy("first")
+    goes_on = F.lag("last").over(order) + step == F.col("first")
+    edge = edge.withColumn("begins", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
+    edge = edge.withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = edge.groupBy(zone, "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("intervals").alias("intervals")).drop("run")
+    inner = each.where(~(from_start | to_end)).select(zone, "first", "last", "intervals")
+    return inner.unionByName(joined)
+
+
+def _slot_type(days: DataFrame) -> str:
+    return days.schema["missing"].dataType.elementType.simpleString()
+
+
 def fill_url_template(template: Column, params: Column) -> Column:
     """Replace every ``{key}`` placeholder of a URL template with its value from a
     map column (the reference's URL parameter rule), as one higher-order expression."""

@@ -9,6 +9,7 @@ metadata-only listing.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation
@@ -215,10 +216,43 @@ def path_exists(spark, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+SCHEMA_FILE = "_table_schema"
+
+
+def _stored_schema(spark, path: str) -> T.StructType | None:
+    if not path_exists(spark, f"{path}/{SCHEMA_FILE}"):
+        return None
+    return T.StructType.fromJson(json.loads(_read_small(spark, f"{path}/{SCHEMA_FILE}")))
+
+
+def _read_small(spark, path: str) -> str:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _keep_schema(spark, path: str, schema: T.StructType) -> None:
+    """Write the table's schema beside its data, under a name that readers of folders pass over."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    where = fs.Path(f"{path}/{SCHEMA_FILE}")
+    stream = where.getFileSystem(conf).create(where, True)
+    try:
+        stream.write(schema.json().encode())
+    finally:
+        stream.close()
+
+
 def stored_table(spark, path: str, partition_col: str, partition_type=None) -> DataFrame:
-    """The stored table with all columns that any of its files has; the partition column keeps
-    the given type (folder names alone would turn '007' into a number)."""
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    """The stored table with all columns that any of its files has.  They stand in a small file beside
+    the data; only a table that lacks it (written by other means) has its footers merged, once.  The
+    partition column keeps the given type (folder names alone would turn '007' into a number)."""
+    found = _stored_schema(spark, path)
+    if found is None:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        _keep_schema(spark, path, found)
     for f in found.fields:
         if f.name == partition_col and partition_type is not None:
             f.dataType = partition_type
@@ -248,7 +282,8 @@ def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_c
     if isinstance(kind, T.StringType):
         new = new.withColumn(partition_col, F.nullif(partition_col, F.lit("")))
     if not path_exists(spark, path):
-        new.write.partitionBy(partition_col).parquet(path)
+        _keep_schema(spark, path, T.StructType([f for f in new.schema.fields if f.name != partition_col] + [new.schema[partition_col]]))
+        new.write.mode("append").partitionBy(partition_col).parquet(path)
         return stored_table(spark, path, partition_col, kind)
     existing = stored_table(spark, path, partition_col, kind)
     # one value for each folder that the commit is about to replace, a list that the writer's
@@ -270,6 +305,10 @@ def upsert(new: DataFrame, path: str, keys: list[str] | None = None, partition_c
             picked.append(stored.alias(c))
         else:
             picked.append(F.when(F.col("_new").isNotNull(), mine).otherwise(F.lit(None) if stored is None else stored).alias(c))
+    added = [new.schema[c] for c in cols if c not in existing.columns]
+    if added:
+        known = existing.schema.fields
+        _keep_schema(spark, path, T.StructType([*(f for f in known if f.name != partition_col), *added, existing.schema[partition_col]]))
     (merged.select(*keys, *picked).select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return stored_table(spark, path, partition_col, kind)
@@ -315,23 +354,46 @@ def save_data(df: DataFrame, root: str, file_prefix: str = DEFAULT_FILE_PREFIX,
     return write_with_manifest(df, path, fmt, manifest_path)
 
 
-def save_to_storage(enriched: DataFrame, root: str, date: str) -> dict[str, str]:
+def save_to_storage(enriched: DataFrame, root: str, date: str, run_id: str | None = None, json_writer=write_json) -> dict[str, str]:
     """SNK15: table upsert + CSV + JSON + batch metadata in one call, returning the
     paths.  The frame is persisted once (memory and disk) so the four writes share one
-    computation.  An empty batch writes nothing and returns no paths (PF8)."""
+    computation.  An empty batch writes nothing and returns no paths (PF8).
+
+    Everything goes to a folder of the run's own, and becomes visible as one: the last write is
+    the run's row in ``manifest``, which ``published`` reads.  A call that fails on the way
+    publishes nothing; the same ``run_id`` again starts over.  The table is upserted from the run's own
+    rows after that row is written; the upsert is keyed, so a retry repeats it without harm.  ``json_writer`` writes the JSON
+    files (another line layout, say)."""
     from voltframe.operators.summaries import batch_metadata
     if enriched.isEmpty():
         return {}
+    spark, run = enriched.sparkSession, run_id or uuid.uuid4().hex
     cached = enriched.persist()
     try:
-        paths = {"table": f"{root}/lmp_data", "csv": f"{root}/processed/lmp_data_{date}.csv",
-                 "json": f"{root}/raw/lmp_processed_{date}.json",
-                 "metadata": f"{root}/processed/metadata_{date}.json"}
-        upsert(cached, paths["table"])
+        own = f"{root}/runs/{run}"
+        paths = {"rows": f"{own}/rows", "csv": f"{own}/processed/lmp_data_{date}.csv", "json": f"{own}/raw/lmp_processed_{date}.json",
+                 "metadata": f"{own}/processed/metadata_{date}.json"}
+        write_parquet(cached, paths["rows"])
         write_csv(sorted_for_sink(cached, DEDUP_KEYS), paths["csv"])
-        write_json(cached, paths["json"])
-        write_json(batch_metadata(cached, nested=True).withColumn("date", F.lit(date)), paths["metadata"])
+        json_writer(cached, paths["json"])
+        json_writer(batch_metadata(cached, nested=True).withColumn("date", F.lit(date)), paths["metadata"])
+        row = (date, paths["rows"], paths["csv"], paths["json"], paths["metadata"], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), run)
+        spark.createDataFrame([row], PUBLISHED).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{root}/manifest")
+        paths["table"] = f"{root}/lmp_data"
+        upsert(spark.read.parquet(paths["rows"]), paths["table"])
         return paths
     finally:
         cached.unpersist()
 
+
+PUBLISHED = "date string, rows string, csv string, json string, metadata string, published_at timestamp_ntz, run_id string"
+
+
+def published(spark, root: str) -> DataFrame:
+    """The runs that ``save_to_storage`` has published: date, run_id, the paths of their files and
+    when; for each date the newest counts (``newest``)."""
+    if not path_exists(spark, f"{root}/manifest"):
+        return spark.createDataFrame([], PUBLISHED + ", newest boolean")
+    runs = spark.read.schema(PUBLISHED).parquet(f"{root}/manifest")
+    newest = runs.groupBy("date").agg(F.max_by("run_id", F.struct("published_at", "run_id")).alias("_newest"))
+    return runs.join(newest, "date").withColumn("newest", F.col("run_id") == F.col("_newest")).drop("_newest")
