@@ -5,9 +5,9 @@ pieces hold no space but at their front (runs of spaces aside).  A text gets a s
 encode it, and the byte offsets where tokens of both end cut it into groups.  Tokens whose bytes
 overlap are linked: a link is a stretch between two neighbouring ends of either kind.
 
-Neither tokenizer joins a character that is not white space with a space after it, so both end a token there;
-between two such places all is decided by the characters alone.  These chunks recur, and what they
-hold (groups, links) is kept in tables of bounded size; a text's result is joined from them.
+Ends, groups and links come from cumulative sums over many texts at once.  Neither tokenizer joins a
+character that is not white space with a space after it, so both end a token there whatever stands around:
+there a very long text is cut, and its stretches are aligned one by one.
 
 How many documents hold a linked pair is counted in two ways.  For each A id there is at most one
 B id with the same bytes; such pairs, of which every exact one-to-one group holds one, are counted
@@ -34,20 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.llm.bpe import BLANK, byte_letters
-from voltframe.llm.common import Lazy, Remembered, fields, stage, under_aliases, with_columns
+from voltframe.llm.common import Lazy, fields, stage, under_aliases, with_columns
 from voltframe.llm.tokens import Encoder
 
 KNOWN = 1 << 20
-CHUNKS = 200_000
 FLUSH = 1 << 20          # pairs that a task holds before it adds them up and sends them on
-
-
-class Chunk:
-    """What a stretch of text between certain ends holds; None for ids if it has no tokens."""
-    __slots__ = ("groups", "sizes", "same", "other")
-
-    def __init__(self, groups, sizes, same, other):
-        self.groups, self.sizes, self.same, self.other = groups, sizes, same, other
+STRETCH, RUN = 1 << 19, 1 << 19      # characters that are encoded as one text, and that one round of vector work begins with
 
 
 class Aligner:
@@ -56,6 +48,7 @@ class Aligner:
 
         self.a = Encoder(a_spec)
         self.a.library.encode_special_tokens = True
+        self.a.special = None
         self.b = SentencePieceProcessor(model_proto=b_spec)
         raw = {c: bytes([i]) for i, c in enumerate(byte_letters())}
         vocab = self.a.library.get_vocab(with_added_tokens=True)
@@ -73,47 +66,58 @@ class Aligner:
         self.same = np.array([by_bytes.get(x, -1) for x in self.a_bytes], np.int64)      # A id to the B id of the same bytes
         self.cut = re.compile(rf"(?<=[^{BLANK}])(?= )")
         self.lone_space = self.b.piece_to_id("▁")
-        self.chunks = Remembered(self.chunk, CHUNKS)
-
-    def b_ids(self, chunk: str) -> list[int]:
-        """The model puts the first space itself."""
-        return self.b.encode(chunk[1:]) if len(chunk) > 1 else [self.lone_space]
-
-    def chunk(self, text: str) -> Chunk | None:
-        """None if a tokenizer doesn't give the text back."""
-        a, b = np.frombuffer(self.a.piece_ids(text), self.a.width).tolist(), self.b_ids(text)
-        raw, a_parts, b_parts = text.encode(), [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return None
-        groups, same, other = [], [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(a_parts[0]), len(b_parts[0])
-        while True:
-            pair = a[i], b[j]
-            (same if self.same[a[i]] == b[j] else other).append(pair)
-            level = end_a == end_b
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-                end_a += len(a_parts[i]) if i < len(a) else 0
-            if step_b:
-                j += 1
-                end_b += len(b_parts[j]) if j < len(b) else 0
-            if level:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-                if i == len(a):
-                    break
-        codes = np.array([x * self.n_b + y for x, y in other], np.int64)
-        return Chunk(";".join(groups), (len(a), len(b), len(groups), len(same) + len(other)),
-                     np.array([x for x, _ in same], np.int64).tobytes(), codes.tobytes())
-
-    def text(self, text: str | None) -> list[Chunk] | None:
-        if not text:
-            return None
-        kept = self.chunks
-        found = [kept[c] for c in self.cut.split(" " + text)]
-        return None if None in found else found
+
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        # how ids are written in a group, by what follows them
+        self.written = np.array([f"{i}{end}" for n, ends in ((len(self.a_bytes), ",|"), (self.n_b, ",;")) for end in ends for i in range(n)], object)
+
+    def parts(self, text: str):
+        """The text with its space, cut at certain ends into stretches of bounded size."""
+        text, at = " " + text, 0
+        while at < len(text):
+            border = self.cut.search(text, at + STRETCH) if len(text) - at > STRETCH else None
+            end = border.start() if border else len(text)
+            yield text[at:end]
+            at = end
+
+    def ids(self, stretches: list[str]) -> list[tuple[bytes, np.ndarray] | None]:
+        """Ids of A and of B of stretches, of which B's model puts the first space itself; None where one
+        doesn't give the stretch back."""
+        out = []
+        for text, b in zip(stretches, self.b.encode([x[1:] for x in stretches], num_threads=1)):
+            b = b if len(text) > 1 else [self.lone_space]
+            raw, a = text.encode(), self.a.one(text)
+            good = b"".join([self.b_bytes[i] for i in b]) == raw and b"".join([self.a_bytes[i] for i in np.frombuffer(a, self.a.width).tolist()]) == raw
+            out.append((a, np.array(b, np.int64)) if good else None)
+        return out
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, a_doc: np.ndarray, docs: int):
+        """Ids of stretches whose bytes are equal, and the document (below ``docs``) of each A id: for each
+        document its groups, links and written groups; for links their document, A id and B id."""
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends_a, ends_b = (np.zeros(a_end[-1] + 1, bool) for _ in range(2))
+        ends_a[a_end], ends_b[b_end] = True, True
+        ends = np.flatnonzero(ends_a | ends_b)
+        is_a, is_b = ends_a[ends], ends_b[ends]
+        level = is_a & is_b
+        at_a, at_b, group = (np.cumsum(x) - x for x in (is_a, is_b, level))      # of the link that ends there
+        link_doc = a_doc[at_a]
+        group_a, group_b, group_doc = group[is_a], group[is_b], link_doc[level]
+        many = len(group_doc)
+        in_a, in_b = np.bincount(group_a, minlength=many), np.bincount(group_b, minlength=many)
+        upto_a, upto_b = np.cumsum(in_a), np.cumsum(in_b)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[upto_a - 1], last_b[upto_b - 1] = True, True
+        # a group is written as its A ids and then its B ids
+        codes, n_a = np.empty(len(a) + len(b), np.int64), len(self.a_bytes)
+        codes[np.arange(len(a)) + (upto_b - in_b)[group_a]] = a + n_a * last_a
+        codes[np.arange(len(b)) + upto_a[group_b]] = b + 2 * n_a + self.n_b * last_b
+        texts = self.written[codes].tolist()
+        upto = np.searchsorted(group_doc, np.arange(docs + 1))         # groups before each document
+        n_groups = np.diff(upto)
+        before = np.append(0, upto_a + upto_b)[upto]
+        groups = ["".join(texts[x:y])[:-1] for x, y in zip(before.tolist(), before[1:].tolist())]
+        return n_groups, np.bincount(link_doc, minlength=docs), groups, link_doc, a[at_a], b[at_b]
 
 
 @dataclass
@@ -130,36 +134,71 @@ def _share(df: DataFrame, a_path: str, b_path: str):
     return lambda: shared.value.get()
 
 
-def _distinct(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.frombuffer(b"".join(raw), np.int64), return_counts=True)
+def _joined(parts: list, digest: bool) -> str:
+    if not digest:
+        return ";".join(parts)
+    out = hashlib.sha256()
+    for n, p in enumerate(parts):
+        out.update((";" + p if n else p).encode())
+    return out.hexdigest()
+
+
+def _align_run(tool: Aligner, held: list, sizes: np.ndarray, sound: np.ndarray, groups: list, links: list, digest: bool) -> None:
+    """Align the held stretches (document, text) and add what they hold to the documents'."""
+    found = [(i, x) for (i, _), x in zip(held, tool.ids([t for _, t in held]))]
+    for i, x in found:
+        sound[i] &= x is not None
+    found = [(i, x) for i, x in found if sound[i]]
+    if not found:
+        return
+    of = np.array([i for i, _ in found])
+    a_ids = [np.frombuffer(x[0], tool.a.width) for _, x in found]
+    n_a, n_b = np.array(list(map(len, a_ids))), np.array([len(x[1]) for _, x in found])
+    a, b = np.concatenate(a_ids).astype(np.int64), np.concatenate([x[1] for _, x in found])
+    n_groups, n_links, texts, nth, link_a, link_b = tool.aligned(a, b, np.repeat(np.arange(len(of)), n_a), len(of))
+    for column, x in enumerate((n_a, n_b, n_groups, n_links)):
+        np.add.at(sizes[:, column], of, x)
+    for i, text in zip(of.tolist(), texts):
+        groups[i].append(text)
+    links.append(np.unique(of[nth] << 32 | (link_a * tool.n_b + link_b), return_counts=True))
 
 
 ENCODED = dict(n_a="bigint", n_b="bigint", n_groups="bigint", n_links="bigint", groups="string", same="array<bigint>", same_n="array<int>",
                other="array<bigint>", other_n="array<int>")
 
 
-def _lists(rows: list[np.ndarray], kind) -> pa.Array:
-    ends = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else [], kind))
-
-
 def encoded(docs: DataFrame, get, text_col: str, digest: bool, drop: tuple[str, ...]) -> DataFrame:
     """``docs`` plus the sizes, groups (their SHA-256 with ``digest``) and distinct pairs of each
     text, with how often each is linked."""
     at = docs.columns.index(text_col)
 
     def run(batch):
-        tool, sizes, groups, pairs = get(), [], [], ([], [], [], [])
-        for t in batch.column(at).to_pylist():
-            found = tool.text(t)
-            sizes.append([sum(x) for x in zip(*(c.sizes for c in found))] if found else [0] * 4)
-            joined = ";".join([c.groups for c in found]) if found else ""
-            groups.append(hashlib.sha256(joined.encode()).hexdigest() if found and digest else joined)
-            new = *_distinct([c.same for c in found or ()]), *_distinct([c.other for c in found or ()])
-            for column, x in zip(pairs, new):
-                column.append(x)
-        kinds = pa.int64(), pa.int32(), pa.int64(), pa.int32()
-        return [*(pa.array(x, pa.int64()) for x in zip(*sizes)), pa.array(groups, pa.string()), *map(_lists, pairs, kinds)]
+        tool, texts = get(), batch.column(at).to_pylist()
+        n = len(texts)
+        sizes, sound = np.zeros((n, 4), np.int64), np.array([bool(t) for t in texts])
+        hashes, links, held, size = [[] for _ in texts], [], [], 0
+        for i, part in ((i, part) for i, t in enumerate(texts) if t for part in tool.parts(t)):
+            held.append((i, part))
+            size += len(part)
+            if size > RUN:
+                _align_run(tool, held, sizes, sound, hashes, links, digest)
+                held, size = [], 0
+        _align_run(tool, held, sizes, sound, hashes, links, digest)
+        sizes[~sound] = 0
+        groups = [_joined(h, digest) if ok else "" for h, ok in zip(hashes, sound.tolist())]
+        # a document's pairs, added up over its runs: those of equal bytes by A id, others by code
+        keys, times = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*links)) or ((), ())))
+        keys, place = np.unique(keys, return_inverse=True)
+        times = np.bincount(place, weights=times, minlength=len(keys)).astype(np.int64)
+        doc, code = keys >> 32, keys & 0xFFFFFFFF
+        good = sound[doc]
+        doc, code, times = doc[good], code[good], times[good]
+        a = code // tool.n_b
+        same = tool.same[a] == code % tool.n_b
+        ends = [pa.array(np.append(0, np.cumsum(np.bincount(doc[m], minlength=n))).astype(np.int32)) for m in (same, ~same)]
+        lists = [pa.ListArray.from_arrays(e, pa.array(x, k)) for e, x, k in (
+            (ends[0], a[same], pa.int64()), (ends[0], times[same], pa.int32()), (ends[1], code[~same], pa.int64()), (ends[1], times[~same], pa.int32()))]
+        return [*(pa.array(x) for x in sizes.T.copy()), pa.array(groups, pa.string()), *lists]
 
     return with_columns(docs, run, fields(**ENCODED), drop)
 
