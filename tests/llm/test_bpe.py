@@ -21,9 +21,19 @@ def texts():
            "x\x1cy\x1fz", "éä ́x", "ΑΣ ΑΣ. ΣΑΣ", "İstanbul İ"]
     out += [bpe.BLANK.join("ab'sé")] + [f"a{c}b{c}{c}'s" for c in bpe.BLANK]
     out += ["".join(rng.choices(alphabet, k=rng.randint(1, 120))) for _ in range(1500)]
+    latin = "abcABC019 '.,s\x00\t" + "".join(map(chr, range(0xA1, 0x100)))
+    out += ["".join(rng.choices(latin[:16] + latin[-64:], k=rng.randint(1, 80))) for _ in range(800)] + ["".join(rng.choices(latin, k=rng.randint(1, 80))) for _ in range(800)]
     return out
 
 
+def test_a_vocabulary_that_joins_in_another_way_is_refused():
+    import json
+    with open(queries.WORD_BPE, encoding="utf-8") as f:
+        spec = json.load(f)
+    with pytest.raises(ValueError):
+        bpe.Codec(json.dumps(spec | {"normalizer": None}))
+
+
 def test_ids_and_texts_are_the_librarys(codec):
     mine, library = codec
     for t in texts():

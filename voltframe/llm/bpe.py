@@ -2,8 +2,8 @@
 
 A merge only ever makes a vocabulary token, so two neighbouring bytes that stand side by side in
 no token can't be joined by any order of merges: between them a cut is certain.  Words are cut
-there, every fragment is encoded by itself (lowest merge rank first, leftmost first) and the ids
-are concatenated.  White space is a certain cut too, so pieces and fragments recur, and their ids
+there, every fragment is encoded by itself (the library merges it, with or without the end of a word) and
+the ids are concatenated.  White space is a certain cut too, so pieces and fragments recur, and their ids
 are kept in tables of bounded size.
 
 The vocabulary file is read on the driver (``path`` is a parameter) and broadcast as text.  The
@@ -16,9 +16,10 @@ single ids, as the library has it; a fragment of any length takes n log n steps.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import re
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,11 @@ KEPT = 200_000
 BLANK = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
+# The letters of Latin-1 beyond ASCII, as ranges of a pattern.
+LATIN = "\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PROBES = ["It's 2024, WE'LL go!  don't\tA_b-c...", "É日本 ﬁß x1y2 'S 's<|endoftext|> <|x|>", "aaaaaaaaaaaaaaaa #@!%^ 100,000.50"]
+
+
 def byte_letters() -> list[str]:
     """The visible character that byte-level vocabularies write for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -48,8 +54,10 @@ class Codec:
         self.library = Tokenizer.from_str(spec)
         self.vocab = model["model"]["vocab"]
         self.suffix = model["model"].get("end_of_word_suffix") or ""
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"])
-        self.rank = {tuple(p): i for i, p in enumerate(pairs)}
+        # the library's merging, of fragments that end a word and of others
+        self.ending = self.library.model
+        model["model"]["end_of_word_suffix"] = None
+        self.inside = Tokenizer.from_str(json.dumps(model)).model
         self.letters = byte_letters()
         special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.special = special
@@ -59,9 +67,16 @@ class Codec:
         self.pieces = re.compile(rf"[^{BLANK}]+")
         self.odd = re.compile(r"[\x1c-\x1f]")
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+        self.latin = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
+        self.beyond = re.compile(rf"[^\x00-\x7f{LATIN}]")
+        self.bytes_of = {c: "".join(self.letters[b] for b in chr(c).encode()) for c in range(256)}
         self.chunks = Remembered(self.chunk_ids, KEPT)
-        self.inner = Remembered(lambda f: self._ids(list(f)), KEPT)
-        self.last = Remembered(lambda f: self._ids([*f[:-1], f[-1] + self.suffix]), KEPT)
+        self.inner = Remembered(lambda f: [t.id for t in self.inside.tokenize(f)], KEPT)
+        self.last = Remembered(lambda f: [t.id for t in self.ending.tokenize(f)], KEPT)
+        for text in PROBES:
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            if np.frombuffer(self.encode(text), "<u4").tolist() != ids or self.decode(np.array(ids, "<u4").tobytes()) != self.library.decode(ids, skip_special_tokens=False):
+                raise ValueError("this vocabulary splits, normalises or joins texts in another way than this codec")
 
     def _bare(self, token: str) -> str:
         return token[:-len(self.suffix)] if self.suffix and token.endswith(self.suffix) else token
@@ -71,47 +86,25 @@ class Codec:
         at = [i for i in range(1, len(word)) if (word[i - 1], word[i]) not in self.together]
         return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])] if at else [word]
 
-    def merged(self, symbols: list[str]) -> list[str]:
-        """The symbols after all merges: lowest rank first, leftmost first."""
-        rank, n = self.rank, len(symbols)
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := rank.get((symbols[i], symbols[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
-                continue
-            symbols[i], symbols[j] = a + b, None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (r := rank.get((symbols[left], symbols[right]))) is not None:
-                    heapq.heappush(heap, (r, left, symbols[left], symbols[right]))
-        return [s for s in symbols if s is not None]
-
-    def _ids(self, symbols: list[str]) -> list[int]:
-        return [self.vocab[s] for s in self.merged(symbols) if s in self.vocab]
-
     def words(self, chunk: str) -> list[str]:
         """The pre-tokens of a piece without white space, in byte letters."""
         if chunk.isascii():
             found = self.plain.findall(chunk.lower())
-            if chunk.isprintable():
-                return found
-            return ["".join(self.letters[b] for b in w.encode()) for w in found]
+            return found if chunk.isprintable() else [w.translate(self.bytes_of) for w in found]
+        if self.beyond.search(chunk) is None:            # composed letters, of which lower case is one too
+            return [w.translate(self.bytes_of) for w in self.latin.findall(chunk.lower())]
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))]
 
     def chunk_ids(self, chunk: str) -> bytes:
-        out = []
+        out = array("I")
         for word in self.words(chunk):
             *inner, last = self.cuts(word)
             for part in inner:
-                out += self.inner[part]
-            out += self.last[last]
-        return np.array(out, "<u4").tobytes()
+                out.extend(self.inner[part])
+            out.extend(self.last[last])
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
