@@ -55,3 +55,19 @@ def test_nothing_to_learn_and_filter(spark):
     kept = langid.keep_known(df, model)
     assert kept.columns == df.columns and [(r.doc_id, r.score) for r in kept.collect()] == [(1, 1.5)]
     assert langid.fit(df.where("false"), F.lit(True)) is None
+
+
+def test_null_ids_teach_nothing(spark):
+    rows = [(None, t, lang) for _, t, lang in corpus(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(df, ~langid.held_out("doc_id", 3, 1)) is None and langid.fit(df, F.lit(True)) is None
+    some = spark.createDataFrame(corpus(30), df.schema)
+    model, both = (langid.fit(d, F.lit(True)) for d in (some, some.unionByName(df.withColumn("lang", F.lit("xx")))))
+    assert model.languages == both.languages and np.allclose(model.weights, both.weights)
+
+
+def test_kept_documents_get_a_language_where_they_have_none(spark):
+    rows = [*corpus(30), (100, "und nicht schön der ein", None), (101, "...", None), (102, "the thing", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in langid.keep_known(df, langid.fit(df.where("doc_id < 100"), F.lit(True))).collect()}
+    assert got == {**{i: lang for i, _, lang in corpus(30)}, 100: "de", 102: "fr"}

@@ -69,7 +69,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
         per_lang: int = PER_LANG, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """Learn from the rows for which ``learn`` holds.  The driver gets one packed bit row of
     2 KB for each sampled text, so its share is bounded by ``per_lang`` and the languages."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = docs.where(learn & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
     key = [F.col("id").cast("string"), F.col("text")]
     rows = hash_sample(rows, "lang", key, per_lang).select("text", "lang", F.xxhash64(*key).alias("place"))
@@ -135,10 +135,14 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == part, F.lit(False))
 
 
-def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` without the texts that have no language (``und``).  If nothing could be learned,
-    all texts that have a letter stay."""
+def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the texts that have no language (``und``), and with the predicted language
+    where ``lang_col`` is null.  If nothing could be learned, all texts that have a letter stay as
+    they are."""
     work, name, back = under_aliases(docs)
     if model is None:
         return back(work.where(F.col(name[text_col]).rlike(r"\p{L}")))
-    return back(identify(work, model, name[text_col]).where(F.col("lang_pred") != UNKNOWN))
+    found = identify(work, model, name[text_col]).where(F.col("lang_pred") != UNKNOWN)
+    if lang_col in name:
+        found = found.withColumn(name[lang_col], F.coalesce(F.col(name[lang_col]), F.col("lang_pred").cast(docs.schema[lang_col].dataType)))
+    return back(found)
