@@ -95,3 +95,15 @@ def test_finer_keys_extend_coarse_ones():
     cells = np.random.default_rng(2).integers(0, 1 << 12, (500, 5))
     coarse = hilbert_knn.hilbert_keys(cells >> 9, 3)
     assert (hilbert_knn.hilbert_keys(cells, 12) >> 45 == coarse).all()
+
+
+def test_an_id_with_two_vectors_has_one_of_them(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)]
+    again = [(0, rng.normal(size=4).tolist()), (2, rng.normal(size=4).tolist()), (7, [0.0] * 4), (9, None)]
+    df = spark.createDataFrame(rows + again, SCHEMA)
+    kept = {r.id: list(r.vec) for r in hilbert_knn.one_vector(df, "vec_id", "embedding").collect()}
+    assert len(kept) == 40 and all(any(np.allclose(v, x) for j, x in rows + again if j == i and x) for i, v in kept.items())
+    want = brute(list(kept.items()), lambda q: q % 2 == 0, 10)
+    same(found(spark, rows + again, F.col("id") % 2 == 0), want)
+    same(found(spark, (rows + again)[::-1], F.col("id") % 2 == 0), want)

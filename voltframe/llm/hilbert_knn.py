@@ -19,8 +19,8 @@ The window is a share of the rows.  How much of them must be looked at depends o
 vectors without structure need a large share for a recall of 0.9, clustered ones little.
 
 Defined cases: null ids, null vectors, zero vectors, vectors with a null or non-finite component
-and those of another than the most frequent length take no part; a row that comes twice with the same
-id counts once; fewer candidates than k give shorter lists; an empty table gives no row.
+and those of another than the most frequent length take no part; an id that comes more than once has one
+vector, that of the least hash among its usable ones; fewer candidates than k give shorter lists; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -84,13 +84,19 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def entries(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
-    """One row for each distinct usable vector: rep (its smallest id), ids (its k + 1 smallest), vec."""
+def one_vector(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """One usable vector for each id, the one of the least hash, and its two hashes: id, vec, a, b."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     v = v.where(F.col("id").isNotNull() & _usable(F.col("vec")))
+    least = F.min(F.struct(F.xxhash64("vec").alias("a"), F.xxhash64("vec", F.lit(1)).alias("b"), F.col("vec"))).alias("least")
+    return v.groupBy("id").agg(least).select("id", "least.vec", "least.a", "least.b")
+
+
+def entries(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
+    """One row for each distinct usable vector: rep (its smallest id), ids (its k + 1 smallest), vec."""
+    v = one_vector(vectors, id_col, vec_col)
     common = v.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     v = v.where(F.size("vec") == (common.d if common else 0))
-    v = v.select("id", "vec", F.xxhash64("vec").alias("a"), F.xxhash64("vec", F.lit(1)).alias("b"))
     nth = F.dense_rank().over(Window.partitionBy("a", "b").orderBy("id"))
     v = v.withColumn("nth", nth).where(F.col("nth") <= k + 1)
     return v.groupBy("a", "b").agg(F.min("id").alias("rep"), F.array_sort(F.collect_set("id")).alias("ids"),
@@ -172,8 +178,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_
     size = min(block, window)
     here = at.withColumn("block", F.floor(F.col("pos") / size))
     rows = here.join(reps.select("rep", "vec"), "rep").select("curve", "block", "rep", "vec", "pos")
-    every = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    asked = every.where(queries & _usable(F.col("vec"))).select("id", F.xxhash64("vec").alias("a"), F.xxhash64("vec", F.lit(1)).alias("b")).distinct()
+    asked = one_vector(vectors, id_col, vec_col).where(queries).select("id", "a", "b")
     mine = reps.select("rep", F.xxhash64("vec").alias("a"), F.xxhash64("vec", F.lit(1)).alias("b"))
     asked = stage(asked.join(mine, ["a", "b"]).select("id", "rep"), "queries")
     first, last = F.floor((F.greatest(F.lit(0), F.col("pos") - window)) / size), F.floor((F.col("pos") + window) / size)
