@@ -66,6 +66,29 @@ def test_files_round_trip(spark, library, tmp_path):
     assert [tuple(r) for r in sorted(tokens.read(tokens.write(df, queries.BYTE_BPE, folder), folder).collect(), key=lambda r: r.start)] == [tuple(r) for r in got]
 
 
+def test_a_hot_id_spans_several_shards(spark, library, tmp_path):
+    rows = [(5, "same text")] * 900 + [(None, f"text {i}") for i in range(900)] + [(i, "x") for i in range(10)]
+    folder = f"file://{tmp_path}/out"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")        # small partitions are not put together
+    try:
+        shards = tokens.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), queries.BYTE_BPE, folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r.docs for r in shards.collect()) < 700
+    got = sorted(tokens.read(shards, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 900 + sorted(d for d, _ in rows if d is not None)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
+def test_a_vocabulary_of_another_split_is_refused():
+    import json
+    with open(queries.BYTE_BPE, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    with pytest.raises(ValueError):
+        tokens.Encoder(json.dumps(spec))
+
+
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     folder = f"file://{tmp_path}/out"

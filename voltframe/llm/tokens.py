@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltframe.llm.bpe import BLANK, byte_letters
+from voltframe.llm.bpe import BLANK, PROBES, byte_letters
 from voltframe.llm.common import Remembered, fields, share_file, stage, with_columns
 
 END = 2
@@ -65,6 +65,9 @@ class Encoder:
         self.letters = byte_letters()
         self.words = Remembered(self.word_ids, KEPT)
         self.pieces = Remembered(self.piece_ids, KEPT // 4)
+        for text in PROBES:
+            if self.one(text) != self.whole(text):
+                raise ValueError("this vocabulary splits texts in another way than this encoder")
 
     def word_ids(self, word: str) -> bytes:
         found = self.model.tokenize("".join([self.letters[b] for b in word.encode()]))
@@ -170,8 +173,10 @@ def write(docs: DataFrame, path: str, folder: str, text_col: str = "text", id_co
     tokens and base (ids of all shards before)."""
     get = share_file(docs, path, Encoder)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), F.xxhash64("text"), "text").withColumn("part", F.spark_partition_id())
+    # rows of one id spread too: by a hash of the text, and equal rows by where they were read
+    place = [F.col("id").asc_nulls_first(), F.col("hash"), F.col("nth")]
+    rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("nth"))
+    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place).select("id", "text", F.spark_partition_id().alias("part"))
 
     def shard(batches):
         enc, ids, sizes, part = get(), [], [], None
