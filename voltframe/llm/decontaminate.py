@@ -5,7 +5,8 @@ window is ``size`` consecutive words of a benchmark item; a shorter item that ha
 window.  The test grams go to every task as a hash table; a window of a text whose 64-bit hash
 is in it is then compared word by word, so no hit rests on a hash.  The table holds at most
 ``BLOCK_BYTES`` of grams: a larger benchmark is cut into blocks of that size by a hash of its
-rows, and each block is one more pass that adds to the hits found so far.
+rows, and each block is one more pass, staged, that adds to the hits found so far; the driver holds two
+blocks at once, an executor one.
 
 Defined cases: a null text has no words; null item ids mark words but are not listed; an item
 id that comes twice is listed once; an empty benchmark hits nothing; repeated documents each
@@ -21,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import (fields, letters_and_digits, lower_table, row_runs, under_aliases, utf8, with_columns,
-                                  word_hashes, word_spans)
+from voltframe.llm.common import (fields, letters_and_digits, lower_table, row_runs, stage, under_aliases, utf8,
+                                  with_columns, word_hashes, word_spans)
 
 SIZE = 10
 BLOCK_BYTES = 32 << 20
@@ -143,9 +144,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     out, added = docs, fields(n_words="bigint", hit_runs=RUN, hit_items="array<bigint>")
     names = {x.lower() for x in added.names}
     out = out.select([c for c in out.columns if c.lower() not in names])
-    blocks = list(_blocks(benchmark, item_col, item_text_col, size, block_bytes))
-    for i, rows in enumerate(blocks):
-        work = _scanner(spark.sparkContext.broadcast(_table(rows)))
+    blocks = _blocks(benchmark, item_col, item_text_col, size, block_bytes)
+    rows = next(blocks, None)
+    while rows is not None:
+        following = next(blocks, None)
+        shared = spark.sparkContext.broadcast(_table(rows))
+        work = _scanner(shared)
         cols = out.columns
         at = [cols.index(c) if c in cols else None for c in (text_col, "hit_runs", "hit_items")]
 
@@ -154,7 +158,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
             kinds = _arrow_types()
             return [pa.array(n, pa.int64()), pa.array(runs, kinds[0]), pa.array(items, kinds[1])]
 
-        out = with_columns(out, run, added, drop if i == len(blocks) - 1 else ())
+        out = with_columns(out, run, added, drop if following is None else ())
+        if following is not None:            # a pass of its own, so no executor holds two blocks
+            out = stage(out, "scanned")
+            shared.destroy()
+        rows = following
     return out
 
 
