@@ -8,6 +8,8 @@ refusal of repeated names.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -236,6 +238,64 @@ def to_xml_record(df: DataFrame, cols: list[str] | None = None, row_tag: str = "
     return F.to_xml(F.struct(*[F.col(c).alias(xml_name(c)) for c in cols]), {"rowTag": row_tag})
 
 
+# Characters that XML text can't hold, what stands for markup in it, and what names may hold.
+NO_XML_TEXT = re.compile("[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")
+MARKUP = str.maketrans({"&": "&amp;", "<": "&lt;", ">": "&gt;", "\r": "&#13;"})
+NO_XML_NAME = re.compile(r"[^\w.]")
+
+
+def _element(name: str) -> str:
+    """An element name: the rule of ``xml_name``, and '_' for what no name may hold or begin with."""
+    name = NO_XML_NAME.sub("_", xml_name(name))
+    return name if name[:1].isalpha() or name[:1] == "_" else f"_{name}"
+
+
+def _xml(value, root: str) -> str:
+    """A JSON value as elements, without recursion: names of objects, ``item_i`` for lists, the text of
+    scalars as Python has it (None, True), an empty element for what holds nothing."""
+    out, todo = [], [(root, value)]
+    while todo:
+        name, value = todo.pop()
+        if name is None:
+            out.append(value)
+        elif isinstance(value, (dict, list)) and value:
+            children = [(_element(k), v) for k, v in value.items()] if isinstance(value, dict) else [(f"item_{i}", v) for i, v in enumerate(value)]
+            out.append(f"<{name}>")
+            todo.append((None, f"</{name}>"))
+            todo += reversed(children)
+        else:
+            text = "" if isinstance(value, (dict, list)) else NO_XML_TEXT.sub("\ufffd", str(value)).translate(MARKUP)
+            out.append(f"<{name}>{text}</{name}>" if text else f"<{name} />")
+    return "".join(out)
+
+
+def json_to_xml(df: DataFrame, id_cols: list[str], json_col: str, root: str = "root") -> DataFrame:
+    """SF4 for payloads of unknown shape: (ids..., xml) of JSON texts.  Names follow the element-name
+    rule at every level, list items are ``item_0 .. item_n`` of their own list (no padding to the longest),
+    and texts are escaped; NULL gives no row, and a text that is not JSON is a row of ``payload_rejects``.
+    Beyond the reference, names and characters that XML can't hold are replaced, so the result can be read."""
+    return _json_rows(df, id_cols, json_col, "xml string", lambda value, why: [(_xml(value, root),)] if why is None else [])
+
+
+def json_text(df: DataFrame, cols: list[str] | None = None) -> Column:
+    """SF7: a record as JSON text, every field there, and values that JSON has no kind for as Python
+    writes them: times with a blank and a fraction only if there is one, dates, decimals, and bytes as text."""
+    from pyspark.sql import types as T
+
+    def plain(c: Column, dt) -> Column:
+        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+            fraction = F.date_format(c, "SSSSSS")
+            return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)))
+        if isinstance(dt, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*(plain(c[f.name], f.dataType).alias(f.name) for f in dt.fields)))
+        if isinstance(dt, T.ArrayType):
+            return F.transform(c, lambda x: plain(x, dt.elementType))
+        return c.cast("string") if isinstance(dt, (T.DateType, T.DecimalType, T.BinaryType)) else c
+
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.to_json(F.struct(*(plain(F.col(f"`{c}`"), kinds[c]).alias(c) for c in cols or df.columns)), {"ignoreNullFields": "false"})
+
+
 def to_xml_payload(df: DataFrame, col: str, root: str = "root") -> Column:
     """SF4 for nested payloads: element names follow the rule (' ' and '-' to '_') and
     every list becomes ``item_0 .. item_n`` children, as the reference writes dicts and

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltframe.functions import formats as FM
+from voltframe.functions import semistructured as SS
 from voltframe.functions.numeric import clip, loss_percentage
 from voltframe.operators import sketches as SK
 from voltframe.operators.duplicates import across_sources, across_sources_report
@@ -252,3 +253,40 @@ def q_declared_over_detected(spark, sf_dir):
         .otherwise(F.concat(F.lit("<!DOCTYPE html><html><body>"), "event_type", F.lit("</body></html>")))
     said = F.when(F.col("event_id") % 4 == 0, "YAML").when(F.col("event_id") % 4 == 1, "what").when(F.col("event_id") % 4 == 2, "")
     return ev.select("event_id", FM.declared_or_detected(said, FM.detect_by_content(body, html_first=True)).alias("format"))
+
+
+# ---------------------------------------------------------------- unknown payloads as XML, records as JSON text (SF4, SF7)
+
+
+def _payload_docs(events):
+    """JSON texts with names that hold ' ' and '-', lists in lists, markup in texts, and empty values."""
+    doc = F.struct(
+        F.col("event_id").alias("event id"), F.struct(F.col("user_id").alias("user-id"), F.concat(F.lit("<&> "), "event_type").alias("the type")).alias("meta-data"),
+        F.array(F.array(F.col("event_id"), F.col("user_id")), F.array(F.col("user_id"))).alias("list"),
+        F.lit(None).cast("string").alias("none"), (F.col("event_id") % 2 == 0).alias("flag"), F.array().cast("array<string>").alias("empty"))
+    return events.select("event_id", F.to_json(doc, {"ignoreNullFields": "false"}).alias("doc"))
+
+
+@register("json_to_xml",
+          "SELECT event_id AS id, event_id, user_id, '<&> ' || event_type AS the_type, event_id AS first_of_first, user_id AS second_of_first, "
+          "user_id AS first_of_second, 'None' AS none, CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'False' END AS flag, true AS has_empty FROM events")
+def q_json_to_xml(spark, sf_dir):
+    xml = SS.json_to_xml(_payload_docs(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
+    shape = ("event_id BIGINT, meta_data STRUCT<user_id: BIGINT, the_type: STRING>, list STRUCT<item_0: STRUCT<item_0: BIGINT, item_1: BIGINT>, "
+             "item_1: STRUCT<item_0: BIGINT>>, none STRING, flag STRING")
+    r = xml.select(F.col("event_id").alias("id"), F.from_xml("xml", shape).alias("r"), F.contains("xml", F.lit("<empty />")).alias("has_empty"))
+    return r.select("id", "r.event_id", "r.meta_data.user_id", "r.meta_data.the_type", F.col("r.list.item_0.item_0").alias("first_of_first"),
+                    F.col("r.list.item_0.item_1").alias("second_of_first"), F.col("r.list.item_1.item_0").alias("first_of_second"), "r.none", "r.flag", "has_empty")
+
+
+@register("json_text_kinds",
+          "SELECT event_id, '{\"event_id\":' || event_id || ',\"at\":\"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || "
+          "CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE '.' || lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') END || "
+          "'\",\"hour\":\"' || strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') || '\",\"day\":\"' || strftime(ts, '%Y-%m-%d') || "
+          "'\",\"amount\":\"' || CAST(value AS DECIMAL(12,2)) || '\",\"none\":null,\"in\":{\"days\":[\"' || strftime(ts, '%Y-%m-%d') || '\"]}}' AS text FROM events")
+def q_json_text_kinds(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events")
+    rows = ev.select("event_id", F.col("ts").alias("at"), F.date_trunc("hour", "ts").alias("hour"), F.to_date("ts").alias("day"),
+                     F.col("value").cast("decimal(12,2)").alias("amount"), F.lit(None).cast("string").alias("none"),
+                     F.struct(F.array(F.to_date("ts")).alias("days")).alias("in"))
+    return rows.select("event_id", SS.json_text(rows).alias("text"))
