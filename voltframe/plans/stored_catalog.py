@@ -18,7 +18,7 @@ from voltframe.operators.duplicates import across_sources, across_sources_report
 from voltframe.operators.gaps import missing_days, missing_runs
 from voltframe.plans import kwh as KW
 from voltframe.plans import oracle_sql as O
-from voltframe.plans.catalog import _GRID, _QUALITY, AS_OF, TIE_ORDER, _dec_as_double, register
+from voltframe.plans.catalog import _GRID, _ISO, _QUALITY, AS_OF, TIE_ORDER, _dec_as_double, _nested_docs, register
 from voltframe.plans.enrich import enrich_readings
 from voltframe.session import scratch_path
 from voltframe.sinks import writers as W
@@ -290,3 +290,14 @@ def q_json_text_kinds(spark, sf_dir):
                      F.col("value").cast("decimal(12,2)").alias("amount"), F.lit(None).cast("string").alias("none"),
                      F.struct(F.array(F.to_date("ts")).alias("days")).alias("in"))
     return rows.select("event_id", SS.json_text(rows).alias("text"))
+
+
+# ---------------------------------------------------------------- unknown JSON as a wide frame (SF3)
+
+
+@register("flatten_json_wide",
+          "SELECT event_id, CAST(event_id AS VARCHAR) AS id, event_type AS meta_type, CAST(user_id AS VARCHAR) AS meta_user, "
+          f"strftime(ts, {_ISO}) AS readings_0_ts, CAST(value AS VARCHAR) AS readings_0_value, strftime(date_trunc('hour', ts), {_ISO}) AS readings_1_ts, "
+          "CAST(value * 2 AS VARCHAR) AS readings_1_value, CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) AS props_k FROM events")
+def q_flatten_json_wide(spark, sf_dir):
+    return SS.flatten_json_wide(_nested_docs(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
