@@ -113,6 +113,16 @@ def test_histogram_answers_every_limit(spark):
     assert q == {x: ordered[int(np.ceil(x * len(lens))) - 1] for x in (0.5, 0.9, 1.0)}
 
 
+def test_limits_that_are_nobodys_length(spark):
+    rng = random.Random(3)
+    lens = [rng.randint(5, 900) * 3 for _ in range(200)]
+    hist = tokens.histogram(spark.createDataFrame([(n,) for n in lens], "n_tokens long"))
+    limits = [0, 1, 14, 15, 16, 400, 401, 2700, 10_000]
+    got = {r.context_limit: tuple(r)[1:] for r in tokens.at_limits(hist, limits).collect()}
+    assert got == {x: (sum(n <= x for n in lens), sum(n > x for n in lens), sum(lens), sum(min(n, x) for n in lens)) for x in limits}
+    assert tokens.at_limits(hist.where("false"), limits).count() == 0
+
+
 def test_lengths_of_whole_texts(spark, library):
     df = spark.createDataFrame([(1, "abc def " * 100_000, 5), (2, None, 6)], "doc_id long, text string, N_TOKENS int")
     got = {r.doc_id: r.n_tokens for r in tokens.lengths(df, queries.BYTE_BPE).collect()}

@@ -139,6 +139,23 @@ def quantiles(hist: DataFrame, shares: list[float]) -> DataFrame:
         "share >= q").groupBy("q").agg(F.min("context_limit").alias("n_tokens"))
 
 
+def at_limits(hist: DataFrame, limits: list[int]) -> DataFrame:
+    """The histogram's answers for any context limits, lengths that occur or not: context_limit,
+    docs_at_most, docs_longer, total_tokens and truncated_tokens.  No row for an empty histogram."""
+    # the longest length up to each limit: what is cut there is cut a little later at the limit
+    found = F.struct("context_limit", "docs_at_most", "truncated_tokens")
+    asked = sorted({int(x) for x in limits})
+    near = [F.max_by(found, F.when(F.col("context_limit") <= x, F.col("context_limit"))).alias(f"h{i}") for i, x in enumerate(asked)]
+    one = hist.agg(F.max("docs_at_most").alias("docs"), F.max("total_tokens").alias("tokens"), *near).where("docs IS NOT NULL")
+    rows = one.select("docs", "tokens", F.explode(F.array(*(F.struct(F.lit(x).cast("long").alias("limit"), F.col(f"h{i}").alias("h"))
+                                                             for i, x in enumerate(asked)))).alias("r")).select("docs", "tokens", "r.limit", "r.h")
+    at_most = F.coalesce("h.docs_at_most", F.lit(0))
+    longer = F.col("docs") - at_most
+    cut = F.coalesce(F.col("h.truncated_tokens") + (F.col("limit") - F.col("h.context_limit")) * longer, F.col("limit") * longer)
+    return rows.select(F.col("limit").alias("context_limit"), at_most.alias("docs_at_most"), longer.alias("docs_longer"),
+                       F.col("tokens").alias("total_tokens"), cut.alias("truncated_tokens"))
+
+
 def _open(uri: str):
     """(file system, path in it) of a folder given as Spark names it."""
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + os.path.abspath(uri))
