@@ -74,8 +74,10 @@ def distinct_estimates(sketches: DataFrame) -> DataFrame:
     """(first, second, distinct, overlap) for each source (first = second) and each two of them: the
     distinct values of both together, and those in both (inclusion and exclusion).  The table has
     one row a source, so the pairs are the sources' and not the rows'."""
-    a, b = sketches.select(F.col("source").alias("first"), F.col("sketch").alias("_a")), sketches.select(F.col("source").alias("second"), F.col("sketch").alias("_b"))
-    pairs = a.join(b, F.col("first") <= F.col("second"))
+    every = sketches.agg(F.collect_list(F.struct("source", "sketch")).alias("s"))
+    pair = F.flatten(F.transform("s", lambda a: F.transform(F.filter("s", lambda b: a["source"] <= b["source"]), lambda b: F.struct(
+        a["source"].alias("first"), b["source"].alias("second"), a["sketch"].alias("_a"), b["sketch"].alias("_b")))))
+    pairs = every.select(F.explode(pair).alias("p")).select("p.*")
     size = {c: F.hll_sketch_estimate(c) for c in ("_a", "_b")}
     both = F.hll_sketch_estimate(F.hll_union("_a", "_b"))
     return pairs.select("first", "second", both.alias("distinct"), F.when(F.col("first") == F.col("second"), size["_a"]).otherwise(size["_a"] + size["_b"] - both).alias("overlap"))

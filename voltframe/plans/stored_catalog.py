@@ -8,6 +8,7 @@ SQL states the same adapter.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voltframe.functions import formats as FM
@@ -157,18 +158,22 @@ def q_save_published(spark, sf_dir):
 
 
 @register("sorted_sink", O.with_(O.R, O.D) +
-          "SELECT row_number() OVER (ORDER BY timestamp, location_id) AS line, timestamp, location_id FROM d WHERE location_id = '.Z.VIEW'")
+          "SELECT location_id, count(*) AS lines, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS files_out_of_order FROM d WHERE location_id = '.Z.VIEW' GROUP BY ALL")
 def q_sorted_sink(spark, sf_dir):
-    """The order of the written lines: sorted on read by part file and place in it."""
+    """Lines of a sorted sink that come before a smaller one: none within a file, nor between files by name."""
     rows = enrich_readings(load_readings(spark, sf_dir), order=TIE_ORDER).readings.where("location_id = '.Z.VIEW'").select("timestamp", "location_id")
     path = scratch_path(spark, "sorted-sink")
     W.write_csv(W.sorted_for_sink(rows, ["timestamp", "location_id"]), path)
+    # the ids of a file's lines grow, as a file is a range of the scan or several in order
     lines = spark.read.schema("timestamp timestamp_ntz, location_id string").option("header", True).csv(path).select(
         "*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place"))
-    # parts are small here: a file is one range of the scan, whose ids grow with the lines
-    before = lines.groupBy("file").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = before.withColumn("base", F.expr("coalesce(sum(n) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"))   # a row a file
-    return lines.join(before, "file").select((F.col("base") + F.col("place") - F.col("first") + 1).alias("line"), "timestamp", "location_id")
+    before = F.lag("timestamp").over(Window.partitionBy("file").orderBy("place"))
+    by_file = lines.withColumn("wrong", F.coalesce(before > F.col("timestamp"), F.lit(False))).groupBy("location_id", "file").agg(
+        F.count("*").alias("n"), F.count_if("wrong").alias("wrong"), F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+    total = by_file.groupBy("location_id").agg(F.sum("n").alias("lines"), F.sum("wrong").alias("out_of_order"),
+                                               F.array_sort(F.collect_list(F.struct("file", "low", "high"))).alias("files"))      # a row for each file
+    pairs = F.arrays_zip(F.slice("files", 1, F.size("files") - 1).alias("a"), F.slice("files", 2, F.size("files")).alias("b"))
+    return total.select("location_id", "lines", "out_of_order", F.size(F.filter(pairs, lambda p: p["a"]["high"] > p["b"]["low"])).cast("long").alias("files_out_of_order"))
 
 
 @register("processing_labels", O.with_(O.R, O.D) + "SELECT location_id, '1.0' AS data_version, count(*) AS stamped FROM d GROUP BY location_id")
