@@ -53,7 +53,7 @@ def flat(rows, sep="_"):
 
 
 def long_rows(spark, rows, **kw):
-    df = SS.flatten_json(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc", **kw)
+    df = SS.flatten_json(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc", native=True, **kw)
     return df, sorted(((r["id"], r["key"], r["value"]) for r in df.collect()), key=str)
 
 
@@ -120,11 +120,11 @@ def test_payload_records_of_lists_objects_and_scalars(spark):
         docs.append([regular(rng) for _ in range(rng.randint(0, 3))] + [None] * rng.randint(0, 1) if kind == 0 else regular(rng) if kind == 1
                     else rng.choice([1, 2.5, "t", "", None, True]) if kind == 2 else {"other": [[1], []]})
     rows = [(i, json.dumps(d)) for i, d in enumerate(docs)]
-    df = SS.payload_rows(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc")
+    df = SS.payload_rows(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc", native=True)
     assert sorted(map(tuple, df.collect()), key=str) == records(rows) and "MapInArrow" not in plan(df)
     for texts in (["[1, [2], {\"a\": 3}]", "[[1, 2], [3]]"], ["[[1, 2], [3]]", "[]"], ["[1, 2.0, null]", "7"], ["{\"a\": 1}", "{\"a\": [2]}", "[]", "-0.0"]):
         rows = list(enumerate(texts))
-        got = SS.payload_rows(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc")
+        got = SS.payload_rows(spark.createDataFrame(rows, "id long, doc string"), ["id"], "doc", native=True)
         assert sorted(map(tuple, got.collect()), key=str) == records(rows)
 
 

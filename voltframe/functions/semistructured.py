@@ -1,8 +1,8 @@
 """JSON flattening, payload records, record counts, URL checks, header redaction and
 XML rendering (SF3-SF7, AG17, PF9), on table columns instead of single objects.
 
-Flattening of unknown JSON is a projection made from the documents' shape (``variants``).  What
-Variant can't stand for is parsed in Arrow batches with Python's parser, whose rules are the ones to match.
+Flattening of unknown JSON parses each document once, in Arrow batches, with Python's parser, whose rules
+are the ones to match, or is a projection made from the documents' shape (``variants``).
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ def _json_rows(df: DataFrame, id_cols: list[str], json_col: str, fields: str, ro
 
 
 def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_",
-                 strip_leading_sep: bool = False) -> DataFrame:
+                 strip_leading_sep: bool = False, native: bool = False) -> DataFrame:
     """SF3 on JSON text: long (ids..., key, value) rows.
 
     Keys join object names with ``sep``; list items add ``sep`` + position (so a top-level
@@ -121,16 +121,19 @@ def flatten_json(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_
     and lists vanish, JSON null is a NULL value, and of equal keys the later leaf in the
     document wins.  A document's rows depend on that document alone.
 
-    The documents' shape is found in one pass, and a projection made from it flattens them in the JVM
-    (``variants``).  Documents that Variant can't stand for as Python's parser would, and all of them
-    where the shape leaves keys open, go to that parser, whose rules are the ones to match;
-    the plan has a Python worker only if there are any.  NULL gives no row, and a text that is not
-    JSON is a row of ``payload_rejects``."""
-    shape, odd = V.shape_of(df, json_col, sep)
+    Documents are parsed in Arrow batches by Python's parser, whose rules are the ones to match.
+    With ``native`` their shape is found in one pass first, and a projection made from it flattens them in the
+    JVM (``variants``), but for documents that Variant can't stand for, and all of them where the
+    shape leaves keys open; the plan has a Python worker only if there are any.  The rows are the
+    same; the parser is the faster of the two (README).  NULL gives no row, and a text that is not JSON is a row
+    of ``payload_rejects``."""
+    if not native:
+        return _flatten_parsed(df, id_cols, json_col, sep, strip_leading_sep)
+    shape, odd, numbers = V.shape_of(df, json_col, sep)
     if shape is None:
         return _flatten_parsed(df, id_cols, json_col, sep, strip_leading_sep)
-    v, is_odd = V.variant_documents(df, json_col)
-    typed = df.select(*id_cols, v.alias("_v")).where("_v IS NOT NULL").select(*id_cols, F.explode(V.leaves(F.col("_v"), shape, sep)).alias("_leaf"))
+    v, is_odd = V.variant_documents(json_col, numbers)
+    typed = df.select(*id_cols, v.alias("_v")).select(*id_cols, F.explode(V.leaves(F.col("_v"), shape, sep)).alias("_leaf"))
     key = F.regexp_replace("_leaf.key", "^" + re.escape(sep), "") if strip_leading_sep else F.col("_leaf.key")
     out = typed.select(*id_cols, key.alias("key"), F.col("_leaf.value").alias("value"))
     return out.unionByName(_flatten_parsed(df.where(is_odd), id_cols, json_col, sep, strip_leading_sep)) if odd else out
@@ -140,11 +143,11 @@ def flatten_json_wide(df: DataFrame, id_cols: list[str], json_col: str, sep: str
     """SF3 as one row a document and one text column a key, the frame that the reference makes: columns come
     from the documents' shape, lists as far as the longest.  Missing and null are both NULL.  Only a
     frame whose shape leaves keys open, or with documents for Python's parser, is pivoted from its long form."""
-    shape, odd = V.shape_of(df, json_col, sep)
+    shape, odd, numbers = V.shape_of(df, json_col, sep)
     if shape is None or odd:
         return flatten_wide(flatten_json(df, id_cols, json_col, sep), id_cols)
-    v, _ = V.variant_documents(df, json_col)
-    parsed = df.select(*id_cols, v.alias("_v")).where("_v IS NOT NULL")
+    v, _ = V.variant_documents(json_col, numbers)
+    parsed = df.where(F.col(json_col).isNotNull()).select(*id_cols, v.alias("_v"))
     return parsed.select(*id_cols, *(c.alias(name) for name, c in V.wide_columns(parsed, F.col("_v"), shape, sep)))
 
 
@@ -204,16 +207,18 @@ def flatten_wide(long: DataFrame, id_cols: list[str], keys: list[str] | None = N
     return long.groupBy(*id_cols).pivot("key", keys).agg(F.first("value"))
 
 
-def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_") -> DataFrame:
+def payload_rows(df: DataFrame, id_cols: list[str], json_col: str, sep: str = "_", native: bool = False) -> DataFrame:
     """SF5: a list payload gives one record per element, a dict one record (flattened
     when nested), a scalar one record with key 'value'.  Long form
-    (ids..., record, key, value); in the JVM where the shapes of lists, dicts and scalars allow it, as
-    for ``flatten_json``, and the same rejects."""
-    shapes, odd = V.payload_shapes(df, json_col, sep)
+    (ids..., record, key, value), rejects as for ``flatten_json``; with ``native`` in the JVM where the
+    shapes of lists, dicts and scalars allow it."""
+    if not native:
+        return _payload_parsed(df, id_cols, json_col, sep)
+    shapes, odd, numbers = V.payload_shapes(df, json_col, sep)
     if shapes is None:
         return _payload_parsed(df, id_cols, json_col, sep)
-    v, is_odd = V.variant_documents(df, json_col)
-    parsed = df.select(*id_cols, v.alias("_v")).where("_v IS NOT NULL")
+    v, is_odd = V.variant_documents(json_col, numbers)
+    parsed = df.select(*id_cols, v.alias("_v")).where(F.col("_v").isNotNull())
     out = parsed.select(*id_cols, F.explode(V.payload_leaves(F.col("_v"), shapes, sep)).alias("_leaf")).select(*id_cols, "_leaf.*")
     return out.unionByName(_payload_parsed(df.where(is_odd), id_cols, json_col, sep)) if odd else out
 

@@ -32,6 +32,11 @@ class Shape:
     """Kind of the values of a path: ``object`` (parts by name), ``array`` (one part), or a scalar."""
     kind: str
     parts: dict = field(default_factory=dict)
+    digits: tuple[int, int] = (0, 0)        # of a decimal: all, and after the point
+
+    def has_odd_numbers(self) -> bool:
+        """Whether some value may be an integer beyond 64 bits or have a large exponent."""
+        return self.kind in ("DOUBLE", "FLOAT", "VARIANT") or self.digits[0] - self.digits[1] >= 19 or any(s.has_odd_numbers() for s in self.parts.values())
 
 
 def _parsed(text: str) -> Shape:
@@ -72,7 +77,8 @@ def _parsed(text: str) -> Shape:
             return Shape("array", {"": part})
         word = re.compile(r"[A-Z_]+(\(\d+,\d+\))?").match(text, at).group()
         at += len(word)
-        return Shape(word.split("(")[0])
+        kind, _, digits = word.partition("(")
+        return Shape(kind, {}, tuple(map(int, digits[:-1].split(","))) if digits else (0, 0))
 
     return shape()
 
@@ -107,37 +113,60 @@ def _sound(shape: Shape, sep: str) -> bool:
     return not any(re.fullmatch(a, re.sub(r"\\(.)", r"\1", b)) for i, a in enumerate(keys) for j, b in enumerate(plain) if i != j)
 
 
-def variant_documents(df: DataFrame, json_col: str) -> tuple[Column, Column]:
-    """The Variant of each document, NULL where it can't stand for it, and whether that is so."""
+def variant_documents(json_col: str, numbers: bool) -> tuple[Column, Column]:
+    """The Variant of each document, NULL where it can't stand for it, and whether that is so.  ``numbers``:
+    whether the documents' shape leaves room for numbers that are written apart."""
     text = F.col(json_col)
-    v = F.when(~too_long_for_variant(text) & ~text.rlike(ODD_NUMBER), strict_parse_json(text))
+    odd = too_long_for_variant(text)
+    for sign in (":-0", "[-0", ",-0", " -0", "\n-0", "\t-0"):
+        odd = odd | F.contains(text, F.lit(sign))
+    odd = odd | F.startswith(text, F.lit("-0"))
+    if numbers:
+        odd = odd | text.rlike(ODD_NUMBER)
+    v = F.when(~odd, strict_parse_json(text))
     return v, text.isNotNull() & v.isNull()
 
 
-def shape_of(df: DataFrame, json_col: str, sep: str) -> tuple[Shape | None, int]:
-    """The documents' shape (None: use the parser), and how many of them Variant can't stand for."""
-    v, odd = variant_documents(df, json_col)
-    row = df.select(v.alias("_v"), odd.alias("_odd")).agg(F.schema_of_variant_agg("_v").alias("shape"), F.count_if("_odd").alias("odd")).first()
-    shape = _parsed(row["shape"]) if row["shape"] else Shape("VOID")
-    return (shape if _sound(shape, sep) else None), row["odd"]
+def _first_pass(df: DataFrame, json_col: str, made) -> tuple:
+    """One row of ``made`` aggregates over ``_v``, the documents that Variant can't stand for, and whether
+    numbers were looked at: only where a first look at the shapes leaves room for odd ones."""
+    for numbers in (False, True):
+        v, odd = variant_documents(json_col, numbers)
+        row = df.select(v.alias("_v"), odd.alias("_odd")).agg(*made, F.count_if("_odd").alias("odd")).first()
+        shapes = [_parsed(x) if x else Shape("VOID") for x in row[:-1]]
+        if numbers or not any(s.has_odd_numbers() for s in shapes):
+            return shapes, row["odd"], numbers
+
+
+def shape_of(df: DataFrame, json_col: str, sep: str) -> tuple[Shape | None, int, bool]:
+    """The documents' shape (None: use the parser), how many of them Variant can't stand for, and
+    whether that needs a look at their numbers."""
+    (shape,), odd, numbers = _first_pass(df, json_col, [F.schema_of_variant_agg("_v").alias("shape")])
+    return (shape if _sound(shape, sep) else None), odd, numbers
 
 
 def _step(name: str) -> str:
     return f"['{name}']"
 
 
-def scalar_text(v: Column, kind: str) -> Column:
-    """A scalar Variant as Python's ``str`` writes it, NULL for JSON's null."""
+def scalar_text(v: Column, shape: Shape, path: str = "$") -> Column:
+    """A scalar at a path as Python's ``str`` writes it, NULL for JSON's null."""
     from voltframe.functions.semistructured import py_float_text
 
     def read(as_type):
-        return F.try_variant_get(v, "$", as_type)
+        return F.try_variant_get(v, path, as_type)
 
-    if kind == "BOOLEAN":
+    if shape.kind == "BOOLEAN":
         return F.when(read("boolean"), "True").when(~read("boolean"), "False")
-    if kind in ("DOUBLE", "DECIMAL", "FLOAT"):
-        return F.when(F.schema_of_variant(v) == "BIGINT", read("bigint").cast("string")).otherwise(py_float_text(read("double")))
-    return F.lit(None).cast("string") if kind == "VOID" else read("string")
+    if shape.kind == "DECIMAL" and shape.digits[0] <= 15 and shape.digits[1] <= 4:
+        text = read("string")                            # digits that a float keeps, in plain notation
+        return F.when(F.instr(text, ".") > 0, text).otherwise(F.concat(text, F.lit(".0")))
+    if shape.kind in ("DOUBLE", "DECIMAL", "FLOAT"):
+        number = py_float_text(read("double"))
+        if shape.kind == "DECIMAL" and shape.digits[0] - shape.digits[1] < 19:
+            return number                                # no integer is among them
+        return F.when(F.schema_of_variant(read("variant")) == "BIGINT", read("string")).otherwise(number)
+    return F.lit(None).cast("string") if shape.kind == "VOID" else read("string")
 
 
 LEAF = "array<struct<key:string,value:string>>"
@@ -167,7 +196,7 @@ def leaves(v: Column, shape: Shape, sep: str, key: str | Column = "") -> Column:
             parts.append(F.coalesce(F.flatten(each), F.array().cast(LEAF)))
             parts.append(one(at, F.lit(None).cast("string"), F.is_variant_null(here)))
         else:
-            parts.append(one(at, F.when(~F.is_variant_null(here), scalar_text(here, s.kind)), here.isNotNull()))
+            parts.append(one(at, scalar_text(v, s, path), here.isNotNull()))
 
     walk("$", "", shape)
     return F.concat(*parts) if len(parts) > 1 else parts[0]
@@ -191,7 +220,7 @@ def wide_columns(df: DataFrame, v: Column, shape: Shape, sep: str) -> list[tuple
             elif s.kind == "array":
                 following += [(f"{key}{sep}{i}", f"{path}[{i}]", s.parts[""]) for i in range(sizes[path])]
             else:
-                found.append((key, scalar_text(F.try_variant_get(v, path, "variant"), s.kind)))
+                found.append((key, scalar_text(v, s, path)))
         todo = following
     return found
 
@@ -201,17 +230,15 @@ def _root(v: Column) -> Column:
     return F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").otherwise("scalar")
 
 
-def payload_shapes(df: DataFrame, json_col: str, sep: str) -> tuple[dict[str, Shape] | None, int]:
-    """The shapes of documents that are objects, lists and scalars, each by themselves, and how many
-    documents Variant can't stand for."""
-    v, odd = variant_documents(df, json_col)
-    rows = df.select(v.alias("_v"), odd.alias("_odd")).withColumn("_root", _root(F.col("_v")))
+def payload_shapes(df: DataFrame, json_col: str, sep: str) -> tuple[dict[str, Shape] | None, int, bool]:
+    """The shapes of documents that are objects, lists and scalars, each by themselves, how many
+    documents Variant can't stand for, and whether that needs a look at their numbers."""
     kinds = ("object", "array", "scalar")
-    row = rows.agg(*(F.schema_of_variant_agg(F.when(F.col("_root") == k, F.col("_v"))).alias(k) for k in kinds), F.count_if("_odd").alias("odd")).first()
-    shapes = {k: _parsed(row[k]) if row[k] else Shape("VOID") for k in kinds}
+    found, odd, numbers = _first_pass(df, json_col, [F.schema_of_variant_agg(F.when(_root(F.col("_v")) == k, F.col("_v"))).alias(k) for k in kinds])
+    shapes = dict(zip(kinds, found))
     # scalars of any kinds are one text each; everything else must have one shape
     good = all(_sound(shapes[k], sep) for k in ("object", "array"))
-    return (shapes if good else None), row["odd"]
+    return (shapes if good else None), odd, numbers
 
 
 RECORD_LEAF = "array<struct<record:int,key:string,value:string>>"
@@ -229,7 +256,7 @@ def payload_leaves(v: Column, shapes: dict[str, Shape], sep: str) -> Column:
     listed = F.flatten(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: numbered(leaves(x, element, sep), i)))
     text = F.lit(None).cast("string")
     for word in ("STRING", "BOOLEAN", "BIGINT", "DOUBLE", "DECIMAL"):
-        text = F.when(kind.startswith(word), scalar_text(v, word)).otherwise(text)
+        text = F.when(kind.startswith(word), scalar_text(v, Shape(word, {}, (38, 0)))).otherwise(text)
     alone = F.array(F.struct(F.lit(0).alias("record"), F.lit("value").alias("key"), text.alias("value")))
     one = numbered(leaves(v, shapes["object"], sep), F.lit(0)) if shapes["object"].kind == "object" else none
     return F.when(root == "array", F.coalesce(listed, none)).when(root == "object", one).otherwise(alone)

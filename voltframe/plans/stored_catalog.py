@@ -19,7 +19,7 @@ from voltframe.operators.duplicates import across_sources, across_sources_report
 from voltframe.operators.gaps import missing_days, missing_runs
 from voltframe.plans import kwh as KW
 from voltframe.plans import oracle_sql as O
-from voltframe.plans.catalog import _GRID, _ISO, _QUALITY, AS_OF, TIE_ORDER, _dec_as_double, _nested_docs, register
+from voltframe.plans.catalog import _FLAT_SQL, _GRID, _ISO, _QUALITY, AS_OF, TIE_ORDER, _dec_as_double, _nested_docs, register
 from voltframe.plans.enrich import enrich_readings
 from voltframe.session import scratch_path
 from voltframe.sinks import writers as W
@@ -306,3 +306,9 @@ def q_json_text_kinds(spark, sf_dir):
           "CAST(value * 2 AS VARCHAR) AS readings_1_value, CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) AS props_k FROM events")
 def q_flatten_json_wide(spark, sf_dir):
     return SS.flatten_json_wide(_nested_docs(load_table(spark, sf_dir, "events")), ["event_id"], "doc")
+
+
+@register("flatten_long_native", _FLAT_SQL)
+def q_flatten_long_native(spark, sf_dir):
+    """The long form without a Python worker."""
+    return SS.flatten_json(_nested_docs(load_table(spark, sf_dir, "events")), ["event_id"], "doc", native=True)
