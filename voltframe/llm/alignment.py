@@ -232,7 +232,7 @@ def pair_counts(rows: DataFrame, get) -> DataFrame:
 def _frequent(counts: DataFrame, known: int) -> tuple[int, int]:
     """The least power of two such that at most ``known`` pairs have it or more, and how many
     have less."""
-    rows = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().collect()     # 64 rows at most
+    rows = counts.groupBy((F.length(F.bin("n")) - 1).alias("power")).count().collect()     # 64 rows at most
     total, least = 0, 0
     for r in sorted(rows, key=lambda r: -r.power):
         if total + r["count"] > known:
