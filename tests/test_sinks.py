@@ -309,8 +309,8 @@ def test_a_landing_run_that_is_tried_again_replaces_itself(spark):
     with open(f"{root}/in/api/a.json", "w") as f:
         f.write('[{"q": 1}, {"q": 2}]')
     for _ in range(2):
-        run = land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="20250101_000000", run_id="r")
-    assert run.run_log.count() == 1 and run.manifest.first()["record_count"] == 2
+        run = land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="20250101_000000", run_id="007")
+    assert run.run_log.first()["run_id"] == "007" and run.run_log.count() == 1 and run.manifest.first()["record_count"] == 2
     assert [committed(spark, f"{root}/out", t).count() for t in ("raw", "records", "run_log", "manifest")] == [1, 2, 1, 1]
     land_payloads(spark, f"{root}/in", f"{root}/out", run_ts="20250101_000000")        # the same second, another run
     assert committed(spark, f"{root}/out", "records").count() == 4

@@ -57,9 +57,18 @@ def _replace(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of runs; a run id is text, whatever the folder names look like."""
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+        for f in schema.fields:
+            if f.name in ("run_id", "source"):
+                f.dataType = T.StringType()
+    return spark.read.schema(schema).parquet(path)
+
+
 def _of_run(spark: SparkSession, path: str, run: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read.option("basePath", path)
-    return (r.schema(schema) if schema else r).parquet(path).where(F.col("run_id").cast("string") == run)
+    return _read(spark, path, schema).where(F.col("run_id") == run)
 
 
 def _clear(spark: SparkSession, path: str, run: str) -> None:
@@ -72,9 +81,8 @@ def committed(spark: SparkSession, out_root: str, table: str) -> DataFrame | Non
     """A table of the landing (``TABLES``), committed runs only; None before the first."""
     if not path_exists(spark, f"{out_root}/commits"):
         return None
-    runs = spark.read.parquet(f"{out_root}/commits").select(F.col("run_id").cast("string").alias("run_id")).distinct()
-    df = spark.read.option("basePath", f"{out_root}/{table}").parquet(f"{out_root}/{table}")
-    return df.withColumn("run_id", F.col("run_id").cast("string")).join(runs, "run_id", "left_semi")
+    runs = _read(spark, f"{out_root}/commits").select("run_id").distinct()
+    return _read(spark, f"{out_root}/{table}").join(runs, "run_id", "left_semi")
 
 
 def land(seen: DataFrame, listed: DataFrame, out_root: str, run: str, run_ts: str, catalogue: DataFrame | None = None,
