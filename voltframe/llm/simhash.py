@@ -175,10 +175,14 @@ def links(prints: DataFrame, col: str = "fingerprint", bits: int = BITS, crowd:
         dealt = pairs.select(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other")).alias("anchor"), "fp")
     groups = calm.select("anchor", "fp")
     groups = groups if dealt is None else groups.union(dealt)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
-    grouped = groups.repartition("anchor").sortWithinPartitions("anchor", "fp")
-    out = stage(grouped.mapInArrow(lambda it: _compare(it, bits), "a long, b long").distinct(), "near-links")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "50000")
+    try:
+        grouped = groups.repartition("anchor").sortWithinPartitions("anchor", "fp")
+        out = stage(grouped.mapInArrow(lambda it: _compare(it, bits), "a long, b long").distinct(), "near-links")
+    finally:
+        spark.conf.set(rows, before)
     unstage(covered)
     unstage(crowded)
     return out
