@@ -356,6 +356,23 @@ def test_a_landing_batch_that_fails_shows_nothing_and_is_replayed_once(spark, mo
     assert counts()[:2] == [2, 3] and got == {(f, s) for f in ("a.json", "b.json") for s in ("success", "skipped")}
 
 
+def test_python_workers_get_long_payloads_a_few_at_a_time(spark):
+    import pyarrow as pa
+
+    from voltframe.functions.semistructured import payload_rows
+    payloads = spark.range(0, 60, 1, 1).select("id", F.expr("concat('[\"', repeat('x', 1000000), '\", ', id, ', null]')").alias("t"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    got = [r["n"] for r in payloads.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 60_000_000 and max(got) <= 16 << 20
+    rows = payload_rows(payloads.union(spark.createDataFrame([(60, None), (61, "[")], "id long, t string")), ["id"], "t").where("record > 0")
+    assert sorted((r["id"], r["record"], r["value"]) for r in rows.collect()) == [
+        x for i in range(60) for x in ((i, 1, str(i)), (i, 2, None))]
+
+
 def test_upsert_keeps_what_the_batch_does_not_touch(spark):
     path = scratch_path(spark, "upsert-keeps")
     schema = "timestamp timestamp_ntz, location_id string, w double, v double, date string"
