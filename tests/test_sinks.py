@@ -373,6 +373,29 @@ def test_python_workers_get_long_payloads_a_few_at_a_time(spark):
         x for i in range(60) for x in ((i, 1, str(i)), (i, 2, None))]
 
 
+def test_landed_records_are_written_without_sorting_them(spark, monkeypatch):
+    from voltframe.plans import landing
+    root, writers = scratch_path(spark, "unsorted"), "spark.sql.maxConcurrentOutputFileWriters"
+    for i in range(10):                                    # more sources than files are open at once
+        os.makedirs(f"{root}/in/api{i}")
+        with open(f"{root}/in/api{i}/a.json", "w") as f:
+            f.write(f'[{{"q": {i}}}, {{"q": null}}, {i}]')
+    real, seen = landing._replace, {}
+
+    def spy(df, path, *by):
+        seen[os.path.basename(path)] = int(spark.conf.get(writers))
+        real(df.coalesce(1), path, *by)
+
+    monkeypatch.setattr(landing, "_replace", spy)
+    before = [spark.conf.get(k, None) for k in landing.OPEN_FILES]
+    run = landing.land_payloads(spark, f"{root}/in", f"{root}/out")
+    assert seen["records"] > 1 and seen["raw"] == 0
+    assert [spark.conf.get(k, None) for k in landing.OPEN_FILES] == before
+    got = spark.read.parquet(run.records_path).select("source", "record", "key", "value").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [x for i in range(10) for x in ((f"api{i}", 0, "q", str(i)), (f"api{i}", 1, "q", None), (f"api{i}", 2, "value", str(i)))], key=str)
+
+
 def test_upsert_keeps_what_the_batch_does_not_touch(spark):
     path = scratch_path(spark, "upsert-keeps")
     schema = "timestamp timestamp_ntz, location_id string, w double, v double, date string"
