@@ -52,6 +52,20 @@ def test_removed_bytes_match_brute_force(spark, crowd):
         assert sum(w[2] > 0 for w in want) > 20 and sum(w[2] == 0 for w in want) > 20
 
 
+def test_the_number_of_shards_follows_the_bytes_of_contents(spark, monkeypatch):
+    rows, dealt = corpus(), []
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kind = type(df)
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *by, real=kind.repartition: dealt.append(n) or real(self, n, *by))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for size in (1 << 11, 1 << 30):
+        got = suffix_dedup.remove(df, shard_bytes=size).select("doc_id", "n_bytes", "n_removed", F.size("removed").alias("n"), "kept").collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n, bytes(r.kept)) for r in got), key=str) == brute(rows, 200)
+    assert dealt[0] > least and dealt[1] == least
+    nothing = df.where("doc_id < 0")
+    assert suffix_dedup.remove(nothing).count() == 0 and suffix_dedup.remove(df.where("doc_id = 207")).first()["n_removed"] == 0
+
+
 def test_long_texts_in_pieces_choose_the_same_anchors():
     rng = np.random.default_rng(3)
     text = rng.integers(97, 100, 30_000).astype(np.uint8)

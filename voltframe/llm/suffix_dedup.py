@@ -28,7 +28,7 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltframe.llm import suffix_sort
@@ -38,6 +38,7 @@ LENGTH, GRAM = 200, 64
 CROWD, PART_STARTS = 4096, 16
 SEEN = 200_000
 SIDE_BYTES = 24 << 20
+SHARD_BYTES = 4 << 20        # a task that sorts a shard takes about 30 times its bytes
 LOW = np.uint64((1 << 24) - 1)
 TEXT_KEY = ["text_a", "text_b"]
 
@@ -200,7 +201,8 @@ def _side(df: DataFrame, listed: str):
     return F.broadcast(df) if 64 * n + 40 * (m or 0) <= SIDE_BYTES else df
 
 
-def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD, room: int = suffix_sort.ROOM) -> DataFrame:
+def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD, room: int = suffix_sort.ROOM,
+                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``texts``: text_a, text_b (key of a text's content) and text.  Returns for each key the
     spans of starts whose ``length`` bytes also begin elsewhere among different texts or in the
     text itself; staged."""
@@ -213,9 +215,10 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD,
     unstage(anchors)
     unstage(shared)
     listed = texts.join(_side(lists, "places"), TEXT_KEY).select(*TEXT_KEY, "text", "places")
-    parts = stage(_contents(listed, length), "contents")
+    met = Observation()
+    parts = stage(_contents(listed, length).observe(met, F.sum(F.octet_length("content")).alias("bytes")), "contents")
     unstage(lists)
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(met.get["bytes"] or 0) // shard_bytes))
     dealt = parts.where("content is not null").select("content_a", "content_b", "starts", "content", "shard")
     dealt = dealt.repartition(shards, "shard").select("content_a", "content_b", "starts", "content")
     sorted_ = stage(dealt.mapInArrow(lambda it: _shard_repeats(it, length, room),
